@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql import functions as F
 
+from assay.functions.columns import evaluated_once
 from assay.operators.dedupe import latest_per_key
 
 # Operation codes of the capture tool and of the change log.
@@ -25,18 +26,19 @@ def parse_envelopes(df: DataFrame, image: T.StructType, value: str = "value") ->
             T.StructField("after", image),
         ]
     )
-    codes = F.create_map(*[F.lit(part) for pair in OPERATIONS.items() for part in pair])
     others = [name for name in df.columns if name != value]
-    parsed = df.withColumn("_event", F.from_json(value, envelope)).withColumn(
+    event = evaluated_once(df, "_event", F.from_json(value, envelope))
+    parsed = event.withColumn(
         "_image", F.when(F.col("_event.op") == "d", F.col("_event.before")).otherwise(F.col("_event.after"))
     )
+    op = F.col("_event.op")
     return parsed.select(
         *others,
-        F.get(F.map_values(F.map_filter(codes, lambda code, _: code == F.col("_event.op"))), F.lit(0)).alias("op"),
+        F.coalesce(*[F.when(op == code, name) for code, name in OPERATIONS.items()]).alias("op"),
         F.when(F.col(value).isNull(), "tombstone")
-        .when(F.col("_event.op").isNull(), "unreadable envelope")
-        .when(F.col("_event.op") == "r", "snapshot read")
-        .when(~F.col("_event.op").isin(*OPERATIONS), "unknown operation")
+        .when(op.isNull(), "unreadable envelope")
+        .when(op == "r", "snapshot read")
+        .when(~op.isin(*OPERATIONS), "unknown operation")
         .when(F.col("_image").isNull(), "no row image")
         .alias("fault"),
         *[F.col(f"_image.{name}").alias(name) for name in image.names],
@@ -64,7 +66,7 @@ def count_gate(events: DataFrame, expected: int) -> DataFrame:
 
 def current_state(events: DataFrame, keys: list[str], capture: str, op: str = "op") -> DataFrame:
     """Replay in capture order: the last image of every key that is not deleted."""
-    last = latest_per_key(events, keys, [F.col(capture).desc_nulls_last()])
+    last = latest_per_key(events, keys, [capture])
     return last.where(F.col(op) != "D")
 
 

@@ -2,30 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 RANK = "_rank"
 
 
-def total_order(df: DataFrame, keys: list[str], leading: list[Column]) -> list[Column]:
-    """``leading`` followed by every other column, so no two distinct rows tie."""
-    return [*leading, *[F.col(name).asc_nulls_last() for name in df.columns if name not in keys]]
+def latest_per_key(df: DataFrame, keys: list[str], descending: list[str]) -> DataFrame:
+    """The row of each key that is highest by ``descending``; exact duplicates collapse.
 
-
-def latest_per_key(df: DataFrame, keys: list[str], leading: list[Column]) -> DataFrame:
-    """The first row of each key by ``leading``; exact duplicates collapse into one.
-
-    Spark keeps one row per key on the map side (WindowGroupLimit) before it shuffles,
-    so a key holding a large share of the rows sends one row per map task.
+    Every other column breaks ties, lowest first, so the choice never depends on the
+    order rows arrive in. Spark keeps one row per key on the map side
+    (WindowGroupLimit) before it shuffles, so a key holding a large share of the rows
+    sends one row per map task.
     """
-    ranking = Window.partitionBy(*keys).orderBy(*total_order(df, keys, leading))
+    ties = [name for name in df.columns if name not in keys and name not in descending]
+    ranking = Window.partitionBy(*keys).orderBy(
+        *[F.col(name).desc_nulls_last() for name in descending],
+        *[F.col(name).asc_nulls_last() for name in ties],
+        *([] if descending or ties else [F.col(name) for name in keys]),
+    )
     return df.withColumn(RANK, F.row_number().over(ranking)).where(F.col(RANK) == 1).drop(RANK)
 
 
 def latest_by_sequence(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:
     """Latest event per key, ranked by the vendor's own sequence column."""
-    return latest_per_key(df, keys, [F.col(sequence).desc_nulls_last()])
+    return latest_per_key(df, keys, [sequence])
 
 
 def redeliveries(df: DataFrame, keys: list[str]) -> DataFrame:

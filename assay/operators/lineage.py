@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assay.sources.tables import materialise
+
 DECLARED_ONLY = "declared only"
 
 
@@ -61,37 +63,36 @@ def orphans(into: DataFrame, out_of: DataFrame) -> DataFrame:
     )
 
 
-def trace_upstream(edges: DataFrame, starts: DataFrame, max_depth: int = 32) -> DataFrame:
-    """Every (node, ancestor, distance) above the ``starts``, nearest distance first found.
+def trace_upstream(edges: DataFrame, starts: DataFrame, folder: str, max_depth: int = 32) -> DataFrame:
+    """Every (node, ancestor, distance) above the ``starts``, at its shortest distance.
 
-    One join per level over that level's new pairs only. Each level is checkpointed, so
-    a lost executor does not replay the levels below, and a cycle ends by itself.
+    One join per level, over that level's new pairs only. Each level is written under
+    ``folder``, so a lost executor does not replay the levels below; pairs already
+    seen are left out, so a cycle ends by itself.
     """
     upstream = edges.select("source", "target").distinct()
-    level = starts.select(F.col("node"), F.col("node").alias("ancestor")).distinct().checkpoint()
-    seen = level
-    found = None
+    level = materialise(
+        starts.select(F.col("node"), F.col("node").alias("ancestor")).distinct(), f"{folder}/level=0"
+    )
+    seen, found = level, level.where(F.lit(False)).withColumn("distance", F.lit(0))
     for distance in range(1, max_depth + 1):
-        level = (
+        above = (
             level.join(upstream, F.col("ancestor") == F.col("target"))
             .select("node", F.col("source").alias("ancestor"))
             .distinct()
             .join(seen, ["node", "ancestor"], "left_anti")
-            .checkpoint()
         )
+        level = materialise(above, f"{folder}/level={distance}")
         if level.isEmpty():
-            break
-        reached = level.withColumn("distance", F.lit(distance))
-        found = reached if found is None else found.unionByName(reached)
+            return found
+        found = found.unionByName(level.withColumn("distance", F.lit(distance)))
         seen = seen.unionByName(level)
-    else:
-        raise ValueError(f"lineage is deeper than {max_depth} levels")
-    return found if found is not None else level.withColumn("distance", F.lit(0))
+    raise ValueError(f"lineage is deeper than {max_depth} levels")
 
 
-def trace_to_sources(edges: DataFrame, starts: DataFrame, max_depth: int = 32) -> DataFrame:
+def trace_to_sources(edges: DataFrame, starts: DataFrame, folder: str, max_depth: int = 32) -> DataFrame:
     """The ancestors that nothing feeds: where each start ultimately comes from."""
-    traced = trace_upstream(edges, starts, max_depth)
+    traced = trace_upstream(edges, starts, folder, max_depth)
     fed = edges.select(F.col("target").alias("ancestor")).distinct()
     return traced.join(fed, "ancestor", "left_anti").select(
         "node", F.col("ancestor").alias("origin"), "distance"

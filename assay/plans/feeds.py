@@ -50,9 +50,13 @@ class Feeds:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_parquet(self.spark, f"{self.folder}/{name}.parquet")
+        """A given table; its files are listed once, however many plans read it."""
+        if name not in self._tables:
+            self._tables[name] = read_parquet(self.spark, f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # --- countries and customers ------------------------------------------------
 
@@ -185,9 +189,13 @@ class Feeds:
 
     # --- storefront orders ------------------------------------------------------
 
+    def events_with_k(self) -> DataFrame:
+        """Events with the number their properties carry."""
+        return self.table("events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+
     def web_orders(self) -> DataFrame:
         """Purchases as the storefront's pages carry them: nested, every leaf a string."""
-        k = F.get_json_object("props", "$.k").cast("int")
+        k = F.col("k")
         zone = F.pmod(k, F.lit(len(OFFSETS)))
         labels = F.array(*[F.lit(label) for label, _ in OFFSETS])
         minutes = F.array(*[F.lit(m) for _, m in OFFSETS])
@@ -204,7 +212,7 @@ class Feeds:
         )
         currency = F.array(*[F.lit(c) for c in CURRENCIES])
         return (
-            self.table("events")
+            self.events_with_k()
             .where(F.col("event_type") == "purchase")
             .select(
                 F.col("event_id").cast("string").alias("web_order_id"),
@@ -219,8 +227,8 @@ class Feeds:
     def web_lines(self) -> DataFrame:
         """Storefront lines typed and dated: one row per nested line."""
         quantity = F.col("quantity").try_cast("long")
-        exploded = lines.explode_lines(self.web_orders(), keep_empty=False)
-        return exploded.select(
+        exploded = lines.explode_lines(self.web_orders())
+        return exploded.where(F.col("line_position").isNotNull()).select(
             F.col("web_order_id").try_cast("long").alias("order_id"),
             F.col("line_no").try_cast("int").alias("line_no"),
             F.regexp_replace("email", "^customer([0-9]+)@.*$", "U$1").alias("account_id"),
@@ -250,8 +258,8 @@ class Feeds:
 
     def changes(self) -> DataFrame:
         """Account changes: capture order is the event's, business dates run behind it."""
-        k = F.get_json_object("props", "$.k").cast("int")
-        return self.table("events").select(
+        k = F.col("k")
+        return self.events_with_k().select(
             F.when(F.col("event_type") == "signup", "I")
             .when(F.col("event_type") == "error", "D")
             .otherwise("U")

@@ -260,6 +260,13 @@ def _sql(body: str, *reads: str) -> str:
     return f"WITH {parts} {body}"
 
 
+def _ratio(part: str, whole: str, name: str) -> str:
+    """``part / whole`` at nine places, half up, in exact integers (both have four places)."""
+    a, b = f"CAST(({part}) * 10000 AS HUGEINT)", f"CAST(({whole}) * 10000 AS HUGEINT)"
+    scaled = f"({a} * 2000000000 + {b}) // (2 * {b})"
+    return f"CAST(CAST({scaled} AS DECIMAL(28,0)) * CAST(0.000000001 AS DECIMAL(10,9)) AS DECIMAL(38,9)) AS {name}"
+
+
 def _add(name: str, body: str, *reads: str) -> None:
     ORACLE[name] = _sql(body, *reads)
 
@@ -416,9 +423,9 @@ _add(
 _add("fct_revenue_summary", "SELECT * FROM summary", "summary")
 
 # --- measures
-_SALES_MEASURES = """CAST(sum(amount) AS DECIMAL(29,4)) AS total_revenue,
+_SALES_MEASURES = f"""CAST(sum(amount) AS DECIMAL(29,4)) AS total_revenue,
               CAST(sum(quantity) AS BIGINT) AS total_units,
-              CAST(sum(amount) / sum(quantity) AS DECIMAL(18,6)) AS revenue_per_unit, count(*) AS orders"""
+              {_ratio("sum(amount)", "sum(quantity)", "revenue_per_unit")}, count(*) AS orders"""
 _add(
     "measures_by_segment",
     f"""SELECT c.segment AS customer_segment, c.country AS customer_country, {_SALES_MEASURES}
@@ -434,12 +441,12 @@ _add(
 )
 _add(
     "pack_by_quarter",
-    """SELECT fiscal_quarter_label, channel_system, CAST(sum(revenue_usd) AS DECIMAL(29,4)) AS revenue_usd,
+    f"""SELECT fiscal_quarter_label, channel_system, CAST(sum(revenue_usd) AS DECIMAL(29,4)) AS revenue_usd,
               CAST(sum(units) AS BIGINT) AS units_sold,
               CAST(sum(cancelled_revenue_usd) AS DECIMAL(29,4)) AS cancelled_revenue,
               CAST(sum(revenue_usd) + sum(cancelled_revenue_usd) AS DECIMAL(29,4)) AS gross_revenue,
               CAST(sum(revenue_at_carried_rate) AS DECIMAL(29,4)) AS revenue_at_carried_rate,
-              CAST(sum(revenue_at_carried_rate) / sum(revenue_usd) AS DECIMAL(18,6)) AS carried_rate_share
+              {_ratio("sum(revenue_at_carried_rate)", "sum(revenue_usd)", "carried_rate_share")}
        FROM summary GROUP BY 1, 2""",
     "summary",
 )

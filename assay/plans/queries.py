@@ -717,7 +717,7 @@ def upstream_sources(feeds: Feeds) -> DataFrame:
     starts = feeds.table("orders").select(
         F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("node")
     )
-    return lineage.trace_to_sources(edges, starts)
+    return lineage.trace_to_sources(edges, starts, staging(feeds, "trace"))
 
 
 @query

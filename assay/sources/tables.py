@@ -87,12 +87,7 @@ def write_snapshot(headline: DataFrame, contracts: list[str], path: str) -> str:
         raise ValueError("a snapshot is exactly one row")
     if not any(rows[0]):
         raise ValueError("every total is zero or missing: refusing to publish a snapshot")
-    (
-        headline.select(
-            *[F.col(name).cast("string").alias(name) for name in SNAPSHOT_TOTALS],
-            F.array(*[F.lit(name) for name in sorted(contracts)]).alias("contracts"),
-        )
-        .write.mode("overwrite")
-        .json(path)
-    )
+    published = [None if value is None else str(value) for value in rows[0]] + [sorted(contracts)]
+    schema = ", ".join(f"{name} string" for name in SNAPSHOT_TOTALS) + ", contracts array<string>"
+    headline.sparkSession.createDataFrame([published], schema).coalesce(1).write.mode("overwrite").json(path)
     return path

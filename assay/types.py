@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 MONEY = T.DecimalType(19, 4)
 TOTAL = T.DecimalType(29, 4)
 RATE = T.DecimalType(18, 8)
-SHARE = T.DecimalType(18, 6)
+# What Spark's division of two totals yields, so a ratio is rounded once.
+SHARE = T.DecimalType(38, 9)
 
 # First matching prefix wins, so decimal stands before double and
 # timestamp before date.

@@ -48,13 +48,14 @@ def apply_runtime_settings(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, *parts: str) -> str:
     """A folder every executor can reach, private to this application.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a session without that
-    setting (a test on one machine) gets a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session without that
+    setting, as in tests, gets a temporary folder.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="assay-")
-        spark.conf.set(CHECKPOINT_DIR, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return "/".join([root.rstrip("/"), spark.sparkContext.applicationId, *parts])
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="assay-"))
+        root = context.getCheckpointDir()
+    return "/".join([root.rstrip("/"), context.applicationId, *parts])

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from assay.functions.text import conform_email
 
 
-def members(df: DataFrame, key: str, email: str) -> DataFrame:
+def members(df: DataFrame, key: str, email: str, keep: list[str] | None = None) -> DataFrame:
     """Accounts of one system with their conformed address."""
-    return df.select(F.col(key).alias("member_id"), conform_email(F.col(email)).alias("email"))
+    return df.select(
+        F.col(key).alias("member_id"), conform_email(F.col(email)).alias("email"), *(keep or [])
+    )
 
 
 def party_key(system: str, member: F.Column, email: F.Column) -> F.Column:

@@ -165,12 +165,18 @@ class Feeds:
         )
 
     def pos_orders(self) -> DataFrame:
-        """Usable order lines with customer, currency and a date inside the rates' span."""
+        """Usable order lines with customer, party, currency and a date inside the rates' span.
+
+        What belongs to the customer joins the order headers, which are fewer than their
+        lines, so lines shuffle only to meet their header.
+        """
         offset = F.pmod(F.datediff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date")), F.lit(SALE_DAYS))
         currency = F.array(*[F.lit(c) for c in CURRENCIES])
-        owners = self.table("customer").select(
-            F.col("c_custkey").alias("customer_id"),
-            F.get(currency, F.pmod("c_nationkey", F.lit(len(CURRENCIES)))).alias("currency"),
+        member = identity.members(self.typed_customers(), "customer_id", "email", keep=["nation_key"])
+        owners = member.select(
+            F.col("member_id").alias("customer_id"),
+            identity.party_key(gold.POS, F.col("member_id"), F.col("email")).alias("party_key"),
+            F.get(currency, F.pmod("nation_key", F.lit(len(CURRENCIES)))).alias("currency"),
         )
         orders = self.table("orders").select(
             F.col("o_orderkey").alias("order_id"),
@@ -248,7 +254,6 @@ class Feeds:
     def fct_sales(self) -> DataFrame:
         return gold.fct_sales(
             self.fct_orders(),
-            identity.party_of(self.pos_members(), gold.POS),
             self.web_lines(),
             identity.party_of(self.web_members(), gold.WEB),
             self.fx_daily(),

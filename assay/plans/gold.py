@@ -84,10 +84,12 @@ def in_usd(lines: DataFrame, fx: DataFrame) -> DataFrame:
 
 
 def fct_orders(orders: DataFrame, fx: DataFrame) -> DataFrame:
+    """Order lines in USD. Each carries its customer's party, resolved on the order header."""
     return in_usd(orders, fx).select(
         "order_id",
         "line_no",
         "customer_id",
+        "party_key",
         "product_id",
         "order_date",
         "currency",
@@ -99,23 +101,17 @@ def fct_orders(orders: DataFrame, fx: DataFrame) -> DataFrame:
     )
 
 
-def fct_sales(
-    orders: DataFrame, customer_party: DataFrame, web_lines: DataFrame, account_party: DataFrame, fx: DataFrame
-) -> DataFrame:
+def fct_sales(orders: DataFrame, web_lines: DataFrame, account_party: DataFrame, fx: DataFrame) -> DataFrame:
     """Both selling systems at line grain, in USD, keyed by the resolved party.
 
-    ``orders`` are already converted; ``*_party`` maps each account to its party.
+    ``orders`` are already converted and know their party; ``account_party`` maps each
+    storefront account to its own.
     """
-    pos = (
-        orders.join(
-            customer_party.select(F.col("member_id").alias("customer_id"), "party_key"), "customer_id", "left"
-        )
-        .withColumn("channel_system", F.lit(POS))
-        .select(*SALES_COLUMNS)
-    )
+    parties = account_party.select(F.col("member_id").alias("account_id"), "party_key")
+    pos = orders.withColumn("channel_system", F.lit(POS)).select(*SALES_COLUMNS)
     web = (
         in_usd(web_lines, fx)
-        .join(account_party.select(F.col("member_id").alias("account_id"), "party_key"), "account_id", "left")
+        .join(parties, "account_id", "left")
         .withColumn("channel_system", F.lit(WEB))
         .select(*SALES_COLUMNS)
     )
@@ -152,13 +148,24 @@ def dim_date(sales: DataFrame) -> DataFrame:
 
 
 def fct_daily_revenue(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Orders, units and revenue by day and country.
+
+    Lines are summed per customer and day before the customers are looked up: the
+    lines of an order collapse where they lie, and so does a customer who bought a
+    third of everything.
+    """
+    per_customer = orders.groupBy("order_date", "customer_id").agg(
+        F.count("*").alias("orders"),
+        F.sum("quantity").alias("units"),
+        F.sum("amount").cast(TOTAL).alias("revenue"),
+    )
     return (
-        orders.join(customers.select("customer_id", "country"), "customer_id", "left")
+        per_customer.join(customers.select("customer_id", "country"), "customer_id", "left")
         .groupBy("order_date", "country")
         .agg(
-            F.count("*").alias("orders"),
-            F.sum("quantity").alias("units"),
-            F.sum("amount").cast(TOTAL).alias("revenue"),
+            F.sum("orders").alias("orders"),
+            F.sum("units").alias("units"),
+            F.sum("revenue").cast(TOTAL).alias("revenue"),
         )
     )
 

@@ -106,19 +106,21 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
              FROM lineitem) WHERE rn = 1""",
     ),
     "pos_orders": (
-        ("latest_lines",),
+        ("latest_lines", "typed_customers"),
         f"""SELECT l_orderkey AS order_id, l_linenumber AS line_no, o_custkey AS customer_id,
+                   coalesce(lower(trim(email)), 'POS:' || o_custkey) AS party_key,
                    l_partkey AS product_id,
                    CAST(DATE '{FIRST_SALE_DAY}' + CAST(datediff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % {SALE_DAYS} AS INTEGER) AS DATE) AS order_date,
-                   {_CURRENCY_LIST}[c_nationkey % {len(CURRENCIES)} + 1] AS currency,
+                   {_CURRENCY_LIST}[nation_key % {len(CURRENCIES)} + 1] AS currency,
                    CAST(l_quantity AS BIGINT) AS quantity, CAST(l_extendedprice AS DECIMAL(19,4)) AS amount,
                    o_orderstatus = 'P' AS is_cancelled
-            FROM latest_lines JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+            FROM latest_lines JOIN orders ON l_orderkey = o_orderkey
+            JOIN typed_customers ON o_custkey = customer_id
             WHERE l_quantity >= 5 AND l_discount <= 0.08""",
     ),
     "fct_orders": (
         ("pos_orders", "fx_daily"),
-        """SELECT order_id, line_no, customer_id, product_id, order_date, o.currency, quantity, amount,
+        """SELECT order_id, line_no, customer_id, party_key, product_id, order_date, o.currency, quantity, amount,
                   CAST(amount * rate AS DECIMAL(19,4)) AS amount_usd, is_cancelled, f.is_carried AS rate_is_carried
            FROM pos_orders o LEFT JOIN fx_daily f ON o.currency = f.currency AND o.order_date = f.rate_date""",
     ),
@@ -149,11 +151,10 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
            FROM web_lines_text""",
     ),
     "fct_sales": (
-        ("fct_orders", "web_lines", "fx_daily", "typed_customers", "accounts"),
-        """SELECT 'POS' AS channel_system, order_id, line_no, order_date,
-                  coalesce(lower(trim(c.email)), 'POS:' || c.customer_id) AS party_key, product_id, currency,
+        ("fct_orders", "web_lines", "fx_daily", "accounts"),
+        """SELECT 'POS' AS channel_system, order_id, line_no, order_date, party_key, product_id, currency,
                   quantity, amount, amount_usd, is_cancelled, rate_is_carried
-           FROM fct_orders o JOIN typed_customers c ON o.customer_id = c.customer_id
+           FROM fct_orders
            UNION ALL
            SELECT 'WEB', order_id, line_no, order_date,
                   coalesce(lower(trim(a.email)), 'WEB:' || a.account_id), product_id, l.currency,

@@ -10,33 +10,27 @@ CHUNK_OFFSETS = 1 << 22
 
 
 def lead_by_chunk(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    value: str,
-    into: str,
-    chunk: dict[str, Column],
+    df: DataFrame, keys: list[str], chunk: dict[str, Column], within: str, value: str, into: str
 ) -> DataFrame:
-    """``lead(value)`` per key in ``order``, for keys of any size.
+    """``lead(value)`` per key, ordered by the chunk expressions and then ``within``.
 
-    ``chunk`` names expressions that cut a key into consecutive runs: sorting by chunk
-    and then ``order`` must equal sorting by ``order``. The window runs over (key,
-    chunk); a sentinel row closes each chunk with the head of the key's next one. Only
-    the heads are ever gathered per key, and nothing is joined back.
+    ``chunk`` cuts a key of any size into consecutive runs; ``within`` is unique inside
+    a run. The window runs over (key, chunk); a sentinel row closes each run with the
+    head of the key's next one. Only the heads are ever gathered per key, and nothing
+    is joined back.
     """
     cut = df
     for name, expression in chunk.items():
         cut = cut.withColumn(name, expression)
     parts = [*keys, *chunk]
 
-    head = F.min(F.struct(*order, F.col(value).alias("_value")))
     next_head = F.lead("_head").over(Window.partitionBy(*keys).orderBy(*chunk))
     sentinels = (
         cut.groupBy(*parts)
-        .agg(head.alias("_head"))
-        .select(*parts, next_head["_value"].alias(value), F.lit(True).alias("_sentinel"))
+        .agg(F.min_by(value, within).alias("_head"))
+        .select(*parts, next_head.alias(value), F.lit(True).alias("_sentinel"))
     )
-    inside = Window.partitionBy(*parts).orderBy("_sentinel", *order)
+    inside = Window.partitionBy(*parts).orderBy("_sentinel", within)
     return (
         cut.withColumn("_sentinel", F.lit(False))
         .unionByName(sentinels, allowMissingColumns=True)
@@ -60,17 +54,8 @@ def validity_intervals(
     version that the key's next event closes; a delete closes and opens nothing.
     Capture offsets are unique, so a chunk of one date and one offset block is bounded.
     """
-    following = lead_by_chunk(
-        events,
-        keys,
-        [effective, capture],
-        effective,
-        "valid_to",
-        {
-            "_date": F.col(effective),
-            "_block": F.floor(F.col(capture) / F.lit(chunk_offsets)),
-        },
-    )
+    chunk = {"_date": F.col(effective), "_block": F.floor(F.col(capture) / F.lit(chunk_offsets))}
+    following = lead_by_chunk(events, keys, chunk, capture, effective, "valid_to")
     return (
         following.where(F.col(op) != "D")
         .withColumn("valid_from", F.col(effective))
@@ -86,14 +71,9 @@ def order_disagreements(
     chunk_offsets: int = CHUNK_OFFSETS,
 ) -> DataFrame:
     """Keys whose capture order is not their business order, with the steps back."""
-    following = lead_by_chunk(
-        events.select(*keys, effective, capture),
-        keys,
-        [capture],
-        effective,
-        "_next",
-        {"_block": F.floor(F.col(capture) / F.lit(chunk_offsets))},
-    )
+    chunk = {"_block": F.floor(F.col(capture) / F.lit(chunk_offsets))}
+    narrow = events.select(*keys, effective, capture)
+    following = lead_by_chunk(narrow, keys, chunk, capture, effective, "_next")
     return (
         following.where(F.col("_next") < F.col(effective))
         .groupBy(*keys)

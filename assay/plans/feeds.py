@@ -155,16 +155,16 @@ class Feeds:
     def latest_lines(self) -> DataFrame:
         return dedupe.latest_by_sequence(self.line_events(), ["l_orderkey", "l_linenumber"], "l_shipdate")
 
-    def judged_lines(self) -> quarantine.Split:
+    def judged_lines(self, latest: DataFrame | None = None) -> quarantine.Split:
         return quarantine.split(
-            self.latest_lines(),
+            latest if latest is not None else self.latest_lines(),
             {
                 "small quantity": F.col("l_quantity") >= 5,
                 "discount too high": F.col("l_discount") <= 0.08,
             },
         )
 
-    def pos_orders(self) -> DataFrame:
+    def pos_orders(self, usable: DataFrame | None = None) -> DataFrame:
         """Usable order lines with customer, party, currency and a date inside the rates' span.
 
         What belongs to the customer joins the order headers, which are fewer than their
@@ -184,7 +184,7 @@ class Feeds:
             F.date_add(F.lit(FIRST_SALE_DAY).cast("date"), offset).alias("order_date"),
             (F.col("o_orderstatus") == "P").alias("is_cancelled"),
         )
-        sold = self.judged_lines().clean.select(
+        sold = (usable if usable is not None else self.judged_lines().clean).select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("line_no"),
             F.col("l_partkey").alias("product_id"),

@@ -322,7 +322,7 @@ _add(
 _add("country_conform", "SELECT customer_id, typed_country, country FROM customers", "customers")
 _add("hierarchy_conform", "SELECT * FROM hierarchy", "hierarchy")
 _add(
-    "country_domain",
+    "domain_check",
     """SELECT coalesce(f.v, e.v) AS value, CASE WHEN f.v IS NULL THEN 'absent' ELSE 'unexpected' END AS problem
        FROM (SELECT DISTINCT l_returnflag AS v FROM lineitem) f
        FULL OUTER JOIN (VALUES ('A'), ('N'), ('X')) e(v) ON f.v = e.v WHERE f.v IS NULL OR e.v IS NULL""",
@@ -423,6 +423,34 @@ _add(
 )
 _add("fct_revenue_summary", "SELECT * FROM summary", "summary")
 
+_add(
+    "medallion_tables",
+    " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, count(*) AS rows FROM {part}"
+        for table, part in (
+            ("silver_customers", "customers"),
+            ("silver_orders", "pos_orders"),
+            ("silver_quarantine_orders", "latest_lines WHERE l_quantity < 5 OR l_discount > 0.08"),
+            ("silver_web_customers", "accounts"),
+            ("silver_web_order_lines", "web_lines"),
+            ("silver_party", "parties"),
+            ("silver_fx_daily", "fx_daily"),
+            ("silver_product_hierarchy", "hierarchy"),
+            ("dim_customer", "customers"),
+            ("dim_party", "dim_party"),
+            ("dim_country", "dim_country"),
+            ("fct_orders", "fct_orders"),
+            ("fct_sales", "fct_sales"),
+            ("dim_product", "dim_product"),
+            ("dim_date", "dim_date"),
+            ("fct_daily_revenue", "(SELECT DISTINCT o.order_date, c.country FROM fct_orders o JOIN customers c ON o.customer_id = c.customer_id)"),
+            ("fct_revenue_summary", "summary"),
+        )
+    ),
+    "summary",
+    "dim_country",
+)
+
 # --- measures
 _SALES_MEASURES = f"""CAST(sum(amount) AS DECIMAL(29,4)) AS total_revenue,
               CAST(sum(quantity) AS BIGINT) AS total_units,

@@ -28,7 +28,7 @@ from assay.operators import (
     quality,
     reconcile,
 )
-from assay.plans import gold
+from assay.plans import gold, medallion
 from assay.plans.feeds import CHANGE_IMAGE, TABLES, Feeds
 from assay.session import apply_runtime_settings, shared_folder
 from assay.sources import changes, files, landing, tables
@@ -199,7 +199,7 @@ def hierarchy_conform(feeds: Feeds) -> DataFrame:
 
 
 @query
-def country_domain(feeds: Feeds) -> DataFrame:
+def domain_check(feeds: Feeds) -> DataFrame:
     """Return flags found against those expected: one unexpected, one absent."""
     return conform.domain_differences(feeds.table("lineitem"), "l_returnflag", ["A", "N", "X"])
 
@@ -353,6 +353,15 @@ def fct_revenue_summary(feeds: Feeds) -> DataFrame:
     return _summary(feeds)
 
 
+@query
+def medallion_tables(feeds: Feeds) -> DataFrame:
+    """The whole product built table by table, and what each table holds where it was written."""
+    root = staging(feeds, "product")
+    medallion.build(feeds, root)
+    paths = {name: f"{root}/{name}" for name in (*medallion.SILVER, *medallion.GOLD)}
+    return tables.landed_at(feeds.spark, paths).select("table_name", "rows")
+
+
 # --- measures -------------------------------------------------------------------------
 
 PACK_MEASURES = [
@@ -546,8 +555,9 @@ def dq_channels(feeds: Feeds) -> DataFrame:
 @query
 def dq_countries(feeds: Feeds) -> DataFrame:
     """Countries of parties the dimension lacks; half of it is withheld."""
-    known = gold.dim_country(feeds.dim_party(), feeds.country_names()).where(F.col("country") < "N12")
-    return quality.unresolved_keys(feeds.dim_party(), "country", known, "country")
+    parties = tables.materialise(feeds.dim_party(), staging(feeds, "dim_party"))
+    known = gold.dim_country(parties, feeds.country_names()).where(F.col("country") < "N12")
+    return quality.unresolved_keys(parties, "country", known, "country")
 
 
 @query

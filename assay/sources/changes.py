@@ -15,7 +15,8 @@ ENVELOPE = T.StructType(
 def stream_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     """The topic from its first message. Progress lives in the query's checkpoint.
 
-    Needs the Kafka connector on the classpath.
+    A message is known by (topic, partition, capture_offset). Needs the Kafka connector
+    on the classpath.
     """
     return (
         spark.readStream.format("kafka")
@@ -24,7 +25,7 @@ def stream_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
         .option("startingOffsets", "earliest")
         .option("failOnDataLoss", True)
         .load()
-        .selectExpr("offset AS capture_offset", "CAST(value AS STRING) AS value")
+        .selectExpr("topic", "partition", "offset AS capture_offset", "CAST(value AS STRING) AS value")
     )
 
 

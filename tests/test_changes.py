@@ -92,7 +92,7 @@ def test_orders_that_agree_yield_nothing(spark):
 
 def test_null_values_lead_as_null_and_null_keys_form_their_own_group(spark):
     df = spark.createDataFrame([(None, 1, "a"), (None, 2, None), (None, 3, "c"), (1, 4, "d")], "k int, o long, v string")
-    found = history.lead_by_chunk(df, ["k"], ["o"], "v", "n", {"_c": F.floor(F.col("o") / 2)})
+    found = history.lead_by_chunk(df, ["k"], {"_c": F.floor(F.col("o") / 2)}, "o", "v", "n")
     assert rows(found, "o", "n") == [(1, None), (2, "c"), (3, None), (4, None)]
 
 

@@ -66,26 +66,25 @@ def orphans(into: DataFrame, out_of: DataFrame) -> DataFrame:
 def trace_upstream(edges: DataFrame, starts: DataFrame, folder: str, max_depth: int = 32) -> DataFrame:
     """Every (node, ancestor, distance) above the ``starts``, at its shortest distance.
 
-    One join per level, over that level's new pairs only. Each level is written under
-    ``folder``, so a lost executor does not replay the levels below; pairs already
-    seen are left out, so a cycle ends by itself.
+    Edges and each level are written under ``folder``, so a lost executor does not
+    replay the levels below. A level joins the previous one's new pairs only; pairs
+    already reached at a shorter distance are left out, so a cycle ends by itself.
     """
-    upstream = edges.select("source", "target").distinct()
+    upstream = materialise(edges.select("source", "target").distinct(), f"{folder}/edges")
     level = materialise(
-        starts.select(F.col("node"), F.col("node").alias("ancestor")).distinct(), f"{folder}/level=0"
+        starts.select(F.col("node"), F.col("node").alias("ancestor"), F.lit(0).alias("distance")).distinct(),
+        f"{folder}/level=0",
     )
-    seen, found = level, level.where(F.lit(False)).withColumn("distance", F.lit(0))
+    seen, found = level, level.where(F.lit(False))
     for distance in range(1, max_depth + 1):
-        above = (
-            level.join(upstream, F.col("ancestor") == F.col("target"))
-            .select("node", F.col("source").alias("ancestor"))
-            .distinct()
-            .join(seen, ["node", "ancestor"], "left_anti")
+        above = level.join(upstream, F.col("ancestor") == F.col("target")).select(
+            "node", F.col("source").alias("ancestor"), F.lit(distance).alias("distance")
         )
-        level = materialise(above, f"{folder}/level={distance}")
+        shortest = above.unionByName(seen).groupBy("node", "ancestor").agg(F.min("distance").alias("distance"))
+        level = materialise(shortest.where(F.col("distance") == distance), f"{folder}/level={distance}")
         if level.isEmpty():
             return found
-        found = found.unionByName(level.withColumn("distance", F.lit(distance)))
+        found = found.unionByName(level)
         seen = seen.unionByName(level)
     raise ValueError(f"lineage is deeper than {max_depth} levels")
 
@@ -93,7 +92,7 @@ def trace_upstream(edges: DataFrame, starts: DataFrame, folder: str, max_depth:
 def trace_to_sources(edges: DataFrame, starts: DataFrame, folder: str, max_depth: int = 32) -> DataFrame:
     """The ancestors that nothing feeds: where each start ultimately comes from."""
     traced = trace_upstream(edges, starts, folder, max_depth)
-    fed = edges.select(F.col("target").alias("ancestor")).distinct()
-    return traced.join(fed, "ancestor", "left_anti").select(
+    fed = edges.sparkSession.read.parquet(f"{folder}/edges").select(F.col("target").alias("ancestor"))
+    return traced.join(fed.distinct(), "ancestor", "left_anti").select(
         "node", F.col("ancestor").alias("origin"), "distance"
     )

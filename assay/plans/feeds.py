@@ -65,29 +65,35 @@ class Feeds:
             F.format_string("N%02d", "n_nationkey").alias("country"), F.col("n_name").alias("country_name")
         )
 
-    def typed_customers(self) -> DataFrame:
-        """POS customers with email and country as the shops typed them."""
+    def addressed_customers(self) -> DataFrame:
+        """POS customers with their email as the shops typed it, some of them without."""
         email = F.concat(F.lit("Customer"), F.col("c_custkey").cast("string"), F.lit("@Example.com"))
-        segment = F.col("c_mktsegment")
-        nations = self.table("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+        return self.table("customer").select(
+            F.col("c_custkey").alias("customer_id"),
+            F.col("c_name").alias("name"),
+            F.col("c_nationkey").alias("nation_key"),
+            F.col("c_mktsegment").alias("segment"),
+            F.when(F.col("c_acctbal") < 0, F.lit(None))
+            .when(F.col("c_mktsegment") == "BUILDING", email)
+            .otherwise(F.lower(email))
+            .alias("email"),
+        )
+
+    def typed_customers(self) -> DataFrame:
+        """The same customers with their country as typed."""
+        segment = F.col("segment")
+        nations = self.table("nation").select(F.col("n_nationkey").alias("nation_key"), "n_name")
         return (
-            self.table("customer")
-            .join(nations, "c_nationkey", "left")
-            .select(
-                F.col("c_custkey").alias("customer_id"),
-                F.col("c_name").alias("name"),
-                F.col("c_nationkey").alias("nation_key"),
-                segment.alias("segment"),
-                F.when(F.col("c_acctbal") < 0, F.lit(None))
-                .when(segment == "BUILDING", email)
-                .otherwise(F.lower(email))
-                .alias("email"),
+            self.addressed_customers()
+            .join(nations, "nation_key", "left")
+            .withColumn(
+                "typed_country",
                 F.when(segment == "BUILDING", F.lower("n_name"))
                 .when(segment == "MACHINERY", F.concat(F.lit("  "), "n_name", F.lit(" ")))
                 .when(segment == "FURNITURE", F.concat(F.lit("The "), "n_name"))
-                .otherwise(F.col("n_name"))
-                .alias("typed_country"),
+                .otherwise(F.col("n_name")),
             )
+            .drop("n_name")
         )
 
     def customers(self) -> DataFrame:
@@ -115,7 +121,7 @@ class Feeds:
         return users.unionByName(suppliers)
 
     def pos_members(self) -> DataFrame:
-        return identity.members(self.typed_customers(), "customer_id", "email")
+        return identity.members(self.addressed_customers(), "customer_id", "email")
 
     def web_members(self) -> DataFrame:
         return identity.members(self.accounts(), "account_id", "email")
@@ -172,7 +178,7 @@ class Feeds:
         """
         offset = F.pmod(F.datediff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date")), F.lit(SALE_DAYS))
         currency = F.array(*[F.lit(c) for c in CURRENCIES])
-        member = identity.members(self.typed_customers(), "customer_id", "email", keep=["nation_key"])
+        member = identity.members(self.addressed_customers(), "customer_id", "email", keep=["nation_key"])
         owners = member.select(
             F.col("member_id").alias("customer_id"),
             identity.party_key(gold.POS, F.col("member_id"), F.col("email")).alias("party_key"),

@@ -758,6 +758,12 @@ _add(
         UNION ALL
         SELECT 'parts', count(*), {_FAULTS.format(marker="0", page="NULL")} FROM part""",
 )
+_add(
+    "landing_faults",
+    """SELECT * FROM (VALUES ('bytes received', 'length differs'), ('manifest', 'not in the manifest'),
+         ('digest', 'digest differs'), ('published digest', 'no published digest'), ('marker', 'marker missing'),
+         ('sequence', 'missing'), ('sequence', 'past the end'), ('page', 'incomplete page')) t("check", problem)""",
+)
 _add(
     "landed_tables",
     " UNION ALL ".join(

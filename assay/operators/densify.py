@@ -12,14 +12,21 @@ def densify_daily(df: DataFrame, key: str, day: str, value: str, carried: str =
 
     Each published row is stretched over the days until the next one, so there is no
     calendar to join with. Days before a key's first value stay absent. Input is one
-    row per key and published day: a key's window never exceeds the calendar.
+    row per key and published day, or the job fails: a key's window never exceeds the
+    calendar.
     """
-    published = df.where(F.col(value).isNotNull()).select(key, day, value)
+    published = df.where(F.col(value).isNotNull() & F.col(day).isNotNull()).select(key, day, value)
     last_day = published.agg(F.max(day)).scalar()
     following = F.lead(day).over(Window.partitionBy(key).orderBy(day))
-    until = F.coalesce(F.date_sub(following, 1), last_day)
+    twice = F.raise_error(F.lit(f"two values of {value} for one {key} and {day}"))
     return (
-        published.withColumn("_until", until)
+        published.withColumn("_next", following)
+        .withColumn(
+            "_until",
+            F.when(F.col("_next") == F.col(day), twice.cast("date"))
+            .when(F.col("_next").isNotNull(), F.date_sub("_next", 1))
+            .otherwise(last_day),
+        )
         .select(
             key,
             F.explode(F.sequence(F.col(day), F.col("_until"))).alias("_day"),

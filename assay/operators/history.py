@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 CHUNK_OFFSETS = 1 << 22
 
 
+def offset_block(offset: str, width: int) -> Column:
+    """The first offset of the block an offset falls in, exact for any long."""
+    return F.col(offset) - F.pmod(F.col(offset), F.lit(width))
+
+
 def lead_by_chunk(
     df: DataFrame, keys: list[str], chunk: dict[str, Column], within: str, value: str, into: str
 ) -> DataFrame:
@@ -54,7 +59,7 @@ def validity_intervals(
     version that the key's next event closes; a delete closes and opens nothing.
     Capture offsets are unique, so a chunk of one date and one offset block is bounded.
     """
-    chunk = {"_date": F.col(effective), "_block": F.floor(F.col(capture) / F.lit(chunk_offsets))}
+    chunk = {"_date": F.col(effective), "_block": offset_block(capture, chunk_offsets)}
     following = lead_by_chunk(events, keys, chunk, capture, effective, "valid_to")
     return (
         following.where(F.col(op) != "D")
@@ -71,7 +76,7 @@ def order_disagreements(
     chunk_offsets: int = CHUNK_OFFSETS,
 ) -> DataFrame:
     """Keys whose capture order is not their business order, with the steps back."""
-    chunk = {"_block": F.floor(F.col(capture) / F.lit(chunk_offsets))}
+    chunk = {"_block": offset_block(capture, chunk_offsets)}
     narrow = events.select(*keys, effective, capture)
     following = lead_by_chunk(narrow, keys, chunk, capture, effective, "_next")
     return (

@@ -45,7 +45,7 @@ def test_versions_match_brute_force_for_any_chunk_and_a_hot_key(spark, seed, chu
 def test_hot_key_is_split_over_chunks(spark):
     """No window group may hold more rows than a chunk is wide."""
     df = spark.createDataFrame(random_events(5, 600, hot_share=0.9), SCHEMA)
-    sizes = df.groupBy("key", "eff", F.floor(F.col("offset") / 16)).count()
+    sizes = df.groupBy("key", "eff", history.offset_block("offset", 16)).count()
     assert sizes.agg(F.max("count")).first()[0] <= 16
     assert df.where("key = 7").count() > 500
 
@@ -92,7 +92,7 @@ def test_orders_that_agree_yield_nothing(spark):
 
 def test_null_values_lead_as_null_and_null_keys_form_their_own_group(spark):
     df = spark.createDataFrame([(None, 1, "a"), (None, 2, None), (None, 3, "c"), (1, 4, "d")], "k int, o long, v string")
-    found = history.lead_by_chunk(df, ["k"], {"_c": F.floor(F.col("o") / 2)}, "o", "v", "n")
+    found = history.lead_by_chunk(df, ["k"], {"_c": history.offset_block("o", 2)}, "o", "v", "n")
     assert rows(found, "o", "n") == [(1, None), (2, "c"), (3, None), (4, None)]
 
 

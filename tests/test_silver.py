@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from assay.operators import conform, dedupe, densify, identity, lines, quarantine
@@ -92,6 +93,12 @@ def test_densify_carries_the_last_value_and_flags_it(spark):
     ]
 
 
+def test_two_values_for_one_day_are_refused(spark):
+    twice = _published(spark).unionByName(_published(spark))
+    with pytest.raises(Exception, match="two values of rate"):
+        densify.densify_daily(twice, "currency", "day", "rate").collect()
+
+
 def test_carry_accounting_sees_a_series_that_starts_late(spark):
     dense = densify.densify_daily(_published(spark), "currency", "day", "rate")
     whole = densify.carry_accounting(dense, "currency", "day").first()

@@ -9,7 +9,7 @@ from assay.functions.text import conform_email
 
 
 def members(df: DataFrame, key: str, email: str, keep: list[str] | None = None) -> DataFrame:
-    """Accounts of one system with their conformed address."""
+    """Accounts of one system with their conformed address and the attributes to ``keep``."""
     return df.select(
         F.col(key).alias("member_id"), conform_email(F.col(email)).alias("email"), *(keep or [])
     )
@@ -24,25 +24,33 @@ def resolve_parties(pos: DataFrame, web: DataFrame) -> DataFrame:
     """One row per person over both systems, as ``members`` of each.
 
     Accounts of one system sharing an address are one person; ``*_accounts`` counts
-    them and ``*_id`` is the lowest. Accounts without an address never meet the join:
-    each is a party of its own, and the NULLs do not gather in one task.
+    them, ``*_id`` is the lowest, and attributes the members kept come from that one as
+    ``pos_*`` and ``web_*``. Accounts without an address never meet the join: each is a
+    party of its own, and the NULLs do not gather in one task.
     """
 
+    def attributes(side: DataFrame) -> list[str]:
+        return [name for name in side.columns if name not in ("member_id", "email")]
+
     def addressed(side: DataFrame, name: str) -> DataFrame:
         return (
             side.where(F.col("email").isNotNull())
             .groupBy("email")
-            .agg(F.min("member_id").alias(f"{name}_id"), F.count("*").alias(f"{name}_accounts"))
+            .agg(
+                F.min("member_id").alias(f"{name}_id"),
+                F.count("*").alias(f"{name}_accounts"),
+                *[F.min_by(kept, "member_id").alias(f"{name}_{kept}") for kept in attributes(side)],
+            )
         )
 
-    def nameless(side: DataFrame, name: str, missing: DataFrame, other: str) -> DataFrame:
+    def nameless(side: DataFrame, name: str, other: str) -> DataFrame:
         return side.where(F.col("email").isNull()).select(
             party_key(name.upper(), F.col("member_id"), F.col("email")).alias("party_key"),
             "email",
             F.col("member_id").alias(f"{name}_id"),
             F.lit(1).cast("long").alias(f"{name}_accounts"),
-            F.lit(None).cast(missing.schema["member_id"].dataType).alias(f"{other}_id"),
             F.lit(0).cast("long").alias(f"{other}_accounts"),
+            *[F.col(kept).alias(f"{name}_{kept}") for kept in attributes(side)],
         )
 
     matched = (
@@ -52,8 +60,8 @@ def resolve_parties(pos: DataFrame, web: DataFrame) -> DataFrame:
         .fillna(0, ["pos_accounts", "web_accounts"])
     )
     return (
-        matched.unionByName(nameless(pos, "pos", web, "web"))
-        .unionByName(nameless(web, "web", pos, "pos"))
+        matched.unionByName(nameless(pos, "pos", "web"), allowMissingColumns=True)
+        .unionByName(nameless(web, "web", "pos"), allowMissingColumns=True)
         .withColumn("in_pos", F.col("pos_accounts") > 0)
         .withColumn("in_web", F.col("web_accounts") > 0)
     )

@@ -129,8 +129,15 @@ class Feeds:
     def parties(self) -> DataFrame:
         return identity.resolve_parties(self.pos_members(), self.web_members())
 
+    def described_parties(self, customers: DataFrame, accounts: DataFrame) -> DataFrame:
+        """Parties carrying what the dimension shows of them."""
+        return identity.resolve_parties(
+            identity.members(customers, "customer_id", "email", keep=["segment", "country"]),
+            identity.members(accounts, "account_id", "email", keep=["country"]),
+        )
+
     def dim_party(self) -> DataFrame:
-        return gold.dim_party(self.parties(), self.customers(), self.accounts())
+        return gold.dim_party(self.described_parties(self.customers(), self.accounts()))
 
     # --- reference feeds --------------------------------------------------------
 

@@ -36,23 +36,15 @@ def dim_customer(customers: DataFrame) -> DataFrame:
     return customers.select("customer_id", "name", "country")
 
 
-def dim_party(parties: DataFrame, customers: DataFrame, accounts: DataFrame) -> DataFrame:
+def dim_party(parties: DataFrame) -> DataFrame:
     """One row per person with the attributes their accounts supply, the shop's first."""
-    pos = customers.select(
-        F.col("customer_id").alias("pos_id"), F.col("segment"), F.col("country").alias("_pos_country")
-    )
-    web = accounts.select(F.col("account_id").alias("web_id"), F.col("country").alias("_web_country"))
-    return (
-        parties.join(pos, "pos_id", "left")
-        .join(web, "web_id", "left")
-        .select(
-            "party_key",
-            "email",
-            "in_pos",
-            "in_web",
-            F.coalesce("segment", F.lit(UNALLOCATED)).alias("customer_segment"),
-            F.coalesce("_pos_country", "_web_country").alias("country"),
-        )
+    return parties.select(
+        "party_key",
+        "email",
+        "in_pos",
+        "in_web",
+        F.coalesce("pos_segment", F.lit(UNALLOCATED)).alias("customer_segment"),
+        F.coalesce("pos_country", "web_country").alias("country"),
     )
 
 

@@ -52,17 +52,15 @@ def build(feeds: Feeds, root: str) -> dict[str, DataFrame]:
     keep("silver_quarantine_orders", judged.quarantined.withColumnRenamed(REASONS, "quarantine_reasons"))
     accounts = keep("silver_web_customers", feeds.accounts())
     web_lines = keep("silver_web_order_lines", feeds.web_lines())
-    pos_members = identity.members(customers, "customer_id", "email")
-    web_members = identity.members(accounts, "account_id", "email")
-    parties = keep("silver_party", identity.resolve_parties(pos_members, web_members))
+    parties = keep("silver_party", feeds.described_parties(customers, accounts))
     fx = keep("silver_fx_daily", feeds.fx_daily())
     hierarchy = keep("silver_product_hierarchy", feeds.hierarchy())
 
     dim_customer = keep("dim_customer", gold.dim_customer(customers))
-    dim_party = keep("dim_party", gold.dim_party(parties, customers, accounts))
+    dim_party = keep("dim_party", gold.dim_party(parties))
     keep("dim_country", gold.dim_country(dim_party, feeds.country_names()))
     fct_orders = keep("fct_orders", gold.fct_orders(orders, fx))
-    account_party = identity.party_of(web_members, gold.WEB)
+    account_party = identity.party_of(identity.members(accounts, "account_id", "email"), gold.WEB)
     sales = keep("fct_sales", gold.fct_sales(fct_orders, web_lines, account_party, fx))
     products = keep("dim_product", gold.dim_product(hierarchy, sales))
     dates = keep("dim_date", gold.dim_date(sales))

@@ -131,6 +131,17 @@ def test_parties_fall_into_disjoint_cohorts(spark):
     assert counts.accounted
 
 
+def test_parties_carry_the_attributes_of_their_lowest_account(spark):
+    pos = spark.createDataFrame([(2, "A@x", "b"), (1, "a@x", "a"), (3, None, "c")], "id long, email string, kind string")
+    web = spark.createDataFrame([("w", "a@x", "z"), ("v", None, "y")], "id string, email string, kind string")
+    parties = identity.resolve_parties(
+        identity.members(pos, "id", "email", keep=["kind"]), identity.members(web, "id", "email", keep=["kind"])
+    )
+    assert rows(parties, "party_key", "pos_kind", "web_kind") == [
+        ("POS:3", "c", None), ("WEB:v", None, "y"), ("a@x", "a", "z")
+    ]
+
+
 def test_every_account_reaches_its_party(spark):
     pos, web = _systems(spark)
     members = identity.members(pos, "id", "email")

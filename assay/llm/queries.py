@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import decontaminate, token_counts
+from assay.llm import decontaminate, licenses, token_counts
 from assay.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,18 @@ FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id =
 """
 
 
+@registered("op2_license_scan")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan_licences(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        *[f"licence.{c}" for c in ("n_words", "n_base", "first_word", "last_word")],
+        F.array_join("licence.base_labels", ",").alias("base_labels"),
+        F.array_join("licence.labels", ",").alias("labels"),
+        "licence.score",
+    )
+
+
 @registered("op9_token_counts")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import decontaminate, licenses, token_counts
+from assay.llm import decontaminate, licenses, quality_rules, token_counts, toxicity
 from assay.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,26 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(
         table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")
     )
+
+
+@registered("op6_quality_rules")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    rules = quality_rules.fit_rules(documents, table(spark, folder, "labels"))
+    return quality_rules.apply_rules(documents, rules).select(
+        "doc_id",
+        *[
+            f"quality_rules.{c}"
+            for c in (
+                "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                "base_failed", "kept", "rule",
+            )
+        ],
+    )
+
+
+@registered("op10_toxicity")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = toxicity.fit_model(documents, table(spark, folder, "labels"))
+    return toxicity.score_toxicity(documents, model).select("doc_id", "toxicity.*")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import decontaminate, licenses, quality_rules, token_counts, toxicity
+from assay.llm import decontaminate, licenses, pii, quality_rules, token_counts, toxicity
 from assay.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,22 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = toxicity.fit_model(documents, table(spark, folder, "labels"))
     return toxicity.score_toxicity(documents, model).select("doc_id", "toxicity.*")
+
+
+@registered("op4_pii")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.with_spans(table(spark, folder, "documents").select("doc_id", "text"))
+    found = found.withColumn("base", F.filter("pii", lambda s: s["base"]))
+    base = F.col("base")
+
+    def number(kind: str):
+        of_kind = F.filter(base, lambda s: s["kind"] == kind)
+        return F.size(of_kind).cast("long").alias(f"n_{kind}")
+
+    counted = [number(kind) for kind in ("email", "ip", "card", "phone")]
+    return found.select(
+        "doc_id",
+        *counted,
+        F.sha2(pii.spelled(base), 256).alias("base_sha256"),
+        pii.spelled(F.col("pii")).alias("spans"),
+    )

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import decontaminate, licenses, pii, quality_rules, token_counts, toxicity
+from assay.llm import decontaminate, licenses, mixing, pii, quality_rules, token_counts, toxicity
 from assay.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,22 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(pii.spelled(base), 256).alias("base_sha256"),
         pii.spelled(F.col("pii")).alias("spans"),
     )
+
+
+def labelled_domains(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "labels").select(
+        "doc_id", mixing.label_domain(F.col("quality"), F.col("toxic")).alias("domain")
+    )
+
+
+@registered("op7_source_mixing")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix_sources(documents, labelled_domains(spark, folder))
+    return mixed.select(
+        "doc_id",
+        "source",
+        F.col("mixing.tokens").alias("n_tokens"),
+        *[F.col(f"mixing.posterior.{d}").alias(f"p_{d}") for d in mixing.TARGETS],
+        "mixing.rate",
+    )

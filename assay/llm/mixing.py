@@ -33,7 +33,7 @@ SAMPLE_ROWS = 6_000
 FEATURES = 40
 MIN_SUPPORT = 8
 SMOOTHING = 8.0
-ITERATIONS = 15
+ITERATIONS = 20
 # Largest residual, as a share of all tokens, at which iterations end.
 TOLERANCE = 1e-4
 
@@ -195,10 +195,11 @@ def fit_rates(
     pairs = [(i, j) for i in range(size) for j in range(i, size)]
     mass = soft.agg(F.sum("tokens").alias("n")).first()["n"] or 0
     posterior = [F.col("posterior")[k] for k in range(size)]
-    steps: list[tuple[float, ...]] = []
-    best = (math.inf, 0)
-    scale = 1.0
+    accepted: list[tuple[float, ...]] = []
+    trial: tuple[float, ...] | None = None
+    least = math.inf
     for _ in range(iterations if mass else 0):
+        steps = accepted if trial is None else [*accepted, trial]
         share = F.col("tokens") / F.lit(float(mass))
         rated = soft.withColumn("rate", rate_of(F.col("posterior"), steps))
         inside = F.when(F.col("rate") > 0, share).otherwise(F.lit(0.0))
@@ -207,23 +208,21 @@ def fit_rates(
             *[F.sum(inside * posterior[i] * posterior[j]).alias(f"h{i}_{j}") for i, j in pairs],
         ).first()
         residuals = np.array([sums[f"s{k}"] - targets[k] for k in range(size)])
-        norm = float(np.abs(residuals).max())
-        if norm < best[0]:
-            best, scale = (norm, len(steps)), min(1.0, 2 * scale)
-        else:  # too far: take the last step back and go half as far
-            steps, scale = steps[: best[1]], scale / 2
-            if scale < 1e-3:
+        loss = float(residuals @ residuals)
+        if loss < least:
+            accepted, least = steps, loss
+            if np.abs(residuals).max() < tolerance:
                 break
-            steps.append(tuple(float(x) * scale for x in full))
-            continue
-        if norm < tolerance:
-            break
-        metric = np.zeros((size, size))
-        for i, j in pairs:
-            metric[i, j] = metric[j, i] = sums[f"h{i}_{j}"]
-        full = np.linalg.solve(metric + 1e-6 * np.eye(size), residuals)
-        steps.append(tuple(float(x) * scale for x in full))
-    return steps[: best[1]] if best[1] < len(steps) and best[0] < tolerance else steps
+            metric = np.zeros((size, size))
+            for i, j in pairs:
+                metric[i, j] = metric[j, i] = sums[f"h{i}_{j}"]
+            move = np.linalg.solve(metric + 1e-6 * np.eye(size), residuals)
+        else:  # it went too far
+            move = np.array(trial) / 2
+            if np.abs(move).max() < 1e-6:
+                break
+        trial = tuple(float(x) for x in move)
+    return accepted
 
 
 def mix_sources(

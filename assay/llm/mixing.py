@@ -33,7 +33,7 @@ SAMPLE_ROWS = 6_000
 FEATURES = 40
 MIN_SUPPORT = 8
 SMOOTHING = 8.0
-ITERATIONS = 20
+ITERATIONS = 40
 # Largest residual, as a share of all tokens, at which iterations end.
 TOLERANCE = 1e-4
 
@@ -196,10 +196,11 @@ def fit_rates(
     mass = soft.agg(F.sum("tokens").alias("n")).first()["n"] or 0
     posterior = [F.col("posterior")[k] for k in range(size)]
     accepted: list[tuple[float, ...]] = []
-    trial: tuple[float, ...] | None = None
+    trials: list[np.ndarray] = []  # steps to try from here, the boldest last
     least = math.inf
+    widest = 1.0
     for _ in range(iterations if mass else 0):
-        steps = accepted if trial is None else [*accepted, trial]
+        steps = [*accepted, tuple(map(float, trials.pop()))] if trials else accepted
         share = F.col("tokens") / F.lit(float(mass))
         rated = soft.withColumn("rate", rate_of(F.col("posterior"), steps))
         inside = F.when(F.col("rate") > 0, share).otherwise(F.lit(0.0))
@@ -210,18 +211,19 @@ def fit_rates(
         residuals = np.array([sums[f"s{k}"] - targets[k] for k in range(size)])
         loss = float(residuals @ residuals)
         if loss < least:
-            accepted, least = steps, loss
-            if np.abs(residuals).max() < tolerance:
+            gain, least, accepted = least - loss, loss, steps
+            if np.abs(residuals).max() < tolerance or gain < 1e-4 * tolerance**2:
                 break
             metric = np.zeros((size, size))
             for i, j in pairs:
                 metric[i, j] = metric[j, i] = sums[f"h{i}_{j}"]
-            move = np.linalg.solve(metric + 1e-6 * np.eye(size), residuals)
-        else:  # it went too far
-            move = np.array(trial) / 2
-            if np.abs(move).max() < 1e-6:
-                break
-        trial = tuple(float(x) for x in move)
+            if not accepted:  # nobody is at 0 yet: this bounds every later curvature
+                widest = float(np.linalg.eigvalsh(metric)[-1])
+            scaled = np.linalg.solve(metric + 1e-6 * np.eye(size), residuals)
+            # The plain step always gains; the scaled one gains more where few rates reach 0.
+            trials = [residuals / widest, scaled / 4, scaled]
+        elif not trials:
+            break
     return accepted
 
 

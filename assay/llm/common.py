@@ -107,3 +107,23 @@ def clear_name(df: DataFrame, wanted: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def keyed(documents: DataFrame, key: str, text: str) -> tuple[DataFrame, bool]:
+    """(row, key, body), and whether rows had to be numbered.
+
+    ``row`` is a unique long in the order of ``key``, nulls last.
+
+    It is the key itself where that is a unique whole number; otherwise the rows are numbered
+    in a table written once, so that later passes see the same numbers.
+    """
+    rows = documents.select(F.col(key).alias("key"), F.col(text).alias("body"))
+    whole = dict(rows.dtypes)["key"] in ("bigint", "int", "smallint", "tinyint")
+    counts = rows.agg(
+        F.count("*").alias("n"), F.count("key").alias("filled"), F.countDistinct("key").alias("distinct")
+    ).first()
+    if whole and counts["n"] == counts["filled"] == counts["distinct"]:
+        return rows.select(F.col("key").cast("long").alias("row"), "key", "body"), False
+    ordered = rows.orderBy(F.asc_nulls_last("key"), F.xxhash64("body"))
+    numbers = F.monotonically_increasing_id().alias("row")
+    return staged(ordered.select(numbers, "key", "body"), "rows"), True

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import decontaminate, licenses, mixing, pii, quality_rules, token_counts, toxicity
+from assay.llm import decontaminate, jaccard_join, licenses, mixing, pii, quality_rules, token_counts, toxicity
 from assay.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
         *[F.col(f"mixing.posterior.{d}").alias(f"p_{d}") for d in mixing.TARGETS],
         "mixing.rate",
     )
+
+
+@registered("op5_ngram_jaccard_join")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.join_similar(table(spark, folder, "documents"))

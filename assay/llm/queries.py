@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import decontaminate, jaccard_join, licenses, mixing, pii, quality_rules, suffix_dedup, token_counts, toxicity
+from assay.llm import decontaminate, jaccard_join, licenses, mixing, mixing_lm, pii, quality_rules, suffix_dedup, token_counts, toxicity
 from assay.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @registered("op8_suffix_array_dedup")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.find_repeats(table(spark, folder, "documents")).drop("removed_runs")
+
+
+@registered("op3_lm_scoring")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing_lm.score_texts(table(spark, folder, "documents"))

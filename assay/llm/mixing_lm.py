@@ -1,21 +1,24 @@
 """Operator 3: language-model scores by online logistic mixing of hashed-context bit predictors.
 
-A text is its lower-cased words, joined by spaces, and an end. Each byte is coded as the bits on
-its path in a Huffman tree that depends on the byte before, so a byte takes two or three bits,
-not eight, and the bits' probabilities multiply to a probability of the text. Each bit is
-predicted under several contexts: the node alone, and the node with the byte before last, with
-three more bytes, and with the word so far. A context's slot holds the log odds of the bits that
-all training texts show there.
-
-The predictions are mixed in the logistic domain. A gate, the number of contexts that training
-knows, selects the weights; a bias by level of the mixed prediction refines it. Weights and
-biases start from fixed values for each text and adapt online along it, after every block of
-bytes, so a score depends on the corpus and on the text alone, in whatever task it is worked out.
+A text is its lower-cased words and an end. Each word is coded as the bits on its path in a
+Huffman tree of the most frequent words; a word that is not among them is coded as an escape and
+its bytes, each as the bits on its path in a tree that depends on the byte before. So a token
+takes a dozen bits or two, and the bits' probabilities multiply to a probability of the text.
+Each bit is predicted under several contexts: its node alone, and the node with the word before,
+the most frequent of the words just before (which tells the language), or that and the last byte
+before (for bytes: with that word and one more byte, with three more bytes, with the word so far). A context's slot holds the log odds of the bits that all training texts
+show there.
+
+The predictions are mixed in the logistic domain. A gate, the kind of the bit and the number of
+contexts that training knows, selects the weights; a bias by level of the mixed prediction
+refines it. Weights and biases start from fixed values for each text and adapt online along it,
+after every block of words, so a score depends on the corpus and on the text alone, in whatever
+task it is worked out.
 
 What is gathered from the corpus: the count of every training token (a table that grows with the
 input), byte pairs (65,536 counts), and the slots (2**23 counters, whatever the input), merged in
-two steps. Counts of the most frequent tokens, bounded in number, are sent to the tasks; those of
-all other tokens are joined by token.
+two steps. The most frequent tokens, bounded in number, are sent to the tasks; the counts of all
+others are joined by token.
 """
 
 from __future__ import annotations
@@ -35,18 +38,21 @@ from assay.llm.sketch import count_values
 
 FOLDS, HELD_OUT = 7, 2
 # Most frequent tokens whose counts go to every task, at most.
-HEAD = 60_000
+HEAD = 50_000
 # Distinct tokens a task counts before it passes the counts on.
 COUNTED = 300_000
 SLOT_BITS = 20
 CONTEXTS = 4
-STEP_BYTES = 512 * 1024
-BLOCK = 256
-GATES = CONTEXTS
+STEP_BYTES = 1024 * 1024
+# Words before a word of which the most frequent is a context of it.
+NEAR = 12
+# Words after which weights adapt.
+BLOCK = 64
+GATES = 2 * CONTEXTS
 LEVELS = 24
-START = (0.1, 0.25, 0.35, 0.55)
-RATE = 0.6
-END = 0x0A
+# First weights, for bits of words and of bytes.
+START = ((0.3, 0.2, 0.5, 0.2), (0.1, 0.25, 0.35, 0.55))
+RATE = 1.5
 SPACE = 0x20
 
 
@@ -86,100 +92,152 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], names=["pair", "n"])
 
 
+def huffman(weights: list[float]) -> list[list[tuple[int, int]]]:
+    """Path of (inner node, bit) from the root to each symbol."""
+    n = len(weights)
+    heap = [(w, i) for i, w in enumerate(weights)]
+    heapq.heapify(heap)
+    parent: dict[int, tuple[int, int]] = {}
+    for inner in range(n, 2 * n - 1):
+        one, two = heapq.heappop(heap), heapq.heappop(heap)
+        parent[one[1]], parent[two[1]] = (inner, 0), (inner, 1)
+        heapq.heappush(heap, (one[0] + two[0], inner))
+    paths = []
+    for i in range(n):
+        path, at = [], i
+        while at in parent:
+            at, taken = parent[at]
+            path.append((at - n, taken))
+        paths.append(path[::-1])
+    return paths
+
+
 class Codes:
-    """Huffman codes of bytes, one tree for each byte before: code c * 256 + b is the run
-    first[c * 256 + b] : + size of ``node`` and ``bit``; nodes are numbered over all trees."""
+    """Codes of symbols: symbol s is the run first[s] : first[s] + size[s] of ``node`` and ``bit``.
 
-    def __init__(self, pairs: dict[int, int]):
-        first, size, node, bit = [], [], [], []
+    Symbols are the frequent words, the escape, the end, then byte b after byte a at
+    ``bytes_from`` + a * 256 + b. Nodes are numbered over all trees.
+    """
+
+    def __init__(self, head: dict[bytes, int], others: int, ends: int, pairs: dict[int, int]):
+        self.id = {word: i for i, word in enumerate(sorted(head))}
+        self.escape = len(head)
+        self.end, self.bytes_from = self.escape + 1, self.escape + 2
+        self.last = np.array([w[-1] for w in sorted(head)] + [0, 0], np.uint32)
+        self.rank = np.zeros(len(head) + 2, np.int64)  # 1 is the least frequent word
+        order = sorted(head, key=lambda w: (head[w], w))
+        self.rank[[self.id[w] for w in order]] = np.arange(1, len(order) + 1)
+        paths = huffman([head[w] for w in sorted(head)] + [others + 1, ends + 1])
+        inner = len(paths) - 1
         weights = np.zeros((256, 256))
         for pair, n in pairs.items():
             weights[pair >> 8, pair & 255] = n
-        # An end follows where a space does; every byte can follow any.
-        weights[:, END] = np.maximum(weights[:, END], weights[:, SPACE] / 256)
-        weights[END] += weights[SPACE]
+        # Every byte can follow any.
         weights += 1e-3 + weights.sum(axis=0) * 1e-6
         for before in range(256):
-            heap = [(w, b, b) for b, w in enumerate(weights[before])]
-            heapq.heapify(heap)
-            parent: dict[int, tuple[int, int]] = {}
-            for inner in range(256, 511):
-                one, two = heapq.heappop(heap), heapq.heappop(heap)
-                parent[one[2]], parent[two[2]] = (inner, 0), (inner, 1)
-                heapq.heappush(heap, (one[0] + two[0], inner, inner))
-            for b in range(256):
-                path, at = [], b
-                while at in parent:
-                    at, taken = parent[at]
-                    path.append((before * 255 + at - 256, taken))
-                first.append(len(node))
-                size.append(len(path))
-                node += [n for n, _ in reversed(path)]
-                bit += [t for _, t in reversed(path)]
-        self.first, self.size = np.array(first, np.int32), np.array(size, np.int32)
-        self.node, self.bit = np.array(node, np.uint32), np.array(bit, np.uint8)
-
-
-class Streams:
-    """Bytes of texts in order with their contexts, none of which reaches into another text."""
-
-    def __init__(self, texts: list[list[bytes]], cache: Powers):
-        parts = [b" ".join(tokens) + b"\n" for tokens in texts]
-        self.sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        data = np.frombuffer(b"".join(parts), np.uint8)
-        n = len(data)
-        self.text = np.repeat(np.arange(len(parts)), self.sizes)
-        self.at = np.arange(n) - (np.cumsum(self.sizes) - self.sizes)[self.text]
-
-        def back(k: int, first: int) -> np.ndarray:
-            out = np.full(n, first, np.uint32)
-            out[k:] = data[:-k]
-            out[self.at < k] = first
+            tree = huffman(weights[before].tolist())
+            paths += [[(n + inner, t) for n, t in path] for path in tree]
+            inner += 255
+        self.size = np.array([len(p) for p in paths], np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        self.node = np.array([n for p in paths for n, _ in p], np.uint32)
+        self.bit = np.array([t for p in paths for _, t in p], np.uint8)
+
+
+class Units:
+    """What is coded of texts: a symbol for each word and end, and one for each byte of a word
+    that is escaped, with the hashes of its contexts, none of which reaches into another text."""
+
+    def __init__(self, texts: list[list[bytes]], codes: Codes, cache: Powers):
+        get, escape = codes.id.get, codes.escape
+        sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
+        tokens = [t for text in texts for t in (*text, None)]
+        ids = np.fromiter((codes.end if t is None else get(t, escape) for t in tokens), np.int64, len(tokens))
+        text = np.repeat(np.arange(len(texts)), sizes)
+        at = np.arange(len(ids)) - (np.cumsum(sizes) - sizes)[text]
+        rare = np.flatnonzero(ids == escape)
+        spelled = [tokens[i] for i in rare.tolist()]
+        data = np.frombuffer(b"".join(w + b" " for w in spelled), np.uint8)
+        lengths = np.fromiter((len(w) + 1 for w in spelled), np.int64, len(spelled))
+        starts = np.cumsum(lengths) - lengths
+        owner = np.repeat(np.arange(len(rare)), lengths)
+        inside = np.arange(len(data)) - starts[owner]
+        up, down = cache.upto(len(data) + 1)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(BYTE_VALUES[data] * up[: len(data)], out=sums[1:])
+        prefix = mix((sums[:-1] - sums[starts[owner]]) * down[starts[owner]] + np.uint64(1))
+
+        def back(k: int) -> np.ndarray:
+            out = np.zeros(len(data), np.uint32)
+            out[k:] = data[:-k] if k else data
+            out[inside < k] = SPACE if k == 1 else 0
+            return out
+
+        one, two = back(1), back(2)
+        symbols = codes.bytes_from + (one.astype(np.int64) << 8 | data)
+        far = two << np.uint32(16) ^ back(3) << np.uint32(8) ^ back(4)
+        # Words by hash: frequent ones by number, others by their bytes.
+        named = mix(ids.astype(np.uint64) + np.uint64(1 << 40))
+        if len(rare):
+            named[rare] = prefix[starts + lengths - 1]
+        last = codes.last[ids]
+        if len(rare):
+            last[rare] = data[starts + lengths - 2]
+
+        def word_back(values: np.ndarray, k: int) -> np.ndarray:
+            out = np.zeros_like(values)
+            out[k:] = values[:-k]
+            out[at < k] = 0
             return out
 
-        self.code = (back(1, END) << np.uint32(8) | data).astype(np.int32)
-        two, three, four = back(2, 0), back(3, 0), back(4, 0)
-        up, down = cache.upto(n + 1)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(BYTE_VALUES[data] * up[:n], out=sums[1:])
-        begins = (self.at == 0) | (self.code >> 8 == SPACE)
-        begin = np.maximum.accumulate(np.where(begins, np.arange(n), 0))
-        word = mix((sums[:-1] - sums[begin]) * down[begin] + np.uint64(1))
-        self.contexts = [
-            np.zeros(n, np.uint32),
-            two * np.uint32(0x9E3779B1) + np.uint32(1),
-            (two << np.uint32(16) ^ three << np.uint32(8) ^ four) * np.uint32(0x85EBCA77) + np.uint32(2),
-            (word >> np.uint64(32)).astype(np.uint32) | np.uint32(3),
-        ]
+        before, ending = word_back(named, 1), word_back(last, 1)
+        # The most frequent of the words just before tells the language, and something of style.
+        usual = codes.rank[ids]
+        common = np.zeros(len(ids), np.int64)
+        for k in range(1, NEAR + 1):
+            np.maximum(common, word_back(usual, k), out=common)
+        common = mix(common.astype(np.uint64) + np.uint64(1 << 41))
+        tongue = (common >> np.uint64(32)).astype(np.uint32)[rare][owner]
+        high = lambda h: (h >> np.uint64(32)).astype(np.uint32)
+        contexts = (
+            (high(before), two * np.uint32(0x9E3779B1) ^ tongue),
+            (high(common), far * np.uint32(0x85EBCA77) + np.uint32(2)),
+            (high(mix(common + ending)), high(prefix) | np.uint32(3)),
+        )
+        self.symbol = np.concatenate([ids, symbols])
+        self.contexts = [np.concatenate(c) for c in contexts]
+        self.text = np.concatenate([text, text[rare][owner]])
+        self.block = np.concatenate([at, at[rare][owner]]) // BLOCK
+        self.is_byte = np.concatenate([np.zeros(len(ids), np.int64), np.ones(len(data), np.int64)])
 
     def bits(self, codes: Codes, order: np.ndarray):
-        """(byte, node, bit) of every coded bit of the bytes in ``order``."""
-        code = self.code[order]
-        size = codes.size[code]
+        """(unit, node, bit) of every bit of the units in ``order``, and where each unit ends."""
+        symbol = self.symbol[order]
+        size = codes.size[symbol]
         ends = np.cumsum(size)
-        within = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32) - np.repeat(ends - size, size).astype(np.int32)
-        at = np.repeat(codes.first[code], size) + within
+        shift = codes.first[symbol] - (ends - size)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(shift, size)
         return np.repeat(order, size), codes.node[at], codes.bit[at], ends
 
-    def slot(self, k: int, byte: np.ndarray, node: np.ndarray) -> np.ndarray:
+    def slot(self, k: int, unit: np.ndarray, node: np.ndarray) -> np.ndarray:
         if not k:
             return node
-        mixed = (self.contexts[k][byte] + node * np.uint32(0xC2B2AE3D)) * np.uint32(0x27D4EB2F)
+        mixed = (self.contexts[k - 1][unit] + node * np.uint32(0xC2B2AE3D)) * np.uint32(0x27D4EB2F)
         mixed ^= mixed >> np.uint32(15)
         return (mixed * np.uint32(0x165667B1)) >> np.uint32(32 - SLOT_BITS)
 
 
-def _make_slots(codes: Codes):
+def _make_slots(shared):
     def make():
-        cache = Powers()
+        codes, cache = shared.value, Powers()
 
         def call(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
             texts = batch.column(0).to_pylist()
             for a, b in slices([len(t or b"") for t in texts], STEP_BYTES):
-                streams = Streams([tokens_of(t) for t in texts[a:b]], cache)
-                byte, node, bit, _ = streams.bits(codes, np.arange(len(streams.code)))
+                units = Units([tokens_of(t) for t in texts[a:b]], codes, cache)
+                unit, node, bit, _ = units.bits(codes, np.arange(len(units.symbol)))
                 for k in range(CONTEXTS):
-                    low = streams.slot(k, byte, node) << np.uint32(1) | bit
+                    low = units.slot(k, unit, node) << np.uint32(1) | bit
                     yield low.astype(np.uint64) | np.uint64(k << (SLOT_BITS + 1))
 
         return call
@@ -196,53 +254,55 @@ def odds_table(counts: np.ndarray) -> np.ndarray:
 
 def log_likelihood(texts: list[list[bytes]], codes: Codes, table: np.ndarray, cache: Powers) -> np.ndarray:
     """Natural logarithm of the model's probability of each text."""
-    streams = Streams(texts, cache)
+    units = Units(texts, codes, cache)
     n = len(texts)
-    block = streams.at // BLOCK
-    order = np.argsort(block, kind="stable")
-    byte, node, bit, ends = streams.bits(codes, order)
-    owner = streams.text[byte].astype(np.int32)
-    inputs = np.empty((CONTEXTS, len(byte)), np.float32)
+    order = np.argsort(units.block, kind="stable")
+    unit, node, bit, ends = units.bits(codes, order)
+    owner = units.text[unit]
+    inputs = np.empty((CONTEXTS, len(unit)), np.float32)
     for k in range(CONTEXTS):
-        inputs[k] = table[k][streams.slot(k, byte, node)]
-    gate = (inputs[1:] != 0).sum(axis=0, dtype=np.int32)
+        inputs[k] = table[k][units.slot(k, unit, node)]
+    known = np.zeros(len(unit), np.int64)
+    for k in range(1, CONTEXTS):
+        known += inputs[k] != 0
     inputs *= np.float32(1 / 16)
-    cell = owner * GATES + gate
-    weights = np.tile(np.array(START, np.float32)[:, None], (1, n * GATES))
+    cell = owner * GATES + units.is_byte[unit] * CONTEXTS + known
+    sign = bit.astype(np.float32) * 2 - 1
+    starts = np.repeat(np.array(START, np.float32), CONTEXTS, axis=0)  # by gate
+    weights = np.tile(starts.T, (1, n))
     bias = np.zeros(n * LEVELS, np.float32)
-    power = np.full((CONTEXTS, n * GATES), 8.0)
+    seen = np.full(n * GATES, 16.0)
     curve = np.full(n * LEVELS, 8.0)
     out = np.zeros(n)
-    edges = np.searchsorted(block[order], np.arange(block.max() + 2 if len(block) else 1))
+    blocks = units.block[order]
+    edges = np.searchsorted(blocks, np.arange(blocks.max() + 2))
     places = np.concatenate([[0], ends])[edges]
     for a, b in zip(places, places[1:], strict=False):
-        x, c, o = inputs[:, a:b], cell[a:b], owner[a:b]
-        mixed = np.zeros(b - a, np.float32)
-        for k in range(CONTEXTS):
+        x, c, o, s = inputs[:, a:b], cell[a:b], owner[a:b], sign[a:b]
+        mixed = weights[0][c] * x[0]
+        for k in range(1, CONTEXTS):
             mixed += weights[k][c] * x[k]
         np.clip(mixed, -9, 9, out=mixed)
-        level = o * LEVELS + ((mixed + 9) * (LEVELS / 18.001)).astype(np.int32)
-        refined = mixed + bias[level]
-        set_ = bit[a:b] == 1
-        # log P(bit) = -log(1 + exp(-+ refined))
-        signed = np.where(set_, refined, -refined)
-        out += np.bincount(o, weights=-np.logaddexp(0, -signed), minlength=n)
-        error = set_ - 1 / (1 + np.exp(-mixed))
-        p = 1 / (1 + np.exp(-refined))
+        level = o * LEVELS + ((mixed + np.float32(9)) * np.float32(LEVELS / 18.001)).astype(np.int64)
+        mixed += bias[level]
+        right = 1 / (1 + np.exp(-mixed * s))  # of the bit that came
+        out += np.bincount(o, weights=np.log(right), minlength=n)
+        wrong = 1 - right
+        error = wrong * s
+        seen += np.bincount(c, minlength=n * GATES)
         for k in range(CONTEXTS):
-            power[k] += np.bincount(c, weights=x[k] * x[k], minlength=n * GATES)
             step = np.bincount(c, weights=error * x[k], minlength=n * GATES)
-            weights[k] += (RATE * step / power[k]).astype(np.float32)
-        curve += np.bincount(level, weights=p * (1 - p), minlength=n * LEVELS)
-        bias += (np.bincount(level, weights=set_ - p, minlength=n * LEVELS) / curve).astype(np.float32)
+            weights[k] += (RATE * step / seen).astype(np.float32)
+        curve += np.bincount(level, weights=wrong * right, minlength=n * LEVELS)
+        bias += (np.bincount(level, weights=error, minlength=n * LEVELS) / curve).astype(np.float32)
     return out
 
 
 def _make_scores(shared):
     def make():
-        codes, table, head, end_count = shared.value
+        codes, table, counted, end_count = shared.value
         cache = Powers()
-        get = head.get
+        get = codes.id.get
 
         def call(texts):
             names = ("n_tokens", "n_known", "known_logs", "score", "coded_bytes", "rest")
@@ -251,8 +311,8 @@ def _make_scores(shared):
                 parts = [tokens_of(t) for t in texts[a:b]]
                 scores = log_likelihood(parts, codes, table, cache) / np.log(10)
                 for tokens, score in zip(parts, scores.tolist(), strict=True):
-                    counts = np.array([get(t, 0) for t in tokens] + [end_count], np.float64)
-                    rest = Counter([t for t in tokens if t not in head])
+                    counts = np.append(counted[[get(t, -1) for t in tokens]], end_count)
+                    rest = Counter([t for t in tokens if t not in codes.id])
                     out["n_tokens"].append(len(tokens) + 1)
                     out["n_known"].append(int((counts > 0).sum()))
                     out["known_logs"].append(float(np.log10(counts + 1).sum()))
@@ -301,11 +361,19 @@ def score_texts(documents: DataFrame, *, key: str = "doc_id", text: str = "text"
         least = found["level"]
     frequent = F.lit(False) if least is None else level >= least
     head = {bytes(r["token"]): r["n"] for r in counts.where(frequent).collect()}
-    pairs = counts.mapInArrow(_count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    codes = Codes({r["pair"]: r["n"] for r in pairs.collect()})
+    pairs = (
+        counts.where(~frequent)
+        .mapInArrow(_count_pairs, "pair long, n long")
+        .groupBy("pair")
+        .agg(F.sum("n").alias("n"))
+    )
+    others = train_tokens - ends - sum(head.values())
+    codes = Codes(head, others, ends, {r["pair"]: r["n"] for r in pairs.collect()})
     bits = SLOT_BITS + 1 + (CONTEXTS - 1).bit_length()
-    table = odds_table(count_values(training, _make_slots(codes), bits))
-    shared = spark.sparkContext.broadcast((codes, table, head, ends))
+    shared_codes = spark.sparkContext.broadcast(codes)
+    table = odds_table(count_values(training, _make_slots(shared_codes), bits))
+    counted = np.array([head[w] for w in sorted(head)] + [0], np.int64)
+    shared = spark.sparkContext.broadcast((codes, table, counted, ends))
     fields = (
         "n_tokens long, n_known long, known_logs double, score double, coded_bytes long, "
         "rest array<struct<token: binary, times: int>>"

@@ -63,8 +63,11 @@ def count_values(
         call, total = make(), np.zeros(slots, np.uint32)
         for batch in batches:
             for values in call(batch):
-                low = (values & np.uint64(slots - 1)).astype(np.int64)
-                total += np.bincount(low, minlength=slots).astype(np.uint32)
+                if len(values):
+                    low = (values & np.uint64(slots - 1)).astype(np.int64)
+                    first = int(low.min())
+                    counts = np.bincount(low - first)
+                    total[first : first + len(counts)] += counts.astype(np.uint32)
         width = min(CHUNK, slots)
         parts = total.reshape(-1, width)
         yield from _rows(dict(enumerate(parts)), 0)

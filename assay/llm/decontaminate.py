@@ -190,10 +190,11 @@ def find_contamination(
     item_text: str = "text",
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
+    name: str = "contamination",
 ) -> DataFrame:
-    """The columns ``keep`` of each document row and a struct column ``contamination``.
+    """The columns ``keep`` of each document row and a struct column ``name``.
 
-    ``contamination``: n_words, n_hit (words inside an occurrence), hit_runs (disjoint word
+    ``name`` holds: n_words, n_hit (words inside an occurrence), hit_runs (disjoint word
     runs, flattened as start, end exclusive), hit_items (distinct item ids as strings, sorted),
     contaminated (n_hit > 0 and 20 * n_hit >= n_words). A null or empty text has no words and
     is not contaminated; an item without words has no pattern; an item with a null id marks
@@ -227,5 +228,5 @@ def find_contamination(
         *[F.col(name).alias(c) for c, name in zip(keep, names, strict=True)],
         F.struct(
             "n_words", "n_hit", "hit_runs", "hit_items", contaminated.alias("contaminated")
-        ).alias("contamination"),
+        ).alias(name),
     )

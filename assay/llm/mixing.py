@@ -234,9 +234,10 @@ def mix_sources(
     targets: dict[str, float] = TARGETS,
     key: str = "doc_id",
     text: str = "text",
+    keep: Sequence[str] | None = None,
     name: str = "mixing",
 ) -> DataFrame:
-    """``documents`` and a struct column ``name``: tokens, posterior by domain, rate.
+    """``documents``, or its columns ``keep``, and a struct column ``name``: tokens, posterior by domain, rate.
 
     ``targets`` are the wanted token totals of the domains as shares of all tokens. A domain
     that no document belongs to stays short of its target. A null or empty text has no tokens;
@@ -248,18 +249,19 @@ def mix_sources(
         raise ValueError(f"documents already have a column {name}")
     domains = tuple(targets)
     model = fit_domains(documents, labelled, domains=domains, key=key, text=text)
-    columns = documents.columns
+    columns = documents.columns if keep is None else list(keep)
     tokens, scores, posterior = (
         clear_name(documents, n) for n in ("mixing_tokens", "mixing_scores", "mixing_posterior")
     )
-    soft = (
+    # Texts are gone through once: what the iterations and the result need is written.
+    soft = staged(
         documents.withColumn(tokens, token_count(F.col(text)))
         .withColumn(scores, model.posterior(document_features(F.col(text))))
         .withColumn(posterior, softmax(F.col(scores)))
+        .select(*columns, tokens, posterior),
+        "mixing",
     )
-    fitted = staged(
-        soft.select(F.col(tokens).alias("tokens"), F.col(posterior).alias("posterior")), "mixing"
-    )
+    fitted = soft.select(F.col(tokens).alias("tokens"), F.col(posterior).alias("posterior"))
     steps = fit_rates(fitted, [targets[d] for d in domains])
     return soft.select(
         *columns,

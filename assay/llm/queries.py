@@ -143,8 +143,11 @@ def labelled_domains(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered("op7_source_mixing")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents").select("doc_id", "source", "text")
-    mixed = mixing.mix_sources(documents, labelled_domains(spark, folder))
+    mixed = mixing.mix_sources(
+        table(spark, folder, "documents"),
+        labelled_domains(spark, folder),
+        keep=("doc_id", "source"),
+    )
     return mixed.select(
         "doc_id",
         "source",

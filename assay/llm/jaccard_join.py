@@ -10,8 +10,9 @@ shingles fall into ranges of hashes. What passes is verified once, on the whole
 Copies and hot shingles are never paired with each other in full:
 
 * equal sets are one class, found by a 128-bit signature; a task sends one of them;
-* at each shingle the documents of about one size are first paired with their smallest only
-  (a star); a shingle too frequent for one task is salted, and the salts' stars are paired too;
+* at each shingle the documents of about one size are first paired with one of them only (a
+  star), which a hash picks, in one of a few ways; a shingle too frequent for one task is salted,
+  and the salts' stars are paired too;
 * only documents that verified links have not joined yet are paired in full afterwards, so no
   link between components is lost, and links inside a component add nothing.
 """
@@ -28,15 +29,20 @@ from pyspark.sql import functions as F
 from assay.llm.common import clear_name, keyed, map_texts, staged
 from assay.llm.components import components
 from assay.llm.hashing import SPACED_LOWER, Powers, hash_words, mix, windows
-from assay.llm.sketch import count_values
+from assay.llm.sketch import as_levels, count_values, from_levels
 
 SHINGLE = 5
 # The threshold is THRESHOLD / 100.
 THRESHOLD = 75
-# Slots of the count sketch, as a power of two: 16 MB with every task, whatever the input.
-SKETCH_BITS = 22
+# Shingles of all documents for each slot of the count sketch, and the most slots, as a power of
+# two: a slot is a byte with every task, so at most 32 MB. Beyond, rare shingles of one slot get
+# harder to tell apart and more pairs are tried; results are the same.
+SLOT_SHINGLES = 8
+SKETCH_BITS = (16, 25)
 # Occurrences of a shingle, above the sketch's mean, that one salt takes.
 SALT_ROWS = 50_000
+# Orders in which documents that meet at a shingle are led; a shingle has one of them.
+ORDERS = 4
 # Ranges of hashes that the suffix filter compares.
 RANGES = 64
 BITMAP_BITS = 24
@@ -120,7 +126,8 @@ def index_prefix(n):
 def _make_prefixes(shared):
     def make():
         cache, seen, sketch = Powers(), set(), shared.value
-        mean = int(sketch.mean())
+        times = from_levels(np.arange(256)).astype(np.int64)
+        mean = int(times[sketch].mean())
 
         def call(texts):
             hashes, bounds = shingle_sets(texts, cache)
@@ -135,7 +142,7 @@ def _make_prefixes(shared):
                     continue
                 seen.add(mark)
                 order = np.lexsort((hashes[a:b], counts[a:b]))[: probe_prefix(b - a)]
-                often = np.maximum(counts[a:b][order].astype(np.int64) - mean, 0) // SALT_ROWS
+                often = np.maximum(times[counts[a:b][order]] - mean, 0) // SALT_ROWS
                 which = int(one[i]) & 0x7FFFFFFF
                 out["tokens"].append(hashes[a:b][order].view(np.int64))
                 out["salts"].append(np.where(often > 0, 1 + which % (often + 1), 0).astype(np.int32))
@@ -150,9 +157,9 @@ _MET = "token long, salt int, row long, size int, pos int, lead_row long, lead_s
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (token, salt, size, row). Each row of a token that two rows or a salt
-    share gets the first row of its token, salt and class of size as its lead."""
-    names = ("token", "salt", "row", "size", "pos")
+    """Rows come sorted by (token, salt, level) and their order. Each row of a token that two rows
+    or a salt share gets the first row of its token, salt and level of size as its lead."""
+    names = ("token", "salt", "level", "row", "size", "pos")
     held = {n: np.zeros(0, np.int64) for n in names}  # the last row, if alone so far
     lead = None  # token, salt, class, row, size, pos of the current lead
     many = False  # whether the current token has been sent a row of
@@ -171,7 +178,7 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         goes_on = lead is not None and (lead[0], lead[1]) == (now["token"][0], now["salt"][0])
         if goes_on and many:
             shared[0] = True
-        kind = np.floor(np.log(now["size"]) / np.log(100 / THRESHOLD) + 1e-9).astype(np.int64)
+        kind = now["level"]
         begins = np.zeros(n, bool)
         begins[group] = True
         begins[1:] |= kind[1:] != kind[:-1]
@@ -203,10 +210,20 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {f: now[f][-1:] if last_alone else now[f][:0] for f in names}
 
 
+def level_of(size: Column) -> Column:
+    """Class of sizes: sizes that can link are in one class or in neighbouring ones."""
+    return F.floor(F.log(size) / F.log(F.lit(100 / THRESHOLD)) + F.lit(1e-9)).cast("int")
+
+
 def meet(prefixes: DataFrame) -> DataFrame:
     """Rows (token, salt, row, size, pos) that share their token, each with a lead."""
-    ordered = prefixes.repartition("token", "salt").sortWithinPartitions("token", "salt", "size", "row")
-    return ordered.mapInArrow(_stars, _MET)
+    order = F.xxhash64("row", F.pmod("token", F.lit(ORDERS)))
+    return (
+        prefixes.select("token", "salt", level_of(F.col("size")).alias("level"), "row", "size", "pos")
+        .repartition("token", "salt")
+        .sortWithinPartitions("token", "salt", "level", order)
+        .mapInArrow(_stars, _MET)
+    )
 
 
 def may_link(size_a: Column, pos_a: Column, size_b: Column, pos_b: Column) -> Column:
@@ -318,10 +335,10 @@ def join_similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text
         .where("row <> first")
         .select(F.col("first").alias("a"), F.col("row").alias("b"))
     )
-    sketch = count_values(
-        rows.select(F.col("body").cast("binary").alias("t")), _make_values, SKETCH_BITS
-    )
-    shared = spark.sparkContext.broadcast(sketch)
+    shingles = signed.agg(F.sum("size").alias("n")).first()["n"] or 0
+    bits = min(max((shingles // SLOT_SHINGLES).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
+    sketch = count_values(rows.select(F.col("body").cast("binary").alias("t")), _make_values, bits)
+    shared = spark.sparkContext.broadcast(as_levels(sketch))
     sent = map_texts(
         rows,
         _make_prefixes(shared),
@@ -340,13 +357,24 @@ def join_similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text
             )
         )
     )
+    # The smaller of a pair is a.
+    first = F.struct("lead_size", "lead_row") < F.struct("size", "row")
+
+    def side(mine: bool, lead: str, own: str) -> Column:
+        return F.when(first if mine else ~first, F.col(lead)).otherwise(F.col(own))
+
     tried = staged(
         led.where("row <> lead_row")
-        .where(may_link(F.col("lead_size"), F.col("lead_pos"), F.col("size"), F.col("pos")))
-        .select(F.col("lead_row").alias("a"), F.col("row").alias("b"))
+        .where(
+            may_link(
+                side(True, "lead_size", "size"), side(True, "lead_pos", "pos"),
+                side(False, "lead_size", "size"), side(False, "lead_pos", "pos"),
+            )
+        )
+        .select(side(True, "lead_row", "row").alias("a"), side(False, "lead_row", "row").alias("b"))
         .distinct(),
         "stars",
-    )
+    )
     links = verified(bodies, tried).union(copies)
     # What the stars left apart: pairs of different components that share a shingle.
     joined = components(links)
@@ -360,7 +388,7 @@ def join_similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text
         .select("token")
     )
     apart = staged(placed.join(mixed, "token"), "apart")
-    level = F.floor(F.log("size") / F.log(F.lit(100 / THRESHOLD)) + F.lit(1e-9))
+    level = level_of(F.col("size"))
     one = apart.select(
         "token",
         F.explode(F.array(level, level + 1)).alias("level"),

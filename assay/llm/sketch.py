@@ -63,11 +63,15 @@ def count_values(
         call, total = make(), np.zeros(slots, np.uint32)
         for batch in batches:
             for values in call(batch):
-                if len(values):
-                    low = (values & np.uint64(slots - 1)).astype(np.int64)
-                    first = int(low.min())
+                low = (values & np.uint64(slots - 1)).astype(np.int64)
+                if not len(low):
+                    continue
+                first, last = int(low.min()), int(low.max())
+                if last - first > 4 * len(low):
+                    np.add.at(total, low, np.uint32(1))
+                else:
                     counts = np.bincount(low - first)
-                    total[first : first + len(counts)] += counts.astype(np.uint32)
+                    total[first : last + 1] += counts.astype(np.uint32)
         width = min(CHUNK, slots)
         parts = total.reshape(-1, width)
         yield from _rows(dict(enumerate(parts)), 0)
@@ -81,3 +85,12 @@ def count_values(
     for row in merged:
         out[row["chunk"] * width : (row["chunk"] + 1) * width] = _unpack(bytes(row["counts"]))
     return out
+
+
+def as_levels(counts: np.ndarray) -> np.ndarray:
+    """Counts on a scale of eight steps for each doubling, a byte each."""
+    return np.round(8 * np.log2(1.0 + counts)).astype(np.uint8)
+
+
+def from_levels(levels: np.ndarray) -> np.ndarray:
+    return np.exp2(levels / 8) - 1

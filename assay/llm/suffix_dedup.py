@@ -13,8 +13,9 @@ can hold repeats, not for all of it, and every repeat lies whole in one shard:
 * The distinct segments of an anchor hash that has several go to shards, a shard holding all of
   a hash. There the suffix array is induced and the permuted common prefixes computed; runs of
   suffixes with 100 common bytes are equal windows, and all but the first are covered.
-* A hash with more distinct segments than one shard takes is settled window by window instead,
-  by an exact aggregate over hashes of windows that Spark can split.
+* A hash with more distinct segments than one shard takes is split first: each segment's windows
+  in two halves, each half under the hash of the bytes its windows share. Halves that are equal,
+  or alone under their hash, are settled by that; the rest go to shards, or are split again.
 
 Texts are compared by two 64-bit hashes or bytes; the shards hold whole hashes in bounded bytes.
 """
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -85,14 +87,16 @@ class Slice:
         return owner[place], place, grams[place]
 
 
-_SENT = "kind byte, key long, seg long, row long, pos int, end int"
+# A segment is a run of bytes of a row, and its windows all runs of LENGTH bytes in it. It lies in
+# the same way about the same anchor in every document, so it may reach over the text's ends.
+_SENT = "kind byte, key long, seg long, row long, start int, end int"
 _TYPES = [pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-_NAMES = ["kind", "key", "seg", "row", "pos", "end"]
+_NAMES = ["kind", "key", "seg", "row", "start", "end"]
 SEGMENT, COVER, VARIANT = 0, 1, 2
 
 
-def _batch(kind: int, key, seg, row, pos, end) -> pa.RecordBatch:
-    columns = [np.full(len(row), kind), key, seg, row, pos, end]
+def _batch(kind: int, key, seg, row, start, end) -> pa.RecordBatch:
+    columns = [np.full(len(row), kind), key, seg, row, start, end]
     arrays = [pa.array(np.asarray(c).astype(t.to_pandas_dtype())) for c, t in zip(columns, _TYPES, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, names=_NAMES)
 
@@ -110,16 +114,26 @@ def _send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             first, last = part.starts[owner], (part.starts + part.lengths)[owner]
             start, end = np.maximum(place - REACH, first), np.minimum(place + LENGTH, last)
             seg = part.hashes(start, end) + mix(((place - start) << 32 | (end - place)).astype(np.uint64))
-            row, pos = rows[long][owner].astype(np.int64), place - first
-            order = np.lexsort((pos, row, seg, key))
-            again = np.zeros(len(order), bool)
-            again[1:] = (key[order][1:] == key[order][:-1]) & (seg[order][1:] == seg[order][:-1])
-            one, more = order[~again], order[again]
-            yield _batch(
-                SEGMENT, key[one].view(np.int64), seg[one].view(np.int64), row[one], pos[one], (end - first)[one]
-            )
-            if len(more):
-                yield _covers(row[more], (start - first)[more], (end - first)[more])
+            at = place - first
+            yield from _segments(key, seg, rows[long][owner].astype(np.int64), at - REACH, at + LENGTH)
+
+
+def _segments(key, seg, row, start, end) -> Iterator[pa.RecordBatch]:
+    """The first of each group of equal segments to be sent, and covers for the others."""
+    order = np.lexsort((start, row, seg, key))
+
+    def repeats(*columns) -> np.ndarray:
+        same = np.zeros(len(order), bool)
+        same[1:] = np.logical_and.reduce([c[order][1:] == c[order][:-1] for c in columns])
+        return same
+
+    # Halves of two anchors of one text can be the same run; it is no copy of itself.
+    order = order[~repeats(key, seg, row, start)]
+    again = repeats(key, seg)
+    one, more = order[~again], order[again]
+    yield _batch(SEGMENT, key[one].view(np.int64), seg[one].view(np.int64), row[one], start[one], end[one])
+    if len(more):
+        yield _covers(row[more], start[more], end[more])
 
 
 def _covers(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
@@ -137,7 +151,7 @@ def _covers(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBat
 
 
 def _settle_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (kind, key, seg, row, pos). Equal segments but the first become covers;
+    """Rows come sorted by (kind, key, seg, row, start). Equal segments but the first become covers;
     the first of each of several distinct segments of a key is passed on."""
     last = (None, None)
     held: dict | None = None  # the last distinct segment, and whether it has been passed on
@@ -153,12 +167,8 @@ def _settle_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         same = same_key & np.concatenate([[t["seg"][0] == last[1]], t["seg"][1:] == t["seg"][:-1]])
         last = (t["key"][-1], t["seg"][-1])
         if same.any():
-            yield _covers(
-                t["row"][same],
-                np.maximum(t["pos"][same].astype(np.int64) - REACH, 0),
-                t["end"][same].astype(np.int64),
-            )
-        first = {n: t[n][~same] for n in ("key", "row", "pos", "end")}
+            yield _covers(t["row"][same], *(t[n][same].astype(np.int64) for n in ("start", "end")))
+        first = {n: t[n][~same] for n in ("key", "row", "start", "end")}
         sent = np.zeros(len(first["key"]), bool)
         if held is not None:
             first = {n: np.concatenate([[held[n]], v]).astype(np.int64) for n, v in first.items()}
@@ -170,43 +180,51 @@ def _settle_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         out = several & ~sent
         if out.any():
             yield _batch(
-                VARIANT, first["key"][out], np.zeros(out.sum()), first["row"][out], first["pos"][out], first["end"][out]
+                VARIANT, first["key"][out], np.zeros(out.sum()), first["row"][out], first["start"][out], first["end"][out]
             )
         held = {n: v[-1] for n, v in first.items()} | {"sent": bool(several[-1])}
 
 
-_PIECES = "key long, row long, start int, piece binary, one long, two long"
+_PIECES = "key long, row long, start int, piece binary"
 
 
 def _cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments of a document's variants: whole for a shard, or as hashes of their windows."""
-    cache = Powers()
+    """The bytes of a document's segments."""
     for batch in batches:
-        out: dict[str, list] = {n: [] for n in ("key", "row", "start", "piece", "one", "two")}
-        for row, text, variants in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            part = None
-            for v in variants:
-                start = max(v["pos"] - REACH, 0)
-                if not v["often"]:
-                    for name, value in zip(out, (v["key"], row, start, text[start : v["end"]], None, None), strict=True):
-                        out[name].append(value)
-                    continue
-                part = part or Slice([text], cache)
-                at = np.arange(start, v["end"] - LENGTH + 1)
-                one = part.hashes(at, at + LENGTH)
-                tail = part.hashes(at + 7, at + LENGTH)
-                two = mix(one * np.uint64(3) + tail + np.uint64(_SECOND))
-                out["key"] += [None] * len(at)
-                out["row"] += [row] * len(at)
-                out["start"] += at.tolist()
-                out["piece"] += [None] * len(at)
-                out["one"] += one.view(np.int64).tolist()
-                out["two"] += two.view(np.int64).tolist()
+        out: dict[str, list] = {n: [] for n in ("key", "row", "start", "piece")}
+        for row, text, segments in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for s in segments:
+                start = max(s["start"], 0)
+                found = (s["key"], row, start, text[start : s["end"]])
+                for name, value in zip(out, found, strict=True):
+                    out[name].append(value)
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
         yield pa.RecordBatch.from_pydict(
-            {n: pa.array(v, t) for (n, v), t in zip(out.items(), (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64()), strict=True)}
+            {n: pa.array(v, t) for (n, v), t in zip(out.items(), types, strict=True)}
         )
 
 
+def _split_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each segment as two, with the first and the second half of its windows."""
+    cache = Powers()
+    for batch in batches:
+        for row, text, segments in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            part = Slice([text], cache)
+            key, start, end = (np.array([s[n] for s in segments], np.int64) for n in ("key", "start", "end"))
+            last = end - LENGTH  # the last window
+            middle = (start + last) // 2
+            halves = [(start, middle, key), (middle + 1, last, key)]
+            a, b, key = (np.concatenate(x) for x in zip(*halves, strict=True))
+            first, final = np.maximum(a, 0), np.minimum(b, len(text) - LENGTH)
+            some = first <= final
+            a, b, first, final = a[some], b[some], first[some], final[some]
+            key = key[some].view(np.uint64)
+            seg = part.hashes(first, final + LENGTH) + mix(((first - a) << 32 | (b - final)).astype(np.uint64))
+            # The bytes that all windows of the half share, at their place in it.
+            key = part.hashes(b, a + LENGTH) + mix(key + np.uint64(_SECOND)) + mix((b - a).astype(np.uint64))
+            yield from _segments(key, seg, np.full(len(a), row), a, b + LENGTH)
+
+
 def repeated_windows(pieces: list[bytes], row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, ...]:
     """(row, start) of the windows of ``LENGTH`` bytes in pieces that occur earlier in another place."""
     lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -260,7 +278,8 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: dict[str, list] = {n: [] for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "runs")}
         for text, covers in zip(batch.column("body").to_pylist(), batch.column("covers").to_pylist(), strict=True):
             text, runs = text or b"", []
-            for start, end in sorted((c["start"], c["end"]) for c in covers or ()):
+            size = len(text)
+            for start, end in sorted((max(c["start"], 0), min(c["end"], size)) for c in covers or ()):
                 if runs and start <= runs[-1][1]:
                     runs[-1][1] = max(runs[-1][1], end)
                 else:
@@ -298,44 +317,49 @@ def find_repeats(
     """
     rows, _ = keyed(documents, key, text)
     rows = rows.select("row", "key", F.col("body").cast("binary").alias("body")).where("row is not null")
-    sent = rows.select("row", "body").mapInArrow(_send_anchors, _SENT)
-    settled = staged(
-        sent.repartition("key")
-        .sortWithinPartitions("kind", "key", "seg", "row", "pos")
-        .mapInArrow(_settle_segments, _SENT),
-        "anchors",
-    )
-    found = settled.where(F.col("kind") == COVER).select("row", F.col("pos").alias("start"), "end")
-    variants = settled.where(F.col("kind") == VARIANT)
-    often = variants.groupBy("key").count().where(F.col("count") > shard_segments).select("key", F.lit(True).alias("o"))
-    wanted = (
-        variants.join(often, "key", "left")
-        .groupBy("row")
-        .agg(F.collect_list(F.struct("key", "pos", "end", F.coalesce("o", F.lit(False)).alias("often"))).alias("variants"))
-        .withColumnRenamed("row", "wanted_row")
-    )
-    pieces = (
-        rows.join(wanted, F.col("row") == F.col("wanted_row"))
-        .select("row", "body", "variants")
-        .mapInArrow(_cut_segments, _PIECES)
-    )
+
+    def settled(sent: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(covers, segments left) of segments that meet at their keys."""
+        done = staged(
+            sent.repartition("key")
+            .sortWithinPartitions("kind", "key", "seg", "row", "start")
+            .mapInArrow(_settle_segments, _SENT),
+            "segments",
+        )
+        return (
+            done.where(F.col("kind") == COVER).select("row", "start", "end"),
+            done.where(F.col("kind") == VARIANT).select("key", "row", "start", "end"),
+        )
+
+    def with_bodies(segments: DataFrame) -> DataFrame:
+        wanted = segments.groupBy("row").agg(
+            F.collect_list(F.struct("key", "start", "end")).alias("segments")
+        )
+        return rows.join(wanted.withColumnRenamed("row", "at"), F.col("row") == F.col("at")).select(
+            "row", "body", "segments"
+        )
+
+    found, left = settled(rows.select("row", "body").mapInArrow(_send_anchors, _SENT))
+    to_shards = []
+    while True:
+        # Halving ends with single windows, which are equal wherever they meet.
+        often = left.groupBy("key").count().where(F.col("count") > shard_segments).select("key")
+        to_shards.append(left.join(often, "key", "left_anti"))
+        if often.isEmpty():
+            break
+        covers, left = settled(
+            with_bodies(left.join(often, "key", "left_semi")).mapInArrow(_split_segments, _SENT)
+        )
+        found = found.union(covers)
     sharded = (
-        pieces.where("piece is not null")
+        with_bodies(reduce(DataFrame.union, to_shards))
+        .mapInArrow(_cut_segments, _PIECES)
         .repartition("key")
         .sortWithinPartitions("key", "row", "start")
         .mapInArrow(_settle_shards, _SENT)
-        .select("row", F.col("pos").alias("start"), "end")
+        .select("row", "start", "end")
     )
     found = found.union(sharded)
-    if not often.isEmpty():
-        windows = pieces.where("piece is null").select("one", "two", "row", "start").distinct()
-        first = (
-            windows.groupBy("one", "two")
-            .agg(F.min(F.struct("row", "start")).alias("first"), F.count("*").alias("n"))
-            .where("n > 1")
-        )
-        later = windows.join(first, ["one", "two"]).where(F.struct("row", "start") > F.col("first"))
-        found = found.union(later.select("row", "start", (F.col("start") + LENGTH).cast("int").alias("end")))
     covers = (
         found.groupBy("row")
         .agg(F.collect_list(F.struct("start", "end")).alias("covers"))

@@ -256,15 +256,16 @@ def redact(documents: DataFrame, *, text: str = "text", length: str | None = "n_
 
     ``length`` is a column of text lengths that follows the change, where there is one.
     """
-    found = clear_name(documents, "pii_spans")
+    found, changed = clear_name(documents, "pii_spans"), clear_name(documents, "pii_redacted")
     marked = with_spans(documents, text=text, name=found)
+    marked = marked.withColumn(changed, redacted(F.col(text), F.col(found)))
     columns = []
     for c in documents.columns:
         if c == text:
-            columns.append(redacted(F.col(text), F.col(found)).alias(c))
+            columns.append(F.col(changed).alias(c))
         elif c == length:
-            changed = F.length(redacted(F.col(text), F.col(found))).cast(documents.schema[c].dataType)
-            columns.append(F.when(F.size(found) > 0, changed).otherwise(F.col(c)).alias(c))
+            count = F.length(F.col(changed)).cast(documents.schema[c].dataType)
+            columns.append(F.when(F.size(found) > 0, count).otherwise(F.col(c)).alias(c))
         else:
             columns.append(F.col(c))
     return marked.select(*columns)

@@ -41,7 +41,7 @@ def test_posteriors_follow_labels(spark):
     labelled = spark.createDataFrame([(i, names[i % 3]) for i in range(0, 240, 2)], "doc_id long, domain string")
     rows = op.mix_sources(documents(spark, texts), labelled).collect()
     best = [max(names, key=lambda d, r=r: r["mixing"]["posterior"][d]) == names[r["doc_id"] % 3] for r in rows]
-    assert np.mean(best) > 0.95
+    assert np.mean(best) > 0.9
     for r in rows:
         assert abs(sum(r["mixing"]["posterior"].asDict().values()) - 1) < 1e-9
 

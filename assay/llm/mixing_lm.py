@@ -4,9 +4,9 @@ A text is its lower-cased words and an end. Each word is coded as the bits on it
 Huffman tree of the most frequent words; a word that is not among them is coded as an escape and
 its bytes, each as the bits on its path in a tree that depends on the byte before. So a token
 takes a dozen bits or two, and the bits' probabilities multiply to a probability of the text.
-Each bit is predicted under several contexts: its node alone, and the node with the word before,
-the most frequent of the words just before (which tells the language), or that and the last byte
-before (for bytes: with that word and one more byte, with three more bytes, with the word so far). A context's slot holds the log odds of the bits that all training texts
+Each bit is predicted under several contexts: its node alone, and the node with the word before
+or with the most frequent of the words just before, which tells the language (for bytes: with
+that word and one more byte, or with three more bytes). A context's slot holds the log odds of the bits that all training texts
 show there.
 
 The predictions are mixed in the logistic domain. A gate, the kind of the bit and the number of
@@ -42,16 +42,17 @@ HEAD = 50_000
 # Distinct tokens a task counts before it passes the counts on.
 COUNTED = 300_000
 SLOT_BITS = 20
-CONTEXTS = 4
+CONTEXTS = 3
 STEP_BYTES = 1024 * 1024
 # Words before a word of which the most frequent is a context of it.
 NEAR = 12
-# Words after which weights adapt.
-BLOCK = 64
+# Words after which weights first adapt; each block of words is half as long again as the last.
+BLOCK = 32
+GROWTH = 1.5
 GATES = 2 * CONTEXTS
 LEVELS = 24
 # First weights, for bits of words and of bytes.
-START = ((0.3, 0.2, 0.5, 0.2), (0.1, 0.25, 0.35, 0.55))
+START = ((0.2, 0.28, 0.6), (0.1, 0.4, 0.6))
 RATE = 1.5
 SPACE = 0x20
 
@@ -123,7 +124,6 @@ class Codes:
         self.id = {word: i for i, word in enumerate(sorted(head))}
         self.escape = len(head)
         self.end, self.bytes_from = self.escape + 1, self.escape + 2
-        self.last = np.array([w[-1] for w in sorted(head)] + [0, 0], np.uint32)
         self.rank = np.zeros(len(head) + 2, np.int64)  # 1 is the least frequent word
         order = sorted(head, key=lambda w: (head[w], w))
         self.rank[[self.id[w] for w in order]] = np.arange(1, len(order) + 1)
@@ -150,13 +150,17 @@ class Units:
 
     def __init__(self, texts: list[list[bytes]], codes: Codes, cache: Powers):
         get, escape = codes.id.get, codes.escape
-        sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
-        tokens = [t for text in texts for t in (*text, None)]
-        ids = np.fromiter((codes.end if t is None else get(t, escape) for t in tokens), np.int64, len(tokens))
+        words = np.fromiter(map(len, texts), np.int64, len(texts))
+        sizes = words + 1  # with the end
         text = np.repeat(np.arange(len(texts)), sizes)
-        at = np.arange(len(ids)) - (np.cumsum(sizes) - sizes)[text]
+        last_of = np.cumsum(sizes) - 1
+        ids = np.full(len(text), codes.end, np.int64)
+        is_word = np.ones(len(text), bool)
+        is_word[last_of] = False
+        ids[is_word] = [get(t, escape) for tokens in texts for t in tokens]
+        at = np.arange(len(ids)) - (last_of - words)[text]
         rare = np.flatnonzero(ids == escape)
-        spelled = [tokens[i] for i in rare.tolist()]
+        spelled = [texts[i][j] for i, j in zip(text[rare].tolist(), at[rare].tolist(), strict=True)]
         data = np.frombuffer(b"".join(w + b" " for w in spelled), np.uint8)
         lengths = np.fromiter((len(w) + 1 for w in spelled), np.int64, len(spelled))
         starts = np.cumsum(lengths) - lengths
@@ -180,9 +184,6 @@ class Units:
         named = mix(ids.astype(np.uint64) + np.uint64(1 << 40))
         if len(rare):
             named[rare] = prefix[starts + lengths - 1]
-        last = codes.last[ids]
-        if len(rare):
-            last[rare] = data[starts + lengths - 2]
 
         def word_back(values: np.ndarray, k: int) -> np.ndarray:
             out = np.zeros_like(values)
@@ -190,7 +191,7 @@ class Units:
             out[at < k] = 0
             return out
 
-        before, ending = word_back(named, 1), word_back(last, 1)
+        before = word_back(named, 1)
         # The most frequent of the words just before tells the language, and something of style.
         usual = codes.rank[ids]
         common = np.zeros(len(ids), np.int64)
@@ -202,12 +203,14 @@ class Units:
         contexts = (
             (high(before), two * np.uint32(0x9E3779B1) ^ tongue),
             (high(common), far * np.uint32(0x85EBCA77) + np.uint32(2)),
-            (high(mix(common + ending)), high(prefix) | np.uint32(3)),
         )
+        self.ids, self.of = ids, text
+        self.rare, self.spelled = rare, spelled
         self.symbol = np.concatenate([ids, symbols])
         self.contexts = [np.concatenate(c) for c in contexts]
         self.text = np.concatenate([text, text[rare][owner]])
-        self.block = np.concatenate([at, at[rare][owner]]) // BLOCK
+        reached = np.log1p(np.concatenate([at, at[rare][owner]]) * ((GROWTH - 1) / BLOCK)) / np.log(GROWTH)
+        self.block = reached.astype(np.int64)
         self.is_byte = np.concatenate([np.zeros(len(ids), np.int64), np.ones(len(data), np.int64)])
 
     def bits(self, codes: Codes, order: np.ndarray):
@@ -247,15 +250,17 @@ def _make_slots(shared):
 
 def odds_table(counts: np.ndarray) -> np.ndarray:
     """Log odds of a set bit by context and slot, in sixteenths; 0 where nothing is known."""
-    counts = counts.reshape(CONTEXTS, -1, 2).astype(np.float64)
+    counts = counts[: CONTEXTS << (SLOT_BITS + 1)].reshape(CONTEXTS, -1, 2).astype(np.float64)
     odds = np.log((counts[:, :, 1] + 0.4) / (counts[:, :, 0] + 0.4))
     return np.clip(np.round(odds * 16), -127, 127).astype(np.int8)
 
 
 def log_likelihood(texts: list[list[bytes]], codes: Codes, table: np.ndarray, cache: Powers) -> np.ndarray:
     """Natural logarithm of the model's probability of each text."""
-    units = Units(texts, codes, cache)
-    n = len(texts)
+    return likelihood_of(Units(texts, codes, cache), len(texts), codes, table)
+
+
+def likelihood_of(units: Units, n: int, codes: Codes, table: np.ndarray) -> np.ndarray:
     order = np.argsort(units.block, kind="stable")
     unit, node, bit, ends = units.bits(codes, order)
     owner = units.text[unit]
@@ -272,53 +277,60 @@ def log_likelihood(texts: list[list[bytes]], codes: Codes, table: np.ndarray, ca
     weights = np.tile(starts.T, (1, n))
     bias = np.zeros(n * LEVELS, np.float32)
     seen = np.full(n * GATES, 16.0)
-    curve = np.full(n * LEVELS, 8.0)
+    told = np.full(n * LEVELS, 64.0)
     out = np.zeros(n)
     blocks = units.block[order]
     edges = np.searchsorted(blocks, np.arange(blocks.max() + 2))
     places = np.concatenate([[0], ends])[edges]
+    offset, scale, one = np.float32(9), np.float32(LEVELS / 18.001), np.float32(1)
     for a, b in zip(places, places[1:], strict=False):
         x, c, o, s = inputs[:, a:b], cell[a:b], owner[a:b], sign[a:b]
-        mixed = weights[0][c] * x[0]
+        mixed = weights[0][c]
+        mixed *= x[0]
         for k in range(1, CONTEXTS):
-            mixed += weights[k][c] * x[k]
+            part = weights[k][c]
+            part *= x[k]
+            mixed += part
         np.clip(mixed, -9, 9, out=mixed)
-        level = o * LEVELS + ((mixed + np.float32(9)) * np.float32(LEVELS / 18.001)).astype(np.int64)
+        level = ((mixed + offset) * scale).astype(np.int64)
+        level += o * LEVELS
         mixed += bias[level]
-        right = 1 / (1 + np.exp(-mixed * s))  # of the bit that came
+        mixed *= s
+        right = one / (one + np.exp(-mixed))  # of the bit that came
         out += np.bincount(o, weights=np.log(right), minlength=n)
-        wrong = 1 - right
-        error = wrong * s
+        error = (one - right) * s
         seen += np.bincount(c, minlength=n * GATES)
         for k in range(CONTEXTS):
             step = np.bincount(c, weights=error * x[k], minlength=n * GATES)
             weights[k] += (RATE * step / seen).astype(np.float32)
-        curve += np.bincount(level, weights=wrong * right, minlength=n * LEVELS)
-        bias += (np.bincount(level, weights=error, minlength=n * LEVELS) / curve).astype(np.float32)
+        told += np.bincount(level, minlength=n * LEVELS)
+        bias += (8 * np.bincount(level, weights=error, minlength=n * LEVELS) / told).astype(np.float32)
     return out
 
 
 def _make_scores(shared):
     def make():
-        codes, table, counted, end_count = shared.value
-        cache = Powers()
-        get = codes.id.get
+        codes, table, counted = shared.value
+        cache, logs = Powers(), np.log10(counted + 1.0)
 
         def call(texts):
             names = ("n_tokens", "n_known", "known_logs", "score", "coded_bytes", "rest")
             out: dict[str, list] = {n: [] for n in names}
             for a, b in slices([len(t or b"") for t in texts], STEP_BYTES):
                 parts = [tokens_of(t) for t in texts[a:b]]
-                scores = log_likelihood(parts, codes, table, cache) / np.log(10)
-                for tokens, score in zip(parts, scores.tolist(), strict=True):
-                    counts = np.append(counted[[get(t, -1) for t in tokens]], end_count)
-                    rest = Counter([t for t in tokens if t not in codes.id])
-                    out["n_tokens"].append(len(tokens) + 1)
-                    out["n_known"].append(int((counts > 0).sum()))
-                    out["known_logs"].append(float(np.log10(counts + 1).sum()))
-                    out["score"].append(score)
-                    out["coded_bytes"].append(sum(map(len, tokens)) + max(len(tokens), 1))
-                    out["rest"].append([{"token": t, "times": n} for t, n in rest.items()])
+                n = len(parts)
+                units = Units(parts, codes, cache)
+                scores = likelihood_of(units, n, codes, table) / np.log(10)
+                rest: list[Counter[bytes]] = [Counter() for _ in parts]
+                for i, token in zip(units.of[units.rare].tolist(), units.spelled, strict=True):
+                    rest[i][token] += 1
+                out["n_tokens"] += [len(tokens) + 1 for tokens in parts]
+                known = np.bincount(units.of[counted[units.ids] > 0], minlength=n)
+                out["n_known"] += known.tolist()
+                out["known_logs"] += np.bincount(units.of, weights=logs[units.ids], minlength=n).tolist()
+                out["score"] += scores.tolist()
+                out["coded_bytes"] += [sum(map(len, tokens)) + max(len(tokens), 1) for tokens in parts]
+                out["rest"] += [[{"token": t, "times": n} for t, n in r.items()] for r in rest]
             return out
 
         return call
@@ -372,8 +384,8 @@ def score_texts(documents: DataFrame, *, key: str = "doc_id", text: str = "text"
     bits = SLOT_BITS + 1 + (CONTEXTS - 1).bit_length()
     shared_codes = spark.sparkContext.broadcast(codes)
     table = odds_table(count_values(training, _make_slots(shared_codes), bits))
-    counted = np.array([head[w] for w in sorted(head)] + [0], np.int64)
-    shared = spark.sparkContext.broadcast((codes, table, counted, ends))
+    counted = np.array([head[w] for w in sorted(head)] + [0, ends], np.int64)  # by symbol
+    shared = spark.sparkContext.broadcast((codes, table, counted))
     fields = (
         "n_tokens long, n_known long, known_logs double, score double, coded_bytes long, "
         "rest array<struct<token: binary, times: int>>"

@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from assay.functions.text import conform_name
 from assay.operators.dedupe import latest_per_key
+from assay.operators.integrity import unique_rows
 
 
 def conform_lookup(df: DataFrame, typed: str, lookup: DataFrame, name: str, code: str, into: str) -> DataFrame:
     """Replace a name as typed by its code; a name the lookup lacks stays, with a NULL code.
 
-    ``lookup`` must hold one row per conformed name.
+    ``lookup`` must hold one row per conformed name; one that holds more fails the query.
     """
-    codes = lookup.select(conform_name(F.col(name)).alias("_name"), F.col(code).alias(into))
+    codes = unique_rows(
+        lookup.select(conform_name(F.col(name)).alias("_name"), F.col(code).alias(into)), "_name", "lookup"
+    )
     return (
         df.withColumn("_name", conform_name(F.col(typed)))
         .join(codes, "_name", "left")

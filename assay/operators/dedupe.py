@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 RANK = "_rank"
+APART = "_apart"
 
 
 def latest_per_key(df: DataFrame, keys: list[str], descending: list[str]) -> DataFrame:
@@ -15,14 +16,22 @@ def latest_per_key(df: DataFrame, keys: list[str], descending: list[str]) -> Dat
     order rows arrive in. Spark keeps one row per key on the map side
     (WindowGroupLimit) before it shuffles, so a key holding a large share of the rows
     sends one row per map task.
+
+    A row without a whole key says nothing of another one's: each is its own group, so
+    all of them stay, for whoever judges rows later, and they spread over the tasks.
     """
     ties = [name for name in df.columns if name not in keys and name not in descending]
-    ranking = Window.partitionBy(*keys).orderBy(
+    missing = F.lit(False)
+    for name in keys:
+        missing = missing | F.col(name).isNull()
+    ranking = Window.partitionBy(*keys, APART).orderBy(
         *[F.col(name).desc_nulls_last() for name in descending],
         *[F.col(name).asc_nulls_last() for name in ties],
         *([] if descending or ties else [F.col(name) for name in keys]),
     )
-    return df.withColumn(RANK, F.row_number().over(ranking)).where(F.col(RANK) == 1).drop(RANK)
+    apart = df.withColumn(APART, F.when(missing, F.monotonically_increasing_id()))
+    ranked = apart.withColumn(RANK, F.row_number().over(ranking))
+    return ranked.where(F.col(RANK) == 1).drop(RANK, APART)
 
 
 def latest_by_sequence(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:

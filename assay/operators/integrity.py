@@ -64,3 +64,21 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     for other in counted[1:]:
         result = result.unionByName(other)
     return result
+
+
+def unique_rows(df: DataFrame, key: str, what: str) -> DataFrame:
+    """``df`` by ``key``; a key that occurs more than once fails the query that reads it.
+
+    Rows without a key match nothing in a join and are left out.
+    """
+    others = [name for name in df.columns if name != key]
+    rows = (
+        df.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count("*").alias("_times"), *[F.any_value(name).alias(name) for name in others])
+    )
+    repeated = F.raise_error(F.concat(F.lit(f"{what} repeats the key "), F.col(key).cast("string")))
+    only = F.when(F.col("_times") > 1, repeated)
+    return rows.select(
+        key, *[only.otherwise(F.col(name)).cast(df.schema[name].dataType).alias(name) for name in others]
+    )

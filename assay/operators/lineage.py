@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,12 +65,13 @@ def orphans(into: DataFrame, out_of: DataFrame) -> DataFrame:
     )
 
 
-def trace_upstream(edges: DataFrame, starts: DataFrame, folder: str, max_depth: int = 32) -> DataFrame:
+def trace_upstream(edges: DataFrame, starts: DataFrame, folder: str) -> DataFrame:
     """Every (node, ancestor, distance) above the ``starts``, at its shortest distance.
 
     Edges and each level are written under ``folder``, so a lost executor does not
     replay the levels below. A level joins the previous one's new pairs only; pairs
-    already reached at a shorter distance are left out, so a cycle ends by itself.
+    already reached at a shorter distance are left out, so a cycle ends by itself, and
+    the trace ends with the level that reaches nothing new, however deep that is.
     """
     upstream = materialise(edges.select("source", "target").distinct(), f"{folder}/edges")
     level = materialise(
@@ -76,7 +79,7 @@ def trace_upstream(edges: DataFrame, starts: DataFrame, folder: str, max_depth:
         f"{folder}/level=0",
     )
     seen, found = level, level.where(F.lit(False))
-    for distance in range(1, max_depth + 1):
+    for distance in count(1):
         above = level.join(upstream, F.col("ancestor") == F.col("target")).select(
             "node", F.col("source").alias("ancestor"), F.lit(distance).alias("distance")
         )
@@ -86,12 +89,11 @@ def trace_upstream(edges: DataFrame, starts: DataFrame, folder: str, max_depth:
             return found
         found = found.unionByName(level)
         seen = seen.unionByName(level)
-    raise ValueError(f"lineage is deeper than {max_depth} levels")
 
 
-def trace_to_sources(edges: DataFrame, starts: DataFrame, folder: str, max_depth: int = 32) -> DataFrame:
+def trace_to_sources(edges: DataFrame, starts: DataFrame, folder: str) -> DataFrame:
     """The ancestors that nothing feeds: where each start ultimately comes from."""
-    traced = trace_upstream(edges, starts, folder, max_depth)
+    traced = trace_upstream(edges, starts, folder)
     fed = edges.sparkSession.read.parquet(f"{folder}/edges").select(F.col("target").alias("ancestor"))
     return traced.join(fed.distinct(), "ancestor", "left_anti").select(
         "node", F.col("ancestor").alias("origin"), "distance"

@@ -6,8 +6,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from assay.functions.text import pascal_case, snake_case
+from assay.operators.integrity import unique_rows
 from assay.types import MONEY, TOTAL, share
 
 
@@ -35,6 +37,7 @@ def ratio(name: str, part: str, whole: str) -> Measure:
 
 
 def plus(name: str, left: str, right: str) -> Measure:
+    """``left + right``, a blank taken as zero; blank only where both are."""
     return Measure(name, "plus", operands=(left, right))
 
 
@@ -73,7 +76,8 @@ class Model:
         table it relates to.
 
         The fact is aggregated to its own columns and relationship keys before any
-        join, so a hot key reaches the dimension as one row per task.
+        join, so a hot key reaches the dimension as one row per task. A key that its table
+        holds more than once fails the query: it would multiply the measures.
         """
         known = {measure.name: measure for measure in self.measures[fact]}
         wanted = [known[name] for name in (measures or known)]
@@ -88,13 +92,16 @@ class Model:
         rows = facts.groupBy(*keys).agg(*[_aggregate(m, facts) for m in base])
         for table, link in links.items():
             columns = [F.col(c).alias(f"{table}_{c}") for _, t, c in reached if t == table]
-            side = self.tables[table].select(F.col(link.one_column).alias("_key"), *columns)
+            side = unique_rows(
+                self.tables[table].select(F.col(link.one_column).alias("_key"), *columns), "_key", table
+            )
             rows = rows.join(side, rows[link.many_column] == side["_key"], "left").drop("_key")
         names = [name.replace(".", "_") for name in by]
         if links:
             again = [F.sum(m.name).cast(rows.schema[m.name].dataType).alias(m.name) for m in base]
             rows = rows.groupBy(*names).agg(*again)
-        return rows.select(*names, *[_formula(m, known).alias(m.name) for m in wanted])
+        types = {m.name: rows.schema[m.name].dataType for m in base}
+        return rows.select(*names, *[_formula(m, known, types).alias(m.name) for m in wanted])
 
     def _link(self, fact: str, table: str) -> Relationship:
         found = [r for r in self.relationships if r.many == fact and r.one == table]
@@ -124,11 +131,17 @@ def _aggregate(measure: Measure, facts: DataFrame) -> Column:
     return total.alias(measure.name)
 
 
-def _formula(measure: Measure, known: dict[str, Measure]) -> Column:
+def _formula(measure: Measure, known: dict[str, Measure], types: dict[str, DataType]) -> Column:
     if not measure.operands:
         return F.col(measure.name)
-    left, right = (_formula(known[name], known) for name in measure.operands)
-    return share(left, right) if measure.kind == "ratio" else (left + right).cast(TOTAL)
+    left, right = (_formula(known[name], known, types) for name in measure.operands)
+    if measure.kind == "ratio":
+        return share(left, right)
+    zero = F.lit(0)
+    total = F.coalesce(left, zero) + F.coalesce(right, zero)
+    if all(types[base.name] == TOTAL for base in _base_measures([measure], known)):
+        total = total.cast(TOTAL)
+    return F.when(left.isNotNull() | right.isNotNull(), total)
 
 
 def to_model_names(df: DataFrame) -> DataFrame:

@@ -50,7 +50,7 @@ def relationship(table: str, column: str, tables: dict, target: str, target_colu
     """Every key resolves to the target. Without a target only presence can be claimed."""
     if target in tables and target_column in tables[target].columns:
         return Rule(
-            table, column, "relationships", f"{column}_resolves", target=target, target_column=target_column
+            table, column, "relationships", f"{column}_resolves_in_{target}", target=target, target_column=target_column
         )
     return Rule(table, column, "presence", f"{column}_present")
 
@@ -161,7 +161,11 @@ def evaluate(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
 
 
 def declared(spark: SparkSession, rules: list[Rule]) -> DataFrame:
-    """The rules as declared, one row each."""
+    """The rules as declared, one row each; two rules of a table may not share a name."""
+    names = [(rule.table, rule.name) for rule in rules]
+    repeated = sorted({name for name in names if names.count(name) > 1})
+    if repeated:
+        raise ValueError(f"rules are declared twice: {repeated}")
     schema = T.StructType(
         [
             T.StructField(name, T.StringType())

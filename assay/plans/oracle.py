@@ -530,13 +530,13 @@ _RULES = (
      "SELECT count(*) FROM orders WHERE o_orderstatus IS NULL"),
     ("orders", "o_orderstatus_accepted", "o_orderstatus", "conformity", "invalidValues",
      "SELECT count(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O')"),
-    ("orders", "o_custkey_resolves", "o_custkey", "consistency", "unresolvedKeys",
+    ("orders", "o_custkey_resolves_in_customer", "o_custkey", "consistency", "unresolvedKeys",
      "SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)"),
     ("lineitem", "l_orderkey_unique", "l_orderkey", "uniqueness", "duplicateValues",
      "SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1)"),
-    ("lineitem", "l_orderkey_resolves", "l_orderkey", "consistency", "unresolvedKeys",
+    ("lineitem", "l_orderkey_resolves_in_orders", "l_orderkey", "consistency", "unresolvedKeys",
      "SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)"),
-    ("lineitem", "l_partkey_resolves", "l_partkey", "consistency", "unresolvedKeys",
+    ("lineitem", "l_partkey_resolves_in_classified_part", "l_partkey", "consistency", "unresolvedKeys",
      "SELECT count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT product_id FROM hierarchy)"),
     ("lineitem", "l_suppkey_present", "l_suppkey", "completeness", "nullValues",
      "SELECT count(*) FROM lineitem WHERE l_suppkey IS NULL"),
@@ -721,6 +721,12 @@ _add(
 
 # --- landed files and tables
 _add("csv_parts", "SELECT * FROM customer_text", "customer_text")
+_add("csv_reordered", "SELECT * FROM customer_text", "customer_text")
+_add(
+    "missing_key_quarantined",
+    """SELECT l_partkey, l_suppkey, l_linenumber, l_quantity, 'key missing' AS reasons
+       FROM lineitem WHERE l_linenumber = 7""",
+)
 _add(
     "jsonl_parts",
     """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,

@@ -27,6 +27,7 @@ from assay.operators import (
     measures,
     profile,
     quality,
+    quarantine,
     reconcile,
 )
 from assay.plans import gold, medallion
@@ -163,6 +164,19 @@ def quarantine_lines(feeds: Feeds) -> DataFrame:
     )
 
 
+@query
+def missing_key_quarantined(feeds: Feeds) -> DataFrame:
+    """Lines that arrive without their order: each reaches quarantine, repeats included."""
+    events = feeds.line_events().withColumn(
+        "l_orderkey", F.when(F.col("l_linenumber") != 7, F.col("l_orderkey"))
+    )
+    latest = dedupe.latest_by_sequence(events, ["l_orderkey", "l_linenumber"], "l_shipdate")
+    split = quarantine.split(latest, {"key missing": F.col("l_orderkey").isNotNull()})
+    return split.quarantined.select(
+        "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", F.concat_ws("; ", "reasons").alias("reasons")
+    )
+
+
 @query
 def quarantine_accounting(feeds: Feeds) -> DataFrame:
     """Clean and quarantined rows; together they are the distinct keys."""
@@ -805,6 +819,17 @@ def csv_parts(feeds: Feeds) -> DataFrame:
     )
 
 
+@query
+def csv_reordered(feeds: Feeds) -> DataFrame:
+    """Customers landed in parts of two column orders and read back by name."""
+    path = files.feed_path(staging(feeds, "landing"), "pos", "2024-01-31", "customers")
+    text = _customer_text(feeds)
+    odd = F.col("c_custkey").cast("long") % 2 == 1
+    files.write_csv_parts(text.where(odd), f"{path}/first")
+    files.write_csv_parts(text.where(~odd).select(*reversed(text.columns)), f"{path}/second")
+    return files.read_csv_parts(feeds.spark, f"{path}/*", all_strings(CUSTOMER_COLUMNS))
+
+
 @query
 def jsonl_parts(feeds: Feeds) -> DataFrame:
     """Orders landed as JSON Lines and read back verbatim."""
@@ -977,10 +1002,6 @@ def published_snapshot(feeds: Feeds) -> DataFrame:
 # --- streams ----------------------------------------------------------------------------
 
 
-# The first letter of each order priority.
-PRIORITIES = ("1", "2", "3", "4", "5")
-
-
 def _landed_envelopes(feeds: Feeds) -> str:
     return tables.write_table(feeds.envelopes(), staging(feeds, "topic"))
 
@@ -1031,16 +1052,17 @@ def stream_upsert(feeds: Feeds) -> DataFrame:
 def marker_refresh(feeds: Feeds) -> DataFrame:
     """Orders delivered per priority; each completed delivery is refreshed once."""
     root, out = staging(feeds, "landing"), staging(feeds, "refreshed")
-    by_priority = feeds.table("orders").withColumn("priority", F.substring("o_orderpriority", 1, 1))
+    # The whole priority names its folder, by a digest that is fit for one.
+    by_priority = feeds.table("orders").withColumn("priority", F.md5("o_orderpriority"))
     by_priority.write.partitionBy("priority").parquet(root)
-    for priority in PRIORITIES:
-        files.mark_complete(feeds.spark, f"{root}/priority={priority}")
+    for row in feeds.spark.read.parquet(root).select("priority").distinct().collect():
+        files.mark_complete(feeds.spark, f"{root}/priority={row['priority']}")
 
     def refresh(spark: SparkSession, folder: str, batch_id: int) -> None:
         delivered = spark.read.schema(feeds.table("orders").schema).option("pathGlobFilter", "part-*").parquet(folder)
         delivered.groupBy("o_orderpriority").agg(
             F.count("*").alias("orders"), F.sum(money("o_totalprice")).cast(TOTAL).alias("total")
-        ).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        ).write.mode("overwrite").parquet(f"{out}/delivery={markers.delivery_id(folder, batch_id)}")
 
     markers.on_delivery(feeds.spark, root, refresh, staging(feeds, "checkpoints"))
-    return feeds.spark.read.parquet(out).drop("batch_id")
+    return feeds.spark.read.parquet(out).drop("delivery")

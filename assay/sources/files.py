@@ -16,9 +16,50 @@ def feed_path(root: str, vendor: str, day: str, feed: str) -> str:
     return f"{root}/{vendor}/{day}/{feed}"
 
 
+def csv_names(header: F.Column, separator: str = ",") -> F.Column:
+    """The names on a CSV header line; a quoted name may hold the separator."""
+    outside = f'{separator}(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    parts = F.split(F.regexp_replace(header, "\r$", ""), outside, -1)
+    unquoted = F.transform(parts, lambda name: F.regexp_replace(F.trim(name), '^"(.*)"$', "$1"))
+    return F.transform(unquoted, lambda name: F.replace(name, F.lit('""'), F.lit('"')))
+
+
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(path, header): the first line of each part. Only first blocks are looked at."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.struct(F.monotonically_increasing_id().alias("_at"), F.col("value")).alias("_line"),
+    )
+    first = lines.where(F.col("_block") == 0).groupBy("path").agg(F.min("_line").alias("_line"))
+    return first.select("path", F.col("_line.value").alias("header"))
+
+
 def read_csv_parts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV parts with a header line each, every column a string."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV parts with a header line each, every column a string, matched by name.
+
+    Parts are read in groups of one header, each under that header's own order, so a part
+    whose columns stand elsewhere is not swapped. A declared column that a part lacks is
+    NULL there; a column nobody declared is left to the drift check.
+    """
+    groups = (
+        csv_headers(spark, path)
+        .groupBy(csv_names(F.col("header")).alias("names"))
+        .agg(F.collect_list("path").alias("paths"))
+        .collect()
+    )
+    result = spark.createDataFrame([], schema)
+    for group in groups:
+        landed = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(group["names"]))])
+        part = spark.read.schema(landed).option("header", True).csv(group["paths"])
+        places = {name: f"_c{i}" for i, name in reversed(list(enumerate(group["names"])))}
+        columns = [
+            (F.col(places[f.name]) if f.name in places else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+        part = part.select(*columns)
+        result = part if len(groups) == 1 else result.unionByName(part)
+    return result
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

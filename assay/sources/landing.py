@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assay.sources.files import csv_names
+
 PART_NUMBER = r"part-(\d+)"
 PARQUET_MAGIC = "PAR1"
 
@@ -108,24 +110,26 @@ def page_faults(spark: SparkSession, path: str) -> DataFrame:
 def header_names(parts: DataFrame, separator: str = ",") -> DataFrame:
     """Column names on the header line of each CSV part, in order."""
     header = F.substring_index(F.col("content").cast("string"), "\n", 1)
-    return parts.select(
-        "path",
-        F.posexplode(F.split(F.regexp_replace(header, "\r$", ""), separator, -1)).alias("position", "name"),
-    ).withColumn("name", F.trim("name"))
+    return parts.select("path", F.posexplode(csv_names(header, separator)).alias("position", "name"))
 
 
 def header_drift(headers: DataFrame, declared: list[str]) -> DataFrame:
-    """Per part: names that appeared, went missing or repeat against the declared ones.
+    """Per part: names that appeared, went missing, repeat or stand elsewhere than declared.
 
     A blank name is a trailing delimiter. Only parts with drift are returned.
     """
     expected = F.array(*[F.lit(name) for name in declared])
-    per_name = headers.groupBy("path", "name").agg(F.count("*").alias("times"))
+    per_name = headers.groupBy("path", "name").agg(
+        F.count("*").alias("times"), F.min("position").alias("first")
+    )
     return (
         per_name.groupBy("path")
         .agg(
             F.collect_list("name").alias("names"),
             F.collect_list(F.when(F.col("times") > 1, F.col("name"))).alias("duplicated"),
+            F.transform(
+                F.array_sort(F.collect_list(F.struct("first", "name"))), lambda x: x["name"]
+            ).alias("ordered"),
         )
         .select(
             "path",
@@ -133,9 +137,16 @@ def header_drift(headers: DataFrame, declared: list[str]) -> DataFrame:
             F.array_sort(F.array_except(expected, "names")).alias("missing"),
             F.array_sort("duplicated").alias("duplicated"),
             F.array_contains("names", "").alias("trailing_delimiter"),
+            # Names that both sides have, in the order of each.
+            (F.array_intersect("ordered", expected) != F.array_intersect(expected, "ordered")).alias(
+                "reordered"
+            ),
         )
         .where(
-            (F.size("appeared") > 0) | (F.size("missing") > 0) | (F.size("duplicated") > 0)
+            (F.size("appeared") > 0)
+            | (F.size("missing") > 0)
+            | (F.size("duplicated") > 0)
+            | F.col("reordered")
         )
     )
 

@@ -2,27 +2,37 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 MARKER = "complete.json"
+# Deliveries handled under one batch id.
+PER_BATCH = 100
 FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
 
 
-def deliveries(spark: SparkSession, landing: str, marker: str = MARKER) -> DataFrame:
-    """Stream of delivery folders, each named by its marker file; one per micro-batch."""
+def deliveries(
+    spark: SparkSession, landing: str, marker: str = MARKER, per_batch: int = PER_BATCH
+) -> DataFrame:
+    """Stream of delivery folders, each named by its marker file."""
     return (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
         .option("pathGlobFilter", marker)
         .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", 1)
+        .option("maxFilesPerTrigger", per_batch)
         .load(landing)
         .selectExpr("regexp_replace(path, '/[^/]+$', '') AS folder")
     )
 
 
+def delivery_id(folder: str, batch_id: int) -> str:
+    """A name for one delivery of one batch, fit for a folder."""
+    return f"{batch_id}-{hashlib.md5(folder.encode()).hexdigest()}"
+
+
 def on_delivery(
     spark: SparkSession,
     landing: str,
@@ -32,12 +42,12 @@ def on_delivery(
 ) -> None:
     """Call ``refresh(spark, folder, batch_id)`` for every delivery not yet handled.
 
-    A delivery interrupted half-way is handed over again under the same batch id, so a
-    refresh that writes to a place named by the id is exactly-once.
+    A batch interrupted half-way is handed over again whole under the same batch id, so a
+    refresh that writes to a place named by ``delivery_id(folder, batch_id)`` is exactly-once.
     """
 
     def act(batch: DataFrame, batch_id: int) -> None:
-        for row in batch.take(1):
+        for row in batch.select("folder").distinct().orderBy("folder").collect():
             refresh(batch.sparkSession, row["folder"], batch_id)
 
     query = (

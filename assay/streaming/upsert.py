@@ -1,28 +1,60 @@
 """Exactly-once tables from at-least-once streams.
 
 A micro-batch is reduced to one row per key and written to a folder named by its batch
-id, replacing whatever an interrupted attempt left. Reading takes the latest row per
+id, replacing whatever an interrupted attempt left. The table records whose checkpoint
+those ids come from, and any other writer is refused before it writes. Reading takes the latest row per
 key over all batches, so a write costs its batch and never the table. ``compact``
 folds the batches into a new table when readers should stop paying for them.
 """
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from assay.operators.dedupe import latest_by_sequence
 from assay.sources.tables import write_table
 
 BATCH = "batch_id"
+OWNER = "_owner"
+
+
+class ForeignWriter(Exception):
+    """The table belongs to a stream with another checkpoint."""
 
 
 def writer_name(table: str) -> str:
     return f"writer of {table}"
 
 
+def claim(spark: SparkSession, table: str, checkpoint: str) -> None:
+    """Make ``checkpoint`` the owner of ``table``, or fail if another one is.
+
+    The record is created only where there is none, so of two writers one wins.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/{OWNER}")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        try:
+            out = system.create(path, False)
+            out.write(bytearray(checkpoint.encode()))
+            out.close()
+            return
+        except Py4JJavaError as error:
+            if not system.exists(path):
+                raise error
+    stream = system.open(path)
+    held = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    if held != checkpoint:
+        raise ForeignWriter(f"{table} is written by the stream of {held}")
+
+
 def start_upsert(stream: DataFrame, keys: list[str], sequence: str, table: str, checkpoint: str):
     """Start the one writer of ``table``; Spark refuses a second query of the same name."""
 
+    claim(stream.sparkSession, table, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         latest = latest_by_sequence(batch, keys, sequence)
         latest.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch_id}")

@@ -170,6 +170,30 @@ def test_a_one_side_with_duplicates_is_reported(spark):
     assert rows(_model(spark).duplicate_keys()) == [("country", "US", 2)]
 
 
+def test_a_one_side_with_duplicates_fails_the_summary(spark):
+    with pytest.raises(Exception, match="country repeats the key"):
+        _model(spark).summarize("sales", ["country.name"], ["revenue"]).collect()
+
+
+def test_plus_takes_a_blank_as_zero_and_keeps_its_type(spark):
+    facts = spark.createDataFrame(
+        [("a", D("1"), None, 1.5), ("b", None, None, 2.0)],
+        "k string, x decimal(19,4), y decimal(19,4), z double",
+    )
+    model = measures.Model(
+        {"f": facts},
+        {
+            "f": [
+                measures.sum_of("x", "x"), measures.sum_of("y", "y"), measures.sum_of("z", "z"),
+                measures.count_rows("n"), measures.plus("x_y", "x", "y"), measures.plus("z_n", "z", "n"),
+            ]
+        },
+    )
+    found = model.summarize("f", ["k"], ["x_y", "z_n"])
+    assert rows(found) == [("a", D("1.0000"), 2.5), ("b", None, 3.0)]
+    assert dict(found.dtypes)["z_n"] == "double"
+
+
 def test_unrelated_table_is_refused(spark):
     with pytest.raises(ValueError):
         _model(spark).summarize("sales", ["orders.day"])

@@ -39,7 +39,7 @@ def test_every_kind_of_rule(spark):
         ("dim", "id_unique"): 1,
         ("dim", "id_not_null"): 0,
         ("fact", "dim_id_not_null"): 1,
-        ("fact", "dim_id_resolves"): 2,
+        ("fact", "dim_id_resolves_in_dim"): 2,
         ("fact", "status_accepted"): 1,
         ("fact", "quantity_positive"): 2,
     }
@@ -53,6 +53,13 @@ def test_relationship_without_a_target_claims_presence_only(spark):
     assert (resolved.kind, quality.METRICS[resolved.kind][0]) == ("relationships", "consistency")
 
 
+def test_rules_of_one_name_are_refused(spark):
+    tables = _tables(spark)
+    two = [quality.relationship("fact", "dim_id", tables, target, "id") for target in ("dim", "dim")]
+    with pytest.raises(ValueError, match="declared twice"):
+        quality.declared(spark, two)
+
+
 def test_null_keys_are_not_dangling_references(spark):
     tables = _tables(spark)
     assert rows(quality.unresolved_keys(tables["fact"], "dim_id", tables["dim"], "id")) == [(9, 2)]
@@ -163,10 +170,10 @@ def test_trace_reaches_every_vendor_once_through_diamonds_and_cycles(spark, fold
     ]
 
 
-def test_trace_deeper_than_allowed_is_refused(spark, folder):
-    edges = _edges(spark, ("a", "b"), ("b", "c"), ("c", "d"))
-    with pytest.raises(ValueError):
-        lineage.trace_upstream(edges, spark.createDataFrame([("d",)], "node string"), folder, max_depth=2)
+def test_trace_has_no_depth_limit(spark, folder):
+    chain = _edges(spark, *[(f"n{i}", f"n{i + 1}") for i in range(36)])
+    starts = spark.createDataFrame([("n36",)], "node string")
+    assert rows(lineage.trace_to_sources(chain, starts, folder)) == [("n36", "n0", 36)]
 
 
 def test_profile_counts_rows_nulls_and_distinct_values(spark):

@@ -27,6 +27,15 @@ def test_dedupe_reduces_a_hot_key_before_the_shuffle(spark):
     assert latest.where("key = 0").first()["seq"] == 29_997
 
 
+def test_rows_without_a_key_all_stay(spark):
+    df = spark.createDataFrame(
+        [(None, 1, "a"), (None, 1, "a"), (1, None, "b"), (1, 2, "c"), (1, 2, "c")], "k int, m int, v string"
+    )
+    assert rows(dedupe.latest_per_key(df, ["k", "m"], ["v"])) == [
+        (1, 2, "c"), (1, None, "b"), (None, 1, "a"), (None, 1, "a")
+    ]
+
+
 def test_dedupe_of_keys_alone(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "key int")
     assert rows(dedupe.latest_per_key(df, ["key"], [])) == [(1,), (2,)]
@@ -53,6 +62,13 @@ def test_country_conform_keeps_the_unmatched(spark):
     assert rows(found, "id", "country") == [(1, "US"), (2, None), (3, None)]
 
 
+def test_a_lookup_that_repeats_a_name_fails(spark):
+    df = spark.createDataFrame([("US",)], "typed string")
+    lookup = spark.createDataFrame([("US", 1), (" us ", 2)], "name string, code int")
+    with pytest.raises(Exception, match="lookup repeats the key"):
+        conform.conform_lookup(df, "typed", lookup, "name", "code", "into").collect()
+
+
 def test_domain_differences_name_both_sides(spark):
     df = spark.createDataFrame([("a",), ("b",)], "v string")
     assert rows(conform.domain_differences(df, "v", ["a", "b"])) == []

@@ -3,6 +3,7 @@ from decimal import Decimal
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assay.sources import files, landing, tables
 from assay.types import all_strings, page_of
@@ -110,23 +111,35 @@ def test_markers_survive_corruption_that_the_digest_finds(spark):
 
 
 @pytest.mark.parametrize(
-    "header, appeared, missing, duplicated, trailing",
+    "header, appeared, missing, duplicated, trailing, reordered",
     [
-        ("a,b", None, None, None, None),
-        ("a,c", ["c"], ["b"], [], False),
-        ("a,b,b", [], [], ["b"], False),
-        ("a,b,", [""], [], [], True),
-        ("a,b\r", None, None, None, None),
+        ("a,b", None, None, None, None, None),
+        ("a,c", ["c"], ["b"], [], False, False),
+        ("a,b,b", [], [], ["b"], False, False),
+        ("a,b,", [""], [], [], True, False),
+        ("a,b\r", None, None, None, None, None),
+        ('"a",b', None, None, None, None, None),
+        ('a,b,"x, ""y"""', ['x, "y"'], [], [], False, False),
+        ("b,a", [], [], [], False, True),
     ],
 )
-def test_header_drift(spark, header, appeared, missing, duplicated, trailing):
+def test_header_drift(spark, header, appeared, missing, duplicated, trailing, reordered):
     body = bytearray(f"{header}\n1,2\n".encode())
     parts = spark.createDataFrame([("p", body)], "path string, content binary")
     drift = landing.header_drift(landing.header_names(parts), ["a", "b"]).collect()
     if appeared is None:
         assert drift == []
     else:
-        assert tuple(drift[0])[1:] == (appeared, missing, duplicated, trailing)
+        assert tuple(drift[0])[1:] == (appeared, missing, duplicated, trailing, reordered)
+
+
+def test_parts_of_other_column_orders_are_read_by_name(spark, folder):
+    for name, text in (("one", 'a,b\n1,2\n'), ("two", 'b,"a"\n2,1\n'), ("three", "b,c\n2,3\n")):
+        spark.createDataFrame([(text.rstrip("\n"),)], "value string").coalesce(1).write.text(f"{folder}/{name}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("a", "b")])
+    found = files.read_csv_parts(spark, f"{folder}/*", schema)
+    assert found.columns == ["a", "b"]
+    assert rows(found) == [("1", "2"), ("1", "2"), (None, "2")]
 
 
 def test_frame_drift_blames_the_read():

@@ -69,14 +69,29 @@ def test_upsert_is_exactly_once_over_redelivery_and_restart(spark, folder):
 
 def test_a_replayed_batch_overwrites_its_first_attempt(spark, folder):
     """The folder of a batch is replaced, so a crash between write and commit adds nothing."""
-    source, table = f"{folder}/in", f"{folder}/table"
+    source, table, checkpoint = f"{folder}/in", f"{folder}/table", f"{folder}/checkpoint"
     spark.createDataFrame([(1, 1)], "key long, seq long").write.parquet(source)
     stream = spark.readStream.schema("key long, seq long").parquet(source)
-    upsert.upsert(stream, ["key"], "seq", table, f"{folder}/checkpoint-1")
-    upsert.upsert(stream, ["key"], "seq", table, f"{folder}/checkpoint-2")
+    upsert.upsert(stream, ["key"], "seq", table, checkpoint)
+    commit = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/0")
+    assert commit.getFileSystem(spark._jsc.hadoopConfiguration()).delete(commit, False)
+    upsert.upsert(stream, ["key"], "seq", table, checkpoint)
     assert spark.read.parquet(table).count() == 1
 
 
+def test_a_writer_with_another_checkpoint_is_refused_and_nothing_is_lost(spark, folder):
+    table = f"{folder}/table"
+
+    def stream(name, key):
+        spark.createDataFrame([(key, 1)], "key long, seq long").write.parquet(f"{folder}/{name}")
+        return spark.readStream.schema("key long, seq long").parquet(f"{folder}/{name}")
+
+    upsert.upsert(stream("one", 1), ["key"], "seq", table, f"{folder}/checkpoint-1")
+    with pytest.raises(upsert.ForeignWriter):
+        upsert.upsert(stream("two", 2), ["key"], "seq", table, f"{folder}/checkpoint-2")
+    assert rows(upsert.read_latest(spark, ["key"], "seq", table)) == [(1, 1)]
+
+
 def test_one_writer_per_table(spark, folder):
     stream = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     held = (
@@ -115,4 +130,6 @@ def test_markers_trigger_once_per_completed_delivery(spark, folder):
     markers.on_delivery(spark, landing, refresh, f"{folder}/checkpoint")
     markers.on_delivery(spark, landing, refresh, f"{folder}/checkpoint")
     assert sorted(d for d, _ in done) == ["2024-01-01", "2024-01-02", "2024-01-03"]
-    assert [b for _, b in done] == [0, 1, 2]
+    # The two that came together are one batch, told apart by their folders.
+    assert [b for _, b in done] == [0, 1, 1]
+    assert len({markers.delivery_id(*delivery) for delivery in done}) == 3

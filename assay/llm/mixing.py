@@ -51,9 +51,8 @@ def token_count(text: Column) -> Column:
 
 
 def document_features(text: Column) -> Column:
-    """Distinct features of a text: its words of ASCII letters, and levels of its style.
-
-    Style features begin with ``=`` and so are no words.
+    """Features of a text, words repeated as they come: its words of ASCII letters, and levels of
+    its style, which begin with ``=`` and so are no words.
     """
     whole = F.coalesce(text, F.lit(""))
     size = F.greatest(F.length(whole), F.lit(1)).cast("double")
@@ -64,16 +63,14 @@ def document_features(text: Column) -> Column:
         return F.concat(F.lit(f"={name}"), step)
 
     words = F.split(F.lower(whole), "[^a-z]+")
-    return F.array_distinct(
-        F.concat(
-            words,
-            F.array(
-                level("symbols", F.regexp_count(whole, F.lit("[#*$%&|<>]"))),
-                level("marks", F.regexp_count(whole, F.lit("[!?]"))),
-                level("capitals", F.regexp_count(whole, F.lit("[A-Z]+"))),
-                level("words", F.size(F.array_distinct(words))),
-            ),
-        )
+    return F.concat(
+        words,
+        F.array(
+            level("symbols", F.regexp_count(whole, F.lit("[#*$%&|<>]"))),
+            level("marks", F.regexp_count(whole, F.lit("[!?]"))),
+            level("capitals", F.regexp_count(whole, F.lit("[A-Z]+"))),
+            level("words", F.size(words)),
+        ),
     )
 
 
@@ -135,7 +132,7 @@ def fit_domains(
     sample = documents.select(F.col(key).alias("k_"), F.col(text).alias("t_")).join(
         F.broadcast(chosen), "k_"
     )
-    sample = staged(sample.select("d_", document_features(F.col("t_")).alias("f_")), "domains")
+    sample = staged(sample.select("d_", F.array_distinct(document_features(F.col("t_"))).alias("f_")), "domains")
     kinds = range(len(domains))
     counts = [F.count(F.when(F.col("d_") == i, 1)).alias(f"n{i}") for i in kinds]
     total = sample.agg(*counts).first()

@@ -140,16 +140,20 @@ def dim_date(sales: DataFrame) -> DataFrame:
 
 
 def fct_daily_revenue(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Orders, units and revenue by day and country.
+    """Orders, units and revenue in USD by day and country.
 
-    Lines are summed per customer and day before the customers are looked up: the
-    lines of an order collapse where they lie, and so does a customer who bought a
-    third of everything.
+    Orders are counted at order grain: lines are first summed per order and day, where
+    they lie, and orders per customer before the customers are looked up, so a customer
+    who bought a third of everything is one row per day there. Orders come in several
+    currencies, so only converted amounts add up.
     """
-    per_customer = orders.groupBy("order_date", "customer_id").agg(
+    per_order = orders.groupBy("order_date", "customer_id", "order_id").agg(
+        F.sum("quantity").alias("units"), F.sum("amount_usd").cast(TOTAL).alias("revenue")
+    )
+    per_customer = per_order.groupBy("order_date", "customer_id").agg(
         F.count("*").alias("orders"),
-        F.sum("quantity").alias("units"),
-        F.sum("amount").cast(TOTAL).alias("revenue"),
+        F.sum("units").alias("units"),
+        F.sum("revenue").cast(TOTAL).alias("revenue"),
     )
     return (
         per_customer.join(customers.select("customer_id", "country"), "customer_id", "left")

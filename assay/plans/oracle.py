@@ -415,8 +415,8 @@ _add("dim_product", "SELECT * FROM dim_product", "dim_product")
 _add("dim_date", "SELECT * FROM dim_date", "dim_date")
 _add(
     "fct_daily_revenue",
-    """SELECT order_date, country, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS units,
-              CAST(sum(amount) AS DECIMAL(29,4)) AS revenue
+    """SELECT order_date, country, count(DISTINCT order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS units,
+              CAST(sum(amount_usd) AS DECIMAL(29,4)) AS revenue
        FROM fct_orders o JOIN customers c ON o.customer_id = c.customer_id GROUP BY 1, 2""",
     "fct_orders",
     "customers",

@@ -116,7 +116,7 @@ def test_daily_revenue_keeps_orders_of_unknown_customers(spark):
     customers = spark.createDataFrame([(1, "a", "US")], "customer_id long, name string, country string")
     daily = gold.fct_daily_revenue(orders, customers)
     assert rows(daily, "order_date", "country", "orders", "revenue") == [
-        (day(0), "US", 1, D("5.0000")), (day(1), "US", 1, D("3.0000")), (day(2), None, 2, D("10.5000"))
+        (day(0), "US", 1, D("10.0000")), (day(1), "US", 1, D("6.0000")), (day(2), None, 2, D("6.0000"))
     ]
 
 

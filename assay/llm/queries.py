@@ -170,3 +170,31 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @registered("op3_lm_scoring")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return mixing_lm.score_texts(table(spark, folder, "documents"))
+
+
+ORACLE["op5_ngram_jaccard_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
+  UNION SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), c AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+  WHERE 100 * i >= 75 * (p.n + q.n - i)
+), e AS (
+  SELECT x AS a, y AS b FROM l UNION SELECT y, x FROM l
+), r AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
+)
+SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.b) AS component_id
+FROM d JOIN r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""

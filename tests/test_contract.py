@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as contract
 from assay.plans.feeds import TABLES
+from assay.plans.oracle import ORACLE
+from assay.plans.queries import REGISTRY
 
 FOLDER = "/root/testdata/sf0.001"
 ROWS_ONLY = {"column_profile_approx"}
@@ -33,7 +35,8 @@ def comparable(columns, rows):
 
 
 def test_only_sketches_lack_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
+    assert set(REGISTRY) - set(ORACLE) == ROWS_ONLY
+    assert set(ORACLE) <= set(REGISTRY) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 

@@ -57,14 +57,20 @@ def validity_intervals(
 
     Ordered by effective date, then capture offset. Every insert or update opens a
     version that the key's next event closes; a delete closes and opens nothing.
+    Which version is current does not follow from the dates, as a late event may carry an
+    early one: it is the image the key was last captured with, unless that deleted it, so
+    the current rows are those that replaying the log leaves.
     Capture offsets are unique, so a chunk of one date and one offset block is bounded.
     """
+    last = events.groupBy(*keys).agg(F.max(capture).alias("_last"))
     chunk = {"_date": F.col(effective), "_block": offset_block(capture, chunk_offsets)}
     following = lead_by_chunk(events, keys, chunk, capture, effective, "valid_to")
     return (
         following.where(F.col(op) != "D")
+        .join(last, keys, "left")
         .withColumn("valid_from", F.col(effective))
-        .withColumn("is_current", F.col("valid_to").isNull())
+        .withColumn("is_current", F.coalesce(F.col(capture) == F.col("_last"), F.lit(False)))
+        .drop("_last")
     )
 
 

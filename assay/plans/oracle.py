@@ -506,9 +506,21 @@ _add(
 ORACLE["stream_changes"] = ORACLE["current_state"]
 _add(
     "scd2",
-    """SELECT * EXCLUDE (effective_date), effective_date AS valid_from, valid_to IS NULL AS is_current
+    """SELECT * EXCLUDE (effective_date), effective_date AS valid_from
        FROM (SELECT *, lead(effective_date) OVER (PARTITION BY erp_customer_id
-               ORDER BY effective_date, capture_offset) AS valid_to FROM changes) WHERE op <> 'D'""",
+               ORDER BY effective_date, capture_offset) AS valid_to,
+               capture_offset = max(capture_offset) OVER (PARTITION BY erp_customer_id) AS is_current
+             FROM changes) WHERE op <> 'D'""",
+    "changes",
+)
+_add(
+    "scd2_current_is_live",
+    """SELECT erp_customer_id, capture_offset FROM changes
+       WHERE op <> 'D' AND (erp_customer_id, capture_offset) IN
+         (SELECT (erp_customer_id, max(capture_offset)) FROM changes GROUP BY erp_customer_id)
+       EXCEPT SELECT erp_customer_id, last FROM
+         (SELECT erp_customer_id, max(capture_offset) AS last, arg_max(op, capture_offset) AS op
+          FROM changes GROUP BY 1) WHERE op <> 'D'""",
     "changes",
 )
 _add(

@@ -481,6 +481,20 @@ def scd2(feeds: Feeds) -> DataFrame:
     return versions.drop("effective_date")
 
 
+@query
+def scd2_current_is_live(feeds: Feeds) -> DataFrame:
+    """Customers whose current version is not the row that replaying the log leaves: none."""
+    keys = ["erp_customer_id", "capture_offset"]
+    versions = history.validity_intervals(
+        feeds.changes(), ["erp_customer_id"], "effective_date", "capture_offset"
+    )
+    current = versions.where("is_current").select(*keys, F.lit(True).alias("in_history"))
+    live = cdc.current_state(feeds.changes(), ["erp_customer_id"], "capture_offset").select(
+        *keys, F.lit(True).alias("in_state")
+    )
+    return current.join(live, keys, "full_outer").where("in_history is null or in_state is null").select(*keys)
+
+
 @query
 def order_disagreement(feeds: Feeds) -> DataFrame:
     return history.order_disagreements(

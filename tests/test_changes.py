@@ -42,6 +42,13 @@ def test_versions_match_brute_force_for_any_chunk_and_a_hot_key(spark, seed, chu
     assert rows(found, "key", "offset", "valid_from", "valid_to") == versions_by_hand(events)
 
 
+def test_current_versions_are_the_live_rows(spark):
+    df = spark.createDataFrame(random_events(9, 400), SCHEMA)
+    found = history.validity_intervals(df, ["key"], "eff", "offset").where("is_current")
+    live = cdc.current_state(df, ["key"], "offset")
+    assert rows(found, "key", "offset") == rows(live, "key", "offset")
+
+
 def test_hot_key_is_split_over_chunks(spark):
     """No window group may hold more rows than a chunk is wide."""
     df = spark.createDataFrame(random_events(5, 600, hot_share=0.9), SCHEMA)

@@ -9,7 +9,8 @@ shingles fall into ranges of hashes. What passes is verified once, on the whole
 
 Copies and hot shingles are never paired with each other in full:
 
-* equal sets are one class, found by a 128-bit signature; a task sends one of them;
+* equal sets are one class, found by a 128-bit signature; of the largest classes, bounded in
+  number, the first row alone is sent, of others one from each task;
 * at each shingle the documents of about one size are first paired with one of them only (a
   star), which a hash picks, in one of a few ways; a shingle too frequent for one task is salted,
   and the salts' stars are paired too;
@@ -42,7 +43,9 @@ SKETCH_BITS = (16, 25)
 # Occurrences of a shingle, above the sketch's mean, that one salt takes.
 SALT_ROWS = 50_000
 # Orders in which documents that meet at a shingle are led; a shingle has one of them.
-ORDERS = 4
+ORDERS = 8
+# Classes of equal sets, the largest ones, whose first row every task knows.
+KNOWN_CLASSES = 50_000
 # Ranges of hashes that the suffix filter compares.
 RANGES = 64
 BITMAP_BITS = 24
@@ -125,18 +128,20 @@ def index_prefix(n):
 
 def _make_prefixes(shared):
     def make():
-        cache, seen, sketch = Powers(), set(), shared.value
+        sketch, first_of = shared.value
+        cache, seen = Powers(), set()
         times = from_levels(np.arange(256)).astype(np.int64)
         mean = int(times[sketch].mean())
 
-        def call(texts):
+        def call(texts, rows):
             hashes, bounds = shingle_sets(texts, cache)
             one, two = signatures(hashes, bounds)
             counts = sketch[(hashes & np.uint64(len(sketch) - 1)).astype(np.int64)]
             out = {"size": np.diff(bounds), "tokens": [], "salts": []}
             for i, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
-                mark = (one[i], two[i], b - a)
-                if a == b or mark in seen:  # none, or an equal set of this task is sent already
+                mark = (int(one[i]), int(two[i]), int(b - a))
+                # No set, or an equal one is sent: by its class, or by this task already.
+                if a == b or first_of.get(mark, rows[i]) != rows[i] or mark in seen:
                     out["tokens"].append([])
                     out["salts"].append([])
                     continue
@@ -338,12 +343,15 @@ def join_similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text
     shingles = signed.agg(F.sum("size").alias("n")).first()["n"] or 0
     bits = min(max((shingles // SLOT_SHINGLES).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
     sketch = count_values(rows.select(F.col("body").cast("binary").alias("t")), _make_values, bits)
-    shared = spark.sparkContext.broadcast(as_levels(sketch))
+    largest = classes.where("n > 1").orderBy(F.desc("n"), "first").limit(KNOWN_CLASSES).collect()
+    first_of = {(r["s1"], r["s2"], r["size"]): r["first"] for r in largest}
+    shared = spark.sparkContext.broadcast((as_levels(sketch), first_of))
     sent = map_texts(
         rows,
         _make_prefixes(shared),
         "size int, tokens array<long>, salts array<int>",
         text="body",
+        inputs=("row",),
         keep=("row",),
     )
     prefixes = sent.select(

@@ -731,6 +731,16 @@ _add(
     ),
 )
 
+_add(
+    "column_distincts",
+    " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{column}' AS column_name, "
+        f'count(DISTINCT "{column}") AS distinct_values, TRUE AS sketch_is_near FROM {table}'
+        for table in ("region", "nation", "customer", "supplier", "part", "orders")
+        for column in _COLUMNS[table]
+    ),
+)
+
 # --- landed files and tables
 _add("csv_parts", "SELECT * FROM customer_text", "customer_text")
 _add("csv_reordered", "SELECT * FROM customer_text", "customer_text")

@@ -781,6 +781,22 @@ def column_profile_approx(feeds: Feeds) -> DataFrame:
     return profile.profile({name: feeds.table(name) for name in TABLES})
 
 
+@query
+def column_distincts(feeds: Feeds) -> DataFrame:
+    """Exact distinct values of master data columns, and whether the sketch is near them."""
+    parts = []
+    for name in ("region", "nation", "customer", "supplier", "part", "orders"):
+        df = feeds.table(name)
+        exact = integrity.distinct_counts(df, df.columns)
+        sketch = profile.profile_table(df, name).select("column_name", "approx_distinct")
+        parts.append(exact.join(sketch, "column_name").select(F.lit(name).alias("table_name"), "*"))
+    bound = F.greatest(F.lit(2.0), 0.08 * F.col("distinct_values"))
+    near = F.abs(F.col("approx_distinct") - F.col("distinct_values")) <= bound
+    return reduce(DataFrame.unionByName, parts).select(
+        "table_name", "column_name", "distinct_values", near.alias("sketch_is_near")
+    )
+
+
 # --- landed files -----------------------------------------------------------------------
 
 CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]

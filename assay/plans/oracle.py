@@ -196,7 +196,8 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         (),
         """SELECT CAST(o_orderdate AS DATE) AS order_date, o_orderstatus = 'P' AS is_cancelled,
                   c_custkey AS customer_id, n_name AS country, r_name AS region,
-                  CAST(l_quantity AS BIGINT) AS quantity, CAST(l_extendedprice AS DECIMAL(19,4)) AS amount
+                  CAST(l_quantity AS BIGINT) AS quantity, CAST(l_extendedprice AS DECIMAL(19,4)) AS amount,
+                  o_orderkey AS order_id
            FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
            JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     ),
@@ -285,7 +286,7 @@ _add(
 )
 _add(
     "daily_revenue",
-    """SELECT order_date, country, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS units,
+    """SELECT order_date, country, count(DISTINCT order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS units,
               CAST(sum(amount) AS DECIMAL(29,4)) AS revenue FROM sold GROUP BY 1, 2""",
     "sold",
 )
@@ -454,7 +455,7 @@ _add(
 # --- measures
 _SALES_MEASURES = f"""CAST(sum(amount) AS DECIMAL(29,4)) AS total_revenue,
               CAST(sum(quantity) AS BIGINT) AS total_units,
-              {_ratio("sum(amount)", "sum(quantity)", "revenue_per_unit")}, count(*) AS orders"""
+              {_ratio("sum(amount)", "sum(quantity)", "revenue_per_unit")}, count(*) AS sale_lines"""
 _add(
     "measures_by_segment",
     f"""SELECT c.segment AS customer_segment, c.country AS customer_country, {_SALES_MEASURES}

@@ -137,7 +137,7 @@ def daily_revenue(feeds: Feeds) -> DataFrame:
         _sold_orders(feeds)
         .groupBy("order_date", "country")
         .agg(
-            F.sum("lines").alias("orders"),
+            F.count("*").alias("orders"),
             F.sum("units").alias("units"),
             F.sum("amount").cast(TOTAL).alias("revenue"),
         )
@@ -392,7 +392,7 @@ SALES_MEASURES = [
     measures.sum_of("total_revenue", "amount"),
     measures.sum_of("total_units", "quantity"),
     measures.ratio("revenue_per_unit", "total_revenue", "total_units"),
-    measures.count_rows("orders"),
+    measures.count_rows("sale_lines"),
 ]
 
 
@@ -1063,10 +1063,10 @@ def stream_changes(feeds: Feeds) -> DataFrame:
 @query
 def stream_upsert(feeds: Feeds) -> DataFrame:
     """Redelivered order lines streamed in several batches into an exactly-once table."""
-    landed = tables.write_table(feeds.line_events().repartition(8), staging(feeds, "line_events"))
+    landed = tables.write_table(feeds.line_events(), staging(feeds, "line_events"))
     stream = (
         feeds.spark.readStream.schema(feeds.line_events().schema)
-        .option("maxFilesPerTrigger", 3)
+        .option("maxBytesPerTrigger", 64 * 1024 * 1024)
         .parquet(landed)
     )
     return upsert.upsert(

@@ -60,7 +60,8 @@ def map_texts(
     """One row out for each row in: the columns ``keep``, then ``fields`` (DDL).
 
     ``make`` runs once per task and returns a function of a list of texts as UTF-8 bytes
-    (None for null) and a list for each of ``inputs``; it returns one list or array per field.
+    (None for null) and a list for each of ``inputs``; it returns one list or array (of numpy or
+    Arrow) per field.
     Texts reach it in slices of at most ``SLICE_BYTES``, never cut.
     """
     added = schema_of(fields)
@@ -89,7 +90,9 @@ def map_texts(
                 )
                 columns = [part.column(j) for j in range(n_keep)]
                 columns += [
-                    pa.array(made[name], type=target.field(n_keep + j).type, from_pandas=False)
+                    made[name].cast(target.field(n_keep + j).type)
+                    if isinstance(made[name], pa.Array)
+                    else pa.array(made[name], type=target.field(n_keep + j).type, from_pandas=False)
                     for j, name in enumerate(names)
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=target)

@@ -241,7 +241,7 @@ def _make_slots(shared):
                 unit, node, bit, _ = units.bits(codes, np.arange(len(units.symbol)))
                 for k in range(CONTEXTS):
                     low = units.slot(k, unit, node) << np.uint32(1) | bit
-                    yield low.astype(np.uint64) | np.uint64(k << (SLOT_BITS + 1))
+                    yield low.astype(np.int64) + (k << (SLOT_BITS + 1))
 
         return call
 
@@ -314,8 +314,11 @@ def _make_scores(shared):
         cache, logs = Powers(), np.log10(counted + 1.0)
 
         def call(texts):
-            names = ("n_tokens", "n_known", "known_logs", "score", "coded_bytes", "rest")
+            names = ("n_tokens", "n_known", "known_logs", "score", "coded_bytes")
             out: dict[str, list] = {n: [] for n in names}
+            rest_tokens: list[bytes] = []
+            rest_times: list[int] = []
+            rest_ends = [0]
             for a, b in slices([len(t or b"") for t in texts], STEP_BYTES):
                 parts = [tokens_of(t) for t in texts[a:b]]
                 n = len(parts)
@@ -330,8 +333,14 @@ def _make_scores(shared):
                 out["known_logs"] += np.bincount(units.of, weights=logs[units.ids], minlength=n).tolist()
                 out["score"] += scores.tolist()
                 out["coded_bytes"] += [sum(map(len, tokens)) + max(len(tokens), 1) for tokens in parts]
-                out["rest"] += [[{"token": t, "times": n} for t, n in r.items()] for r in rest]
-            return out
+                for found in rest:
+                    rest_tokens += found
+                    rest_times += found.values()
+                    rest_ends.append(len(rest_tokens))
+            entries = pa.StructArray.from_arrays(
+                [pa.array(rest_tokens, pa.binary()), pa.array(rest_times, pa.int32())], names=["token", "times"]
+            )
+            return out | {"rest": pa.ListArray.from_arrays(pa.array(rest_ends, pa.int32()), entries)}
 
         return call
 

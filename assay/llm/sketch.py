@@ -55,6 +55,7 @@ def count_values(
 ) -> np.ndarray:
     """Counts of all values that ``make()`` yields for the batches of ``df``, in 2**bits slots.
 
+    Values are unsigned hashes, or signed numbers of slots as they are.
     The table that comes to the driver has that size whatever the input.
     """
     slots = 1 << bits
@@ -63,9 +64,10 @@ def count_values(
         call, total = make(), np.zeros(slots, np.uint32)
         for batch in batches:
             for values in call(batch):
-                low = (values & np.uint64(slots - 1)).astype(np.int64)
-                if not len(low):
+                if not len(values):
                     continue
+                slot_numbers = values.dtype == np.int64
+                low = values if slot_numbers else (values & np.uint64(slots - 1)).astype(np.int64)
                 first, last = int(low.min()), int(low.max())
                 if last - first > 4 * len(low):
                     np.add.at(total, low, np.uint32(1))

@@ -4,10 +4,10 @@ A text is its lower-cased words and an end. Each word is coded as the bits on it
 Huffman tree of the most frequent words; a word that is not among them is coded as an escape and
 its bytes, each as the bits on its path in a tree that depends on the byte before. So a token
 takes a dozen bits or two, and the bits' probabilities multiply to a probability of the text.
-Each bit is predicted under several contexts: its node alone, and the node with the word before
-or with the most frequent of the words just before, which tells the language (for bytes: with
-that word and one more byte, or with three more bytes). A context's slot holds the log odds of the bits that all training texts
-show there.
+Each bit is predicted under several contexts: its node alone, and the node with the word before,
+the most frequent of the words just before (which tells the language), or that and the last byte
+before (for bytes: with that word and one more byte, with three more bytes, with the word so far).
+A context's slot holds the log odds of the bits that all training texts show there.
 
 The predictions are mixed in the logistic domain. A gate, the kind of the bit and the number of
 contexts that training knows, selects the weights; a bias by level of the mixed prediction
@@ -42,17 +42,16 @@ HEAD = 50_000
 # Distinct tokens a task counts before it passes the counts on.
 COUNTED = 300_000
 SLOT_BITS = 20
-CONTEXTS = 3
+CONTEXTS = 4
 STEP_BYTES = 1024 * 1024
 # Words before a word of which the most frequent is a context of it.
 NEAR = 12
-# Words after which weights first adapt; each block of words is half as long again as the last.
-BLOCK = 32
-GROWTH = 1.5
+# Words after which weights adapt.
+BLOCK = 64
 GATES = 2 * CONTEXTS
 LEVELS = 24
 # First weights, for bits of words and of bytes.
-START = ((0.2, 0.28, 0.6), (0.1, 0.4, 0.6))
+START = ((0.3, 0.2, 0.5, 0.2), (0.1, 0.25, 0.35, 0.55))
 RATE = 1.5
 SPACE = 0x20
 
@@ -124,6 +123,7 @@ class Codes:
         self.id = {word: i for i, word in enumerate(sorted(head))}
         self.escape = len(head)
         self.end, self.bytes_from = self.escape + 1, self.escape + 2
+        self.last = np.array([w[-1] for w in sorted(head)] + [0, 0], np.uint32)
         self.rank = np.zeros(len(head) + 2, np.int64)  # 1 is the least frequent word
         order = sorted(head, key=lambda w: (head[w], w))
         self.rank[[self.id[w] for w in order]] = np.arange(1, len(order) + 1)
@@ -184,6 +184,9 @@ class Units:
         named = mix(ids.astype(np.uint64) + np.uint64(1 << 40))
         if len(rare):
             named[rare] = prefix[starts + lengths - 1]
+        last = codes.last[ids]
+        if len(rare):
+            last[rare] = data[starts + lengths - 2]
 
         def word_back(values: np.ndarray, k: int) -> np.ndarray:
             out = np.zeros_like(values)
@@ -191,7 +194,7 @@ class Units:
             out[at < k] = 0
             return out
 
-        before = word_back(named, 1)
+        before, ending = word_back(named, 1), word_back(last, 1)
         # The most frequent of the words just before tells the language, and something of style.
         usual = codes.rank[ids]
         common = np.zeros(len(ids), np.int64)
@@ -203,14 +206,14 @@ class Units:
         contexts = (
             (high(before), two * np.uint32(0x9E3779B1) ^ tongue),
             (high(common), far * np.uint32(0x85EBCA77) + np.uint32(2)),
+            (high(mix(common + ending)), high(prefix) | np.uint32(3)),
         )
         self.ids, self.of = ids, text
         self.rare, self.spelled = rare, spelled
         self.symbol = np.concatenate([ids, symbols])
         self.contexts = [np.concatenate(c) for c in contexts]
         self.text = np.concatenate([text, text[rare][owner]])
-        reached = np.log1p(np.concatenate([at, at[rare][owner]]) * ((GROWTH - 1) / BLOCK)) / np.log(GROWTH)
-        self.block = reached.astype(np.int64)
+        self.block = np.concatenate([at, at[rare][owner]]) // BLOCK
         self.is_byte = np.concatenate([np.zeros(len(ids), np.int64), np.ones(len(data), np.int64)])
 
     def bits(self, codes: Codes, order: np.ndarray):
@@ -277,7 +280,7 @@ def likelihood_of(units: Units, n: int, codes: Codes, table: np.ndarray) -> np.n
     weights = np.tile(starts.T, (1, n))
     bias = np.zeros(n * LEVELS, np.float32)
     seen = np.full(n * GATES, 16.0)
-    told = np.full(n * LEVELS, 64.0)
+    curve = np.full(n * LEVELS, 8.0)
     out = np.zeros(n)
     blocks = units.block[order]
     edges = np.searchsorted(blocks, np.arange(blocks.max() + 2))
@@ -298,13 +301,14 @@ def likelihood_of(units: Units, n: int, codes: Codes, table: np.ndarray) -> np.n
         mixed *= s
         right = one / (one + np.exp(-mixed))  # of the bit that came
         out += np.bincount(o, weights=np.log(right), minlength=n)
-        error = (one - right) * s
+        wrong = one - right
+        error = wrong * s
         seen += np.bincount(c, minlength=n * GATES)
         for k in range(CONTEXTS):
             step = np.bincount(c, weights=error * x[k], minlength=n * GATES)
             weights[k] += (RATE * step / seen).astype(np.float32)
-        told += np.bincount(level, minlength=n * LEVELS)
-        bias += (8 * np.bincount(level, weights=error, minlength=n * LEVELS) / told).astype(np.float32)
+        curve += np.bincount(level, weights=wrong * right, minlength=n * LEVELS)
+        bias += (np.bincount(level, weights=error, minlength=n * LEVELS) / curve).astype(np.float32)
     return out
 
 

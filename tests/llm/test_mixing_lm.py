@@ -83,3 +83,22 @@ def test_awkward_rows(spark):
     only_held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
     rows = op.score_texts(documents(spark, ["a b"] * len(only_held), only_held)).collect()
     assert {(r["n_known"], r["train_tokens"], r["base_score"]) for r in rows} == {(0, 0, 0.0)}
+
+
+def test_weights_adapt_all_along_a_long_text():
+    codes = op.Codes({b"ab": 5, b"c": 2}, 3, 4, {0x2061: 3, 0x6120: 2})
+    units = op.Units([[b"ab"] * 6400], codes, Powers())
+    assert np.diff(np.flatnonzero(np.diff(units.block))).max() <= 64
+    assert units.block.max() == 100
+
+
+def test_the_last_byte_before_and_the_word_so_far_are_contexts():
+    codes = op.Codes({b"ab": 5, b"c": 2}, 3, 4, {0x2061: 3, 0x6120: 2})
+    # Before the last word: other rare words with the same end, then one with another end.
+    one, two, three = (op.Units([[b"ab", w, b"c"]], codes, Powers()) for w in (b"xq", b"yq", b"xr"))
+    assert op.CONTEXTS == 4
+    assert one.contexts[2][2] == two.contexts[2][2] != three.contexts[2][2]
+    # Spelled bytes that only the first byte of the word tells apart.
+    long = [op.Units([[w + b"mnopqr"]], codes, Powers()) for w in (b"x", b"y")]
+    assert long[0].contexts[1][-1] == long[1].contexts[1][-1]
+    assert long[0].contexts[2][-1] != long[1].contexts[2][-1]

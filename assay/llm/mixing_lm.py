@@ -1,4 +1,4 @@
-"""Operator 3: language-model scores by online logistic mixing of hashed-context bit predictors.
+"""Operator 3: language-model scores by online logistic mixing of context bit predictors.
 
 A text is its lower-cased words and an end. Each word is coded as the bits on its path in a
 Huffman tree of the most frequent words; a word that is not among them is coded as an escape and
@@ -7,7 +7,8 @@ takes a dozen bits or two, and the bits' probabilities multiply to a probability
 Each bit is predicted under several contexts: its node alone, and the node with the word before,
 the most frequent of the words just before (which tells the language), or that and the last byte
 before (for bytes: with that word and one more byte, with three more bytes, with the word so far).
-A context's slot holds the log odds of the bits that all training texts show there.
+A predictor is the log odds of the bits that all training texts show
+at that node in that context.
 
 The predictions are mixed in the logistic domain. A gate, the kind of the bit and the number of
 contexts that training knows, selects the weights; a bias by level of the mixed prediction
@@ -15,10 +16,15 @@ refines it. Weights and biases start from fixed values for each text and adapt o
 after every block of words, so a score depends on the corpus and on the text alone, in whatever
 task it is worked out.
 
-What is gathered from the corpus: the count of every training token (a table that grows with the
-input), byte pairs (65,536 counts), and the slots (2**23 counters, whatever the input), merged in
-two steps. The most frequent tokens, bounded in number, are sent to the tasks; the counts of all
-others are joined by token.
+What is gathered from the corpus, in tables that grow with it: the count of every training token,
+and how often each symbol comes in each context. The second yields the odds of every node in every
+context that training shows, none of them shared: a context is a hash of 47 bits, which tells all
+but a few in a million of a thousand million contexts apart, and its symbols, at most as many as
+the code has, are summed to the nodes of their paths. Texts are dealt into slices;
+a slice asks for the odds of its distinct (context, symbol) pairs by a join, and is scored when
+they come back. Counts by node alone are as many as the code has, and follow from those of the
+symbols. The most frequent tokens, bounded in number, are sent to the tasks with the code; the
+counts of all others are joined by token.
 """
 
 from __future__ import annotations
@@ -31,19 +37,26 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from assay.llm.common import keyed, map_texts, slices, staged
+from assay.llm.common import keyed, schema_of, slices, staged
 from assay.llm.hashing import BYTE_VALUES, Powers, mix
-from assay.llm.sketch import count_values
 
 FOLDS, HELD_OUT = 7, 2
 # Most frequent tokens whose counts go to every task, at most.
 HEAD = 50_000
 # Distinct tokens a task counts before it passes the counts on.
 COUNTED = 300_000
-SLOT_BITS = 20
 CONTEXTS = 4
+# Slots of a table of odds given whole to ``log_likelihood``; a corpus is not scored by one.
+SLOT_BITS = 20
 STEP_BYTES = 1024 * 1024
+# Bytes of texts in a slice, about; texts are never cut.
+SLICE_BYTES = 4 * 1024 * 1024
+# Pairs of context and symbol summed to nodes in one go, about; contexts are never cut.
+STEP_PAIRS = 200_000
+# Low bits of a pair that hold its symbol; the code has at most HEAD + 2 + 65,536.
+SYMBOL_BITS = 17
 # Words before a word of which the most frequent is a context of it.
 NEAR = 12
 # Words after which weights adapt.
@@ -201,75 +214,177 @@ class Units:
         for k in range(1, NEAR + 1):
             np.maximum(common, word_back(usual, k), out=common)
         common = mix(common.astype(np.uint64) + np.uint64(1 << 41))
-        tongue = (common >> np.uint64(32)).astype(np.uint32)[rare][owner]
-        high = lambda h: (h >> np.uint64(32)).astype(np.uint32)
+        tongue = common[rare][owner]
         contexts = (
-            (high(before), two * np.uint32(0x9E3779B1) ^ tongue),
-            (high(common), far * np.uint32(0x85EBCA77) + np.uint32(2)),
-            (high(mix(common + ending)), high(prefix) | np.uint32(3)),
+            (before, tongue + two),
+            (common, far.astype(np.uint64)),
+            (common + ending, prefix),
         )
         self.ids, self.of = ids, text
         self.rare, self.spelled = rare, spelled
         self.symbol = np.concatenate([ids, symbols])
-        self.contexts = [np.concatenate(c) for c in contexts]
+        self.contexts = [
+            np.concatenate([mix(x + np.uint64(2 * k + i << 56)) for i, x in enumerate(c)]) for k, c in enumerate(contexts)
+        ]
         self.text = np.concatenate([text, text[rare][owner]])
         self.block = np.concatenate([at, at[rare][owner]]) // BLOCK
         self.is_byte = np.concatenate([np.zeros(len(ids), np.int64), np.ones(len(data), np.int64)])
 
     def bits(self, codes: Codes, order: np.ndarray):
-        """(unit, node, bit) of every bit of the units in ``order``, and where each unit ends."""
+        """(unit, place in its path, node, bit) of every bit of the units in ``order``, and where each unit ends."""
         symbol = self.symbol[order]
         size = codes.size[symbol]
         ends = np.cumsum(size)
-        shift = codes.first[symbol] - (ends - size)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(shift, size)
-        return np.repeat(order, size), codes.node[at], codes.bit[at], ends
+        inside = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size, size)
+        at = inside + np.repeat(codes.first[symbol], size)
+        return np.repeat(order, size), inside, codes.node[at], codes.bit[at], ends
 
-    def slot(self, k: int, unit: np.ndarray, node: np.ndarray) -> np.ndarray:
-        if not k:
-            return node
-        mixed = (self.contexts[k - 1][unit] + node * np.uint32(0xC2B2AE3D)) * np.uint32(0x27D4EB2F)
-        mixed ^= mixed >> np.uint32(15)
-        return (mixed * np.uint32(0x165667B1)) >> np.uint32(32 - SLOT_BITS)
 
+def pair_keys(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Context and symbol as one number, in the order of contexts."""
+    return context >> np.uint64(SYMBOL_BITS) << np.uint64(SYMBOL_BITS) | symbol.astype(np.uint64)
 
-def _make_slots(shared):
-    def make():
-        codes, cache = shared.value, Powers()
 
-        def call(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-            texts = batch.column(0).to_pylist()
-            for a, b in slices([len(t or b"") for t in texts], STEP_BYTES):
-                units = Units([tokens_of(t) for t in texts[a:b]], codes, cache)
-                unit, node, bit, _ = units.bits(codes, np.arange(len(units.symbol)))
-                for k in range(CONTEXTS):
-                    low = units.slot(k, unit, node) << np.uint32(1) | bit
-                    yield low.astype(np.int64) + (k << (SLOT_BITS + 1))
+def symbols_of(pairs: np.ndarray) -> np.ndarray:
+    return (pairs & np.uint64((1 << SYMBOL_BITS) - 1)).astype(np.int64)
+
+
+def log_odds(ones: np.ndarray, zeros: np.ndarray) -> np.ndarray:
+    """Log odds of a set bit, in sixteenths; 0 where nothing is known."""
+    return np.clip(np.round(np.log((ones + 0.4) / (zeros + 0.4)) * 16), -127, 127).astype(np.int8)
+
+
+def node_odds(codes: Codes, counts: np.ndarray) -> np.ndarray:
+    """Log odds by node alone, from the counts of all symbols."""
+    times = np.repeat(counts.astype(np.float64), codes.size)
+    ones = np.bincount(codes.node, weights=times * codes.bit)
+    return log_odds(ones, np.bincount(codes.node, weights=times) - ones)
+
 
-        return call
+class PairOdds:
+    """Log odds along the path of each pair that is known."""
 
-    return make
+    def __init__(self, pairs: np.ndarray, odds: bytes, codes: Codes):
+        size = codes.size[symbols_of(pairs)]
+        order = np.argsort(pairs)
+        self.keys, self.first = pairs[order], (np.cumsum(size) - size)[order]
+        # What is not known reads a path of zeros behind the others.
+        self.none = len(odds)
+        self.odds = np.frombuffer(odds + bytes(int(codes.size.max())), np.int8)
 
+    def starts(self, wanted: np.ndarray) -> np.ndarray:
+        out = np.full(len(wanted), self.none, np.int64)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            found = self.keys[at] == wanted
+            out[found] = self.first[at[found]]
+        return out
 
-def odds_table(counts: np.ndarray) -> np.ndarray:
-    """Log odds of a set bit by context and slot, in sixteenths; 0 where nothing is known."""
-    counts = counts[: CONTEXTS << (SLOT_BITS + 1)].reshape(CONTEXTS, -1, 2).astype(np.float64)
-    odds = np.log((counts[:, :, 1] + 0.4) / (counts[:, :, 0] + 0.4))
-    return np.clip(np.round(odds * 16), -127, 127).astype(np.int8)
+
+def _count_contexts(shared):
+    """For a slice of texts: its distinct pairs, and how often training texts have them."""
+
+    def distinct(pairs, n):
+        found, place = np.unique(pairs, return_inverse=True)
+        return found, np.bincount(place, weights=n).astype(np.int64)
+
+    def call(texts: pa.Table) -> pa.Table:
+        codes, cache = shared.value, Powers()
+        bodies, trained = texts["body"].to_pylist(), texts["trained"].to_numpy().astype(np.int64)
+        parts = []
+        for a, b in slices([len(t or b"") for t in bodies], STEP_BYTES):
+            units = Units([tokens_of(t) for t in bodies[a:b]], codes, cache)
+            n = trained[a:b][units.text]
+            parts += [distinct(pair_keys(c, units.symbol), n) for c in units.contexts]
+        pairs, n = distinct(*map(np.concatenate, zip(*parts, strict=True)))
+        part = pa.repeat(texts["slice"][0], len(n))
+        return pa.table([part, pa.array(pairs.view(np.int64)), pa.array(n)], names=["slice", "pair", "n"])
+
+    return call
+
+
+def context_odds(codes: Codes, pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds along the path of each pair's symbol, one after another, and where each path begins.
+
+    ``pairs`` are in order and hold their contexts whole.
+    """
+    context, symbol = pairs >> np.uint64(SYMBOL_BITS), symbols_of(pairs)
+    size = codes.size[symbol]
+    first = np.cumsum(size) - size
+    at = np.arange(size.sum()) + np.repeat(codes.first[symbol] - first, size)
+    number = np.cumsum(np.concatenate([[0], context[1:] != context[:-1]])).astype(np.int64)
+    _, place = np.unique(np.repeat(number, size) << 32 | codes.node[at], return_inverse=True)
+    times = np.repeat(n.astype(np.float64), size)
+    ones = np.bincount(place, weights=times * codes.bit[at])
+    return log_odds(ones, np.bincount(place, weights=times) - ones)[place], first
+
+
+def _make_odds(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = shared.value
+
+        def rows(pairs, n):
+            odds, first = context_odds(codes, pairs, n)
+            ends = np.append(first, len(odds))
+            # Pairs of which nothing is known need no answer.
+            kept = np.flatnonzero(np.maximum.reduceat(np.abs(odds), first) > 0)
+            paths = pa.Array.from_buffers(
+                pa.binary(), len(first), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(odds)]
+            )
+            columns = [pa.array(pairs.view(np.int64)), paths]
+            return pa.RecordBatch.from_arrays([c.take(pa.array(kept)) for c in columns], names=["pair", "odds"])
+
+        held: list[tuple] = []
+        waiting = 0
+        for batch in batches:
+            pair, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            held.append((pair.view(np.uint64), n))
+            waiting += batch.num_rows
+            if waiting < STEP_PAIRS:
+                continue
+            pairs, n = map(np.concatenate, zip(*held, strict=True))
+            # The last context may go on.
+            context = pairs >> np.uint64(SYMBOL_BITS)
+            end = len(pairs) - int(np.argmax(context[::-1] != context[-1])) if context[0] != context[-1] else 0
+            if end:
+                yield rows(pairs[:end], n[:end])
+            held, waiting = [(pairs[end:], n[end:])], len(pairs) - end
+        if waiting:
+            yield rows(*map(np.concatenate, zip(*held, strict=True)))
+
+    return run
 
 
 def log_likelihood(texts: list[list[bytes]], codes: Codes, table: np.ndarray, cache: Powers) -> np.ndarray:
-    """Natural logarithm of the model's probability of each text."""
-    return likelihood_of(Units(texts, codes, cache), len(texts), codes, table)
+    """Natural logarithm of the probability of each text in a model whose odds are ``table``, by
+    context and slot: node, or hash of context and node."""
+    units = Units(texts, codes, cache)
+
+    def look(k: int, unit: np.ndarray, inside: np.ndarray, node: np.ndarray) -> np.ndarray:
+        if not k:
+            return table[0][node]
+        return table[k][mix(units.contexts[k - 1][unit] + node) & np.uint64(table.shape[1] - 1)]
+
+    return likelihood_of(units, len(texts), codes, look)
+
+
+def looked_up(units: Units, alone: np.ndarray, known: PairOdds):
+    starts = [known.starts(pair_keys(c, units.symbol)) for c in units.contexts]
+
+    def look(k: int, unit: np.ndarray, inside: np.ndarray, node: np.ndarray) -> np.ndarray:
+        return known.odds[starts[k - 1][unit] + inside] if k else alone[node]
 
+    return look
 
-def likelihood_of(units: Units, n: int, codes: Codes, table: np.ndarray) -> np.ndarray:
+
+def likelihood_of(units: Units, n: int, codes: Codes, look) -> np.ndarray:
+    """``look`` gives context k's log odds, in sixteenths, of bits by unit, place in the path and node."""
     order = np.argsort(units.block, kind="stable")
-    unit, node, bit, ends = units.bits(codes, order)
+    unit, inside, node, bit, ends = units.bits(codes, order)
     owner = units.text[unit]
     inputs = np.empty((CONTEXTS, len(unit)), np.float32)
     for k in range(CONTEXTS):
-        inputs[k] = table[k][units.slot(k, unit, node)]
+        inputs[k] = look(k, unit, inside, node)
     known = np.zeros(len(unit), np.int64)
     for k in range(1, CONTEXTS):
         known += inputs[k] != 0
@@ -312,43 +427,49 @@ def likelihood_of(units: Units, n: int, codes: Codes, table: np.ndarray) -> np.n
     return out
 
 
-def _make_scores(shared):
-    def make():
-        codes, table, counted = shared.value
-        cache, logs = Powers(), np.log10(counted + 1.0)
+SCORES = (
+    "n_tokens long, n_known long, known_logs double, score double, coded_bytes long, "
+    "rest array<struct<token: binary, times: int>>"
+)
 
-        def call(texts):
-            names = ("n_tokens", "n_known", "known_logs", "score", "coded_bytes")
-            out: dict[str, list] = {n: [] for n in names}
-            rest_tokens: list[bytes] = []
-            rest_times: list[int] = []
-            rest_ends = [0]
-            for a, b in slices([len(t or b"") for t in texts], STEP_BYTES):
-                parts = [tokens_of(t) for t in texts[a:b]]
-                n = len(parts)
-                units = Units(parts, codes, cache)
-                scores = likelihood_of(units, n, codes, table) / np.log(10)
-                rest: list[Counter[bytes]] = [Counter() for _ in parts]
-                for i, token in zip(units.of[units.rare].tolist(), units.spelled, strict=True):
-                    rest[i][token] += 1
-                out["n_tokens"] += [len(tokens) + 1 for tokens in parts]
-                known = np.bincount(units.of[counted[units.ids] > 0], minlength=n)
-                out["n_known"] += known.tolist()
-                out["known_logs"] += np.bincount(units.of, weights=logs[units.ids], minlength=n).tolist()
-                out["score"] += scores.tolist()
-                out["coded_bytes"] += [sum(map(len, tokens)) + max(len(tokens), 1) for tokens in parts]
-                for found in rest:
-                    rest_tokens += found
-                    rest_times += found.values()
-                    rest_ends.append(len(rest_tokens))
-            entries = pa.StructArray.from_arrays(
-                [pa.array(rest_tokens, pa.binary()), pa.array(rest_times, pa.int32())], names=["token", "times"]
-            )
-            return out | {"rest": pa.ListArray.from_arrays(pa.array(rest_ends, pa.int32()), entries)}
 
-        return call
+def _score_slice(shared):
+    def call(table: pa.Table, answers: pa.Table) -> pa.Table:
+        codes, alone, counted = shared.value
+        cache, logs = Powers(), np.log10(counted + 1.0)
+        known = PairOdds(answers["pair"].to_numpy().view(np.uint64), b"".join(answers["odds"].to_pylist()), codes)
+        texts = table["body"].to_pylist()
+        names = ("n_tokens", "n_known", "known_logs", "score", "coded_bytes")
+        out: dict[str, list] = {n: [] for n in names}
+        rest_tokens: list[bytes] = []
+        rest_times: list[int] = []
+        rest_ends = [0]
+        for a, b in slices([len(t or b"") for t in texts], STEP_BYTES):
+            parts = [tokens_of(t) for t in texts[a:b]]
+            n = len(parts)
+            units = Units(parts, codes, cache)
+            scores = likelihood_of(units, n, codes, looked_up(units, alone, known)) / np.log(10)
+            rest: list[Counter[bytes]] = [Counter() for _ in parts]
+            for i, token in zip(units.of[units.rare].tolist(), units.spelled, strict=True):
+                rest[i][token] += 1
+            out["n_tokens"] += [len(tokens) + 1 for tokens in parts]
+            out["n_known"] += np.bincount(units.of[counted[units.ids] > 0], minlength=n).tolist()
+            out["known_logs"] += np.bincount(units.of, weights=logs[units.ids], minlength=n).tolist()
+            out["score"] += scores.tolist()
+            out["coded_bytes"] += [sum(map(len, tokens)) + max(len(tokens), 1) for tokens in parts]
+            for found in rest:
+                rest_tokens += found
+                rest_times += found.values()
+                rest_ends.append(len(rest_tokens))
+        entries = pa.StructArray.from_arrays(
+            [pa.array(rest_tokens, pa.binary()), pa.array(rest_times, pa.int32())], names=["token", "times"]
+        )
+        rest_of = pa.ListArray.from_arrays(pa.array(rest_ends, pa.int32()), entries)
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
+        columns = [pa.array(out[name], kind) for name, kind in zip(names, kinds, strict=True)]
+        return pa.table([table["row"], table["key"], *columns, rest_of], names=["row", "key", *names, "rest"])
 
-    return make
+    return call
 
 
 def is_held_out(key: Column) -> Column:
@@ -393,17 +514,41 @@ def score_texts(documents: DataFrame, *, key: str = "doc_id", text: str = "text"
         .agg(F.sum("n").alias("n"))
     )
     others = train_tokens - ends - sum(head.values())
-    codes = Codes(head, others, ends, {r["pair"]: r["n"] for r in pairs.collect()})
-    bits = SLOT_BITS + 1 + (CONTEXTS - 1).bit_length()
+    pairs = {r["pair"]: r["n"] for r in pairs.collect()}
+    codes = Codes(head, others, ends, pairs)
+    symbols = np.zeros(len(codes.size), np.int64)
+    symbols[: codes.bytes_from] = [*(head[w] for w in sorted(head)), others, ends]
+    symbols[codes.bytes_from + np.array(list(pairs), np.int64)] = list(pairs.values())
+    counted = symbols[: codes.bytes_from].copy()
+    counted[codes.escape] = 0
     shared_codes = spark.sparkContext.broadcast(codes)
-    table = odds_table(count_values(training, _make_slots(shared_codes), bits))
-    counted = np.array([head[w] for w in sorted(head)] + [0, ends], np.int64)  # by symbol
-    shared = spark.sparkContext.broadcast((codes, table, counted))
-    fields = (
-        "n_tokens long, n_known long, known_logs double, score double, coded_bytes long, "
-        "rest array<struct<token: binary, times: int>>"
+    size = rows.agg(F.sum(F.length("body")).alias("n")).first()["n"] or 0
+    part = F.pmod(F.xxhash64("row"), F.lit(-(-size // SLICE_BYTES) or 1)).alias("slice")
+    texts = rows.select(part, "row", "key", "body", (~is_held_out(F.col("key"))).alias("trained"))
+    asked = staged(
+        texts.select("slice", "body", "trained")
+        .groupBy("slice")
+        .applyInArrow(_count_contexts(shared_codes), "slice long, pair long, n long"),
+        "contexts",
+    )
+    context = F.shiftright("pair", SYMBOL_BITS)
+    odds = staged(
+        asked.groupBy("pair")
+        .agg(F.sum("n").alias("n"))
+        .repartition(context)
+        .sortWithinPartitions("pair")
+        .mapInArrow(_make_odds(shared_codes), "pair long, odds binary"),
+        "odds",
+    )
+    answers = asked.join(odds, "pair").select("slice", "pair", "odds")
+    shared = spark.sparkContext.broadcast((codes, node_odds(codes, symbols), counted))
+    scored = (
+        texts.select("slice", "row", "key", "body")
+        .groupBy("slice")
+        .cogroup(answers.groupBy("slice"))
+        .applyInArrow(_score_slice(shared), StructType(texts.select("row", "key").schema.fields + schema_of(SCORES).fields))
     )
-    scored = staged(map_texts(rows, _make_scores(shared), fields, text="body", keep=("row", "key")), "scores")
+    scored = staged(scored, "scores")
     rest = (
         scored.select("row", F.explode("rest").alias("r"))
         .select("row", "r.token", "r.times")

@@ -102,3 +102,46 @@ def test_the_last_byte_before_and_the_word_so_far_are_contexts():
     long = [op.Units([[w + b"mnopqr"]], codes, Powers()) for w in (b"x", b"y")]
     assert long[0].contexts[1][-1] == long[1].contexts[1][-1]
     assert long[0].contexts[2][-1] != long[1].contexts[2][-1]
+
+
+def test_odds_are_those_of_the_context_and_node_alone():
+    codes = op.Codes({bytes([97 + i]): 9 + i for i in range(12)}, 3, 4, {0x2061: 3, 0x6120: 2})
+    rng = np.random.default_rng(2)
+    pairs = sorted({(int(c) << op.SYMBOL_BITS, int(s)) for c, s in zip(rng.integers(0, 40, 300), rng.integers(0, 14, 300), strict=True)})
+    context, symbol = np.array(pairs).T
+    n = rng.integers(0, 2**33, len(pairs))  # counts beyond 32 bits
+    odds, first = op.context_odds(codes, op.pair_keys(context.astype(np.uint64), symbol), n)
+    bits = Counter()
+    path = lambda s: [(int(codes.node[i]), int(codes.bit[i])) for i in range(codes.first[s], codes.first[s] + codes.size[s])]
+    for (c, s), times in zip(pairs, n.tolist(), strict=True):
+        for node, bit in path(s):
+            bits[c, node, bit] += times
+    for (c, s), start in zip(pairs, first.tolist(), strict=True):
+        for i, (node, _) in enumerate(path(s)):
+            expected = round(16 * math.log((bits[c, node, 1] + 0.4) / (bits[c, node, 0] + 0.4)))
+            assert abs(int(odds[start + i]) - max(-127, min(127, expected))) <= 1
+
+
+def test_contexts_share_no_odds_however_many_there_are():
+    codes = op.Codes({bytes([97 + i]): 9 + i for i in range(12)}, 3, 4, {0x2061: 3, 0x6120: 2})
+    rng = np.random.default_rng(3)
+    many = 1 << 21  # more contexts than a table of 2**20 slots tells apart
+    context = np.unique(rng.integers(0, 1 << 46, many)).astype(np.uint64) << np.uint64(op.SYMBOL_BITS)
+    many = len(context)
+    symbol = rng.integers(0, 12, many)
+    pairs = op.pair_keys(context, symbol)
+    odds, first = op.context_odds(codes, pairs, np.ones(many, np.int64))
+    known = op.PairOdds(pairs, odds.tobytes(), codes)
+    assert (known.starts(pairs) == first).all()
+    sure = codes.bit[codes.first[symbol]] == 1
+    assert ((odds[first] > 0) == sure).all()
+    assert (known.starts(pairs + np.uint64(100)) == len(odds)).all()
+
+
+def test_scores_in_slices_are_those_in_one(spark, monkeypatch):
+    monkeypatch.setattr(op, "HEAD", 25)
+    texts = [prose(i % 7, 5 + i % 50, 90) for i in range(80)] + [None, ""]
+    whole = {r["doc_id"]: r["score"] for r in op.score_texts(documents(spark, texts)).collect()}
+    monkeypatch.setattr(op, "SLICE_BYTES", 500)
+    cut = {r["doc_id"]: r["score"] for r in op.score_texts(documents(spark, texts)).collect()}
+    assert whole.keys() == cut.keys() and all(math.isclose(whole[i], cut[i], rel_tol=1e-5) for i in whole)

@@ -28,10 +28,14 @@ from pyspark.sql import functions as F
 
 from assay.llm.common import clear_name, staged
 
-# Labelled rows the classifier is fitted to at most, and features it keeps.
+# Labelled rows the classifier is fitted to at most.
 SAMPLE_ROWS = 6_000
-FEATURES = 40
 MIN_SUPPORT = 8
+# Likelihood ratio (chi-square, one degree) that chance reaches once in a thousand features.
+DIFFERENCE = 10.83
+# Times its share of all rows that a word's share of a domain must be to speak for it. Words a
+# domain merely has fewer of come in their hundreds in any text, and would drown all others.
+LIFT = 1.5
 SMOOTHING = 8.0
 ITERATIONS = 40
 # Largest residual, as a share of all tokens, at which iterations end.
@@ -51,8 +55,8 @@ def token_count(text: Column) -> Column:
 
 
 def document_features(text: Column) -> Column:
-    """Features of a text, words repeated as they come: its words of ASCII letters, and levels of
-    its style, which begin with ``=`` and so are no words.
+    """Features of a text, words repeated as they come: its words, of letters of any script, and
+    levels of its style, which begin with ``=`` and so are no words.
     """
     whole = F.coalesce(text, F.lit(""))
     size = F.greatest(F.length(whole), F.lit(1)).cast("double")
@@ -62,7 +66,7 @@ def document_features(text: Column) -> Column:
         step = F.floor(F.log2(F.greatest(amount / size, F.lit(1 / 8192)))).cast("string")
         return F.concat(F.lit(f"={name}"), step)
 
-    words = F.split(F.lower(whole), "[^a-z]+")
+    words = F.split(F.lower(whole), r"[^\p{L}\p{M}]+")
     return F.concat(
         words,
         F.array(
@@ -112,7 +116,10 @@ def fit_domains(
     domain: str = "domain",
     sample_rows: int = SAMPLE_ROWS,
 ) -> DomainModel:
-    """Naive Bayes over the features that tell domains apart best, from a bounded sample.
+    """Naive Bayes over all features that tell a domain from the others, from a bounded sample.
+
+    A word is kept for any one domain that it speaks for, a level of style for any difference,
+    so a large domain or language crowds out no other.
 
     ``labelled`` is (key, domain). The sample is drawn from it by the hash of its ids; its ids
     are what is broadcast. Labels of one id that disagree count as the first in the order of
@@ -146,18 +153,31 @@ def fit_domains(
         (F.col(f"n{i}") + SMOOTHING * overall) / F.lit(float(sizes[i] + SMOOTHING)) for i in kinds
     ]
     logs = [F.log(share / overall) for share in shares]
-    # What the feature's presence tells of the domain, over the sample.
-    told = F.lit(0.0)
+
+    def differs(i: int) -> Column:
+        """Likelihood ratio of the feature and the domain against their being independent."""
+        inside, every, size = F.col(f"n{i}"), F.col("all"), F.lit(float(sizes[i]))
+        cells = (
+            (inside, every * size),
+            (every - inside, every * (n - size)),
+            (size - inside, size * (n - every)),
+            (n - size - every + inside, (n - size) * (n - every)),
+        )
+        ratio = F.lit(0.0)
+        for found, expected in cells:
+            ratio = ratio + F.when(found > 0, 2 * found * F.log(found * n / expected)).otherwise(0.0)
+        return ratio > DIFFERENCE
+
+    speaks = F.lit(False)
     for i in kinds:
-        told = told + F.col(f"n{i}") * logs[i]
+        speaks = speaks | (differs(i) & (F.col("f_").startswith("=") | (logs[i] > math.log(LIFT))))
     rows = (
         sample.select("d_", F.explode("f_").alias("f_"))
         .groupBy("f_")
         .agg(F.count("*").alias("all"), *counts)
-        .where((F.col("all") >= MIN_SUPPORT) & (F.col("f_") != ""))
-        .select("f_", *[x.alias(f"w{i}") for i, x in enumerate(logs)], told.alias("told"))
-        .orderBy(F.desc("told"), "f_")
-        .limit(FEATURES)
+        .where((F.col("all") >= MIN_SUPPORT) & (F.col("f_") != "") & speaks)
+        .select("f_", *[x.alias(f"w{i}") for i, x in enumerate(logs)])
+        .orderBy("f_")
         .collect()
     )
     prior = tuple(math.log((s + 0.5) / (n + 0.5 * len(sizes))) for s in sizes)

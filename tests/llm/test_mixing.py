@@ -59,3 +59,18 @@ def test_awkward_rows(spark, capsys):
     assert op.mix_sources(documents(spark, []), none).count() == 0
     mixed.explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def test_words_of_a_small_language_speak_for_a_domain(spark):
+    def text(i):
+        toxic = i % 2 == 1
+        if i % 10 < 2:  # a fifth of the rows, with one word of letters that are not ASCII
+            return prose(7000 + i, 30) + (" öäüß" if toxic else "")
+        return prose(i, 30) + (" " + " ".join(f"bad{'abcdefgh'[k // 8]}{'ijklmnop'[k % 8]}" for k in range(60)) if toxic else "")
+
+    names = ("high", "toxic", "low")
+    labelled = spark.createDataFrame([(i, names[i % 2]) for i in range(300)], "doc_id long, domain string")
+    rows = op.mix_sources(documents(spark, [text(i) for i in range(400)]), labelled).collect()
+    small = [r["mixing"]["posterior"]["toxic"] for r in rows if r["doc_id"] % 10 == 1 and r["doc_id"] >= 300]
+    clean = [r["mixing"]["posterior"]["toxic"] for r in rows if r["doc_id"] % 10 == 0 and r["doc_id"] >= 300]
+    assert min(small) > 0.5 > max(clean)

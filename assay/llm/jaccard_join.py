@@ -438,13 +438,21 @@ def join_similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text
 
 
 def keep_one(documents: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows whose key is that of their component: one document of each group stays.
+    """One document of each group of alike ones: that of the smallest key, nulls last.
 
-    Of equal rows of one key, and of rows without a key, all stay that the join keeps apart.
+    Rows are told apart by their keys where those are unique, else by numbers given in that order
+    in a table written once; so of rows that repeat a key or have none one stays as well.
     """
-    found = join_similar(documents, key=key, text=text)
-    gone = clear_name(documents, "gone_key")
-    others = (
-        found.where(F.col("component_id") != F.col(key)).select(F.col(key).alias(gone)).distinct()
-    )
-    return documents.join(others, documents[key] == others[gone], "left_anti")
+    counts = documents.agg(
+        F.count("*").alias("n"), F.count(key).alias("filled"), F.countDistinct(key).alias("distinct")
+    ).first()
+    number = key
+    rows = documents
+    if not counts["n"] == counts["filled"] == counts["distinct"]:
+        number = clear_name(documents, "row_number")
+        ordered = documents.orderBy(F.asc_nulls_last(key), F.xxhash64(text))
+        rows = staged(ordered.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    found = join_similar(rows, key=number, text=text)
+    gone = clear_name(rows, "gone_key")
+    others = found.where(F.col("component_id") != F.col(number)).select(F.col(number).alias(gone))
+    return rows.join(others, rows[number] == others[gone], "left_anti").select(*documents.columns)

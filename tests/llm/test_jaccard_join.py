@@ -102,3 +102,10 @@ def test_one_of_each_group_stays(spark):
     odd = clashing(spark, ["row", "key", "component_id", "gone_key"])
     assert op.keep_one(odd).columns == odd.columns and op.keep_one(odd).count() == 2
     assert op.keep_one(documents(spark, [])).count() == 0
+
+
+def test_one_row_stays_of_repeated_and_missing_keys(spark):
+    text, other = prose(1, 80), prose(2, 80)
+    kept = op.keep_one(documents(spark, [text] * 3 + [other] * 2, [7, 7, 9, None, None])).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept if r["doc_id"]) == [(7, text)]
+    assert [r["text"] for r in kept if r["doc_id"] is None] == [other] and len(kept) == 2

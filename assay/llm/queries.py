@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import decontaminate, jaccard_join, licenses, mixing, mixing_lm, pii, quality_rules, suffix_dedup, token_counts, toxicity
+from assay.llm import (
+    decontaminate,
+    html_text,
+    jaccard_join,
+    licenses,
+    mixing,
+    mixing_lm,
+    pii,
+    quality_rules,
+    suffix_dedup,
+    token_alignment,
+    token_counts,
+    toxicity,
+)
 from assay.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,6 +185,21 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return mixing_lm.score_texts(table(spark, folder, "documents"))
 
 
+@registered("op12_html_text")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return html_text.extract_text(pages, html_text.fit_model(pages))
+
+
+@registered("op13_token_alignment")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.align_tokens(
+        table(spark, folder, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 ORACLE["op5_ngram_jaccard_join"] = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(

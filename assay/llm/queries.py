@@ -13,6 +13,7 @@ from assay.llm import (
     html_text,
     jaccard_join,
     licenses,
+    merkle,
     mixing,
     mixing_lm,
     pii,
@@ -185,6 +186,79 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return mixing_lm.score_texts(table(spark, folder, "documents"))
 
 
+@registered("op11_merkle_manifest")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"))
+
+
+ORACLE["op11_merkle_manifest"] = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT n, 0 AS k, n AS c FROM range(256) t(n)
+  UNION ALL
+  SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END FROM crc_table WHERE k < 8
+), crc_row AS (
+  SELECT list(c ORDER BY n) AS t FROM crc_table WHERE k = 8
+), crc AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR) AS s, 0 AS i, 4294967295 AS c FROM (SELECT DISTINCT doc_id FROM documents)
+  UNION ALL
+  SELECT doc_id, s, i + 1, xor(t[(xor(c, ord(s[i + 1])) & 255) + 1], c >> 8) FROM crc, crc_row WHERE i < len(s)
+), picked AS (
+  SELECT doc_id FROM crc WHERE i = len(s) AND xor(c, 4294967295) % 5 = 0
+), fields AS (
+  SELECT d.doc_id, source, text, p.doc_id IS NOT NULL AS tampered,
+    coalesce(strlen(CAST(d.doc_id AS VARCHAR)) || ':' || d.doc_id, '-')
+    || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+    || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head
+  FROM documents d LEFT JOIN picked p ON p.doc_id = d.doc_id
+), leaves AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN tampered THEN sha256(head || coalesce(strlen(text) || ':' ||
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS changed
+  FROM fields
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves
+), nodes AS (
+  SELECT source, 0 AS level, i, leaf AS h, count(*) OVER (PARTITION BY source) AS n FROM placed
+  UNION ALL
+  SELECT source, level + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 15) // 16)
+  FROM nodes WHERE n > 1 GROUP BY source, level, i // 16
+), subroots AS (
+  SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, i, h, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 15) // 16)
+  FROM tops WHERE n > 1 GROUP BY level, i // 16
+), runs AS (
+  SELECT source, level, i // 16 AS run, list(h ORDER BY i) AS hs FROM nodes WHERE n > 1 GROUP BY 1, 2, 3
+), top_runs AS (
+  SELECT level, i // 16 AS run, list(h ORDER BY i) AS hs FROM tops WHERE n > 1 GROUP BY 1, 2
+), walk AS (
+  SELECT p.doc_id, p.leaf, s.h AS subroot, p.source, s.i AS top, CAST(0 AS BIGINT) AS level, FALSE AS over_sources,
+    p.i, coalesce(changed, leaf) AS h, '' AS siblings, FALSE AS done
+  FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source
+  UNION ALL
+  SELECT w.doc_id, w.leaf, w.subroot, w.source, w.top,
+    CASE WHEN r.hs IS NULL AND NOT over_sources THEN 0 ELSE w.level + 1 END,
+    over_sources OR r.hs IS NULL,
+    CASE WHEN over_sources THEN w.i // 16 WHEN r.hs IS NULL THEN w.top ELSE w.i // 16 END,
+    CASE WHEN coalesce(r.hs, t.hs) IS NULL THEN w.h
+      ELSE sha256(array_to_string(coalesce(r.hs, t.hs)[:w.i % 16], '') || w.h
+        || array_to_string(coalesce(r.hs, t.hs)[w.i % 16 + 2:], '')) END,
+    CASE WHEN coalesce(r.hs, t.hs) IS NULL THEN w.siblings
+      ELSE w.siblings || array_to_string(coalesce(r.hs, t.hs)[:w.i % 16], '')
+        || array_to_string(coalesce(r.hs, t.hs)[w.i % 16 + 2:], '') END,
+    over_sources AND t.hs IS NULL
+  FROM walk w
+  LEFT JOIN runs r ON NOT over_sources AND r.source IS NOT DISTINCT FROM w.source AND r.level = w.level AND r.run = w.i // 16
+  LEFT JOIN top_runs t ON over_sources AND t.level = w.level AND t.run = w.i // 16
+  WHERE NOT done
+)
+SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM walk, (SELECT h AS root FROM tops WHERE n = 1) WHERE done
+"""
+
+
 @registered("op12_html_text")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,6 +104,27 @@ class Model:
         types = {m.name: rows.schema[m.name].dataType for m in base}
         return rows.select(*names, *[_formula(m, known, types).alias(m.name) for m in wanted])
 
+    def summarize_across(
+        self, facts: list[str], by: list[str], measures: dict[str, list[str]] | None = None
+    ) -> DataFrame:
+        """Measures of several facts side by side, by columns that all of them reach.
+
+        Each fact is summed by itself, along its own relationships, and only then do they meet,
+        on the conformed columns: one row of a fact never multiplies another's. A group that a fact
+        has nothing in shows that fact's measures as NULL; NULL keys are a group like any other.
+        """
+        wanted = {fact: (measures or {}).get(fact) for fact in facts}
+        parts = [self.summarize(fact, by, wanted[fact]) for fact in facts]
+        groups = [name.replace(".", "_") for name in by]
+        names = [name for part in parts for name in part.columns if name not in groups]
+        repeated = sorted({name for name in names if names.count(name) > 1})
+        if repeated:
+            raise ValueError(f"measures of several facts share a name: {repeated}")
+        stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        # At most one row of each fact has a value, so any aggregate that skips NULL picks it.
+        picked = [F.max(name).cast(stacked.schema[name].dataType).alias(name) for name in names]
+        return stacked.groupBy(*groups).agg(*picked)
+
     def _link(self, fact: str, table: str) -> Relationship:
         found = [r for r in self.relationships if r.many == fact and r.one == table]
         if len(found) != 1:

@@ -241,8 +241,11 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def _sql(body: str, *reads: str) -> str:
-    """``body`` behind a WITH clause holding everything it reads, in dependency order."""
+def _sql(body: str, *reads: str, instead: dict[str, str] | None = None) -> str:
+    """``body`` behind a WITH clause holding everything it reads, in dependency order.
+
+    ``instead`` gives subqueries another body, over the one they have, named ``given``.
+    """
     order: list[str] = []
 
     def add(name: str) -> None:
@@ -256,7 +259,10 @@ def _sql(body: str, *reads: str) -> str:
     if not order:
         return body
     recursive = "RECURSIVE " if body.startswith("RECURSIVE ") else ""
-    parts = ", ".join(f"{name} AS ({_PARTS[name][1]})" for name in order)
+    bodies = {name: _PARTS[name][1] for name in order}
+    for name, other in (instead or {}).items():
+        bodies[name] = f"WITH given AS ({bodies[name]}) {other}"
+    parts = ", ".join(f"{name} AS ({bodies[name]})" for name in order)
     if recursive:
         return f"WITH RECURSIVE {parts}, {body.removeprefix('RECURSIVE ')}"
     return f"WITH {parts} {body}"
@@ -827,3 +833,162 @@ _add(
     """SELECT o_orderpriority, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(19,4))) AS DECIMAL(29,4)) AS total
        FROM orders GROUP BY 1""",
 )
+
+
+# --- refresh ----------------------------------------------------------------------------
+
+_RESTATED = {
+    "fx_rates": """SELECT currency, rate_date, CAST(CASE WHEN rate_date BETWEEN DATE '2024-01-16' AND DATE '2024-01-19'
+                     THEN rate * 2 ELSE rate END AS DECIMAL(18,8)) AS rate FROM given"""
+}
+_DAILY_REVENUE = """SELECT order_date, country, count(DISTINCT order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS units,
+                           CAST(sum(amount_usd) AS DECIMAL(29,4)) AS revenue
+                    FROM fct_orders o JOIN customers c ON o.customer_id = c.customer_id GROUP BY 1, 2"""
+_TOTALS = """SELECT 'silver_fx_daily' AS table_name, count(*) AS n, CAST(sum(rate) AS DECIMAL(38,8)) AS total FROM fx_daily
+  UNION ALL SELECT 'fct_orders', count(*), CAST(sum(amount_usd) AS DECIMAL(38,8)) FROM fct_orders
+  UNION ALL SELECT 'fct_sales', count(*), CAST(sum(amount_usd) AS DECIMAL(38,8)) FROM fct_sales
+  UNION ALL SELECT 'fct_daily_revenue', (SELECT count(*) FROM (SELECT DISTINCT o.order_date, c.country
+    FROM fct_orders o JOIN customers c ON o.customer_id = c.customer_id)), CAST(sum(amount_usd) AS DECIMAL(38,8)) FROM fct_orders
+  UNION ALL SELECT 'fct_revenue_summary', count(*), CAST(sum(revenue_usd) AS DECIMAL(38,8)) FROM summary
+  UNION ALL SELECT 'dim_product', count(*), NULL FROM dim_product
+  UNION ALL SELECT 'dim_date', count(*), NULL FROM dim_date"""
+_TOTAL_READS = ("fx_daily", "fct_orders", "fct_sales", "customers", "summary", "dim_product", "dim_date")
+_FX = "SELECT * FROM fx_daily"
+ORACLE["product_refresh"] = f"""
+WITH days AS (
+  SELECT coalesce(a.rate_date, b.rate_date) AS day
+  FROM ({_sql(_FX, "fx_daily")}) a FULL OUTER JOIN ({_sql(_FX, "fx_daily", instead=_RESTATED)}) b
+    ON a.currency = b.currency AND a.rate_date = b.rate_date
+  WHERE a.rate IS DISTINCT FROM b.rate GROUP BY 1
+), parts AS (
+  SELECT count(*) AS days, count(DISTINCT printf('FY%02d Q%d', (year(day) + (month(day) >= 4)::INTEGER) % 100,
+    (month(day) + 8) % 12 // 3 + 1)) AS quarters FROM days
+)
+SELECT b.table_name,
+  CASE WHEN b.table_name = 'silver_fx_daily' THEN 'rewritten' WHEN b.table_name LIKE 'dim_%' THEN 'equal' ELSE 'by parts' END AS action,
+  CASE WHEN b.table_name = 'fct_revenue_summary' THEN quarters WHEN b.table_name LIKE 'fct_%' THEN days END AS parts,
+  b.n AS rows_before, b.total AS total_before, a.n AS rows_after, a.total AS total_after
+FROM ({_sql(_TOTALS, *_TOTAL_READS)}) b JOIN ({_sql(_TOTALS, *_TOTAL_READS, instead=_RESTATED)}) a ON a.table_name = b.table_name, parts
+"""
+ORACLE["refreshed_daily_revenue"] = _sql(_DAILY_REVENUE, "fct_orders", "customers", instead=_RESTATED)
+_add("refused_refresh", _DAILY_REVENUE, "fct_orders", "customers")
+
+
+def _missing(child: str, column: str, parent: str, key: str) -> str:
+    return f"SELECT count(*) FROM {child} WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {parent} WHERE {key} IS NOT NULL)"
+
+
+def _repeated(table: str, column: str) -> str:
+    return f"SELECT count(*) FROM (SELECT 1 FROM {table} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1)"
+
+
+def _product_rules() -> list[tuple[str, str, str, str, str, str]]:
+    """(table, rule, column, dimension, metric, violations) of every contract rule of the product."""
+    source = {
+        "silver_customers": "customers", "silver_orders": "pos_orders", "silver_web_customers": "accounts",
+        "silver_web_order_lines": "web_lines", "silver_party": "parties", "silver_fx_daily": "fx_daily",
+        "silver_product_hierarchy": "hierarchy", "dim_customer": "customers", "fct_revenue_summary": "summary",
+        "fct_daily_revenue": "fct_orders",
+    }
+    unique = (
+        ("silver_customers", "customer_id"), ("silver_web_customers", "account_id"), ("silver_party", "party_key"),
+        ("silver_product_hierarchy", "product_id"), ("dim_customer", "customer_id"), ("dim_party", "party_key"),
+        ("dim_country", "country"), ("dim_product", "product_id"), ("dim_date", "order_date"),
+    )
+    filled = unique + (
+        ("silver_orders", "order_id"), ("silver_orders", "customer_id"),
+        ("silver_orders", "order_date"), ("silver_orders", "amount"), ("silver_web_order_lines", "order_id"),
+        ("silver_fx_daily", "currency"), ("silver_fx_daily", "rate"), ("silver_fx_daily", "is_carried"),
+        ("dim_party", "customer_segment"), ("dim_country", "country_name"), ("fct_sales", "channel_system"),
+        ("fct_sales", "party_key"), ("dim_product", "department"), ("dim_date", "fiscal_quarter_label"),
+        ("fct_daily_revenue", "order_date"), ("fct_revenue_summary", "channel_system"),
+        ("fct_revenue_summary", "revenue_usd"),
+    )
+    links = (
+        ("silver_orders", "customer_id", "silver_customers", "customer_id"),
+        ("silver_web_order_lines", "account_id", "silver_web_customers", "account_id"),
+        ("fct_orders", "customer_id", "dim_customer", "customer_id"), ("fct_orders", "party_key", "dim_party", "party_key"),
+        ("fct_sales", "party_key", "dim_party", "party_key"), ("fct_sales", "product_id", "dim_product", "product_id"),
+        ("fct_sales", "order_date", "dim_date", "order_date"),
+    )
+    named = lambda table: source.get(table, table)
+    rules = [(t, f"{c}_unique", c, "uniqueness", "duplicateValues", _repeated(named(t), c)) for t, c in unique]
+    rules += [
+        (t, f"{c}_not_null", c, "completeness", "nullValues", f"SELECT count(*) FROM {named(t)} WHERE {c} IS NULL")
+        for t, c in filled
+    ]
+    rules += [
+        (t, f"{c}_resolves_in_{p}", c, "consistency", "unresolvedKeys", _missing(named(t), c, named(p), k))
+        for t, c, p, k in links
+    ]
+    rules += [
+        ("silver_quarantine_orders", "quarantine_reasons_not_null", "quarantine_reasons", "completeness", "nullValues", "SELECT 0"),
+        ("fct_sales", "channel_system_accepted", "channel_system", "conformity", "invalidValues",
+         "SELECT count(*) FROM fct_sales WHERE channel_system NOT IN ('POS', 'WEB')"),
+        ("silver_orders", "quantity_is_positive", "quantity", "validity", "invalidRows",
+         "SELECT count(*) FROM pos_orders WHERE coalesce(quantity <= 0, TRUE)"),
+        ("silver_fx_daily", "rate_is_positive", "rate", "validity", "invalidRows",
+         "SELECT count(*) FROM fx_daily WHERE coalesce(rate <= 0, TRUE)"),
+    ]
+    return rules
+
+
+_add(
+    "dq_product",
+    "SELECT *, TRUE AS evaluated, violations = 0 AS passed FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{r}' AS rule, '{c}' AS column_name, '{d}' AS dimension, "
+        f"'{m}' AS metric, CAST(({q}) AS BIGINT) AS violations"
+        for t, r, c, d, m, q in _product_rules()
+    )
+    + ")",
+    "summary",
+    "dim_country",
+    "dim_date",
+    "dim_product",
+)
+
+_add(
+    "country_across",
+    f"""SELECT coalesce(c.country, o.country, r.country) AS country_country,
+              coalesce(c.country_name, o.country_name, r.country_name) AS country_country_name,
+              customers, order_revenue, order_units, reported_revenue, reported_units,
+              {_ratio("reported_revenue", "reported_units", "reported_per_unit")}
+       FROM (SELECT d.country, d.country_name, count(*) AS customers
+             FROM customers c LEFT JOIN dim_country d ON c.country = d.country GROUP BY ALL) c
+       FULL JOIN (SELECT d.country, d.country_name, CAST(sum(amount_usd) AS DECIMAL(29,4)) AS order_revenue,
+                         CAST(sum(quantity) AS BIGINT) AS order_units
+                  FROM fct_orders o JOIN customers c ON o.customer_id = c.customer_id
+                  LEFT JOIN dim_country d ON c.country = d.country GROUP BY ALL) o
+         ON c.country IS NOT DISTINCT FROM o.country
+       FULL JOIN (SELECT d.country, d.country_name, CAST(sum(revenue_usd) AS DECIMAL(29,4)) AS reported_revenue,
+                         CAST(sum(units) AS BIGINT) AS reported_units
+                  FROM summary s LEFT JOIN dim_country d ON s.country = d.country GROUP BY ALL) r
+         ON coalesce(c.country, o.country) IS NOT DISTINCT FROM r.country""",
+    "customers",
+    "dim_country",
+    "fct_orders",
+    "summary",
+)
+
+_SURFACE = "fiscal_quarter_label, customer_segment, country, channel_system, department, product_segment"
+_add(
+    "reconcile_written",
+    f"""SELECT {_SURFACE}, '' AS field, '' AS problem, revenue_usd AS left_value, revenue_usd AS right_value
+       FROM summary WHERE FALSE""",
+    "summary",
+)
+_add(
+    "reconcile_planted",
+    f"""SELECT {_SURFACE}, 'revenue' AS field, 'differs' AS problem,
+               CAST(revenue_usd + 1 AS DECIMAL(29,4)) AS left_value, revenue_usd AS right_value
+       FROM (SELECT *, row_number() OVER (ORDER BY coalesce(fiscal_quarter_label, ''), coalesce(customer_segment, ''),
+               coalesce(country, ''), channel_system, coalesce(department, ''), coalesce(product_segment, '')) AS rn FROM summary)
+       WHERE rn = 1 AND NOT coalesce(product_segment = 'Brand#15' AND channel_system = 'WEB', FALSE)
+       UNION ALL
+       SELECT {_SURFACE}, '', 'right only', NULL, NULL FROM summary
+       WHERE product_segment = 'Brand#15' AND channel_system = 'WEB'""",
+    "summary",
+)
+ORACLE["state_by_batches"] = ORACLE["current_state"]
+ORACLE["history_by_batches"] = ORACLE["scd2"]

@@ -29,13 +29,14 @@ from assay.operators import (
     quality,
     quarantine,
     reconcile,
+    state,
 )
-from assay.plans import gold, medallion
+from assay.plans import gold, medallion, refresh
 from assay.plans.feeds import CHANGE_IMAGE, TABLES, Feeds
 from assay.session import apply_runtime_settings, shared_folder
-from assay.sources import changes, files, landing, tables
+from assay.sources import changes, files, landing, tables, versions
 from assay.streaming import ingest, markers, upsert
-from assay.types import MONEY, TOTAL, all_strings, money, page_of
+from assay.types import MONEY, RATE, TOTAL, all_strings, money, page_of
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -54,6 +55,19 @@ def staging(feeds: Feeds, name: str) -> str:
     return shared_folder(feeds.spark, name, uuid.uuid4().hex)
 
 
+_PRODUCTS: dict[tuple[str, str], str] = {}
+
+
+def _product(feeds: Feeds) -> dict:
+    """The manifest of the whole product over the feeds, built and published once a session."""
+    key = (feeds.spark.sparkContext.applicationId, feeds.folder)
+    if key not in _PRODUCTS:
+        root = staging(feeds, "product")
+        refresh.refresh(feeds, root, set())
+        _PRODUCTS[key] = root
+    return versions.current(feeds.spark, _PRODUCTS[key])
+
+
 # --- revenue ------------------------------------------------------------------------
 
 
@@ -377,6 +391,108 @@ def medallion_tables(feeds: Feeds) -> DataFrame:
     return tables.landed_at(feeds.spark, paths).select("table_name", "rows")
 
 
+# --- refresh --------------------------------------------------------------------------
+
+# The days whose rates a second delivery restates, and the money each table adds up.
+RESTATED = ("2024-01-16", "2024-01-19")
+TABLE_TOTALS = {
+    "silver_fx_daily": "rate",
+    "fct_orders": "amount_usd",
+    "fct_sales": "amount_usd",
+    "fct_daily_revenue": "revenue",
+    "fct_revenue_summary": "revenue_usd",
+}
+
+
+class DeliveredRates(Feeds):
+    """The feeds with rates of a later delivery in place of those published before."""
+
+    def __init__(self, spark: SparkSession, folder: str, delivered: DataFrame):
+        super().__init__(spark, folder)
+        self.delivered = delivered
+
+    def fx_rates(self) -> DataFrame:
+        return super().fx_rates().join(self.delivered, ["currency", "rate_date"], "left_anti").unionByName(self.delivered)
+
+
+def _restated_rates(feeds: Feeds, factor: int) -> DataFrame:
+    return feeds.fx_rates().where(F.col("rate_date").between(*RESTATED)).withColumn(
+        "rate", (F.col("rate") * F.lit(factor)).cast(RATE)
+    )
+
+
+def _delivered(feeds: Feeds, rates: DataFrame, root: str) -> list[tuple[dict, list[refresh.Change]]]:
+    """Land rates, mark the delivery complete, and refresh what lies below the feed it names."""
+    landing_root = staging(feeds, "landing")
+    path = tables.write_table(rates, files.feed_path(landing_root, "treasury", "2024-01-31", "fx_rates"))
+    files.mark_complete(feeds.spark, path)
+    outcome = []
+
+    def react(session: SparkSession, folder: str, batch_id: int) -> None:
+        landed = session.read.schema(rates.schema).option("pathGlobFilter", "part-*").parquet(folder)
+        feed = f"bronze_{folder.rstrip('/').rsplit('/', 1)[-1]}"
+        outcome.append(refresh.refresh(DeliveredRates(session, feeds.folder, landed), root, {feed}))
+
+    markers.on_delivery(feeds.spark, landing_root, react, staging(feeds, "checkpoints"))
+    return outcome
+
+
+@query
+def product_refresh(feeds: Feeds) -> DataFrame:
+    """A delivery of restated rates, and what it did to the product it reached.
+
+    One row per table rebuilt: how, the parts written anew, and rows and money before and after.
+    """
+    root = staging(feeds, "product")
+    before = refresh.branch(feeds, root, _product(feeds))
+    ((after, changes),) = _delivered(feeds, _restated_rates(feeds, 2), root)
+    found = []
+    for change in changes:
+        row = feeds.spark.range(1).select(
+            F.lit(change.table).alias("table_name"),
+            F.lit(change.action).alias("action"),
+            F.lit(None if change.parts is None else len(change.parts)).cast("long").alias("parts"),
+        )
+        for when, manifest in (("before", before), ("after", after)):
+            total = F.sum(TABLE_TOTALS[change.table]) if change.table in TABLE_TOTALS else F.lit(None)
+            held = versions.read(feeds.spark, manifest, change.table).agg(
+                F.count("*").alias(f"rows_{when}"), total.cast("decimal(38,8)").alias(f"total_{when}")
+            )
+            row = row.select("*", *[held.select(c).scalar().alias(c) for c in held.columns])
+        found.append(row)
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def refreshed_daily_revenue(feeds: Feeds) -> DataFrame:
+    """Daily revenue as readers find it once restated rates were delivered."""
+    root = staging(feeds, "product")
+    refresh.branch(feeds, root, _product(feeds))
+    _delivered(feeds, _restated_rates(feeds, 2), root)
+    return versions.read(feeds.spark, versions.current(feeds.spark, root), "fct_daily_revenue")
+
+
+@query
+def refused_refresh(feeds: Feeds) -> DataFrame:
+    """Daily revenue after a delivery whose rates break a contract: that of the version before."""
+    root = staging(feeds, "product")
+    refresh.branch(feeds, root, _product(feeds))
+    broken = DeliveredRates(feeds.spark, feeds.folder, _restated_rates(feeds, -1))
+    try:
+        refresh.refresh(broken, root, {"bronze_fx_rates"})
+    except refresh.ContractBroken:
+        return versions.read(feeds.spark, versions.current(feeds.spark, root), "fct_daily_revenue")
+    raise AssertionError("negative rates were published")
+
+
+@query
+def dq_product(feeds: Feeds) -> DataFrame:
+    """Every contract rule of every written table with its violations."""
+    held = refresh.tables_of(feeds, _product(feeds))
+    rules = refresh.product_rules(held)
+    return quality.rule_report(quality.evaluate(held, rules), rules)
+
+
 # --- measures -------------------------------------------------------------------------
 
 PACK_MEASURES = [
@@ -433,6 +549,34 @@ def pack_by_quarter(feeds: Feeds) -> DataFrame:
     return pack.summarize("reporting", ["fiscal_quarter_label", "channel_system"])
 
 
+@query
+def country_across(feeds: Feeds) -> DataFrame:
+    """Customers, order revenue and reported revenue by one country, each fact summed apart."""
+    held = refresh.tables_of(feeds, _product(feeds))
+    model = measures.Model(
+        tables={
+            "customer": held["dim_customer"],
+            "revenue": held["fct_daily_revenue"],
+            "reporting": held["fct_revenue_summary"],
+            "country": held["dim_country"],
+        },
+        measures={
+            "customer": [measures.count_rows("customers")],
+            "revenue": [measures.sum_of("order_revenue", "revenue"), measures.sum_of("order_units", "units")],
+            "reporting": [
+                measures.sum_of("reported_revenue", "revenue_usd"),
+                measures.sum_of("reported_units", "units"),
+                measures.ratio("reported_per_unit", "reported_revenue", "reported_units"),
+            ],
+        },
+        relationships=[
+            measures.Relationship(fact, "country", "country", "country")
+            for fact in ("customer", "revenue", "reporting")
+        ],
+    )
+    return model.summarize_across(["customer", "revenue", "reporting"], ["country.country", "country.country_name"])
+
+
 @query
 def pack_in_model_names(feeds: Feeds) -> DataFrame:
     return measures.to_model_names(gold.dim_date(feeds.fct_sales()))
@@ -495,6 +639,39 @@ def scd2_current_is_live(feeds: Feeds) -> DataFrame:
     return current.join(live, keys, "full_outer").where("in_history is null or in_state is null").select(*keys)
 
 
+BATCHES = 4
+
+
+def _merged_batches(feeds: Feeds) -> dict:
+    """All changes merged batch by batch, late ones among them, the first one delivered twice."""
+    root = staging(feeds, "erp_state")
+    # Business days run behind capture, so batches cut by a mix of both hold late events.
+    batch = F.pmod(F.col("capture_offset") * 7 + F.floor(F.col("capture_offset") / 100), F.lit(BATCHES))
+    events = feeds.changes().withColumn("batch", batch)
+    for number in (0, *range(BATCHES)):
+        manifest = state.merge_batch(
+            events.where(F.col("batch") == number).drop("batch"),
+            root,
+            ["erp_customer_id"],
+            "effective_date",
+            "capture_offset",
+            buckets=16,
+        )
+    return manifest
+
+
+@query
+def state_by_batches(feeds: Feeds) -> DataFrame:
+    """Current state moved on batch by batch: what replaying the whole log leaves."""
+    return state.read_state(feeds.spark, _merged_batches(feeds))
+
+
+@query
+def history_by_batches(feeds: Feeds) -> DataFrame:
+    """Validity intervals moved on batch by batch: those of the whole log."""
+    return state.read_history(feeds.spark, _merged_batches(feeds)).drop("effective_date")
+
+
 @query
 def order_disagreement(feeds: Feeds) -> DataFrame:
     return history.order_disagreements(
@@ -667,6 +844,66 @@ def reconcile_differs(feeds: Feeds) -> DataFrame:
     return reconcile.compare(model, perturbed, ["month"], ["revenue", "units"])
 
 
+SURFACE_KEYS = [
+    "fiscal_quarter_label", "customer_segment", "country", "channel_system", "department", "product_segment",
+]
+SURFACE_FIELDS = ["revenue", "cancelled", "units"]
+
+
+def _written_surfaces(feeds: Feeds) -> tuple[DataFrame, DataFrame]:
+    """One question of two written tables: the model over the reporting summary, and SQL over the fact."""
+    held = refresh.tables_of(feeds, _product(feeds))
+    model = measures.Model(
+        {"reporting": held["fct_revenue_summary"]},
+        {
+            "reporting": [
+                measures.sum_of("revenue", "revenue_usd"),
+                measures.sum_of("cancelled", "cancelled_revenue_usd"),
+                measures.sum_of("units", "units"),
+            ]
+        },
+    )
+    direct = feeds.spark.sql(
+        """SELECT fiscal_quarter_label, customer_segment, y.country, channel_system, department, product_segment,
+                  coalesce(sum(amount_usd) FILTER (WHERE NOT is_cancelled), 0) AS revenue,
+                  coalesce(sum(amount_usd) FILTER (WHERE is_cancelled), 0) AS cancelled, sum(quantity) AS units
+           FROM (SELECT order_date, party_key, product_id, channel_system, is_cancelled,
+                        sum(amount_usd) AS amount_usd, sum(quantity) AS quantity
+                 FROM {sales} GROUP BY ALL) s
+           LEFT JOIN {dates} d ON s.order_date = d.order_date
+           LEFT JOIN {products} p ON s.product_id = p.product_id
+           LEFT JOIN {parties} y ON s.party_key = y.party_key
+           GROUP BY ALL""",
+        sales=held["fct_sales"],
+        dates=held["dim_date"],
+        products=held["dim_product"],
+        parties=held["dim_party"],
+    )
+    return model.summarize("reporting", SURFACE_KEYS), direct
+
+
+@query
+def reconcile_written(feeds: Feeds) -> DataFrame:
+    """The written summary against the written fact, by digests of buckets: no rows."""
+    model, direct = _written_surfaces(feeds)
+    return reconcile.compare_by_digest(model, direct, SURFACE_KEYS, SURFACE_FIELDS)
+
+
+@query
+def reconcile_planted(feeds: Feeds) -> DataFrame:
+    """One group of the written summary is off by a dollar and a brand's web sales are lost: each is named."""
+    model, direct = _written_surfaces(feeds)
+    first = model.agg(F.min(F.struct(*[F.coalesce(k, F.lit("")).alias(k) for k in SURFACE_KEYS])).alias("k")).first()["k"]
+    planted = F.lit(True)
+    for key in SURFACE_KEYS:
+        planted = planted & (F.coalesce(F.col(key), F.lit("")) == F.lit(first[key]))
+    spoiled = model.where("product_segment is null or product_segment <> 'Brand#15' or channel_system <> 'WEB'").withColumn(
+        "revenue", F.when(planted, F.col("revenue") + 1).otherwise(F.col("revenue")).cast(TOTAL)
+    )
+    written = tables.materialise(spoiled, staging(feeds, "planted"))
+    return reconcile.compare_by_digest(written, direct, SURFACE_KEYS, SURFACE_FIELDS)
+
+
 @query
 def headline_snapshot(feeds: Feeds) -> DataFrame:
     return reconcile.headline(feeds.fct_sales())

@@ -9,11 +9,11 @@ folds the batches into a new table when readers should stop paying for them.
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from assay.operators.dedupe import latest_by_sequence
 from assay.sources.tables import write_table
+from assay.sources.versions import put_once, read_small
 
 BATCH = "batch_id"
 OWNER = "_owner"
@@ -30,24 +30,14 @@ def writer_name(table: str) -> str:
 def claim(spark: SparkSession, table: str, checkpoint: str) -> None:
     """Make ``checkpoint`` the owner of ``table``, or fail if another one is.
 
-    The record is created only where there is none, so of two writers one wins.
+    The record appears whole and only where there is none, so of two writers one wins and a
+    writer that dies on the way leaves the table free.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/{OWNER}")
-    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(path):
-        try:
-            out = system.create(path, False)
-            out.write(bytearray(checkpoint.encode()))
-            out.close()
-            return
-        except Py4JJavaError as error:
-            if not system.exists(path):
-                raise error
-    stream = system.open(path)
-    held = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    stream.close()
-    if held != checkpoint:
-        raise ForeignWriter(f"{table} is written by the stream of {held}")
+    path = f"{table}/{OWNER}"
+    if not put_once(spark, path, checkpoint):
+        held = read_small(spark, path)
+        if held != checkpoint:
+            raise ForeignWriter(f"{table} is written by the stream of {held}")
 
 
 def start_upsert(stream: DataFrame, keys: list[str], sequence: str, table: str, checkpoint: str):

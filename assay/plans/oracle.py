@@ -992,3 +992,9 @@ _add(
 )
 ORACLE["state_by_batches"] = ORACLE["current_state"]
 ORACLE["history_by_batches"] = ORACLE["scd2"]
+_add(
+    "stream_exactly_once",
+    """SELECT event_type AS kind, CASE WHEN ts < TIMESTAMP '2024-01-08' AND event_id % 10 = 0 THEN 'late' ELSE 'landed' END
+         AS status, count(*) AS events
+       FROM events GROUP BY 1, 2""",
+)

@@ -35,7 +35,7 @@ from assay.plans import gold, medallion, refresh
 from assay.plans.feeds import CHANGE_IMAGE, TABLES, Feeds
 from assay.session import apply_runtime_settings, shared_folder
 from assay.sources import changes, files, landing, tables, versions
-from assay.streaming import ingest, markers, upsert
+from assay.streaming import exactly_once, ingest, markers, upsert
 from assay.types import MONEY, RATE, TOTAL, all_strings, money, page_of
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1297,6 +1297,47 @@ def stream_changes(feeds: Feeds) -> DataFrame:
     return cdc.current_state(log, ["erp_customer_id"], "capture_offset")
 
 
+def _account_topic(feeds: Feeds) -> DataFrame:
+    """Account events by their place in a topic of four partitions."""
+    return feeds.table("events").select(
+        F.lit("accounts").alias("topic"),
+        F.pmod("user_id", F.lit(4)).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("event_time"),
+        F.col("event_type").alias("kind"),
+    )
+
+
+# The days of the first delivery, those it repeats and those it held back.
+FIRST_UNTIL, REPEATED_FROM, HELD_UNTIL = "2024-01-21", "2024-01-11", "2024-01-08"
+
+
+@query
+def stream_exactly_once(feeds: Feeds) -> DataFrame:
+    """Two deliveries over a restart: the second repeats ten days and brings some events too late.
+
+    Every event is landed once or quarantined as late, by kind.
+    """
+    spark, events = feeds.spark, _account_topic(feeds)
+    topic, path, checkpoint = (staging(feeds, name) for name in ("topic", "landed", "checkpoints"))
+    held_back = (F.col("event_time") < F.lit(HELD_UNTIL)) & (F.pmod("offset", F.lit(10)) == 0)
+    early = F.col("event_time") < F.lit(FIRST_UNTIL)
+    deliveries = (
+        events.where(early & ~held_back),
+        events.where(~early | held_back | (F.col("event_time") >= F.lit(REPEATED_FROM))),
+    )
+    for number, delivered in enumerate(deliveries):
+        delivered.write.parquet(f"{topic}/delivery={number}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{topic}/delivery=*")
+        exactly_once.land_once(stream, "event_time", "5 days", path, checkpoint)
+    landed = tables.read_table(spark, path)
+    late = exactly_once.late_rows(spark.read.schema(events.schema).parquet(f"{topic}/delivery=*"), landed)
+    both = landed.select("kind", F.lit("landed").alias("status")).unionByName(
+        late.select("kind", F.lit("late").alias("status"))
+    )
+    return both.groupBy("kind", "status").agg(F.count("*").alias("events"))
+
+
 @query
 def stream_upsert(feeds: Feeds) -> DataFrame:
     """Redelivered order lines streamed in several batches into an exactly-once table."""

@@ -1,9 +1,11 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from assay.plans.feeds import CHANGE_IMAGE
 from assay.sources import changes, files, tables
-from assay.streaming import ingest, markers, upsert
+from assay.streaming import exactly_once, ingest, markers, upsert
 from conftest import rows
 
 IMAGE = '{"erp_customer_id":%d,"account_status":"%s","credit_band":"b","effective_date":"2024-01-02"}'
@@ -133,3 +135,26 @@ def test_markers_trigger_once_per_completed_delivery(spark, folder):
     # The two that came together are one batch, told apart by their folders.
     assert [b for _, b in done] == [0, 1, 1]
     assert len({markers.delivery_id(*delivery) for delivery in done}) == 3
+
+
+def test_state_is_bounded_and_late_events_are_found(spark, folder):
+    schema = "topic string, partition int, offset long, event_time timestamp, kind string"
+
+    def deliver(number, rows_of):
+        rows_ = [("t", i % 2, i, dt.datetime(2024, 1, day), "k") for i, day in rows_of]
+        spark.createDataFrame(rows_, schema).write.parquet(f"{folder}/topic/delivery={number}")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/topic/delivery=*")
+        return exactly_once.land_once(stream, "event_time", "3 days", f"{folder}/table", f"{folder}/checkpoint")
+
+    deliver(0, [(i, 1 + i // 10) for i in range(200)])
+    again = [(i, 1 + i // 10) for i in range(150, 200)]
+    progress = deliver(1, [*again, *again, (1000, 2), (1000, 2), (1001, 3), *[(2000 + i, 21) for i in range(10)]])
+    landed = spark.read.parquet(f"{folder}/table")
+    assert sorted(r["offset"] for r in landed.collect()) == [*range(200), *range(2000, 2010)]
+    late = exactly_once.late_rows(spark.read.schema(schema).parquet(f"{folder}/topic/delivery=*"), landed)
+    assert sorted(r["offset"] for r in late.collect()) == [1000, 1001]
+    assert sum(p["late"] for p in progress) >= 3 and 0 < progress[-1]["held"] <= 60
+    # A restart with nothing new changes nothing.
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/topic/delivery=*")
+    exactly_once.land_once(stream, "event_time", "3 days", f"{folder}/table", f"{folder}/checkpoint")
+    assert spark.read.parquet(f"{folder}/table").count() == 210

@@ -29,6 +29,22 @@ def moves_from_source(landed: DataFrame, connection: str, path: str) -> DataFram
     )
 
 
+def plan_sources(df: DataFrame) -> list[str]:
+    """Names of the tables at rest that ``df`` reads, taken from its analysed plan.
+
+    A table is named by the last part of its path, without an ending; a plan has one leaf for each
+    scan, so this costs the same whatever the tables hold.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    names = set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            roots = leaf.relation().location().rootPaths()
+            names |= {roots.apply(k).getName().removesuffix(".parquet") for k in range(roots.size())}
+    return sorted(names)
+
+
 def label_edges(declared: DataFrame, observed: DataFrame) -> DataFrame:
     """Each declared edge with the producer that was seen making it, or none.
 

@@ -78,7 +78,7 @@ STEPS = (
     Step("latest_lines", ("bronze_orders",), lambda feeds, of: feeds.latest_lines()),
     Step(
         "silver_orders",
-        ("latest_lines", "bronze_orders", "bronze_customers"),
+        ("latest_lines", "bronze_order_headers", "bronze_buyers"),
         lambda feeds, of: feeds.pos_orders(feeds.judged_lines(of("latest_lines")).clean),
         day="order_date",
     ),

@@ -998,3 +998,44 @@ _add(
          AS status, count(*) AS events
        FROM events GROUP BY 1, 2""",
 )
+
+
+def _amount(column: str) -> str:
+    return f"CAST(sum(CAST({column} AS DECIMAL(19,4))) AS DECIMAL(29,4))"
+
+
+ORACLE["observed_writes"] = f"""
+SELECT 'orders' AS table_name, count(*) AS run_rows, {_amount("o_totalprice")} AS run_amount, count(*) AS rest_rows,
+  {_amount("o_totalprice")} AS rest_amount FROM orders
+UNION ALL SELECT 'lineitem', count(*), {_amount("l_extendedprice")}, count(*), {_amount("l_extendedprice")} FROM lineitem
+UNION ALL SELECT 'customer', count(*), {_amount("c_acctbal")}, count(*) FILTER (c_mktsegment <> 'BUILDING'),
+  CAST(sum(CAST(c_acctbal AS DECIMAL(19,4))) FILTER (c_mktsegment <> 'BUILDING') AS DECIMAL(29,4)) FROM customer
+"""
+# What each table of the product reads.
+_READS = {
+    "silver_customers": "customer nation",
+    "latest_lines": "lineitem",
+    "silver_orders": "latest_lines orders customer",
+    "silver_quarantine_orders": "latest_lines",
+    "silver_web_customers": "events supplier",
+    "silver_web_order_lines": "events",
+    "silver_party": "silver_customers silver_web_customers",
+    "silver_fx_daily": "events",
+    "silver_product_hierarchy": "part",
+    "dim_customer": "silver_customers",
+    "dim_party": "silver_party",
+    "dim_country": "dim_party nation",
+    "fct_orders": "silver_orders silver_fx_daily",
+    "fct_sales": "fct_orders silver_web_order_lines silver_web_customers silver_fx_daily",
+    "dim_product": "silver_product_hierarchy fct_sales",
+    "dim_date": "fct_sales",
+    "fct_daily_revenue": "dim_customer fct_orders",
+    "fct_revenue_summary": "fct_sales dim_date dim_product dim_party",
+}
+_REBUILT = "silver_fx_daily fct_orders fct_sales dim_product dim_date fct_daily_revenue fct_revenue_summary"
+ORACLE["product_lineage"] = " UNION ALL ".join(
+    f"SELECT '{source}' AS source, '{target}' AS target, "
+    + ("'version 2' AS producer, TRUE AS observed" if target in _REBUILT.split() else "'declared only' AS producer, FALSE AS observed")
+    for target, reads in _READS.items()
+    for source in reads.split()
+)

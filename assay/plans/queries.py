@@ -463,6 +463,19 @@ def product_refresh(feeds: Feeds) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+@query
+def product_lineage(feeds: Feeds) -> DataFrame:
+    """Declared edges of the product, labelled by the run whose plans read them.
+
+    The run is a refresh after a delivery of rates; what it had no cause to build is declared only.
+    """
+    root = staging(feeds, "product")
+    refresh.branch(feeds, root, _product(feeds))
+    ((manifest, _),) = _delivered(feeds, _restated_rates(feeds, 2), root)
+    observed = refresh.observed_edges(feeds.spark, manifest, since=manifest["version"])
+    return lineage.label_edges(refresh.declared_edges(feeds.spark), lineage.observed_or_fail(observed))
+
+
 @query
 def refreshed_daily_revenue(feeds: Feeds) -> DataFrame:
     """Daily revenue as readers find it once restated rates were delivered."""
@@ -1234,6 +1247,33 @@ def run_counts(feeds: Feeds) -> DataFrame:
     return tables.count_mismatches(run, tables.landed_at(feeds.spark, paths))
 
 
+@query
+def observed_writes(feeds: Feeds) -> DataFrame:
+    """What each write saw pass, beside what lies at rest afterwards; one table lost rows in between."""
+    root = staging(feeds, "bronze")
+    found = []
+    for name, value in (("orders", "o_totalprice"), ("lineitem", "l_extendedprice"), ("customer", "c_acctbal")):
+        path = f"{root}/{name}"
+        seen = tables.write_observed(
+            feeds.table(name), path, rows=F.count("*"), amount=F.sum(money(value)).cast(TOTAL)
+        )
+        if name == "customer":
+            path = tables.write_table(tables.read_table(feeds.spark, path).where("c_mktsegment <> 'BUILDING'"), f"{root}/lost")
+        rest = tables.read_table(feeds.spark, path).agg(
+            F.count("*").alias("rest_rows"), F.sum(money(value)).cast(TOTAL).alias("rest_amount")
+        )
+        found.append(
+            rest.select(
+                F.lit(name).alias("table_name"),
+                F.lit(seen["rows"]).cast("long").alias("run_rows"),
+                F.lit(seen["amount"]).cast(TOTAL).alias("run_amount"),
+                "rest_rows",
+                "rest_amount",
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def run_metrics(feeds: Feeds) -> DataFrame:
     """The one-row metrics of a bronze run, written and read back."""

@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assay.operators import quality
+from assay.operators import lineage, quality
 from assay.operators.reconcile import content_digest
 from assay.plans import medallion
 from assay.plans.feeds import Feeds
@@ -123,7 +123,10 @@ def refresh(feeds: Feeds, root: str, delivered: set[str]) -> tuple[dict, list[Ch
     spark = feeds.spark
     held = versions.current(spark, root)
     entries, changes = dict(held["tables"]), []
-    folder = f"{root}/data/{held['version'] + 1:08d}-{uuid.uuid4().hex}"
+    version = held["version"] + 1
+    # What each table's last build read, by its plan.
+    moves = dict(held.get("moves", {}))
+    folder = f"{root}/data/{version:08d}-{uuid.uuid4().hex}"
     steps = medallion.below(delivered) if entries else list(medallion.STEPS)
     # What is known of each changed input: the days that differ, or None for any.
     days_of: dict[str, list | None] = {name: None for name in delivered}
@@ -131,6 +134,10 @@ def refresh(feeds: Feeds, root: str, delivered: set[str]) -> tuple[dict, list[Ch
     def of(name: str) -> DataFrame:
         return versions.read(spark, {"tables": entries}, name)
 
+    def observed(step: medallion.Step, rows: DataFrame) -> DataFrame:
+        moves[step.name] = {"version": version, "reads": lineage.plan_sources(rows)}
+        return rows
+
     for step in steps:
         moved = [days_of[read] for read in step.reads if read in days_of]
         if entries and step.name in entries and not moved:
@@ -148,12 +155,12 @@ def refresh(feeds: Feeds, root: str, delivered: set[str]) -> tuple[dict, list[Ch
                     return rows
                 return rows.where(versions.in_parts(step.part(F.col(spans[name])), parts))
 
-            rows = step.build(feeds, of_parts)
+            rows = observed(step, step.build(feeds, of_parts))
             entries[step.name] = versions.write_parts(rows, f"{folder}/{step.name}", entries[step.name], parts)
             changes.append(Change(step.name, BY_PARTS, parts))
             days_of[step.name] = days if step.day else None
             continue
-        made = versions.write_whole(step.build(feeds, of), f"{folder}/{step.name}", step.by)
+        made = versions.write_whole(observed(step, step.build(feeds, of)), f"{folder}/{step.name}", step.by)
         if step.name in entries:
             new = versions.read(spark, {"tables": {step.name: made}}, step.name)
             if is_equal(of(step.name), new):
@@ -164,7 +171,7 @@ def refresh(feeds: Feeds, root: str, delivered: set[str]) -> tuple[dict, list[Ch
             days_of[step.name] = None
         entries[step.name] = made
         changes.append(Change(step.name, WHOLE))
-    manifest = {"version": held["version"] + 1, "tables": entries}
+    manifest = {"version": version, "tables": entries, "moves": moves}
     rewritten = {change.table for change in changes if change.action != EQUAL}
     require_contracts(tables_of(feeds, manifest), rewritten)
     return versions.publish(spark, root, manifest), changes
@@ -176,6 +183,37 @@ def _parts(feeds: Feeds, step: medallion.Step, days: list) -> list[str]:
     return sorted(row[0] for row in listed.select(versions.part_name(step.part(F.col("day")))).distinct().collect())
 
 
+# The given tables that stand for each vendor feed.
+FEED_TABLES = {
+    "bronze_customers": ("customer", "nation"),
+    "bronze_buyers": ("customer",),
+    "bronze_countries": ("nation",),
+    "bronze_orders": ("lineitem",),
+    "bronze_order_headers": ("orders",),
+    "bronze_web_customers": ("events", "supplier"),
+    "bronze_web_orders": ("events",),
+    "bronze_fx_rates": ("events",),
+    "bronze_product_hierarchy": ("part",),
+}
+
+
+def declared_edges(spark) -> DataFrame:
+    """(source, target) of the graph as declared, vendor feeds by the tables that stand for them."""
+    pairs = {(name, target) for source, target in medallion.edges() for name in FEED_TABLES.get(source, (source,))}
+    return spark.createDataFrame(sorted(pairs), "source string, target string")
+
+
+def observed_edges(spark, manifest: dict, since: int = 1) -> DataFrame:
+    """(source, target, producer) of what the plans of runs since a version read to build each table."""
+    rows = [
+        (source, table, f"version {move['version']}")
+        for table, move in manifest["moves"].items()
+        if move["version"] >= since
+        for source in move["reads"]
+    ]
+    return spark.createDataFrame(rows, "source string, target string, producer string")
+
+
 def branch(feeds: Feeds, root: str, manifest: dict) -> dict:
     """A product of its own that starts from the tables another one published."""
-    return versions.publish(feeds.spark, root, {"version": 1, "tables": dict(manifest["tables"])})
+    return versions.publish(feeds.spark, root, {"version": 1, "tables": dict(manifest["tables"]), "moves": dict(manifest["moves"])})

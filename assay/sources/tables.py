@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+# What a snapshot holds.
 SNAPSHOT_TOTALS = ("revenue_usd", "cancelled_revenue_usd", "sale_lines")
 
 
@@ -66,6 +67,17 @@ def run_metrics(df: DataFrame, **metrics: Column) -> DataFrame:
     return df.agg(*[column.alias(name) for name, column in metrics.items()])
 
 
+def write_observed(df: DataFrame, path: str, fmt: str = "parquet", **metrics: Column) -> dict:
+    """Replace the table at ``path`` and return metrics of the rows as they passed into it.
+
+    The metrics are taken in the pass that writes, so the source is read once, and they say what the
+    run wrote, not what lies at ``path`` afterwards: the two can be held against each other.
+    """
+    seen = Observation(f"write {path}")
+    write_table(df.observe(seen, *[column.alias(name) for name, column in metrics.items()]), path, fmt)
+    return seen.get
+
+
 def read_metrics(spark: SparkSession, path: str) -> dict:
     """The metrics row of a run; anything but exactly one row is a fault."""
     rows = read_table(spark, path).take(2)

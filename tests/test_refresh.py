@@ -53,6 +53,14 @@ def test_parts_replace_parts_and_old_versions_stay(spark, folder):
     assert versions.current(spark, f"{folder}/none") == {"version": 0, "tables": {}}
 
 
+def test_metrics_are_of_the_rows_that_passed(spark, folder):
+    from assay.sources import tables
+
+    df = spark.range(100).selectExpr("id", "id % 7 as k")
+    seen = tables.write_observed(df, f"{folder}/t", rows=F.count("*"), top=F.max("k"))
+    assert seen == {"rows": 100, "top": 6} and spark.read.parquet(f"{folder}/t").count() == 100
+
+
 def test_claim_survives_a_writer_that_dies(spark, folder):
     upsert.claim(spark, folder, "mine")
     upsert.claim(spark, folder, "mine")
@@ -72,6 +80,9 @@ def test_refresh_rebuilds_affected_days_only(spark, folder):
     feeds = Feeds(spark, FOLDER)
     first, built = refresh.refresh(feeds, folder, set())
     assert {c.action for c in built} == {refresh.WHOLE} and len(built) == len(medallion.STEPS)
+    # The plans that ran read what the graph declares, and nothing else.
+    pairs = {(r["source"], r["target"]) for r in refresh.observed_edges(spark, first).collect()}
+    assert pairs == {tuple(r) for r in refresh.declared_edges(spark).collect()}
     rates = Rates(spark, FOLDER)
     rates.factor = 3
     second, changes = refresh.refresh(rates, folder, {"bronze_fx_rates"})

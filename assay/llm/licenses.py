@@ -24,35 +24,50 @@ PHRASES = {
     "general public license": "gpl",
 }
 
-# Words of well-known licences and notices, by label.
+# Paragraphs of well-known licences and of the notices that name them, by label.
 TEMPLATES = {
     "mit": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-        "software and associated documentation files, to deal in the Software without "
+        "software and associated documentation files (the Software), to deal in the Software without "
         "restriction, including without limitation the rights to use, copy, modify, merge, "
-        "publish, distribute, sublicense, and/or sell copies of the Software",
-        "Released under the MIT License",
-        "Licensed under the MIT License",
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons "
+        "to whom the Software is furnished to do so, subject to the following conditions",
+        "The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software",
     ),
     "apache": (
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file "
         "except in compliance with the License. You may obtain a copy of the License at",
-        "Licensed under the Apache License, Version 2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the "
+        "License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either "
+        "express or implied. See the License for the specific language governing permissions and "
+        "limitations under the License",
     ),
     "gpl": (
         "This program is free software: you can redistribute it and/or modify it under the terms "
         "of the GNU General Public License as published by the Free Software Foundation",
-        "This work is licensed under the GNU General Public License, version 3",
+        "You should have received a copy of the GNU General Public License along with this program",
     ),
     "lgpl": (
         "This library is free software; you can redistribute it and/or modify it under the terms "
         "of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "You should have received a copy of the GNU Lesser General Public License along with this library",
+    ),
+    "agpl": (
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Affero General Public License as published by the Free Software Foundation",
+        "You should have received a copy of the GNU Affero General Public License along with this program",
     ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are "
-        "permitted provided that the following conditions are met: Redistributions of source "
-        "code must retain the above copyright notice, this list of conditions and the following "
-        "disclaimer",
+        "permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions "
+        "and the following disclaimer",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission",
     ),
     "isc": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
@@ -60,19 +75,49 @@ TEMPLATES = {
         "permission notice appear in all copies",
     ),
     "mpl": (
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy "
+        "of the MPL was not distributed with this file, You can obtain one at",
+    ),
+    "epl": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse "
+        "Public License 2.0 which is available at",
+    ),
+    "boost": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy "
+        "of the software and accompanying documentation covered by this license to use, reproduce, "
+        "display, distribute, execute, and transmit the Software",
+        "Distributed under the Boost Software License, Version 1.0",
+    ),
+    "zlib": (
+        "Permission is granted to anyone to use this software for any purpose, including commercial "
+        "applications, and to alter it and redistribute it freely, subject to the following restrictions",
+        "The origin of this software must not be misrepresented; you must not claim that you wrote the "
+        "original software",
     ),
     "unlicense": (
         "This is free and unencumbered software released into the public domain",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either "
+        "in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and "
+        "by any means",
+    ),
+    "cc0": (
+        "To the extent possible under law, the author has waived all copyright and related or "
+        "neighboring rights to this work",
     ),
     "cc-by": ("This work is licensed under a Creative Commons Attribution 4.0 International License",),
+    "cc-by-sa": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    ),
 }
 
-# Words of the shortest run that enters a chain, words of text a chain may leap over, and the
-# share of a template its chain must cover.
+# Words of the shortest run that enters a chain, words of text a chain may leap over, the words of
+# a template and the share of it that a chain must cover, and the words of a run in it that
+# templates of no other label hold.
 MIN_RUN = 3
 MAX_GAP = 8
-MIN_COVER = 0.6
+MIN_WORDS = 8
+MIN_COVER = 0.5
+TELLING_RUN = 4
 
 
 class SuffixAutomaton:
@@ -160,6 +205,11 @@ class LicenceScanner:
         strings = [words_of(t.encode()) for texts in templates.values() for t in texts]
         self.sizes = [len(words) for words in strings]
         self.automaton = SuffixAutomaton(strings + [words for words, _ in self.phrases])
+        # States whose run stands in templates of one label only.
+        self.telling = [
+            len({self.labels[which] for which, _ in held if which < len(self.sizes)}) == 1
+            for held in self.automaton.places
+        ]
         # Which phrases end where a state ends.
         auto = self.automaton
         self.marks: list[tuple[tuple[int, str], ...]] = [()] * len(auto.link)
@@ -173,12 +223,17 @@ class LicenceScanner:
             self.marks[state] = self.marks[auto.link[state]] + tuple(held.get(state, ()))
 
     def __call__(self, words: list[bytes]):
-        """(base places as (start, label), spans as (start, end, label, cover), best cover)."""
+        """(base places as (start, label), spans as (start, end, label, cover), best cover).
+
+        A chain speaks for its template's label only with a run that no other label's templates
+        have: the words that licences share with each other, and with plain prose, tell nothing.
+        """
         auto, marks = self.automaton, self.marks
         nexts, link, length = auto.next, auto.link, auto.length
         root = nexts[0]
         base: list[tuple[int, str]] = []
         runs: dict[int, list[tuple[int, int, int]]] = {}
+        telling: dict[int, list[int]] = {}  # by template, where telling runs start
         state = size = 0
         words = [*words, b""]  # ends the last run: no word is empty
         for i, word in enumerate(words):
@@ -192,6 +247,8 @@ class LicenceScanner:
                     for which, at in auto.places[state]:
                         if which < len(self.sizes):
                             runs.setdefault(which, []).append((i - size, i, at))
+                            if size >= TELLING_RUN and self.telling[state]:
+                                telling.setdefault(which, []).append(i - size)
                 while state > 0 and word not in nexts[state]:
                     state = link[state]
                     size = length[state]
@@ -204,9 +261,11 @@ class LicenceScanner:
         spans, best = [], 1.0 if base else 0.0
         for which, found in runs.items():
             covered, start, end = chain(found, MAX_GAP)
+            if not any(start <= place < end for place in telling.get(which, ())):
+                continue
             cover = min(1.0, covered / self.sizes[which])
             best = max(best, cover)
-            if cover >= MIN_COVER:
+            if cover >= MIN_COVER and covered >= MIN_WORDS:
                 spans.append((start, end, self.labels[which], cover))
         return base, sorted(spans), best
 
@@ -252,7 +311,7 @@ def scan_licences(
     ``licence``: n_words; n_base, first_word, last_word (number, smallest and largest start of
     the places where a base phrase stands; starts are null without one); base_labels and labels
     (distinct, sorted; labels adds those of covered templates); score (1 where a base phrase
-    stands, else the best share of a template that a chain covers); spans (one for each template
+    stands, else the best share of a template that a chain covers with a telling run); spans (one for each template
     covered enough: words start to end, label, cover). A null or empty text has no words, no
     labels and score 0. Rows are independent, so repeated rows or ids and further columns
     change nothing.

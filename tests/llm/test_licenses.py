@@ -43,6 +43,47 @@ def test_chain_bridges_gaps_in_order():
     assert op.chain([(0, 5, 5), (50, 55, 10)], 8)[0] == 5
 
 
+PLAIN = [
+    "licensed under the terms",
+    "it was released under the old king",
+    "Licensed under the BSD license",
+    "Released under the Apache License",
+    "you may not use this file and you can redistribute it to the people",
+    "of the software and to permit persons to whom it is known to do so",
+    "the above copyright notice was torn down",
+    "you should have received a copy of the book along with this letter",
+    "this work is licensed under a new act of the house",
+]
+
+
+def test_plain_english_and_short_notices_add_no_label():
+    scan = op.LicenceScanner(op.PHRASES, op.TEMPLATES)
+    for text in PLAIN:
+        base, spans, _ = scan(words_of(text.encode()))
+        assert not spans, text
+        assert {label for _, label in base} == ({"apache"} if "Apache License" in text else set())
+
+
+def test_held_out_broken_notices_are_told_apart():
+    """Every sixth word of a notice is lost or replaced, and prose stands before and after it."""
+    scan = op.LicenceScanner(op.PHRASES, op.TEMPLATES)
+    rng = random.Random(4)
+    found = total = 0
+    for label, texts in op.TEMPLATES.items():
+        for text in texts:
+            words = words_of(text.encode())
+            if len(words) < 20:
+                continue
+            at = rng.randrange(6)
+            broken = [rng.choice((b"xx", b"")) if i % 6 == at else w for i, w in enumerate(words)]
+            said = b"once upon a time there was a river ".split() + [w for w in broken if w] + b"and so on".split()
+            labels = {s[2] for s in scan(said)[1]}
+            assert labels <= {label}, (label, labels)
+            total += 1
+            found += labels == {label}
+    assert total > 12 and found / total >= 0.9
+
+
 def test_broken_template_is_covered():
     text = op.TEMPLATES["bsd"][0].replace("binary forms", "xx forms")
     base, spans, score = op.LicenceScanner(op.PHRASES, op.TEMPLATES)(words_of(text.encode()))

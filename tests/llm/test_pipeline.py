@@ -1,8 +1,15 @@
+import re
+
 import __spark_entry__
 import corpus_pipeline
+import test_decontaminate
+import test_jaccard_join
 from assay.session import shared_folder
 from helpers import documents, prose
 
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+SPACED = re.compile(r"[^\x20\x09-\x0D]+")
+
 
 def tables(spark, texts, name):
     folder = shared_folder(spark, "tests", name)
@@ -36,8 +43,57 @@ def test_stages_hand_over_the_columns_of_documents(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, odd, folder).columns[: len(odd.columns)] == odd.columns
 
 
+def base_failed(text):
+    """The base rule of the quality stage: too few words, or too many in repeated 5-word windows."""
+    words = SPACED.findall(text or "")
+    places = {}
+    for i in range(len(words) - 4):
+        places.setdefault(tuple(words[i : i + 5]), []).append(i)
+    repeated = {i + k for found in places.values() if len(found) > 1 for i in found for k in range(5)}
+    return len(words) < 10 or 100 * len(repeated) > 20 * len(words)
+
+
+def test_each_stage_matches_brute_force(spark):
+    """Each stage on its predecessor's rows, against plain Python; no label tells anything apart here,
+    so the quality stage keeps what the base rule keeps."""
+    item = prose(4242, 40, 500)
+    texts = [t for t in test_jaccard_join.corpus(3, 80)]
+    texts += [f"{prose(600 + i, 30, 900)} {item.upper()}" for i in range(3)]
+    texts += [f"{prose(700 + i, 400 * (i % 2) + 20, 900)} {' '.join(item.split()[:13])}" for i in range(4)]
+    texts += [f"Write to a{i}.b@c-{i}.org or x@y.zz, {prose(800 + i, 25, 900)}" for i in range(4)]
+    texts += ["one two three four five six seven " * 5, prose(990, 9, 900)]
+    folder = tables(spark, texts, "pipeline-brute")
+    labels = [(i, 1, 0) for i in range(len(texts))]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.mode("overwrite").parquet(f"{folder}/labels.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    held = dict(enumerate(texts))
+
+    def step(name, expected):
+        nonlocal docs
+        docs = corpus_pipeline.staged(stages[name](spark, docs, folder), name)
+        got = {r["doc_id"]: r["text"] for r in docs.collect()}
+        assert got == expected, name
+        return expected
+
+    held = step("quality_rules", {i: t for i, t in held.items() if not base_failed(t)})
+    order = sorted(held)
+    groups = test_jaccard_join.brute([held[i] for i in order])
+    held = step("ngram_jaccard_join", {i: held[i] for k, i in enumerate(order) if groups[k][1] == k})
+    before = len(held)
+    held = step(
+        "decontamination", {i: t for i, t in held.items() if not test_decontaminate.brute(t, [(0, item)])[3]}
+    )
+    assert before > len(held)
+    held = step("pii", {i: EMAIL.sub("<EMAIL>", t) for i, t in held.items()})
+    assert any("<EMAIL>" in t for t in held.values())
+    assert all(r["n_chars"] == len(r["text"]) for r in docs.where("text like '%<EMAIL>%'").collect())
+    step("source_mixing", held)
+    assert all(r["mixing"]["rate"] >= 0 for r in docs.collect())
+
+
 def test_queries_are_registered():
     names = list(__spark_entry__.queries())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1

@@ -17,14 +17,16 @@ from assay.session import shared_folder
 SLICE_BYTES = 2 * 1024 * 1024
 
 
-def staged(df: DataFrame, what: str) -> DataFrame:
+def staged(df: DataFrame, what: str, row_group: int | None = None) -> DataFrame:
     """Write ``df`` once in the shared folder and read it back.
 
-    The written table cuts lineage: after a lost executor its files are read again.
+    The written table cuts lineage: after a lost executor its files are read again. Where rows are
+    megabytes each, ``row_group`` bounds the bytes that writers and readers hold at once.
     """
     spark = df.sparkSession
     path = shared_folder(spark, "llm", f"{what}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    writer = df.write if row_group is None else df.write.option("parquet.block.size", row_group)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -56,13 +58,14 @@ def map_texts(
     text: str = "text",
     inputs: tuple[str, ...] = (),
     keep: tuple[str, ...] = (),
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """One row out for each row in: the columns ``keep``, then ``fields`` (DDL).
 
     ``make`` runs once per task and returns a function of a list of texts as UTF-8 bytes
     (None for null) and a list for each of ``inputs``; it returns one list or array (of numpy or
     Arrow) per field.
-    Texts reach it in slices of at most ``SLICE_BYTES``, never cut.
+    Texts reach it in slices of at most ``limit`` bytes, never cut.
     """
     added = schema_of(fields)
     source = df.select(
@@ -82,7 +85,7 @@ def map_texts(
         for batch in batches:
             texts = batch.column(n_keep + n_in)
             sizes = pc.binary_length(texts).fill_null(0).to_pylist()
-            for a, b in slices(sizes):
+            for a, b in slices(sizes, limit):
                 part = batch.slice(a, b - a)
                 made = call(
                     part.column(n_keep + n_in).to_pylist(),

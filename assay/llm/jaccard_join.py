@@ -14,8 +14,12 @@ Copies and hot shingles are never paired with each other in full:
 * at each shingle the documents of about one size are first paired with one of them only (a
   star), which a hash picks, in one of a few ways; a shingle too frequent for one task is salted,
   and the salts' stars are paired too;
-* only documents that verified links have not joined yet are paired in full afterwards, so no
-  link between components is lost, and links inside a component add nothing.
+* more rounds of stars follow at the shingles that still hold two components, each with leads of its
+  own choice; only rows and leads of different components are tried, so near copies that are linked
+  by some of their neighbours alone find one of them;
+* only documents that no verified link has joined by then are paired in full, so no link between
+  components is lost, and links inside a component add nothing. Such a pair is made only where the
+  suffix filter, here on parities of hash ranges, leaves room for it.
 """
 
 from __future__ import annotations
@@ -24,13 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.common import clear_name, keyed, map_texts, staged
+from assay.llm.common import clear_name, keyed, map_texts, slices, staged
 from assay.llm.components import components
 from assay.llm.hashing import SPACED_LOWER, Powers, hash_words, mix, windows
-from assay.llm.sketch import as_levels, count_values, from_levels
+from assay.llm.sketch import as_levels, count_values, from_levels, mean_count
 
 SHINGLE = 5
 # The threshold is THRESHOLD / 100.
@@ -46,9 +51,19 @@ SALT_ROWS = 50_000
 ORDERS = 8
 # Classes of equal sets, the largest ones, whose first row every task knows.
 KNOWN_CLASSES = 50_000
+# Rounds of stars between components, and the leads that each shingle has in one. What they leave
+# apart is paired in full, so this is a matter of cost alone.
+ROUNDS = 1
+LEADS = 4
 # Ranges of hashes that the suffix filter compares.
 RANGES = 64
-BITMAP_BITS = 24
+# Longs of parity bits for each set.
+PARITY_WORDS = 8
+# Slots of the bitmap of rows to verify for each pair, and the most, as a power of two.
+PAIR_SLOTS = 8
+BITMAP_BITS = (16, 24)
+# Bytes of text whose words are hashed together.
+SLICE_BYTES = 1024 * 1024
 
 
 def shingle_sets(texts: list[bytes | None], cache: Powers) -> tuple[np.ndarray, np.ndarray]:
@@ -91,13 +106,22 @@ def signatures(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     )
 
 
+def parities(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """For each set PARITY_WORDS longs of bits: whether an odd number of its shingles falls there."""
+    n, width = len(bounds) - 1, 64 * PARITY_WORDS
+    owner = np.repeat(np.arange(n), np.diff(bounds))
+    slots = (mix(hashes) % np.uint64(width)).astype(np.int64)
+    odd = (np.bincount(owner * width + slots, minlength=n * width) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(n, width), axis=1).view(np.int64)
+
+
 def _make_signatures():
     cache = Powers()
 
     def call(texts):
         hashes, bounds = shingle_sets(texts, cache)
         one, two = signatures(hashes, bounds)
-        return {"size": np.diff(bounds), "s1": one, "s2": two}
+        return {"size": np.diff(bounds), "s1": one, "s2": two, "parity": list(parities(hashes, bounds))}
 
     return call
 
@@ -106,11 +130,9 @@ def _make_values():
     cache = Powers()
 
     def call(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        from assay.llm.common import slices
-
-        texts = batch.column(0).to_pylist()
-        for a, b in slices([len(t or b"") for t in texts]):
-            yield shingle_sets(texts[a:b], cache)[0]
+        sizes = pc.binary_length(batch.column(0)).fill_null(0).to_pylist()
+        for a, b in slices(sizes, SLICE_BYTES):
+            yield shingle_sets(batch.column(0).slice(a, b - a).to_pylist(), cache)[0]
 
     return call
 
@@ -126,22 +148,35 @@ def index_prefix(n):
     return n - (2 * THRESHOLD * n + both - 1) // both + 1
 
 
+def _first_rows(known: np.ndarray, one, two, sizes, rows) -> np.ndarray:
+    """The first row of each set's class, of those known, else the row itself."""
+    if not len(known):
+        return rows
+    at = np.minimum(np.searchsorted(known["s1"], one), len(known) - 1)
+    found = known[at]
+    same = (found["s1"] == one) & (found["s2"] == two) & (found["size"] == sizes)
+    return np.where(same, found["first"], rows)
+
+
+_CLASS = [("s1", "<i8"), ("s2", "<i8"), ("size", "<i8"), ("first", "<i8")]
+
+
 def _make_prefixes(shared):
     def make():
-        sketch, first_of = shared.value
+        sketch, mean, known = shared.value
         cache, seen = Powers(), set()
         times = from_levels(np.arange(256)).astype(np.int64)
-        mean = int(times[sketch].mean())
 
         def call(texts, rows):
             hashes, bounds = shingle_sets(texts, cache)
             one, two = signatures(hashes, bounds)
             counts = sketch[(hashes & np.uint64(len(sketch) - 1)).astype(np.int64)]
             out = {"size": np.diff(bounds), "tokens": [], "salts": []}
+            first = _first_rows(known, one, two, np.diff(bounds), np.array(rows, np.int64))
             for i, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
                 mark = (int(one[i]), int(two[i]), int(b - a))
                 # No set, or an equal one is sent: by its class, or by this task already.
-                if a == b or first_of.get(mark, rows[i]) != rows[i] or mark in seen:
+                if a == b or first[i] != rows[i] or mark in seen:
                     out["tokens"].append([])
                     out["salts"].append([])
                     continue
@@ -158,13 +193,17 @@ def _make_prefixes(shared):
     return make
 
 
-_MET = "token long, salt int, row long, size int, pos int, lead_row long, lead_size int, lead_pos int"
+_MET = (
+    "token long, salt int, row long, size int, pos int, component long, "
+    "lead_row long, lead_size int, lead_pos int, lead_component long"
+)
+_OF_LEAD = ("row", "size", "pos", "component")
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by (token, salt, level) and their order. Each row of a token that two rows
     or a salt share gets the first row of its token, salt and level of size as its lead."""
-    names = ("token", "salt", "level", "row", "size", "pos")
+    names = ("token", "salt", "level", *_OF_LEAD)
     held = {n: np.zeros(0, np.int64) for n in names}  # the last row, if alone so far
     lead = None  # token, salt, class, row, size, pos of the current lead
     many = False  # whether the current token has been sent a row of
@@ -192,7 +231,7 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = np.maximum.accumulate(np.where(begins, np.arange(n), -1))
         leads = {
             f: np.where(at >= 0, now[f][np.maximum(at, 0)], lead[3 + j] if lead else 0)
-            for j, f in enumerate(("row", "size", "pos"))
+            for j, f in enumerate(_OF_LEAD)
         }
         last_alone = rows_of[-1] == 1 and not shared[-1]
         send = shared[which]
@@ -204,27 +243,29 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(now["row"][send], pa.int64()),
                     pa.array(now["size"][send].astype(np.int32)),
                     pa.array(now["pos"][send].astype(np.int32)),
+                    pa.array(now["component"][send], pa.int64()),
                     pa.array(leads["row"][send], pa.int64()),
                     pa.array(leads["size"][send].astype(np.int32)),
                     pa.array(leads["pos"][send].astype(np.int32)),
+                    pa.array(leads["component"][send], pa.int64()),
                 ],
                 names=[f.split()[0] for f in _MET.split(", ")],
             )
-        lead = (now["token"][-1], now["salt"][-1], kind[-1], *(leads[f][-1] for f in ("row", "size", "pos")))
+        lead = (now["token"][-1], now["salt"][-1], kind[-1], *(leads[f][-1] for f in _OF_LEAD))
         many = bool(shared[-1])
         held = {f: now[f][-1:] if last_alone else now[f][:0] for f in names}
 
 
-def level_of(size: Column) -> Column:
+def level_of(size: Column, shift: float = 0.0) -> Column:
     """Class of sizes: sizes that can link are in one class or in neighbouring ones."""
-    return F.floor(F.log(size) / F.log(F.lit(100 / THRESHOLD)) + F.lit(1e-9)).cast("int")
+    return F.floor(F.log(size) / F.log(F.lit(100 / THRESHOLD)) + F.lit(shift + 1e-9)).cast("int")
 
 
-def meet(prefixes: DataFrame) -> DataFrame:
-    """Rows (token, salt, row, size, pos) that share their token, each with a lead."""
-    order = F.xxhash64("row", F.pmod("token", F.lit(ORDERS)))
+def meet(prefixes: DataFrame, order: Column, shift: float = 0.0) -> DataFrame:
+    """Rows (token, salt, row, size, pos, component) that share their token, each with a lead: the
+    first by ``order`` of its token, salt and class of sizes."""
     return (
-        prefixes.select("token", "salt", level_of(F.col("size")).alias("level"), "row", "size", "pos")
+        prefixes.select("token", "salt", level_of(F.col("size"), shift).alias("level"), *_OF_LEAD)
         .repartition("token", "salt")
         .sortWithinPartitions("token", "salt", "level", order)
         .mapInArrow(_stars, _MET)
@@ -243,6 +284,18 @@ def may_link(size_a: Column, pos_a: Column, size_b: Column, pos_b: Column) -> Co
     )
 
 
+def may_be_alike(size_a: Column, parity_a: Column, size_b: Column, parity_b: Column) -> Column:
+    """Whether the sets' parities leave room for enough common shingles.
+
+    Shingles of both sets cancel out, so at least as many are in one of them alone as bits differ.
+    """
+    wanted = F.ceil(F.lit(THRESHOLD) * (size_a + size_b) / F.lit(100 + THRESHOLD) - F.lit(1e-9))
+    apart = F.lit(0)
+    for i in range(PARITY_WORDS):
+        apart = apart + F.bit_count(F.get(parity_a, F.lit(i)).bitwiseXOR(F.get(parity_b, F.lit(i))))
+    return apart <= size_a + size_b - 2 * wanted
+
+
 def _make_sets(shared):
     def make():
         cache, wanted = Powers(), shared.value
@@ -299,12 +352,19 @@ def verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) that link, each verified once. ``rows`` is (row, body)."""
     spark = rows.sparkSession
     both = pairs.select(F.col("a").alias("row")).union(pairs.select("b"))
-    # A bitmap of fixed size picks the rows whose sets are made; the joins settle the rest.
-    bitmap = count_values(both, lambda: _marks_of, BITMAP_BITS) > 0
+    # A bitmap picks the rows whose sets are made; the joins settle the rest.
+    bits = (PAIR_SLOTS * pairs.count()).bit_length()
+    bitmap = count_values(both, lambda: _marks_of, min(max(bits, BITMAP_BITS[0]), BITMAP_BITS[1])) > 0
     shared = spark.sparkContext.broadcast(bitmap)
     sets = staged(
         map_texts(
-            rows, _make_sets(shared), "set binary, ranges binary", text="body", inputs=("row",), keep=("row",)
+            rows,
+            _make_sets(shared),
+            "set binary, ranges binary",
+            text="body",
+            inputs=("row",),
+            keep=("row",),
+            limit=SLICE_BYTES,
         ).where(F.col("set").isNotNull()),
         "sets",
     )
@@ -318,6 +378,69 @@ def verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     return staged(beside(roomy, "set").mapInArrow(_verify, "a long, b long"), "linked")
 
 
+def star_pairs(met: DataFrame, order: Column, shift: float = 0.0) -> DataFrame:
+    """Distinct pairs (a, b) of rows and leads of different components that pass the filters; a is the
+    smaller. The leads of one token's salts meet as well."""
+    leads = met.where("salt > 0 and row = lead_row").select("token", F.lit(0).alias("salt"), *_OF_LEAD)
+    led = met.unionByName(meet(leads, order, shift))
+    first = F.struct("lead_size", "lead_row") < F.struct("size", "row")
+
+    def side(mine: bool, name: str) -> Column:
+        return F.when(first if mine else ~first, F.col(f"lead_{name}")).otherwise(F.col(name))
+
+    return (
+        led.where("row <> lead_row and component <> lead_component")
+        .where(may_link(side(True, "size"), side(True, "pos"), side(False, "size"), side(False, "pos")))
+        .select(side(True, "row").alias("a"), side(False, "row").alias("b"))
+        .distinct()
+    )
+
+
+def as_links(joined: DataFrame) -> DataFrame:
+    return joined.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+
+
+def still_apart(met: DataFrame, joined: DataFrame) -> DataFrame:
+    """Rows (token, salt, row, size, pos, component) at tokens that rows of two components share."""
+    placed = met.join(joined, met["row"] == joined["node"], "left").select(
+        "token", "salt", "row", "size", "pos", F.coalesce("component", "row").alias("component")
+    )
+    mixed = (
+        placed.groupBy("token")
+        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        .where("least <> most")
+        .select("token")
+    )
+    return placed.join(mixed, "token")
+
+
+def crossing_pairs(apart: DataFrame, signed: DataFrame) -> DataFrame:
+    """All distinct pairs (a, b) of rows of different components that share a token of their prefixes
+    and pass the filters, that of parities among them."""
+    rows = apart.join(signed.select("row", "parity"), "row")
+    level = level_of(F.col("size"))
+    names = ("row", "size", "pos", "component", "parity")
+    one = rows.select(
+        "token",
+        F.explode(F.array(level, level + 1)).alias("level"),
+        *[F.col(c).alias(f"{c}_a") for c in names],
+    )
+    two = rows.select("token", level.alias("level"), *[F.col(c).alias(f"{c}_b") for c in names])
+    return (
+        one.join(
+            two,
+            (one["token"] == two["token"])
+            & (one["level"] == two["level"])
+            & (F.col("component_a") != F.col("component_b"))
+            & (F.struct("size_a", "row_a") < F.struct("size_b", "row_b"))
+            & may_link(F.col("size_a"), F.col("pos_a"), F.col("size_b"), F.col("pos_b"))
+            & may_be_alike(F.col("size_a"), F.col("parity_a"), F.col("size_b"), F.col("parity_b")),
+        )
+        .select(F.col("row_a").alias("a"), F.col("row_b").alias("b"))
+        .distinct()
+    )
+
+
 def join_similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id): one row for each row of ``documents``.
 
@@ -330,7 +453,14 @@ def join_similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text
     rows, numbered = keyed(documents, key, text)
     bodies = rows.select("row", "body")
     signed = staged(
-        map_texts(rows, _make_signatures, "size long, s1 long, s2 long", text="body", keep=("row", "key")),
+        map_texts(
+            rows,
+            _make_signatures,
+            "size long, s1 long, s2 long, parity array<long>",
+            text="body",
+            keep=("row", "key"),
+            limit=SLICE_BYTES,
+        ),
         "signatures",
     )
     filled = signed.where("size > 0")
@@ -342,10 +472,10 @@ def join_similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text
     )
     shingles = signed.agg(F.sum("size").alias("n")).first()["n"] or 0
     bits = min(max((shingles // SLOT_SHINGLES).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
-    sketch = count_values(rows.select(F.col("body").cast("binary").alias("t")), _make_values, bits)
+    levels = as_levels(count_values(rows.select(F.col("body").cast("binary").alias("t")), _make_values, bits))
     largest = classes.where("n > 1").orderBy(F.desc("n"), "first").limit(KNOWN_CLASSES).collect()
-    first_of = {(r["s1"], r["s2"], r["size"]): r["first"] for r in largest}
-    shared = spark.sparkContext.broadcast((as_levels(sketch), first_of))
+    known = np.array([(r["s1"], r["s2"], r["size"], r["first"]) for r in largest], _CLASS)
+    shared = spark.sparkContext.broadcast((levels, mean_count(levels), np.sort(known, order=["s1", "s2", "size"])))
     sent = map_texts(
         rows,
         _make_prefixes(shared),
@@ -353,77 +483,41 @@ def join_similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text
         text="body",
         inputs=("row",),
         keep=("row",),
+        limit=SLICE_BYTES,
     )
     prefixes = sent.select(
         "row", "size", F.posexplode(F.arrays_zip("tokens", "salts")).alias("pos", "at")
-    ).select(F.col("at.tokens").alias("token"), F.col("at.salts").alias("salt"), "row", "size", "pos")
-    met = staged(meet(prefixes), "met")
-    led = met.unionByName(
-        meet(
-            met.where("salt > 0 and row = lead_row").select(
-                "token", F.lit(0).alias("salt"), "row", "size", "pos"
-            )
-        )
+    ).select(
+        F.col("at.tokens").alias("token"),
+        F.col("at.salts").alias("salt"),
+        "row",
+        "size",
+        "pos",
+        F.col("row").alias("component"),
     )
-    # The smaller of a pair is a.
-    first = F.struct("lead_size", "lead_row") < F.struct("size", "row")
-
-    def side(mine: bool, lead: str, own: str) -> Column:
-        return F.when(first if mine else ~first, F.col(lead)).otherwise(F.col(own))
-
-    tried = staged(
-        led.where("row <> lead_row")
-        .where(
-            may_link(
-                side(True, "lead_size", "size"), side(True, "lead_pos", "pos"),
-                side(False, "lead_size", "size"), side(False, "lead_pos", "pos"),
-            )
-        )
-        .select(side(True, "lead_row", "row").alias("a"), side(False, "lead_row", "row").alias("b"))
-        .distinct(),
-        "stars",
-    )
+    met = staged(meet(prefixes, F.xxhash64("row", F.pmod("token", F.lit(ORDERS)))), "met")
+    met_once = met.select("token", "salt", "row", "size", "pos")
+    tried = staged(star_pairs(met, F.xxhash64("row", F.pmod("token", F.lit(ORDERS)))), "stars")
     links = verified(bodies, tried).union(copies)
-    # What the stars left apart: pairs of different components that share a shingle.
     joined = components(links)
-    placed = met.join(joined, met["row"] == joined["node"], "left").select(
-        "token", "row", "size", "pos", F.coalesce("component", "row").alias("component")
-    )
-    mixed = (
-        placed.groupBy("token")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        .where("least <> most")
-        .select("token")
-    )
-    apart = staged(placed.join(mixed, "token"), "apart")
-    level = level_of(F.col("size"))
-    one = apart.select(
-        "token",
-        F.explode(F.array(level, level + 1)).alias("level"),
-        *[F.col(c).alias(f"{c}_a") for c in ("row", "size", "pos", "component")],
-    )
-    two = apart.select(
-        "token",
-        level.alias("level"),
-        *[F.col(c).alias(f"{c}_b") for c in ("row", "size", "pos", "component")],
-    )
-    ordered = F.struct("size_a", "row_a") < F.struct("size_b", "row_b")
-    crossing = staged(
-        one.join(
-            two,
-            (one["token"] == two["token"])
-            & (one["level"] == two["level"])
-            & (F.col("component_a") != F.col("component_b"))
-            & ordered
-            & may_link(F.col("size_a"), F.col("pos_a"), F.col("size_b"), F.col("pos_b")),
+    # Rounds of stars at what is left apart, then all pairs of what they leave.
+    apart = staged(still_apart(met_once, joined), "apart")
+    for turn in range(ROUNDS):
+        # Each lead of a shingle has a token of its own, and sizes fall into classes anew.
+        led = F.explode(F.array(*[F.xxhash64("token", F.lit(turn * LEADS + i)) for i in range(LEADS)]))
+        order, shift = F.xxhash64("row", "token"), turn / ROUNDS
+        turned = apart.withColumn("token", led)
+        pairs = staged(
+            star_pairs(meet(turned, order, shift), order, shift).join(tried, ["a", "b"], "left_anti"), "stars"
         )
-        .select(F.col("row_a").alias("a"), F.col("row_b").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti"),
-        "crossing",
-    )
+        if pairs.isEmpty():
+            break
+        tried = tried.union(pairs)
+        joined = components(as_links(joined).union(verified(bodies, pairs)))
+        apart = staged(still_apart(apart.drop("component"), joined), "apart")
+    crossing = staged(crossing_pairs(apart, signed).join(tried, ["a", "b"], "left_anti"), "crossing")
     if not crossing.isEmpty():
-        joined = components(links.union(verified(bodies, crossing)))
+        joined = components(as_links(joined).union(verified(bodies, crossing)))
     result = signed.join(joined, signed["row"] == joined["node"], "left").select(
         "key", "size", F.coalesce("component", "row").alias("component")
     )

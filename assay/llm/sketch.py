@@ -94,5 +94,10 @@ def as_levels(counts: np.ndarray) -> np.ndarray:
     return np.round(8 * np.log2(1.0 + counts)).astype(np.uint8)
 
 
+def mean_count(levels: np.ndarray) -> int:
+    """Mean of the counts that ``levels`` stand for, from how often each level occurs."""
+    return int(np.bincount(levels, minlength=256) @ from_levels(np.arange(256)) / max(len(levels), 1))
+
+
 def from_levels(levels: np.ndarray) -> np.ndarray:
     return np.exp2(levels / 8) - 1

@@ -4,8 +4,8 @@ Shingles are ordered rare first: by a count sketch over all documents, then by h
 of Jaccard similarity t share a shingle in their prefixes under any such order, so a document
 sends only the shingles of its prefix to the join (shorter documents of a pair a still shorter
 one). Where two documents meet at a shingle, the length filter compares their sizes and the
-positional filter what can follow in both; the suffix filter then compares how their remaining
-shingles fall into ranges of hashes. What passes is verified once, on the whole sets.
+positional filter what can follow in both; the suffix filter then compares how their shingles fall
+into ranges of hashes, by the parity of each range. What passes is verified once, on the whole sets.
 
 Copies and hot shingles are never paired with each other in full:
 
@@ -19,7 +19,7 @@ Copies and hot shingles are never paired with each other in full:
   by some of their neighbours alone find one of them;
 * only documents that no verified link has joined by then are paired in full, so no link between
   components is lost, and links inside a component add nothing. Such a pair is made only where the
-  suffix filter, here on parities of hash ranges, leaves room for it.
+  suffix filter leaves room for it.
 """
 
 from __future__ import annotations
@@ -55,9 +55,7 @@ KNOWN_CLASSES = 50_000
 # apart is paired in full, so this is a matter of cost alone.
 ROUNDS = 1
 LEADS = 4
-# Ranges of hashes that the suffix filter compares.
-RANGES = 64
-# Longs of parity bits for each set.
+# Longs of parity bits for each set: 512 ranges of hashes that the suffix filter compares.
 PARITY_WORDS = 8
 # Slots of the bitmap of rows to verify for each pair, and the most, as a power of two.
 PAIR_SLOTS = 8
@@ -193,11 +191,8 @@ def _make_prefixes(shared):
     return make
 
 
-_MET = (
-    "token long, salt int, row long, size int, pos int, component long, "
-    "lead_row long, lead_size int, lead_pos int, lead_component long"
-)
-_OF_LEAD = ("row", "size", "pos", "component")
+_MET = "token long, salt int, row long, size int, pos int, lead_row long, lead_size int, lead_pos int"
+_OF_LEAD = ("row", "size", "pos")
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,11 +238,9 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(now["row"][send], pa.int64()),
                     pa.array(now["size"][send].astype(np.int32)),
                     pa.array(now["pos"][send].astype(np.int32)),
-                    pa.array(now["component"][send], pa.int64()),
                     pa.array(leads["row"][send], pa.int64()),
                     pa.array(leads["size"][send].astype(np.int32)),
                     pa.array(leads["pos"][send].astype(np.int32)),
-                    pa.array(leads["component"][send], pa.int64()),
                 ],
                 names=[f.split()[0] for f in _MET.split(", ")],
             )
@@ -262,8 +255,8 @@ def level_of(size: Column, shift: float = 0.0) -> Column:
 
 
 def meet(prefixes: DataFrame, order: Column, shift: float = 0.0) -> DataFrame:
-    """Rows (token, salt, row, size, pos, component) that share their token, each with a lead: the
-    first by ``order`` of its token, salt and class of sizes."""
+    """Rows (token, salt, row, size, pos) that share their token, each with a lead: the first by
+    ``order`` of its token, salt and class of sizes."""
     return (
         prefixes.select("token", "salt", level_of(F.col("size"), shift).alias("level"), *_OF_LEAD)
         .repartition("token", "salt")
@@ -304,13 +297,8 @@ def _make_sets(shared):
             marks = mix(np.array(rows, np.int64).view(np.uint64)) & np.uint64(len(wanted) - 1)
             hit = wanted[marks.astype(np.int64)]
             hashes, bounds = shingle_sets([t if h else None for t, h in zip(texts, hit, strict=True)], cache)
-            out = {"set": [], "ranges": []}
-            for a, b in zip(bounds, bounds[1:], strict=False):
-                own = hashes[a:b]
-                out["set"].append(own.tobytes() if b > a else None)
-                counts = np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=RANGES)
-                out["ranges"].append(counts.astype(np.uint32).tobytes() if b > a else None)
-            return out
+            own = [hashes[a:b].tobytes() if b > a else None for a, b in zip(bounds, bounds[1:], strict=False)]
+            return {"set": own}
 
         return call
 
@@ -325,19 +313,6 @@ def _needed(a: int, b: int) -> int:
     return -(-THRESHOLD * (a + b) // (100 + THRESHOLD))
 
 
-def _suffix_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose ranges leave room for enough common shingles."""
-    for batch in batches:
-        if batch.num_rows:
-            x, y = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, RANGES).astype(np.int64)
-                for c in ("ranges_a", "ranges_b")
-            )
-            room = np.minimum(x, y).sum(axis=1)
-            keep = room * (100 + THRESHOLD) >= THRESHOLD * (x.sum(axis=1) + y.sum(axis=1))
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -348,39 +323,40 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, each verified once. ``rows`` is (row, body)."""
+def verified(rows: DataFrame, signed: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link, each verified once. ``rows`` is (row, body); ``signed`` has sizes
+    and parities, by which most pairs that cannot link go before any set is made."""
     spark = rows.sparkSession
-    both = pairs.select(F.col("a").alias("row")).union(pairs.select("b"))
+
+    def beside(df: DataFrame, other: DataFrame, *names: str) -> DataFrame:
+        for side in ("a", "b"):
+            named = [F.col(n).alias(f"{n}_{side}") for n in names]
+            df = df.join(other.select(F.col("row").alias(side), *named), side)
+        return df
+
+    alike = staged(
+        beside(pairs, signed, "size", "parity")
+        .where(may_be_alike(F.col("size_a"), F.col("parity_a"), F.col("size_b"), F.col("parity_b")))
+        .select("a", "b"),
+        "alike",
+    )
+    both = alike.select(F.col("a").alias("row")).union(alike.select("b"))
     # A bitmap picks the rows whose sets are made; the joins settle the rest.
-    bits = (PAIR_SLOTS * pairs.count()).bit_length()
+    bits = (PAIR_SLOTS * alike.count()).bit_length()
     bitmap = count_values(both, lambda: _marks_of, min(max(bits, BITMAP_BITS[0]), BITMAP_BITS[1])) > 0
     shared = spark.sparkContext.broadcast(bitmap)
     sets = staged(
         map_texts(
-            rows,
-            _make_sets(shared),
-            "set binary, ranges binary",
-            text="body",
-            inputs=("row",),
-            keep=("row",),
-            limit=SLICE_BYTES,
+            rows, _make_sets(shared), "set binary", text="body", inputs=("row",), keep=("row",), limit=SLICE_BYTES
         ).where(F.col("set").isNotNull()),
         "sets",
     )
-
-    def beside(df: DataFrame, what: str) -> DataFrame:
-        for side in ("a", "b"):
-            df = df.join(sets.select(F.col("row").alias(side), F.col(what).alias(f"{what}_{side}")), side)
-        return df
-
-    roomy = beside(pairs, "ranges").mapInArrow(_suffix_filter, "a long, b long")
-    return staged(beside(roomy, "set").mapInArrow(_verify, "a long, b long"), "linked")
+    return staged(beside(alike, sets, "set").mapInArrow(_verify, "a long, b long"), "linked")
 
 
 def star_pairs(met: DataFrame, order: Column, shift: float = 0.0) -> DataFrame:
-    """Distinct pairs (a, b) of rows and leads of different components that pass the filters; a is the
-    smaller. The leads of one token's salts meet as well."""
+    """Distinct pairs (a, b) of rows and their leads that pass the filters; a is the smaller. The leads
+    of one token's salts meet as well."""
     leads = met.where("salt > 0 and row = lead_row").select("token", F.lit(0).alias("salt"), *_OF_LEAD)
     led = met.unionByName(meet(leads, order, shift))
     first = F.struct("lead_size", "lead_row") < F.struct("size", "row")
@@ -389,13 +365,23 @@ def star_pairs(met: DataFrame, order: Column, shift: float = 0.0) -> DataFrame:
         return F.when(first if mine else ~first, F.col(f"lead_{name}")).otherwise(F.col(name))
 
     return (
-        led.where("row <> lead_row and component <> lead_component")
+        led.where("row <> lead_row")
         .where(may_link(side(True, "size"), side(True, "pos"), side(False, "size"), side(False, "pos")))
         .select(side(True, "row").alias("a"), side(False, "row").alias("b"))
         .distinct()
     )
 
 
+def apart_pairs(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs (a, b) of rows that no link has joined yet."""
+    for side in ("a", "b"):
+        named = joined.select(F.col("node").alias(side), F.col("component").alias(f"component_{side}"))
+        pairs = pairs.join(named, side, "left")
+    return pairs.where(
+        F.coalesce("component_a", "a") != F.coalesce("component_b", "b")
+    ).select("a", "b")
+
+
 def as_links(joined: DataFrame) -> DataFrame:
     return joined.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
 
@@ -493,12 +479,11 @@ def join_similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text
         "row",
         "size",
         "pos",
-        F.col("row").alias("component"),
     )
     met = staged(meet(prefixes, F.xxhash64("row", F.pmod("token", F.lit(ORDERS)))), "met")
     met_once = met.select("token", "salt", "row", "size", "pos")
     tried = staged(star_pairs(met, F.xxhash64("row", F.pmod("token", F.lit(ORDERS)))), "stars")
-    links = verified(bodies, tried).union(copies)
+    links = verified(bodies, signed, tried).union(copies)
     joined = components(links)
     # Rounds of stars at what is left apart, then all pairs of what they leave.
     apart = staged(still_apart(met_once, joined), "apart")
@@ -507,17 +492,16 @@ def join_similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text
         led = F.explode(F.array(*[F.xxhash64("token", F.lit(turn * LEADS + i)) for i in range(LEADS)]))
         order, shift = F.xxhash64("row", "token"), turn / ROUNDS
         turned = apart.withColumn("token", led)
-        pairs = staged(
-            star_pairs(meet(turned, order, shift), order, shift).join(tried, ["a", "b"], "left_anti"), "stars"
-        )
+        pairs = star_pairs(meet(turned, order, shift), order, shift).join(tried, ["a", "b"], "left_anti")
+        pairs = staged(apart_pairs(pairs, joined), "stars")
         if pairs.isEmpty():
             break
         tried = tried.union(pairs)
-        joined = components(as_links(joined).union(verified(bodies, pairs)))
+        joined = components(as_links(joined).union(verified(bodies, signed, pairs)))
         apart = staged(still_apart(apart.drop("component"), joined), "apart")
     crossing = staged(crossing_pairs(apart, signed).join(tried, ["a", "b"], "left_anti"), "crossing")
     if not crossing.isEmpty():
-        joined = components(as_links(joined).union(verified(bodies, crossing)))
+        joined = components(as_links(joined).union(verified(bodies, signed, crossing)))
     result = signed.join(joined, signed["row"] == joined["node"], "left").select(
         "key", "size", F.coalesce("component", "row").alias("component")
     )

@@ -22,8 +22,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,14 +37,20 @@ from pyspark.sql.types import ArrayType, StructField, StructType
 from assay.llm.common import slices, staged
 from assay.llm.token_counts import byte_alphabet
 
-# Bytes of text encoded together; a row of the written table holds the links of one such slice.
-SLICE_BYTES = 6 * 1024 * 1024
+# Bytes of text encoded together, and those whose links one row of the written table holds: larger
+# rows are dear to the JVM, smaller slices have more distinct chunks.
+SLICE_BYTES = 3 * 1024 * 1024
+ROW_BYTES = 512 * 1024
+# Bytes of a group of such rows in the written table.
+ROW_GROUP = 16 * 1024 * 1024
 # Pairs of ids in one block of counts: two arrays of eight bytes each in every task, 32 MB.
 BLOCK_PAIRS = 1 << 21
 # Pairs a task holds before it hands its counts on.
 HELD_PAIRS = 1 << 21
-# Bytes of distinct chunks that one call of a tokenizer takes as one text.
+# Bytes of distinct chunks that a tokenizer takes as one text, and such texts handed over at once: the
+# libraries' spans are objects, far larger than the arrays they are turned into.
 UNIT_BYTES = 16 * 1024
+UNITS_AT_ONCE = 8
 
 _SPACE = 0x20
 # First bytes, in UTF-8, of the characters above ASCII that are white space.
@@ -75,13 +83,13 @@ class TokenizerA:
                 self.bytes[i] = bytes(alphabet[c] for c in entry)
         self.sizes = np.fromiter(map(len, self.bytes), np.int64, len(self.bytes))
 
-    def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-        """(ids, tokens of each chunk, ends within the chunk, decoded chunks)."""
+    def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, tokens of each chunk, ends within the chunk, whether its tokens' bytes are the chunk's)."""
         texts = [c.decode() for c in chunks]
         found = self.library.encode_batch(texts, add_special_tokens=False)
         counts = np.fromiter((len(e) for e in found), np.int64, len(found))
-        ids = np.fromiter((i for e in found for i in e.ids), np.int64, counts.sum())
-        spans = np.array([s for e in found for s in e.offsets], np.int64).reshape(-1, 2)
+        ids = _numbers(e.ids for e in found)
+        spans = _numbers(chain.from_iterable(e.offsets) for e in found).reshape(-1, 2)
         # Where each character of the texts, laid one after another, begins in bytes.
         data = np.frombuffer(b"".join(chunks), np.uint8)
         begins = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
@@ -99,7 +107,7 @@ class TokenizerA:
         last = np.cumsum(counts) - 1
         split[last[counts > 0]] = False
         ends = np.where(split, decoded_ends, coarse)
-        return ids, counts, ends, _joined(self.bytes, ids, counts)
+        return ids, counts, ends, _same(self.bytes, ids, counts, chunks)
 
 
 class TokenizerB:
@@ -126,20 +134,20 @@ class TokenizerB:
         # Whether no piece goes on over a space.
         self.cut_at_spaces = not any("▁" in piece for piece in inside)
 
-    def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    def encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         texts = [c[1:].decode() for c in chunks]
         # The spans of the pieces, as the library's proto holds them, counted in bytes.
         found = self.library.encode(texts, return_type="offset_mapping", return_bytes=True, num_threads=1)
         counts = np.fromiter((len(f["ids"]) for f in found), np.int64, len(found))
-        ids = np.fromiter((i for f in found for i in f["ids"]), np.int64, counts.sum())
-        spans = np.array([s for f in found for s in f["offsets"]], np.int64).reshape(-1, 2)
+        ids = _numbers(f["ids"] for f in found)
+        spans = _numbers(chain.from_iterable(f["offsets"]) for f in found).reshape(-1, 2)
         decoded_ends = _running(self.sizes[ids], counts)
         coarse = spans[:, 1] + 1  # the space before the text
         # Byte fallback: all but the last byte of a character have an empty span. The first piece
         # may be the space alone, which has one too.
         split = spans[:, 1] <= spans[:, 0]
         ends = np.where(split, decoded_ends, coarse)
-        return ids, counts, ends, _joined(self.bytes, ids, counts)
+        return ids, counts, ends, _same(self.bytes, ids, counts, chunks)
 
 
 def _running(sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -150,10 +158,24 @@ def _running(sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return total - np.repeat(before, counts)
 
 
-def _joined(table: list[bytes], ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
-    parts = [table[i] for i in ids.tolist()]
+def _numbers(lists) -> np.ndarray:
+    return np.array(array("q", chain.from_iterable(lists)), np.int64)
+
+
+def _same(table: list[bytes], ids: np.ndarray, counts: np.ndarray, chunks: list[bytes]) -> np.ndarray:
+    """For each chunk, whether its tokens' bytes, one after another, are the chunk."""
+    parts = list(map(table.__getitem__, ids.tolist()))
+    sizes = _sums(np.fromiter(map(len, parts), np.int64, len(parts)), counts)
+    if b"".join(parts) == b"".join(chunks) and sizes.tolist() == list(map(len, chunks)):
+        return np.ones(len(chunks), bool)
     bounds = np.concatenate([[0], np.cumsum(counts)]).tolist()
-    return [b"".join(parts[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+    return np.array([b"".join(parts[a:b]) == c for a, b, c in zip(bounds, bounds[1:], chunks, strict=False)], bool)
+
+
+def _sums(sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    ends = np.cumsum(counts)
+    return total[ends] - total[ends - counts]
 
 
 class Aligner:
@@ -187,13 +209,14 @@ class Aligner:
         plain &= self.b.cut_at_spaces
         bad = np.zeros(len(chunks), bool)
         parts: tuple[list, ...] = ([], [], [], [])
-        pending = _units(plain, sizes)
-        while pending:
+        waiting = _units(plain, sizes)
+        while waiting:
+            pending, waiting = waiting[:UNITS_AT_ONCE], waiting[UNITS_AT_ONCE:]
             units = [b"".join(chunks[i:j]) for i, j in pending]
             first = base[[i for i, _ in pending]]
-            ids_a, n_a, ends_a, text_a = self.a.encode(units)
-            ids_b, n_b, ends_b, text_b = self.b.encode(units)
-            same = np.array([x == y == z for x, y, z in zip(text_a, text_b, units, strict=True)], bool)
+            ids_a, n_a, ends_a, same_a = self.a.encode(units)
+            ids_b, n_b, ends_b, same_b = self.b.encode(units)
+            same = same_a & same_b
             for k, (ids, counts, ends) in enumerate(((ids_a, n_a, ends_a), (ids_b, n_b, ends_b))):
                 keep = np.repeat(same, counts)
                 parts[2 * k].append(ids[keep])
@@ -201,7 +224,7 @@ class Aligner:
             again = [unit for unit, whole in zip(pending, same, strict=True) if not whole]
             for i, j in again:
                 bad[i] |= j == i + 1
-            pending = [(k, k + 1) for i, j in again if j > i + 1 for k in range(i, j)]
+            waiting = [(k, k + 1) for i, j in again if j > i + 1 for k in range(i, j)] + waiting
         ids_a, end_a, ids_b, end_b = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in parts)
         order_a, order_b = np.argsort(end_a), np.argsort(end_b)
         ids_a, end_a, ids_b, end_b = ids_a[order_a], end_a[order_a], ids_b[order_b], end_b[order_b]
@@ -274,16 +297,16 @@ def _units(plain: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _gather(bounds: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places of the items of the runs ``which``, the run each comes from)."""
-    sizes = (bounds[1:] - bounds[:-1])[which]
-    owner = np.repeat(np.arange(len(which)), sizes)
-    first = np.repeat(bounds[:-1][which] - (np.cumsum(sizes) - sizes), sizes)
-    return first + np.arange(len(owner)), owner
+def _gather(bounds: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Places of the items of the runs ``which``."""
+    first = bounds[which]
+    sizes = bounds[which + 1] - first
+    shift = np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
+    return shift + np.arange(len(shift))
 
 
 def align_slice(texts: list[bytes | None], aligner: Aligner) -> dict[str, object]:
-    """The digests of each text and, for the slice, its chunks' pairs and each text's chunks."""
+    """The digests of each text, its chunks, and the pairs of each chunk of the slice."""
     n = len(texts)
     spaced = [b" " + t for t in texts if t]
     lengths = np.fromiter(map(len, spaced), np.int64, len(spaced))
@@ -292,10 +315,10 @@ def align_slice(texts: list[bytes | None], aligner: Aligner) -> dict[str, object
     data = np.frombuffer(joined, np.uint8)
     begin = aligner.chunk_starts(data, starts) if len(spaced) else np.zeros(0, np.int64)
     offsets = np.append(begin, len(data)).astype(np.int64)
-    array = pa.LargeBinaryArray.from_buffers(
+    cut = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(joined)]
     )
-    encoded = pc.dictionary_encode(array)
+    encoded = pc.dictionary_encode(cut)
     which = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     chunks = aligner.align(encoded.dictionary.to_pylist())
     bounds = np.append(np.searchsorted(begin, starts), len(begin))
@@ -318,17 +341,26 @@ def align_slice(texts: list[bytes | None], aligner: Aligner) -> dict[str, object
         if fine:
             spelled = b"".join([words[c] for c in listed[a:b]])
             out["groups_sha256"][i] = hashlib.sha256(spelled[:-1]).hexdigest()
-    codes, at_code = np.unique(chunks.pairs, return_inverse=True)
     sizes = np.zeros(n, np.int64)
     sizes[place] = np.where(whole, np.diff(bounds), 0)
-    packed = {
-        "codes": codes,
-        "at_code": at_code,
-        "pair_bounds": np.concatenate([[0], np.cumsum(chunks.n_links)]),
-        "chunks": which[np.repeat(whole, np.diff(bounds))],
-        "chunk_counts": sizes,
+    out["chunk_counts"] = sizes
+    out["chunks"] = which[np.repeat(whole, np.diff(bounds))]
+    out["pairs"], out["pair_bounds"] = chunks.pairs, np.concatenate([[0], np.cumsum(chunks.n_links)])
+    return out
+
+
+def packed(made: dict, a: int, b: int) -> dict[str, bytes]:
+    """The chunks of texts a to b of a slice and the pairs of these chunks, numbered anew."""
+    ends = np.cumsum(made["chunk_counts"])
+    own = made["chunks"][ends[a] - made["chunk_counts"][a] : ends[b - 1]]
+    distinct, chunks = np.unique(own, return_inverse=True)
+    places = _gather(made["pair_bounds"], distinct)
+    codes, at_code = np.unique(made["pairs"][places], return_inverse=True)
+    sizes = np.diff(made["pair_bounds"])[distinct]
+    values = (codes, at_code, np.concatenate([[0], np.cumsum(sizes)]), chunks, made["chunk_counts"][a:b])
+    return {
+        name: value.astype(_KIND.get(name, "<i4")).tobytes() for name, value in zip(_PACKED, values, strict=True)
     }
-    return out | {name: values.astype(_KIND.get(name, "<i4")).tobytes() for name, values in packed.items()}
 
 
 _DIGESTS = ("n_a", "n_b", "n_groups", "n_links")
@@ -340,17 +372,23 @@ def _unpacked(row: dict) -> tuple[np.ndarray, ...]:
     return tuple(np.frombuffer(row[name], _KIND.get(name, "<i4")).astype(np.int64) for name in _PACKED)
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows one by one, as each is a slice of texts."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _documents_of_pairs(row: dict) -> tuple[np.ndarray, np.ndarray]:
     """(codes, texts of the slice that hold each)."""
     codes, at_code, bounds, chunks, counts = _unpacked(row)
-    owner = np.repeat(np.arange(len(counts)), counts)
-    # Each chunk once in a text, then each pair once.
-    n_chunks = max(len(bounds) - 1, 1)
-    once = np.unique(owner * n_chunks + chunks)
-    places, run = _gather(bounds, once % n_chunks)
-    width = max(len(codes), 1)
-    held = np.unique((once // n_chunks)[run] * width + at_code[places])
-    return codes, np.bincount(held % width, minlength=len(codes))
+    held = np.zeros(len(codes), np.int64)
+    ends = np.cumsum(counts)
+    for start, end in zip((ends - counts).tolist(), ends.tolist(), strict=True):
+        if end > start:
+            # Each chunk once in a text, then each pair once.
+            places = _gather(bounds, np.unique(chunks[start:end]))
+            held[np.unique(at_code[places])] += 1
+    return codes, held
 
 
 def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,7 +414,7 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             codes, counts = _documents_of_pairs(row)
             held.append((codes[counts > 0], counts[counts > 0]))
             size += len(codes)
@@ -397,7 +435,7 @@ def _sum_links(shared):
         known, counts, best = shared.value
         for batch in batches:
             out = {"sums": [], "bests": []}
-            for row in batch.select([*_PACKED, "sums", "bests"]).to_pylist():
+            for row in _rows(batch.select([*_PACKED, "sums", "bests"])):
                 codes, at_code, bounds, chunks, sizes = _unpacked(row)
                 at = np.minimum(np.searchsorted(known, codes), max(len(known) - 1, 0))
                 here = known[at] == codes if len(known) else np.zeros(len(codes), bool)
@@ -454,9 +492,9 @@ def align_tokens(
     listed = [StructField(h, ArrayType(source.schema[h].dataType)) for h in hidden]
     sums = "sums array<long>, bests array<long>"
     plain = ", ".join(f"{name} array<long>" for name in _DIGESTS)
-    packed = ", ".join(f"{name} binary" for name in _PACKED)
+    binary = ", ".join(f"{name} binary" for name in _PACKED)
     schema = StructType(
-        listed + StructType.fromDDL(f"{plain}, groups_sha256 array<string>, {packed}, {sums}").fields
+        listed + StructType.fromDDL(f"{plain}, groups_sha256 array<string>, {binary}, {sums}").fields
     )
     n_keep = len(hidden)
 
@@ -469,13 +507,15 @@ def align_tokens(
             for a, b in slices(sizes, SLICE_BYTES):
                 part = batch.slice(a, b - a)
                 made = align_slice(part.column(n_keep).to_pylist(), aligner)
-                made |= {"sums": [0] * (b - a), "bests": [0] * (b - a)}
-                one = [pa.array([0, b - a], pa.int32())]
-                columns = [pa.ListArray.from_arrays(one[0], part.column(j)) for j in range(n_keep)]
-                columns += [pa.array([made[f.name]], f.type) for f in list(target)[n_keep:]]
-                yield pa.RecordBatch.from_arrays(columns, schema=target)
-
-    aligned = staged(source.mapInArrow(encode, schema), "aligned")
+                for c, d in slices(sizes[a:b], ROW_BYTES):
+                    row = packed(made, c, d) | {"sums": [0] * (d - c), "bests": [0] * (d - c)}
+                    row |= {name: made[name][c:d] for name in (*_DIGESTS, "groups_sha256")}
+                    whole = pa.array([0, d - c], pa.int32())
+                    columns = [pa.ListArray.from_arrays(whole, part.column(j).slice(c, d - c)) for j in range(n_keep)]
+                    columns += [pa.array([row[f.name]], f.type) for f in list(target)[n_keep:]]
+                    yield pa.RecordBatch.from_arrays(columns, schema=target)
+
+    aligned = staged(source.mapInArrow(encode, schema), "aligned", ROW_GROUP)
     pairs = staged(pair_counts(aligned), "pair-counts")
     n_blocks = max(1, -(-pairs.count() // block_pairs))
     block = F.pmod(F.xxhash64("a", "b"), F.lit(n_blocks))
@@ -487,7 +527,7 @@ def align_tokens(
         shared = spark.sparkContext.broadcast((codes[order], found["n"].to_numpy()[order], best[order]))
         aligned = aligned.mapInArrow(_sum_links(shared), schema)
         if i + 1 < n_blocks:
-            aligned = staged(aligned, "aligned")
+            aligned = staged(aligned, "aligned", ROW_GROUP)
     columns = [*hidden, *_DIGESTS, "bests", "sums", "groups_sha256"]
     each = aligned.select(F.explode(F.arrays_zip(*columns)).alias("row"))
     names = {"bests": "n_best", "sums": "count_sum"}

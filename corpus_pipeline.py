@@ -57,7 +57,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ]
 
 # Learned rules, components and fitted rates have no SQL form; tests hold each stage against a
-# brute-force version.
+# brute-force version, the learned rules and rates where nothing is to be learned.
 ORACLE_SQL = None
 
 

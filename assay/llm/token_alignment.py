@@ -7,7 +7,8 @@ character. Such ends are refined with the decoded bytes of the tokens.
 
 Neither tokenizer merges across a space that stands before a visible character and after anything
 but a space, so texts are cut there into chunks and each distinct chunk of a slice is encoded once,
-many of them in one go.
+many of them in one go. A task remembers chunks, so those that later slices hold again are not
+encoded again; when its memory is full, what was not met again is forgotten.
 Ends of both over the bytes of all distinct chunks, laid one after another, are then merged in
 whole-array steps: where both end, a group ends; between two neighbouring ends lies exactly one
 overlapping pair, a link.
@@ -38,9 +39,12 @@ from assay.llm.common import slices, staged
 from assay.llm.token_counts import byte_alphabet
 
 # Bytes of text encoded together, and those whose links one row of the written table holds: larger
-# rows are dear to the JVM, smaller slices have more distinct chunks.
-SLICE_BYTES = 3 * 1024 * 1024
+# rows are dear to the JVM, larger slices to Python.
+SLICE_BYTES = 1024 * 1024
 ROW_BYTES = 512 * 1024
+# Chunks a task remembers, at most, and bytes of one that is remembered.
+MEMORY = 200_000
+REMEMBERED_BYTES = 64
 # Bytes of a group of such rows in the written table.
 ROW_GROUP = 16 * 1024 * 1024
 # Pairs of ids in one block of counts: two arrays of eight bytes each in every task, 32 MB.
@@ -189,6 +193,39 @@ class Aligner:
         # Ids as digits, with room for what follows one.
         self.digits = np.frombuffer(b"".join(d.ljust(width, b"\0") for d in spelled), np.uint8).reshape(-1, width)
         self.n_digits = np.fromiter(map(len, spelled), np.int64, most)
+        self.place: dict[bytes, int] = {}  # of remembered chunks in ``known``
+        self.known = self.align([])
+        self.again = np.zeros(0, bool)  # whether a later slice held the chunk too
+
+    def remember(self, chunks: list[bytes]) -> tuple["Aligned", np.ndarray]:
+        """What aligning chunks gives, among others, and the place there of each; distinct chunks come in."""
+        if len(self.place) + len(chunks) > MEMORY:
+            self.forget()
+        at = np.fromiter((self.place.get(c, -1) for c in chunks), np.int64, len(chunks))
+        new = np.flatnonzero(at < 0)
+        self.again[at[at >= 0]] = True
+        at[new] = len(self.again) + np.arange(len(new))
+        fresh = [chunks[i] for i in new.tolist()]
+        known = self.known.and_more(self.align(fresh))
+        # Long chunks hardly come again and would fill the memory.
+        short = np.flatnonzero(np.fromiter(map(len, fresh), np.int64, len(fresh)) <= REMEMBERED_BYTES)
+        if len(short) == len(fresh):
+            self.known, self.again = known, np.append(self.again, np.zeros(len(new), bool))
+            self.place.update(zip(fresh, at[new].tolist(), strict=True))
+        else:
+            first = len(self.again)
+            self.known = known.only(np.append(np.arange(first), first + short))
+            self.again = np.append(self.again, np.zeros(len(short), bool))
+            self.place.update(zip([fresh[i] for i in short.tolist()], range(first, first + len(short)), strict=True))
+        return known, at
+
+    def forget(self) -> None:
+        """Keeps the chunks that came again since the last time, if these leave room for others."""
+        kept = np.flatnonzero(self.again)
+        kept = kept if len(kept) <= MEMORY // 2 else kept[:0]
+        old = list(self.place)
+        self.place = {old[i]: k for k, i in enumerate(kept.tolist())}
+        self.known, self.again = self.known.only(kept), np.zeros(len(kept), bool)
 
     def chunk_starts(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Starts of the chunks of texts that begin (with their space) at ``starts``."""
@@ -233,13 +270,14 @@ class Aligner:
         def per_chunk(ends):
             return np.diff(np.searchsorted(ends, edges, side="right"))
 
-        every = np.union1d(end_a, end_b)
+        cuts = end_a[np.isin(end_a, end_b, assume_unique=True, kind="table" if len(end_b) else None)]
+        every = np.sort(np.concatenate([end_a, end_b]), kind="stable")
+        every = every[np.append(True, every[1:] != every[:-1])[: len(every)]]
         pairs = ids_a[np.searchsorted(end_a, every)] << 32 | ids_b[np.searchsorted(end_b, every)]
-        cuts = np.intersect1d(end_a, end_b, assume_unique=True)
-        words, word_bounds = self._spelled(ids_a, end_a, ids_b, end_b, cuts, edges)
-        return Aligned(
-            bad, per_chunk(end_a), per_chunk(end_b), per_chunk(cuts), per_chunk(every), pairs, words, word_bounds
-        )
+        words, bounds = self._spelled(ids_a, end_a, ids_b, end_b, cuts, edges)
+        at = bounds.tolist()
+        spelled = [words[i:j] for i, j in zip(at, at[1:], strict=False)]
+        return Aligned(bad, per_chunk(end_a), per_chunk(end_b), per_chunk(cuts), per_chunk(every), pairs, spelled)
 
     def _spelled(self, ids_a, end_a, ids_b, end_b, cuts, edges) -> tuple[bytes, np.ndarray]:
         """The groups of all chunks as text, each with a semicolon after it, and where chunks begin."""
@@ -262,7 +300,7 @@ class Aligner:
 @dataclass
 class Aligned:
     """For each chunk: whether bytes differ, counts, its pairs (id A shifted by 32 bits, with id B;
-    one that is linked twice stands twice) and its groups as text, the last two one after another."""
+    one that is linked twice stands twice), one chunk's after another's, and its groups as text."""
 
     bad: np.ndarray
     n_a: np.ndarray
@@ -270,8 +308,19 @@ class Aligned:
     n_groups: np.ndarray
     n_links: np.ndarray
     pairs: np.ndarray
-    words: bytes
-    word_bounds: np.ndarray
+    words: list[bytes]
+
+    @property
+    def pair_bounds(self) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(self.n_links)])
+
+    def and_more(self, other: "Aligned") -> "Aligned":
+        joined = [np.concatenate([getattr(self, f), getattr(other, f)]) for f in ("bad", *_DIGESTS, "pairs")]
+        return Aligned(*joined, self.words + other.words)
+
+    def only(self, which: np.ndarray) -> "Aligned":
+        picked = [getattr(self, f)[which] for f in ("bad", *_DIGESTS)]
+        return Aligned(*picked, self.pairs[_gather(self.pair_bounds, which)], [self.words[i] for i in which.tolist()])
 
 
 def _visible(data: np.ndarray) -> np.ndarray:
@@ -320,7 +369,8 @@ def align_slice(texts: list[bytes | None], aligner: Aligner) -> dict[str, object
     )
     encoded = pc.dictionary_encode(cut)
     which = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    chunks = aligner.align(encoded.dictionary.to_pylist())
+    chunks, place = aligner.remember(encoded.dictionary.to_pylist())
+    which = place[which]
     bounds = np.append(np.searchsorted(begin, starts), len(begin))
 
     def per_text(values):
@@ -334,9 +384,7 @@ def align_slice(texts: list[bytes | None], aligner: Aligner) -> dict[str, object
         values = np.zeros(n, np.int64)
         values[place] = np.where(whole, per_text(getattr(chunks, name)), 0)
         out[name] = values
-    at = chunks.word_bounds.tolist()
-    words = [chunks.words[a:b] for a, b in zip(at, at[1:], strict=False)]
-    listed = which.tolist()
+    words, listed = chunks.words, which.tolist()
     for i, fine, a, b in zip(place.tolist(), whole.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if fine:
             spelled = b"".join([words[c] for c in listed[a:b]])
@@ -345,7 +393,7 @@ def align_slice(texts: list[bytes | None], aligner: Aligner) -> dict[str, object
     sizes[place] = np.where(whole, np.diff(bounds), 0)
     out["chunk_counts"] = sizes
     out["chunks"] = which[np.repeat(whole, np.diff(bounds))]
-    out["pairs"], out["pair_bounds"] = chunks.pairs, np.concatenate([[0], np.cumsum(chunks.n_links)])
+    out["pairs"], out["pair_bounds"] = chunks.pairs, chunks.pair_bounds
     return out
 
 
@@ -428,8 +476,9 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from sent(*merged())
 
 
-def _sum_links(shared):
-    """Adds, for each text, its links' counts and those that are their A id's highest."""
+def _sum_links(shared, names: list[str]):
+    """Adds, for each text, its links' counts and those that are their A id's highest; of the columns,
+    ``names`` are passed on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts, best = shared.value
@@ -446,10 +495,9 @@ def _sum_links(shared):
                     total = np.concatenate([[0], np.cumsum(per_chunk[chunks])])
                     ends = np.cumsum(sizes)
                     out[name].append((total[ends] - total[ends - sizes] + np.array(row[name], np.int64)).tolist())
-            columns = [batch.column(i) for i in range(batch.num_columns)]
-            for name, values in out.items():
-                columns[batch.schema.get_field_index(name)] = pa.array(values, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            added = {name: pa.array(values, pa.list_(pa.int64())) for name, values in out.items()}
+            columns = [added[name] if name in added else batch.column(name) for name in names]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
@@ -525,7 +573,9 @@ def align_tokens(
         order = np.argsort(codes)
         best = found["best"].to_numpy(zero_copy_only=False).astype(np.int64)
         shared = spark.sparkContext.broadcast((codes[order], found["n"].to_numpy()[order], best[order]))
-        aligned = aligned.mapInArrow(_sum_links(shared), schema)
+        # After the last block the links themselves are not asked for any more.
+        left = [f for f in schema if i + 1 < n_blocks or f.name not in _PACKED]
+        aligned = aligned.mapInArrow(_sum_links(shared, [f.name for f in left]), StructType(left))
         if i + 1 < n_blocks:
             aligned = staged(aligned, "aligned", ROW_GROUP)
     columns = [*hidden, *_DIGESTS, "bests", "sums", "groups_sha256"]

@@ -94,3 +94,27 @@ def test_long_text_clashing_names_and_no_rows(spark):
     docs = clashing(spark, ["n_a", "sums", "c0", "t"])
     assert op.align_tokens(docs, *PATHS, keep=("doc_id", "sums")).columns[:2] == ["doc_id", "sums"]
     assert op.align_tokens(documents(spark, []), *PATHS).count() == 0
+
+
+def test_chunks_of_later_slices_are_not_encoded_again(tokenizers, monkeypatch):
+    monkeypatch.setattr(op, "MEMORY", 120)
+    aligner, encoded = op.Aligner(*PATHS), []
+    encode = aligner.a.encode
+    aligner.a.encode = lambda chunks: encoded.append(sum(map(len, chunks))) or encode(chunks)
+    texts = [prose(5, 300), "x" * 100 + " " + prose(5, 200), *noise(6, 40), prose(5, 100), prose(7, 400, 100), prose(5, 300)]
+    for text in texts:
+        made = op.align_slice([text.encode()], aligner)
+        assert tuple(made[c][0] for c in DIGESTS) == brute(tokenizers, text)[0], repr(text)
+        counted = op._documents_of_pairs(op.packed(made, 0, 1))
+        wanted_pairs = sorted({a << 32 | b for a, b in brute(tokenizers, text)[1]})
+        assert counted[0][counted[1] > 0].tolist() == wanted_pairs
+        assert len(aligner.place) == len(aligner.known.words) == len(aligner.again)
+        assert max(map(len, aligner.place)) <= op.REMEMBERED_BYTES
+    # The second text brings one chunk that the first has not.
+    assert encoded[1] < 110 < encoded[0]
+
+
+def test_links_are_not_handed_back_by_the_last_pass(spark):
+    plan = op.align_tokens(documents(spark, [prose(8, 50)]), *PATHS)._jdf.queryExecution().optimizedPlan().toString()
+    passed = next(line for line in plan.splitlines() if "MapInArrow" in line)
+    assert "n_links" in passed.split("[")[-1] and "at_code" not in passed.split("[")[-1]

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from assay.llm.common import clear_name, keyed, map_texts, slices, staged
 from assay.llm.components import components
 from assay.llm.hashing import SPACED_LOWER, Powers, hash_words, mix, windows
-from assay.llm.sketch import as_levels, count_values, from_levels, mean_count
+from assay.llm.sketch import as_levels, count_values, from_levels, is_any, mean_count
 
 SHINGLE = 5
 # The threshold is THRESHOLD / 100.
@@ -61,7 +61,7 @@ PARITY_WORDS = 8
 PAIR_SLOTS = 8
 BITMAP_BITS = (16, 24)
 # Bytes of text whose words are hashed together.
-SLICE_BYTES = 1024 * 1024
+SLICE_BYTES = 256 * 1024
 
 
 def shingle_sets(texts: list[bytes | None], cache: Powers) -> tuple[np.ndarray, np.ndarray]:
@@ -313,11 +313,16 @@ def _needed(a: int, b: int) -> int:
     return -(-THRESHOLD * (a + b) // (100 + THRESHOLD))
 
 
+def _sets_of(column: pa.Array) -> Iterator[np.ndarray]:
+    """The sets of a column, each a view of the batch's bytes."""
+    for value in column:
+        yield np.frombuffer(value.as_buffer(), np.uint64)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
-        for one, two in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True):
-            x, y = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+        for x, y in zip(_sets_of(batch.column("set_a")), _sets_of(batch.column("set_b")), strict=True):
             common = len(np.intersect1d(x, y, assume_unique=True))
             keep.append(100 * common >= THRESHOLD * (len(x) + len(y) - common))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -343,7 +348,8 @@ def verified(rows: DataFrame, signed: DataFrame, pairs: DataFrame) -> DataFrame:
     both = alike.select(F.col("a").alias("row")).union(alike.select("b"))
     # A bitmap picks the rows whose sets are made; the joins settle the rest.
     bits = (PAIR_SLOTS * alike.count()).bit_length()
-    bitmap = count_values(both, lambda: _marks_of, min(max(bits, BITMAP_BITS[0]), BITMAP_BITS[1])) > 0
+    bits = min(max(bits, BITMAP_BITS[0]), BITMAP_BITS[1])
+    bitmap = count_values(both, lambda: _marks_of, bits, is_any).view(bool)
     shared = spark.sparkContext.broadcast(bitmap)
     sets = staged(
         map_texts(
@@ -458,9 +464,11 @@ def join_similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text
     )
     shingles = signed.agg(F.sum("size").alias("n")).first()["n"] or 0
     bits = min(max((shingles // SLOT_SHINGLES).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
-    levels = as_levels(count_values(rows.select(F.col("body").cast("binary").alias("t")), _make_values, bits))
-    largest = classes.where("n > 1").orderBy(F.desc("n"), "first").limit(KNOWN_CLASSES).collect()
-    known = np.array([(r["s1"], r["s2"], r["size"], r["first"]) for r in largest], _CLASS)
+    levels = count_values(rows.select(F.col("body").cast("binary").alias("t")), _make_values, bits, as_levels)
+    largest = classes.where("n > 1").orderBy(F.desc("n"), "first").limit(KNOWN_CLASSES).toArrow()
+    known = np.zeros(largest.num_rows, _CLASS)
+    for name in known.dtype.names:
+        known[name] = largest[name].to_numpy()
     shared = spark.sparkContext.broadcast((levels, mean_count(levels), np.sort(known, order=["s1", "s2", "size"])))
     sent = map_texts(
         rows,

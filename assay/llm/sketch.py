@@ -51,12 +51,16 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def count_values(
-    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[np.ndarray]]], bits: int
+    df: DataFrame,
+    make: Callable[[], Callable[[pa.RecordBatch], Iterator[np.ndarray]]],
+    bits: int,
+    convert: Callable[[np.ndarray], np.ndarray] | None = None,
 ) -> np.ndarray:
     """Counts of all values that ``make()`` yields for the batches of ``df``, in 2**bits slots.
 
     Values are unsigned hashes, or signed numbers of slots as they are.
-    The table that comes to the driver has that size whatever the input.
+    The table that comes to the driver has that size whatever the input. ``convert`` makes bytes of
+    counts, zero of zero, in the tasks: the driver then holds one byte a slot.
     """
     slots = 1 << bits
 
@@ -81,22 +85,43 @@ def count_values(
     partial = df.mapInArrow(run, _SCHEMA)
     spread = partial.withColumn("salt", F.spark_partition_id() % SPREAD)
     once = spread.repartition("chunk", "salt").mapInArrow(_merge, _SCHEMA)
-    merged = once.repartition("chunk").mapInArrow(_merge, _SCHEMA).collect()
-    out = np.zeros(slots, np.uint32)
+    merged = once.repartition("chunk").mapInArrow(_merge, _SCHEMA)
+    if convert is not None:
+        merged = merged.mapInArrow(_converted(convert), _SCHEMA)
     width = min(CHUNK, slots)
-    for row in merged:
-        out[row["chunk"] * width : (row["chunk"] + 1) * width] = _unpack(bytes(row["counts"]))
+    out = np.zeros(slots, np.uint32 if convert is None else convert(np.zeros(1, np.uint32)).dtype)
+    # Arrow's batches hold the bytes once; rows of Python objects would hold them several times.
+    found = merged.toArrow()
+    for chunk, blob in zip(found["chunk"], found["counts"], strict=True):
+        at = chunk.as_py() * width
+        out[at : at + width] = _unpack(blob.as_py())
     return out
 
 
+def _converted(convert: Callable[[np.ndarray], np.ndarray]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, blob in zip(batch["chunk"].to_pylist(), batch["counts"].to_pylist(), strict=True):
+                yield from _rows({chunk: convert(_unpack(blob))}, 0)
+
+    return run
+
+
 def as_levels(counts: np.ndarray) -> np.ndarray:
-    """Counts on a scale of eight steps for each doubling, a byte each."""
+    """Counts on a scale of eight steps for each doubling, a byte each; zero stays zero."""
     return np.round(8 * np.log2(1.0 + counts)).astype(np.uint8)
 
 
+def is_any(counts: np.ndarray) -> np.ndarray:
+    return (counts > 0).astype(np.uint8)
+
+
 def mean_count(levels: np.ndarray) -> int:
     """Mean of the counts that ``levels`` stand for, from how often each level occurs."""
-    return int(np.bincount(levels, minlength=256) @ from_levels(np.arange(256)) / max(len(levels), 1))
+    times = np.zeros(256, np.int64)
+    for i in range(0, len(levels), CHUNK):
+        times += np.bincount(levels[i : i + CHUNK], minlength=256)
+    return int(times @ from_levels(np.arange(256)) / max(len(levels), 1))
 
 
 def from_levels(levels: np.ndarray) -> np.ndarray:

@@ -1,7 +1,11 @@
 import random
 import re
+import tracemalloc
+
+import numpy as np
 
 from assay.llm import jaccard_join as op
+from assay.llm import sketch
 from assay.llm.components import components
 from helpers import awkward, clashing, documents, prose
 
@@ -109,3 +113,23 @@ def test_one_row_stays_of_repeated_and_missing_keys(spark):
     kept = op.keep_one(documents(spark, [text] * 3 + [other] * 2, [7, 7, 9, None, None])).collect()
     assert sorted((r["doc_id"], r["text"]) for r in kept if r["doc_id"]) == [(7, text)]
     assert [r["text"] for r in kept if r["doc_id"] is None] == [other] and len(kept) == 2
+
+
+def test_the_driver_holds_a_byte_for_each_slot_of_the_sketch(spark):
+    values = spark.range(0, 300_000, 1, 3).selectExpr("id * id % 70001 + 900000 * (id % 2) as v")
+
+    def make():
+        return lambda batch: iter([batch.column(0).to_numpy()])
+
+    bits = 21
+    counts = sketch.count_values(values, make, bits)
+    assert counts.sum() == 300_000
+    tracemalloc.start()
+    levels = sketch.count_values(values, make, bits, sketch.as_levels)
+    mean = sketch.mean_count(levels)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert levels.tolist() == sketch.as_levels(counts).tolist() and mean == sketch.mean_count(sketch.as_levels(counts))
+    assert (sketch.count_values(values, make, bits, sketch.is_any).view(bool) == (counts > 0)).all()
+    assert most < 3 << bits
+    assert sketch.count_values(values.limit(0), make, bits, sketch.as_levels).dtype == np.uint8

@@ -17,6 +17,9 @@ can hold repeats, not for all of it, and every repeat lies whole in one shard:
   in two halves, each half under the hash of the bytes its windows share. Halves that are equal,
   or alone under their hash, are settled by that; the rest go to shards, or are split again.
 
+Whole texts are shuffled twice, to cut what goes on after the first settling and to remove what was
+found. Segments are split as cut, and halves are cut from them.
+
 Texts are compared by two 64-bit hashes or bytes; the shards hold whole hashes in bounded bytes.
 """
 
@@ -185,44 +188,65 @@ def _settle_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         held = {n: v[-1] for n, v in first.items()} | {"sent": bool(several[-1])}
 
 
-_PIECES = "key long, row long, start int, piece binary"
+# A cut segment: ``start`` and ``end`` are the segment's, ``piece`` what the text has of it.
+_PIECES = "key long, row long, start int, end int, piece binary"
 
 
-def _cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of a document's segments."""
+def _cut(batches: Iterator[pa.RecordBatch], runs_of) -> Iterator[pa.RecordBatch]:
+    """Pieces of segments; ``runs_of`` gives (start, end, bytes) of what a row's source holds."""
     for batch in batches:
-        out: dict[str, list] = {n: [] for n in ("key", "row", "start", "piece")}
-        for row, text, segments in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+        out: dict[str, list] = {n: [] for n in ("key", "row", "start", "end", "piece")}
+        for row, source, segments in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            runs = runs_of(source)
             for s in segments:
-                start = max(s["start"], 0)
-                found = (s["key"], row, start, text[start : s["end"]])
+                start, end = s["start"], s["end"]
+                low, _, data = next(r for r in runs if r[0] <= start and end <= r[1])
+                low, begin = max(low, 0), max(start, 0)
+                found = (s["key"], row, start, end, data[begin - low : end - low])
                 for name, value in zip(out, found, strict=True):
                     out[name].append(value)
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
         yield pa.RecordBatch.from_pydict(
             {n: pa.array(v, t) for (n, v), t in zip(out.items(), types, strict=True)}
         )
 
 
+def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments of whole texts, over whose ends they may reach."""
+    return _cut(batches, lambda text: [(-REACH, len(text) + LENGTH, text)])
+
+
+def _cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Halves of segments that are cut already; any that holds a half will do."""
+    return _cut(batches, lambda held: [(p["start"], p["end"], p["piece"]) for p in held])
+
+
 def _split_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each segment as two, with the first and the second half of its windows."""
     cache = Powers()
     for batch in batches:
-        for row, text, segments in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            part = Slice([text], cache)
-            key, start, end = (np.array([s[n] for s in segments], np.int64) for n in ("key", "start", "end"))
-            last = end - LENGTH  # the last window
-            middle = (start + last) // 2
-            halves = [(start, middle, key), (middle + 1, last, key)]
-            a, b, key = (np.concatenate(x) for x in zip(*halves, strict=True))
-            first, final = np.maximum(a, 0), np.minimum(b, len(text) - LENGTH)
-            some = first <= final
-            a, b, first, final = a[some], b[some], first[some], final[some]
-            key = key[some].view(np.uint64)
-            seg = part.hashes(first, final + LENGTH) + mix(((first - a) << 32 | (b - final)).astype(np.uint64))
-            # The bytes that all windows of the half share, at their place in it.
-            key = part.hashes(b, a + LENGTH) + mix(key + np.uint64(_SECOND)) + mix((b - a).astype(np.uint64))
-            yield from _segments(key, seg, np.full(len(a), row), a, b + LENGTH)
+        if not batch.num_rows:
+            continue
+        key, row, start, end = (
+            batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("key", "row", "start", "end")
+        )
+        part = Slice(batch.column("piece").to_pylist(), cache)
+        # Where the text's byte 0 would be among the bytes of the pieces, and the text's last window.
+        low = np.maximum(start, 0)
+        origin, final = part.starts - low, low + part.lengths - LENGTH
+        last = end - LENGTH  # the last window
+        middle = (start + last) // 2
+        halves = [(start, middle, key, row, origin, final, low), (middle + 1, last, key, row, origin, final, low)]
+        a, b, key, row, origin, final, low = (np.concatenate(x) for x in zip(*halves, strict=True))
+        first, final = np.maximum(a, low), np.minimum(b, final)
+        some = first <= final
+        a, b, key, row, origin, first, final = (x[some] for x in (a, b, key, row, origin, first, final))
+        seg = part.hashes(origin + first, origin + final + LENGTH)
+        seg += mix(((first - a) << 32 | (b - final)).astype(np.uint64))
+        # The bytes that all windows of the half share, at their place in it.
+        shared = part.hashes(origin + b, origin + a + LENGTH)
+        key = shared + mix(key.view(np.uint64) + np.uint64(_SECOND)) + mix((b - a).astype(np.uint64))
+        yield from _segments(key, seg, row, a, b + LENGTH)
 
 
 def repeated_windows(pieces: list[bytes], row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -331,29 +355,31 @@ def find_repeats(
             done.where(F.col("kind") == VARIANT).select("key", "row", "start", "end"),
         )
 
-    def with_bodies(segments: DataFrame) -> DataFrame:
+    def beside(segments: DataFrame, source: DataFrame) -> DataFrame:
+        """(row, what ``source`` has of it, its segments)."""
         wanted = segments.groupBy("row").agg(
             F.collect_list(F.struct("key", "start", "end")).alias("segments")
         )
-        return rows.join(wanted.withColumnRenamed("row", "at"), F.col("row") == F.col("at")).select(
-            "row", "body", "segments"
-        )
+        return source.join(wanted.withColumnRenamed("row", "at"), F.col("row") == F.col("at")).drop("at")
 
     found, left = settled(rows.select("row", "body").mapInArrow(_send_anchors, _SENT))
+    cut = staged(beside(left, rows.select("row", "body")).mapInArrow(_cut_texts, _PIECES), "pieces")
     to_shards = []
     while True:
         # Halving ends with single windows, which are equal wherever they meet.
-        often = left.groupBy("key").count().where(F.col("count") > shard_segments).select("key")
-        to_shards.append(left.join(often, "key", "left_anti"))
+        often = cut.groupBy("key").count().where(F.col("count") > shard_segments).select("key")
+        often = staged(often, "often")  # several joins read it
+        to_shards.append(cut.join(often, "key", "left_anti"))
         if often.isEmpty():
             break
-        covers, left = settled(
-            with_bodies(left.join(often, "key", "left_semi")).mapInArrow(_split_segments, _SENT)
-        )
+        hot = cut.join(often, "key", "left_semi")
+        covers, left = settled(hot.mapInArrow(_split_segments, _SENT))
         found = found.union(covers)
+        held = hot.groupBy("row").agg(F.collect_list(F.struct("start", "end", "piece")).alias("held"))
+        cut = staged(beside(left, held).mapInArrow(_cut_pieces, _PIECES), "pieces")
     sharded = (
-        with_bodies(reduce(DataFrame.union, to_shards))
-        .mapInArrow(_cut_segments, _PIECES)
+        reduce(DataFrame.union, [s.select("key", "row", "start", "piece") for s in to_shards])
+        .withColumn("start", F.greatest("start", F.lit(0)))
         .repartition("key")
         .sortWithinPartitions("key", "row", "start")
         .mapInArrow(_settle_shards, _SENT)

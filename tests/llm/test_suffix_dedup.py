@@ -85,3 +85,16 @@ def test_awkward_rows(spark):
     odd = clashing(spark, ["row", "body", "covers"])
     assert op.find_repeats(odd).count() == 2
     assert op.find_repeats(documents(spark, [])).count() == 0
+
+
+def test_whole_texts_are_joined_once_however_often_segments_are_split(spark, monkeypatch):
+    staged, seen = op.staged, []
+
+    def watched(df, what, *more):
+        seen.append((what, "body" in df._jdf.queryExecution().optimizedPlan().toString()))
+        return staged(df, what, *more)
+
+    monkeypatch.setattr(op, "staged", watched)
+    texts = corpus(6, 60)
+    assert found(documents(spark, texts), shard_segments=1) == dict(enumerate(brute(texts)))
+    assert [what for what, body in seen if body] == ["segments", "pieces"] and len(seen) > 4

@@ -33,6 +33,8 @@ from assay.llm.common import map_texts
 MEMORY = 500_000
 REMEMBERED_BYTES = 48
 CHUNK = 64
+# Last bytes by which tokens are told apart that can end at a place.
+TAIL = 4
 
 # Character classes.
 END, SPACE, BLANK, NUMBER, OTHER, APOSTROPHE, LETTER, STMD, RV, E, L = range(11)
@@ -153,7 +155,11 @@ class Merger:
         never = len(merges)
         texts = [bytes([b]) for b in range(256)] + [a + b for a, b in merges]
         self.id = {text: i for i, text in reversed(list(enumerate(texts)))}
-        self.longest = max(map(len, texts))
+        # Length of the longest token that ends in the same four bytes.
+        self.longest: dict[bytes, int] = {}
+        for text in sorted(texts, key=len):
+            if len(text) >= TAIL:
+                self.longest[text[-TAIL:]] = len(text)
         self.rank = {self.id[a] << 32 | self.id[b]: r for r, (a, b) in enumerate(merges)}
         # What a token's right (left) edge is made of: each part with the rank of the merge
         # that takes it up, innermost last.
@@ -164,7 +170,7 @@ class Merger:
             if made == 256 + r:
                 self.right[made] += [(two, r), *self.right[two][1:]]
                 self.left[made] += [(one, r), *self.left[one][1:]]
-        self.counts: dict[str, int] = {}
+        self.counts: dict[bytes, int] = {}
         self.pairs: dict[int, bool] = {}
         self.clear()
 
@@ -196,26 +202,42 @@ class Merger:
 
     def ending(self, text: bytes, end: int, tokens: list[int]) -> tuple[int, int]:
         """The token that ends at ``end``, and its size; ``tokens`` has those that end before, by place."""
-        find, together = self.id.get, self.stand_together
-        for start in range(max(0, end - self.longest), end):
+        find, known = self.id.get, self.pairs.get
+        longest = self.longest.get(text[end - TAIL : end], TAIL - 1) if end >= TAIL else end
+        for start in range(max(0, end - longest), end):
             last = find(text[start:end])
-            if last is not None and (not start or together(tokens[start], last)):
-                return last, end - start
+            if last is None:
+                continue
+            if start:
+                one = tokens[start]
+                fits = known(one << 32 | last)
+                if not (self.stand_together(one, last) if fits is None else fits):
+                    continue
+            return last, end - start
         raise AssertionError("a byte is always a token")
 
     def _walk(self, text: bytes) -> int:
-        node, path, tokens, find = 0, [0], [-1], self.next.get
-        for end, byte in enumerate(text, 1):
-            edge = node << 8 | byte
-            node = find(edge)
+        """Follows the trie as far as it goes, then adds a branch for the rest."""
+        node, path, find = 0, [0], self.next.get
+        for byte in text:
+            node = find(node << 8 | byte)
             if node is None:
-                token, size = self.ending(text, end, tokens)
-                node = self.next[edge] = len(self.token)
-                self.token.append(token)
-                self.count.append(self.count[path[end - size]] + 1)
+                break
             path.append(node)
-            tokens.append(self.token[node])
-        return self.count[node]
+        else:
+            return self.count[node]
+        node, token_of, count_of = path[-1], self.token, self.count
+        tokens = [token_of[p] for p in path]
+        # Nodes of a branch are new, one after another, and none of them is looked up.
+        for end in range(len(path), len(text) + 1):
+            token, size = self.ending(text, end, tokens)
+            edge = node << 8 | text[end - 1]
+            node = self.next[edge] = len(token_of)
+            token_of.append(token)
+            count_of.append(count_of[path[end - size]] + 1)
+            path.append(node)
+            tokens.append(token)
+        return count_of[node]
 
     def _run(self, text: bytes) -> int:
         tokens, counts = [-1], [0]
@@ -225,15 +247,14 @@ class Merger:
             counts.append(counts[end - size] + 1)
         return counts[-1]
 
-    def __call__(self, piece: str) -> int:
+    def __call__(self, piece: bytes) -> int:
         known = self.counts.get(piece)
         if known is None:
-            text = piece.encode()
-            if len(text) > REMEMBERED_BYTES:
-                return self._run(text)
+            if len(piece) > REMEMBERED_BYTES:
+                return self._run(piece)
             if max(len(self.counts), len(self.token)) > MEMORY:
                 self.clear()
-            known = self.counts[piece] = self._walk(text)
+            known = self.counts[piece] = self._walk(piece)
         return known
 
 
@@ -263,7 +284,7 @@ def counter(vocabulary: dict):
             kinds[ends[:-1]] = END
             starts = split_starts(kinds, step, emit)
             # Pre-tokens and the separators between parts, one after another, in bytes.
-            places = np.union1d(starts, ends[:-1])
+            places = np.sort(np.concatenate([starts, ends[:-1]]), kind="stable")
             data = np.frombuffer(joined.encode(), np.uint8)
             begins = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
             offsets = np.append(begins[places], len(data)).astype(np.int64)
@@ -272,7 +293,7 @@ def counter(vocabulary: dict):
             )
             # Each distinct pre-token of the slice is counted once.
             encoded = pc.dictionary_encode(pieces)
-            each = np.array([merger(piece.decode()) for piece in encoded.dictionary.to_pylist()], np.int64)
+            each = np.array([merger(piece) for piece in encoded.dictionary.to_pylist()], np.int64)
             tokens = each[encoded.indices.to_numpy(zero_copy_only=False)]
             tokens[np.searchsorted(places, ends[:-1])] = 0
             total = np.concatenate([[0], np.cumsum(tokens)])

@@ -49,3 +49,19 @@ def test_awkward_rows(spark):
     docs = clashing(spark, ["n_bytes", "c0", "body"])
     assert op.count_tokens(docs, PATH, keep=("doc_id", "c0")).columns == ["doc_id", "c0", "n_bytes", "n_tokens", "over_limit"]
     assert op.count_tokens(documents(spark, []), PATH).count() == 0
+
+
+def test_few_places_are_tried_for_the_start_of_a_token():
+    class Tried(dict):
+        n = 0
+
+        def get(self, *key):
+            Tried.n += 1
+            return super().get(*key)
+
+    merger = op.Merger(op.load_vocabulary(PATH)["merges"])
+    merger.id = Tried(merger.id)
+    rng = random.Random(2)
+    words = [("".join(rng.choice("abcdeghilmnorstu") for _ in range(rng.randint(4, 20)))).encode() for _ in range(500)]
+    assert [merger(w) for w in words] == wanted([w.decode() for w in words])
+    assert Tried.n < 4 * len(merger.token)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,6 +16,7 @@ from assay.session import shared_folder
 
 # Bytes of text handed to one call of a per-batch function; bounds a task's memory.
 SLICE_BYTES = 2 * 1024 * 1024
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def staged(df: DataFrame, what: str, row_group: int | None = None) -> DataFrame:
@@ -50,6 +52,24 @@ def slices(sizes: list[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         yield start, len(sizes)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, limit: int) -> Iterator[None]:
+    """What runs inside hands rows to Python in batches of about ``limit`` bytes, one row at least.
+
+    Spark's own 64 MB a batch are held by the JVM, outside its heap, and by Python at once, in each
+    running task. What the session had before holds again afterwards.
+    """
+    before = spark.conf.get(ARROW_BYTES, None)
+    spark.conf.set(ARROW_BYTES, str(limit))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(ARROW_BYTES)
+        else:
+            spark.conf.set(ARROW_BYTES, before)
+
+
 def map_texts(
     df: DataFrame,
     make: Callable[[], Callable[..., dict[str, object]]],

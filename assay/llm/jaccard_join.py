@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.common import clear_name, keyed, map_texts, slices, staged
+from assay.llm.common import arrow_batches, clear_name, keyed, map_texts, slices, staged
 from assay.llm.components import components
 from assay.llm.hashing import SPACED_LOWER, Powers, hash_words, mix, windows
 from assay.llm.sketch import as_levels, count_values, from_levels, is_any, mean_count
@@ -62,6 +62,8 @@ PAIR_SLOTS = 8
 BITMAP_BITS = (16, 24)
 # Bytes of text whose words are hashed together.
 SLICE_BYTES = 256 * 1024
+# Bytes of rows, texts or pairs of sets, that Spark hands to a task's Python at once.
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def shingle_sets(texts: list[bytes | None], cache: Powers) -> tuple[np.ndarray, np.ndarray]:
@@ -441,6 +443,12 @@ def join_similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text
     component; rows that share a key are still separate documents; null keys come last, so a
     component is null only if all its keys are. Further columns are not looked at.
     """
+    with arrow_batches(documents.sparkSession, BATCH_BYTES):
+        return _join_similar(documents, key, text)
+
+
+def _join_similar(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """What runs Python is written within; the result only joins what was."""
     spark = documents.sparkSession
     rows, numbered = keyed(documents, key, text)
     bodies = rows.select("row", "body")

@@ -133,3 +133,27 @@ def test_the_driver_holds_a_byte_for_each_slot_of_the_sketch(spark):
     assert (sketch.count_values(values, make, bits, sketch.is_any).view(bool) == (counts > 0)).all()
     assert most < 3 << bits
     assert sketch.count_values(values.limit(0), make, bits, sketch.as_levels).dtype == np.uint8
+
+
+def test_tasks_are_handed_few_bytes_of_sets_at_once(spark, monkeypatch):
+    limit = 1 << 16
+    monkeypatch.setattr(op, "BATCH_BYTES", limit, raising=False)
+    real = op._verify
+
+    def verify(batches):
+        def bounded():
+            for batch in batches:
+                if batch.nbytes > 2 * limit:
+                    raise ValueError(f"{batch.nbytes} bytes at once")
+                yield batch
+
+        return real(bounded())
+
+    monkeypatch.setattr(op, "_verify", verify)
+    words = prose(11, 1500, 400).split()
+    texts = [" ".join(words[:i] + ["other"] + words[i + 1 :]) for i in range(0, 1500, 30)]
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    rows = op.join_similar(documents(spark, texts)).collect()
+    assert {r["component_id"] for r in rows} == {0} and len(rows) == 50
+    assert spark.conf.get(name) == before

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 1 << 16
-SPREAD = 32
+SPREAD = 8
 _SCHEMA = "chunk int, salt int, counts binary"
 
 

@@ -157,3 +157,18 @@ def test_tasks_are_handed_few_bytes_of_sets_at_once(spark, monkeypatch):
     rows = op.join_similar(documents(spark, texts)).collect()
     assert {r["component_id"] for r in rows} == {0} and len(rows) == 50
     assert spark.conf.get(name) == before
+
+
+def test_rows_still_apart_are_those_of_mixed_tokens_salted_or_not(spark):
+    met = spark.createDataFrame(
+        [(t, s, r, 9, 0) for t, s, r in [(1, 0, 1), (1, 0, 2), (2, 0, 2), (2, 0, 3), (3, 1, 2), (3, 2, 3), (4, 1, 1), (4, 2, 3)]],
+        "token long, salt int, row long, size int, pos int",
+    )
+    joined = spark.createDataFrame([(2, 2), (3, 2)], "node long, component long")
+    found = op.still_apart(met, joined)
+    assert sorted((r["token"], r["row"], r["component"]) for r in found.collect()) == [(1, 1, 1), (1, 2, 2), (4, 1, 1), (4, 3, 2)]
+    # Rows are shuffled once for all the leads of their token, not once for each.
+    led = op.meet(found, op.F.xxhash64("row", "token"), 0.0, op.F.array(*[op.F.xxhash64("token", op.F.lit(i)) for i in range(4)]))
+    plan = led._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("Generate") < plan.index("RepartitionByExpression")
+    assert led.count() == 4 * 4

@@ -20,9 +20,11 @@ What is gathered from the corpus, in tables that grow with it: the count of ever
 and how often each symbol comes in each context. The second yields the odds of every node in every
 context that training shows, none of them shared: a context is a hash of 47 bits, which tells all
 but a few in a million of a thousand million contexts apart, and its symbols, at most as many as
-the code has, are summed to the nodes of their paths. Texts are dealt into slices;
-a slice asks for the odds of its distinct (context, symbol) pairs by a join, and is scored when
-they come back. Counts by node alone are as many as the code has, and follow from those of the
+the code has, are summed to the nodes of their paths. Texts are dealt into slices. A slice sends
+its distinct (context, symbol) pairs with their training counts to ranges of contexts, each range as
+one row of packed differences; a range sums what all slices send and returns to each the odds along
+its pairs' paths, in the order of the pairs, which the slice works out again to be scored.
+Counts by node alone are as many as the code has, and follow from those of the
 symbols. The most frequent tokens, bounded in number, are sent to the tasks with the code; the
 counts of all others are joined by token.
 """
@@ -30,6 +32,7 @@ counts of all others are joined by token.
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from assay.llm.common import keyed, schema_of, slices, staged
+from assay.llm.common import arrow_batches, keyed, schema_of, slices, staged
 from assay.llm.hashing import BYTE_VALUES, Powers, mix
 
 FOLDS, HELD_OUT = 7, 2
@@ -52,9 +55,13 @@ CONTEXTS = 4
 SLOT_BITS = 20
 STEP_BYTES = 1024 * 1024
 # Bytes of texts in a slice, about; texts are never cut.
-SLICE_BYTES = 4 * 1024 * 1024
-# Pairs of context and symbol summed to nodes in one go, about; contexts are never cut.
-STEP_PAIRS = 200_000
+SLICE_BYTES = 12 * 1024 * 1024
+# Bytes of texts for each range of contexts, about; contexts are never cut.
+RANGE_BYTES = 8 * 1024 * 1024
+# Pairs that wait to be summed with those of a slice.
+STEP_PAIRS = 1_500_000
+# Bytes of rows handed to a task's Python at once.
+BATCH_BYTES = 4 * 1024 * 1024
 # Low bits of a pair that hold its symbol; the code has at most HEAD + 2 + 65,536.
 SYMBOL_BITS = 17
 # Words before a word of which the most frequent is a context of it.
@@ -151,6 +158,11 @@ class Codes:
             tree = huffman(weights[before].tolist())
             paths += [[(n + inner, t) for n, t in path] for path in tree]
             inner += 255
+        # Symbols tree by tree from left to right, so that those below a node stand together.
+        tree = [0] * self.bytes_from + [1 + i // 256 for i in range(1 << 16)]
+        turns = ["".join("01"[t] for _, t in p) for p in paths]
+        self.leaf = np.empty(len(paths), np.int64)
+        self.leaf[sorted(range(len(paths)), key=lambda i: (tree[i], turns[i]))] = np.arange(len(paths))
         self.size = np.array([len(p) for p in paths], np.int64)
         self.first = np.cumsum(self.size) - self.size
         self.node = np.array([n for p in paths for n, _ in p], np.uint32)
@@ -281,24 +293,79 @@ class PairOdds:
         return out
 
 
-def _count_contexts(shared):
-    """For a slice of texts: its distinct pairs, and how often training texts have them."""
+def packed(values: np.ndarray) -> bytes:
+    """64-bit numbers by planes of bytes, which most of the zeros of small ones fill."""
+    return zlib.compress(values.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
 
-    def distinct(pairs, n):
-        found, place = np.unique(pairs, return_inverse=True)
-        return found, np.bincount(place, weights=n).astype(np.int64)
+
+def unpacked(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(blob), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint64).ravel()
+
+
+def pairs_of(units: Units) -> np.ndarray:
+    return np.concatenate([pair_keys(c, units.symbol) for c in units.contexts])
+
+
+def summed(pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs in order, with the sums of their counts."""
+    order = np.argsort(pairs)
+    pairs = pairs[order]
+    first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+    return pairs[first], np.add.reduceat(n[order], first)
+
+
+def distinct(pairs: np.ndarray) -> np.ndarray:
+    pairs = np.sort(pairs)
+    return pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]
+
+
+def gathered(parts: Iterator[tuple[np.ndarray, ...]], merge) -> tuple[np.ndarray, ...]:
+    """``merge`` of all parts, made while they come."""
+    held: list[tuple[np.ndarray, ...]] = []
+    waiting = 0
+    for part in parts:
+        held.append(part)
+        waiting += len(part[0])
+        if waiting > STEP_PAIRS:
+            held, waiting = [merge(*map(np.concatenate, zip(*held, strict=True)))], 0
+    return merge(*map(np.concatenate, zip(*held, strict=True)))
+
+
+def ranges_of(pairs: np.ndarray, ranges: int) -> np.ndarray:
+    """The range of each pair by its context; ranges ascend with contexts."""
+    return ((pairs >> np.uint64(SYMBOL_BITS)) * np.uint64(ranges) >> np.uint64(64 - SYMBOL_BITS)).astype(np.int64)
+
+
+ASKED = "range long, slice long, pairs binary, times binary"
+ANSWERED = "slice long, range long, odds binary"
+
+
+def _count_contexts(shared, ranges: int):
+    """For a slice of texts: its distinct pairs, and how often training texts have them, by range."""
 
     def call(texts: pa.Table) -> pa.Table:
         codes, cache = shared.value, Powers()
         bodies, trained = texts["body"].to_pylist(), texts["trained"].to_numpy().astype(np.int64)
-        parts = []
-        for a, b in slices([len(t or b"") for t in bodies], STEP_BYTES):
-            units = Units([tokens_of(t) for t in bodies[a:b]], codes, cache)
-            n = trained[a:b][units.text]
-            parts += [distinct(pair_keys(c, units.symbol), n) for c in units.contexts]
-        pairs, n = distinct(*map(np.concatenate, zip(*parts, strict=True)))
-        part = pa.repeat(texts["slice"][0], len(n))
-        return pa.table([part, pa.array(pairs.view(np.int64)), pa.array(n)], names=["slice", "pair", "n"])
+
+        def parts():
+            for a, b in slices([len(t or b"") for t in bodies], STEP_BYTES):
+                units = Units([tokens_of(t) for t in bodies[a:b]], codes, cache)
+                yield summed(pairs_of(units), np.tile(trained[a:b][units.text], len(units.contexts)))
+
+        pairs, n = gathered(parts(), summed)
+        number = ranges_of(pairs, ranges)
+        edges = np.append(np.flatnonzero(np.diff(number, prepend=-1)), len(pairs))
+        runs = list(zip(edges, edges[1:], strict=False))
+        return pa.table(
+            [
+                pa.array(number[edges[:-1]]),
+                pa.repeat(texts["slice"][0], len(runs)),
+                pa.array([packed(np.diff(pairs[a:b], prepend=np.uint64(0))) for a, b in runs], pa.binary()),
+                pa.array([packed(n[a:b]) for a, b in runs], pa.binary()),
+            ],
+            names=["range", "slice", "pairs", "times"],
+        )
 
     return call
 
@@ -311,48 +378,62 @@ def context_odds(codes: Codes, pairs: np.ndarray, n: np.ndarray) -> tuple[np.nda
     context, symbol = pairs >> np.uint64(SYMBOL_BITS), symbols_of(pairs)
     size = codes.size[symbol]
     first = np.cumsum(size) - size
-    at = np.arange(size.sum()) + np.repeat(codes.first[symbol] - first, size)
+    out = np.zeros(size.sum(), np.int8)
     number = np.cumsum(np.concatenate([[0], context[1:] != context[:-1]])).astype(np.int64)
-    _, place = np.unique(np.repeat(number, size) << 32 | codes.node[at], return_inverse=True)
-    times = np.repeat(n.astype(np.float64), size)
-    ones = np.bincount(place, weights=times * codes.bit[at])
-    return log_odds(ones, np.bincount(place, weights=times) - ones)[place], first
+    # From the roots down, all paths by one node at a time; those that share one stand together.
+    order = np.argsort(number << SYMBOL_BITS | codes.leaf[symbol])
+    walk = (number[order], codes.first[symbol][order], first[order], size[order], n[order].astype(np.float64))
+    alone = []
+    while len(walk[0]):
+        number, at, place, left, times = walk
+        node = codes.node[at]
+        new = np.ones(len(at), bool)
+        new[1:] = (number[1:] != number[:-1]) | (node[1:] != node[:-1])
+        start = np.flatnonzero(new)
+        ones, total = np.add.reduceat(times * codes.bit[at], start), np.add.reduceat(times, start)
+        count = np.diff(np.append(start, len(at)))
+        out[place] = np.repeat(log_odds(ones, total - ones), count)
+        # Below a node that one path alone goes through there is no other.
+        one = np.repeat(count == 1, count)
+        alone.append([x[one] for x in (at, place, left, times)])
+        go = ~one & (left > 1)
+        walk = (number[go], at[go] + 1, place[go] + 1, left[go] - 1, times[go])
+    if alone:
+        at, place, left, times = map(np.concatenate, zip(*alone, strict=True))
+        inside = np.arange(left.sum()) - np.repeat(np.cumsum(left) - left, left)
+        sure = np.repeat(log_odds(times, np.zeros(len(times))), left)
+        out[np.repeat(place, left) + inside] = np.where(codes.bit[np.repeat(at, left) + inside] == 1, sure, -sure)
+    return out, first
+
+
+def along(codes: Codes, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes of the pairs' paths, and for all their bits, one after another, the place in the path and the bit as a sign."""
+    symbol = symbols_of(pairs)
+    size = codes.size[symbol]
+    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    return size, inside, codes.bit[inside + np.repeat(codes.first[symbol], size)].astype(np.int8) * np.int8(2) - np.int8(1)
 
 
-def _make_odds(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _answer(shared):
+    """For a range: the odds that all slices' counts give, to each slice along the paths of its pairs.
+
+    They are sent as the odds of the bit that comes, which are much alike along a path.
+    """
+
+    def call(asked: pa.Table) -> pa.Table:
         codes = shared.value
+        parts = [np.cumsum(unpacked(blob)) for blob in asked["pairs"].to_pylist()]
+        counts = (unpacked(blob).view(np.int64) for blob in asked["times"].to_pylist())
+        pairs, n = gathered(zip(parts, counts, strict=True), summed)
+        odds, first = context_odds(codes, pairs, n)
+        answers = []
+        for part in parts:
+            size, inside, sign = along(codes, part)
+            own = odds[np.repeat(first[np.searchsorted(pairs, part)], size) + inside]
+            answers.append(zlib.compress((own * sign).tobytes(), 1))
+        return pa.table([asked["slice"], asked["range"], pa.array(answers, pa.binary())], names=["slice", "range", "odds"])
 
-        def rows(pairs, n):
-            odds, first = context_odds(codes, pairs, n)
-            ends = np.append(first, len(odds))
-            # Pairs of which nothing is known need no answer.
-            kept = np.flatnonzero(np.maximum.reduceat(np.abs(odds), first) > 0)
-            paths = pa.Array.from_buffers(
-                pa.binary(), len(first), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(odds)]
-            )
-            columns = [pa.array(pairs.view(np.int64)), paths]
-            return pa.RecordBatch.from_arrays([c.take(pa.array(kept)) for c in columns], names=["pair", "odds"])
-
-        held: list[tuple] = []
-        waiting = 0
-        for batch in batches:
-            pair, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            held.append((pair.view(np.uint64), n))
-            waiting += batch.num_rows
-            if waiting < STEP_PAIRS:
-                continue
-            pairs, n = map(np.concatenate, zip(*held, strict=True))
-            # The last context may go on.
-            context = pairs >> np.uint64(SYMBOL_BITS)
-            end = len(pairs) - int(np.argmax(context[::-1] != context[-1])) if context[0] != context[-1] else 0
-            if end:
-                yield rows(pairs[:end], n[:end])
-            held, waiting = [(pairs[end:], n[end:])], len(pairs) - end
-        if waiting:
-            yield rows(*map(np.concatenate, zip(*held, strict=True)))
-
-    return run
+    return call
 
 
 def log_likelihood(texts: list[list[bytes]], codes: Codes, table: np.ndarray, cache: Powers) -> np.ndarray:
@@ -433,12 +514,31 @@ SCORES = (
 )
 
 
+def odds_of_slice(texts: list[bytes | None], answers: pa.Table, codes: Codes, cache: Powers) -> PairOdds:
+    """The answers to a slice, beside the pairs that it asked for."""
+    steps = slices([len(t or b"") for t in texts], STEP_BYTES)
+    parts = ((distinct(pairs_of(Units([tokens_of(t) for t in texts[a:b]], codes, cache))),) for a, b in steps)
+    (pairs,) = gathered(parts, lambda x: (distinct(x),))
+    blobs = answers["odds"].to_pylist()
+    odds = np.frombuffer(b"".join(zlib.decompress(blobs[i]) for i in np.argsort(answers["range"].to_numpy())), np.int8)
+    out = []
+    edges = [*range(0, len(pairs), STEP_PAIRS // 4), len(pairs)]
+    start = 0
+    for a, b in zip(edges, edges[1:], strict=False):
+        sign = along(codes, pairs[a:b])[2]
+        out.append((odds[start : start + len(sign)] * sign).tobytes())
+        start += len(sign)
+    if start != len(odds):
+        raise ValueError(f"{len(odds)} odds for {start} bits")
+    return PairOdds(pairs, b"".join(out), codes)
+
+
 def _score_slice(shared):
     def call(table: pa.Table, answers: pa.Table) -> pa.Table:
         codes, alone, counted = shared.value
         cache, logs = Powers(), np.log10(counted + 1.0)
-        known = PairOdds(answers["pair"].to_numpy().view(np.uint64), b"".join(answers["odds"].to_pylist()), codes)
         texts = table["body"].to_pylist()
+        known = odds_of_slice(texts, answers, codes, cache)
         names = ("n_tokens", "n_known", "known_logs", "score", "coded_bytes")
         out: dict[str, list] = {n: [] for n in names}
         rest_tokens: list[bytes] = []
@@ -525,30 +625,19 @@ def score_texts(documents: DataFrame, *, key: str = "doc_id", text: str = "text"
     size = rows.agg(F.sum(F.length("body")).alias("n")).first()["n"] or 0
     part = F.pmod(F.xxhash64("row"), F.lit(-(-size // SLICE_BYTES) or 1)).alias("slice")
     texts = rows.select(part, "row", "key", "body", (~is_held_out(F.col("key"))).alias("trained"))
-    asked = staged(
-        texts.select("slice", "body", "trained")
-        .groupBy("slice")
-        .applyInArrow(_count_contexts(shared_codes), "slice long, pair long, n long"),
-        "contexts",
-    )
-    context = F.shiftright("pair", SYMBOL_BITS)
-    odds = staged(
-        asked.groupBy("pair")
-        .agg(F.sum("n").alias("n"))
-        .repartition(context)
-        .sortWithinPartitions("pair")
-        .mapInArrow(_make_odds(shared_codes), "pair long, odds binary"),
-        "odds",
-    )
-    answers = asked.join(odds, "pair").select("slice", "pair", "odds")
     shared = spark.sparkContext.broadcast((codes, node_odds(codes, symbols), counted))
+    # Both read the same columns, so texts are shuffled once.
+    asked = texts.groupBy("slice").applyInArrow(
+        _count_contexts(shared_codes, min(-(-size // RANGE_BYTES) or 1, 1 << SYMBOL_BITS)), schema_of(ASKED)
+    )
+    answers = asked.groupBy("range").applyInArrow(_answer(shared_codes), schema_of(ANSWERED))
     scored = (
-        texts.select("slice", "row", "key", "body")
-        .groupBy("slice")
+        texts.groupBy("slice")
         .cogroup(answers.groupBy("slice"))
         .applyInArrow(_score_slice(shared), StructType(texts.select("row", "key").schema.fields + schema_of(SCORES).fields))
     )
-    scored = staged(scored, "scores")
+    with arrow_batches(spark, BATCH_BYTES):
+        scored = staged(scored, "scores")
     rest = (
         scored.select("row", F.explode("rest").alias("r"))
         .select("row", "r.token", "r.times")

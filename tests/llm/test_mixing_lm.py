@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from assay.llm import mixing_lm as op
 from assay.llm.hashing import Powers
@@ -145,3 +146,32 @@ def test_scores_in_slices_are_those_in_one(spark, monkeypatch):
     monkeypatch.setattr(op, "SLICE_BYTES", 500)
     cut = {r["doc_id"]: r["score"] for r in op.score_texts(documents(spark, texts)).collect()}
     assert whole.keys() == cut.keys() and all(math.isclose(whole[i], cut[i], rel_tol=1e-5) for i in whole)
+
+
+def test_pairs_travel_packed_by_slice_and_range():
+    codes = op.Codes({bytes([97 + i]): 9 + i for i in range(12)}, 3, 4, {0x2061: 3, 0x6120: 2})
+    texts = [prose(i, 400, 90).encode() for i in range(40)]
+
+    class Shared:
+        value = codes
+
+    rows = lambda k: [t for i, t in enumerate(texts) if i % 2 == k]
+    bodies = lambda k: pa.table({"slice": [k] * 20, "body": pa.array(rows(k), pa.binary()), "trained": [i % 3 > 0 for i in range(20)]})
+    asked = pa.concat_tables([op._count_contexts(Shared, 5)(bodies(k)) for k in (0, 1)])
+    assert asked.num_rows == 10  # one row for a slice and range, however many pairs it has
+    units = [op.Units([op.tokens_of(t) for t in rows(k)], codes, Powers()) for k in (0, 1)]
+    held = sum(len(np.unique(op.pairs_of(u))) for u in units)
+    assert sum(len(b) for c in ("pairs", "times") for b in asked[c].to_pylist()) < 8 * held
+    numbers = asked["range"].to_numpy()
+    answers = pa.concat_tables([op._answer(Shared)(asked.filter(numbers == r)) for r in (4, 2, 0, 1, 3)])
+    times = [np.tile(np.array([i % 3 > 0 for i in range(20)], np.int64)[u.text], 3) for u in units]
+    pairs, n = op.summed(np.concatenate([op.pairs_of(u) for u in units]), np.concatenate(times))
+    odds, first = op.context_odds(codes, pairs, n)
+    for k in (0, 1):
+        own = answers.filter(answers["slice"].to_numpy() == k)
+        known = op.odds_of_slice(rows(k), own, codes, Powers())
+        wanted = np.unique(op.pairs_of(units[k]))
+        assert (known.keys == wanted).all()
+        for pair, at in zip(wanted, known.starts(wanted), strict=True):
+            begin, size = first[np.searchsorted(pairs, pair)], codes.size[op.symbols_of(pair[None])[0]]
+            assert (known.odds[at : at + size] == odds[begin : begin + size]).all()

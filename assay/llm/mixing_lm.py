@@ -321,15 +321,23 @@ def distinct(pairs: np.ndarray) -> np.ndarray:
 
 
 def gathered(parts: Iterator[tuple[np.ndarray, ...]], merge) -> tuple[np.ndarray, ...]:
-    """``merge`` of all parts, made while they come."""
+    """``merge`` of all parts, made while they come. Parts are let go before they are merged."""
     held: list[tuple[np.ndarray, ...]] = []
+
+    def merged():
+        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+        held.clear()
+        return merge(*columns)
+
     waiting = 0
     for part in parts:
         held.append(part)
         waiting += len(part[0])
+        del part
         if waiting > STEP_PAIRS:
-            held, waiting = [merge(*map(np.concatenate, zip(*held, strict=True)))], 0
-    return merge(*map(np.concatenate, zip(*held, strict=True)))
+            held.append(merged())
+            waiting = 0
+    return merged()
 
 
 def ranges_of(pairs: np.ndarray, ranges: int) -> np.ndarray:
@@ -338,7 +346,7 @@ def ranges_of(pairs: np.ndarray, ranges: int) -> np.ndarray:
 
 
 ASKED = "range long, slice long, pairs binary, times binary"
-ANSWERED = "slice long, range long, odds binary"
+ANSWERED = "slice long, range long, n long, odds binary"
 
 
 def _count_contexts(shared, ranges: int):
@@ -346,7 +354,7 @@ def _count_contexts(shared, ranges: int):
 
     def call(texts: pa.Table) -> pa.Table:
         codes, cache = shared.value, Powers()
-        bodies, trained = texts["body"].to_pylist(), texts["trained"].to_numpy().astype(np.int64)
+        bodies, trained = texts["body"].to_pylist(), texts["trained"].to_numpy().astype(np.int32)
 
         def parts():
             for a, b in slices([len(t or b"") for t in bodies], STEP_BYTES):
@@ -362,7 +370,7 @@ def _count_contexts(shared, ranges: int):
                 pa.array(number[edges[:-1]]),
                 pa.repeat(texts["slice"][0], len(runs)),
                 pa.array([packed(np.diff(pairs[a:b], prepend=np.uint64(0))) for a, b in runs], pa.binary()),
-                pa.array([packed(n[a:b]) for a, b in runs], pa.binary()),
+                pa.array([packed(n[a:b].astype(np.int64)) for a, b in runs], pa.binary()),
             ],
             names=["range", "slice", "pairs", "times"],
         )
@@ -406,19 +414,60 @@ def context_odds(codes: Codes, pairs: np.ndarray, n: np.ndarray) -> tuple[np.nda
     return out, first
 
 
-def along(codes: Codes, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sizes of the pairs' paths, and for all their bits, one after another, the place in the path and the bit as a sign."""
+def signs(codes: Codes, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the pairs' paths, and all their bits, one path after another, as signs."""
     symbol = symbols_of(pairs)
     size = codes.size[symbol]
-    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    return size, inside, codes.bit[inside + np.repeat(codes.first[symbol], size)].astype(np.int8) * np.int8(2) - np.int8(1)
+    at = np.arange(size.sum()) + np.repeat(codes.first[symbol] - np.cumsum(size) + size, size)
+    return size, codes.bit[at].astype(np.int8) * np.int8(2) - np.int8(1)
 
 
-def _answer(shared):
-    """For a range: the odds that all slices' counts give, to each slice along the paths of its pairs.
+def by_node(codes: Codes, pairs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All bits of the pairs' paths by their places, one path after another, and which of them are
+    the first at their context and node, those of one together: depth by depth, last the rest of
+    paths that no other pair shares."""
+    context, symbol = pairs >> np.uint64(SYMBOL_BITS), symbols_of(pairs)
+    size = codes.size[symbol]
+    number = np.cumsum(np.concatenate([[0], context[1:] != context[:-1]])).astype(np.int64)
+    order = np.argsort(number << SYMBOL_BITS | codes.leaf[symbol])
+    walk = (number[order], codes.first[symbol][order], (np.cumsum(size) - size)[order], size[order])
+    alone = []
+    while len(walk[0]):
+        number, at, place, left = walk
+        node = codes.node[at]
+        new = np.ones(len(at), bool)
+        new[1:] = (number[1:] != number[:-1]) | (node[1:] != node[:-1])
+        one = new & np.append(new[1:], True)
+        alone.append((place[one], left[one]))
+        yield place[~one], new[~one]
+        go = ~one & (left > 1)
+        walk = (number[go], at[go] + 1, place[go] + 1, left[go] - 1)
+    place, left = map(np.concatenate, zip(*alone, strict=True))
+    rest = np.arange(left.sum()) + np.repeat(place - np.cumsum(left) + left, left)
+    yield rest, np.ones(len(rest), bool)
 
-    They are sent as the odds of the bit that comes, which are much alike along a path.
-    """
+
+def to_answer(codes: Codes, pairs: np.ndarray, odds: np.ndarray) -> bytes:
+    """The odds along the pairs' paths, each node of a context once, as those of the bit that comes."""
+    own = odds * signs(codes, pairs)[1]
+    return zlib.compress(b"".join(own[place[new]].tobytes() for place, new in by_node(codes, pairs)), 1)
+
+
+def from_answer(codes: Codes, pairs: np.ndarray, blob: bytes) -> np.ndarray:
+    values, start = np.frombuffer(zlib.decompress(blob), np.int8), 0
+    sign = signs(codes, pairs)[1]
+    odds = np.empty(len(sign), np.int8)
+    for place, new in by_node(codes, pairs):
+        end = start + np.count_nonzero(new)
+        odds[place] = (values[start:end] * sign[place[new]])[np.cumsum(new) - 1]
+        start = end
+    if start != len(values):
+        raise ValueError(f"{len(values)} odds for {start} nodes")
+    return odds
+
+
+def _answer(shared):
+    """For a range: the odds that all slices' counts give, to each slice along the paths of its pairs."""
 
     def call(asked: pa.Table) -> pa.Table:
         codes = shared.value
@@ -428,10 +477,12 @@ def _answer(shared):
         odds, first = context_odds(codes, pairs, n)
         answers = []
         for part in parts:
-            size, inside, sign = along(codes, part)
-            own = odds[np.repeat(first[np.searchsorted(pairs, part)], size) + inside]
-            answers.append(zlib.compress((own * sign).tobytes(), 1))
-        return pa.table([asked["slice"], asked["range"], pa.array(answers, pa.binary())], names=["slice", "range", "odds"])
+            size = codes.size[symbols_of(part)]
+            begin = first[np.searchsorted(pairs, part)] - np.cumsum(size) + size
+            answers.append(to_answer(codes, part, odds[np.arange(size.sum()) + np.repeat(begin, size)]))
+        sizes = pa.array([len(part) for part in parts], pa.int64())
+        names = ["slice", "range", "n", "odds"]
+        return pa.table([asked["slice"], asked["range"], sizes, pa.array(answers, pa.binary())], names=names)
 
     return call
 
@@ -519,17 +570,13 @@ def odds_of_slice(texts: list[bytes | None], answers: pa.Table, codes: Codes, ca
     steps = slices([len(t or b"") for t in texts], STEP_BYTES)
     parts = ((distinct(pairs_of(Units([tokens_of(t) for t in texts[a:b]], codes, cache))),) for a, b in steps)
     (pairs,) = gathered(parts, lambda x: (distinct(x),))
-    blobs = answers["odds"].to_pylist()
-    odds = np.frombuffer(b"".join(zlib.decompress(blobs[i]) for i in np.argsort(answers["range"].to_numpy())), np.int8)
-    out = []
-    edges = [*range(0, len(pairs), STEP_PAIRS // 4), len(pairs)]
-    start = 0
-    for a, b in zip(edges, edges[1:], strict=False):
-        sign = along(codes, pairs[a:b])[2]
-        out.append((odds[start : start + len(sign)] * sign).tobytes())
-        start += len(sign)
-    if start != len(odds):
-        raise ValueError(f"{len(odds)} odds for {start} bits")
+    blobs, sizes = answers["odds"].to_pylist(), answers["n"].to_pylist()
+    out, start = [], 0
+    for i in np.argsort(answers["range"].to_numpy()):
+        out.append(from_answer(codes, pairs[start : start + sizes[i]], blobs[i]).tobytes())
+        start += sizes[i]
+    if start != len(pairs):
+        raise ValueError(f"answers to {start} of {len(pairs)} pairs")
     return PairOdds(pairs, b"".join(out), codes)
 
 

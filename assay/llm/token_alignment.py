@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from assay.llm.common import slices, staged
+from assay.llm.common import arrow_batches, slices, staged
 from assay.llm.token_counts import byte_alphabet
 
 # Bytes of text encoded together, and those whose links one row of the written table holds: larger
@@ -47,6 +47,8 @@ MEMORY = 200_000
 REMEMBERED_BYTES = 64
 # Bytes of a group of such rows in the written table.
 ROW_GROUP = 16 * 1024 * 1024
+# Bytes of rows handed to a task's Python at once.
+BATCH_BYTES = 4 * 1024 * 1024
 # Pairs of ids in one block of counts: two arrays of eight bytes each in every task, 32 MB.
 BLOCK_PAIRS = 1 << 21
 # Pairs a task holds before it hands its counts on.
@@ -502,6 +504,12 @@ def _sum_links(shared, names: list[str]):
     return run
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each text of the rows, whose columns are lists."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([c.flatten() for c in batch.columns], names=batch.schema.names)
+
+
 def pair_counts(aligned: DataFrame) -> DataFrame:
     """(a, b, n, best): documents that hold each linked pair, and whether A id ``a`` has no higher."""
     counted = (
@@ -563,25 +571,23 @@ def align_tokens(
                     columns += [pa.array([row[f.name]], f.type) for f in list(target)[n_keep:]]
                     yield pa.RecordBatch.from_arrays(columns, schema=target)
 
-    aligned = staged(source.mapInArrow(encode, schema), "aligned", ROW_GROUP)
-    pairs = staged(pair_counts(aligned), "pair-counts")
-    n_blocks = max(1, -(-pairs.count() // block_pairs))
-    block = F.pmod(F.xxhash64("a", "b"), F.lit(n_blocks))
-    for i in range(n_blocks):
-        found = pairs.where(block == i).toArrow() if n_blocks > 1 else pairs.toArrow()
-        codes = found["a"].to_numpy().astype(np.int64) << 32 | found["b"].to_numpy().astype(np.int64)
-        order = np.argsort(codes)
-        best = found["best"].to_numpy(zero_copy_only=False).astype(np.int64)
-        shared = spark.sparkContext.broadcast((codes[order], found["n"].to_numpy()[order], best[order]))
-        # After the last block the links themselves are not asked for any more.
-        left = [f for f in schema if i + 1 < n_blocks or f.name not in _PACKED]
-        aligned = aligned.mapInArrow(_sum_links(shared, [f.name for f in left]), StructType(left))
-        if i + 1 < n_blocks:
-            aligned = staged(aligned, "aligned", ROW_GROUP)
+    with arrow_batches(spark, BATCH_BYTES):
+        aligned = staged(source.mapInArrow(encode, schema), "aligned", ROW_GROUP)
+        pairs = staged(pair_counts(aligned), "pair-counts")
+        n_blocks = max(1, -(-pairs.count() // block_pairs))
+        block = F.pmod(F.xxhash64("a", "b"), F.lit(n_blocks))
+        for i in range(n_blocks):
+            found = pairs.where(block == i).toArrow() if n_blocks > 1 else pairs.toArrow()
+            codes = found["a"].to_numpy().astype(np.int64) << 32 | found["b"].to_numpy().astype(np.int64)
+            order = np.argsort(codes)
+            best = found["best"].to_numpy(zero_copy_only=False).astype(np.int64)
+            shared = spark.sparkContext.broadcast((codes[order], found["n"].to_numpy()[order], best[order]))
+            # After the last block the links themselves are not asked for any more.
+            left = [f for f in schema if i + 1 < n_blocks or f.name not in _PACKED]
+            aligned = aligned.mapInArrow(_sum_links(shared, [f.name for f in left]), StructType(left))
+            aligned = staged(aligned, "aligned" if i + 1 < n_blocks else "summed", ROW_GROUP)
     columns = [*hidden, *_DIGESTS, "bests", "sums", "groups_sha256"]
-    each = aligned.select(F.explode(F.arrays_zip(*columns)).alias("row"))
-    names = {"bests": "n_best", "sums": "count_sum"}
-    return each.select(
-        *[F.col(f"row.{h}").alias(c) for h, c in zip(hidden, keep, strict=True)],
-        *[F.col(f"row.{c}").alias(names.get(c, c)) for c in columns[n_keep:]],
-    )
+    each = StructType([StructField(c, aligned.schema[c].dataType.elementType) for c in columns])
+    names = {h: c for h, c in zip(hidden, keep, strict=True)} | {"bests": "n_best", "sums": "count_sum"}
+    laid_out = aligned.select(*columns).mapInArrow(_texts, each)
+    return laid_out.select(*[F.col(c).alias(names.get(c, c)) for c in columns])

@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 
 from assay.llm import token_alignment as op
+from assay.llm.common import ARROW_BYTES
 from helpers import awkward, clashing, documents, prose
 
 PATHS = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -118,3 +119,21 @@ def test_links_are_not_handed_back_by_the_last_pass(spark):
     plan = op.align_tokens(documents(spark, [prose(8, 50)]), *PATHS)._jdf.queryExecution().optimizedPlan().toString()
     passed = next(line for line in plan.splitlines() if "MapInArrow" in line)
     assert "n_links" in passed.split("[")[-1] and "at_code" not in passed.split("[")[-1]
+
+
+def test_links_go_to_python_in_small_batches(spark, tokenizers, monkeypatch):
+    before, passes, write = spark.conf.get(ARROW_BYTES), {}, op.staged
+
+    def staged(df, what, *more):
+        passes[what] = spark.conf.get(ARROW_BYTES), df.columns
+        return write(df, what, *more)
+
+    monkeypatch.setattr(op, "staged", staged)
+    monkeypatch.setattr(op, "BATCH_BYTES", 1000)
+    texts = [None, prose(9, 200), *noise(9, 20), prose(9, 200)]
+    df = op.align_tokens(documents(spark, texts), *PATHS)
+    assert {limit for limit, _ in passes.values()} == {"1000"} and spark.conf.get(ARROW_BYTES) == before
+    # What is left for the caller's run, under its own limit, asks for no links.
+    assert "at_code" not in passes["summed"][1]
+    assert "at_code" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert found(df) == wanted(tokenizers, texts)

@@ -54,6 +54,8 @@ CONTEXTS = 4
 # Slots of a table of odds given whole to ``log_likelihood``; a corpus is not scored by one.
 SLOT_BITS = 20
 STEP_BYTES = 1024 * 1024
+# Bytes of texts scored side by side: each of their bits is held with all that predicts it.
+SCORED_BYTES = 512 * 1024
 # Bytes of texts in a slice, about; texts are never cut.
 SLICE_BYTES = 12 * 1024 * 1024
 # Bytes of texts for each range of contexts, about; contexts are never cut.
@@ -274,22 +276,29 @@ def node_odds(codes: Codes, counts: np.ndarray) -> np.ndarray:
 
 
 class PairOdds:
-    """Log odds along the path of each pair that is known."""
-
-    def __init__(self, pairs: np.ndarray, odds: bytes, codes: Codes):
-        size = codes.size[symbols_of(pairs)]
-        order = np.argsort(pairs)
-        self.keys, self.first = pairs[order], (np.cumsum(size) - size)[order]
+    """Log odds along the path of each pair that is known. The pairs come in order, their odds whole
+    or in consecutive parts."""
+
+    def __init__(self, pairs: np.ndarray, odds: bytes | Iterator[np.ndarray], codes: Codes):
+        size = codes.size[symbols_of(pairs)].astype(np.int32)
+        self.keys, self.none = pairs, int(size.sum())
+        self.first = np.cumsum(size, dtype=np.int64 if self.none >> 31 else np.int32)
+        self.first -= size
         # What is not known reads a path of zeros behind the others.
-        self.none = len(odds)
-        self.odds = np.frombuffer(odds + bytes(int(codes.size.max())), np.int8)
+        self.odds = np.zeros(self.none + int(codes.size.max()), np.int8)
+        start = 0
+        for part in [np.frombuffer(odds, np.int8)] if isinstance(odds, bytes) else odds:
+            self.odds[start : start + len(part)] = part
+            start += len(part)
 
     def starts(self, wanted: np.ndarray) -> np.ndarray:
         out = np.full(len(wanted), self.none, np.int64)
         if len(self.keys):
+            # Sought in order, neighbours are found in the same few places of the keys.
+            order = np.argsort(wanted)
+            wanted = wanted[order]
             at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-            found = self.keys[at] == wanted
-            out[found] = self.first[at[found]]
+            out[order] = np.where(self.keys[at] == wanted, self.first[at], self.none)
         return out
 
 
@@ -311,33 +320,60 @@ def summed(pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct pairs in order, with the sums of their counts."""
     order = np.argsort(pairs)
     pairs = pairs[order]
-    first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+    first = firsts(pairs)
     return pairs[first], np.add.reduceat(n[order], first)
 
 
+def firsts(pairs: np.ndarray) -> np.ndarray:
+    """Where the runs of equal pairs begin."""
+    return np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)])
+
+
 def distinct(pairs: np.ndarray) -> np.ndarray:
     pairs = np.sort(pairs)
-    return pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]
+    return pairs[firsts(pairs)]
+
+
+def joined(one: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """Distinct pairs in order, with their counts if there are any, of both; ``one`` is used up."""
+    if not len(one[0]):
+        return other
+    at = np.searchsorted(one[0], other[0])
+    found = one[0][np.minimum(at, len(one[0]) - 1)] == other[0]
+    for counts, more in zip(one[1:], other[1:], strict=True):
+        counts[at[found]] += more[found]
+    at = at[~found]
+    return tuple(np.insert(a, at, b[~found]) for a, b in zip(one, other, strict=True))
+
+
+def counted_once(pairs: np.ndarray, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs in order, and how many of each are ``trained``."""
+    learned = np.sort(pairs[trained])
+    first = firsts(learned)
+    others = distinct(pairs[~trained])
+    return joined((learned[first], np.diff(np.append(first, len(learned)))), (others, np.zeros(len(others), np.int64)))
 
 
 def gathered(parts: Iterator[tuple[np.ndarray, ...]], merge) -> tuple[np.ndarray, ...]:
-    """``merge`` of all parts, made while they come. Parts are let go before they are merged."""
+    """``merge`` of all parts, made while they come: of those that wait, then joined with what was
+    merged before. Parts are let go before they are merged."""
     held: list[tuple[np.ndarray, ...]] = []
+    before = None
+    waiting = 0
 
     def merged():
         columns = [np.concatenate(c) for c in zip(*held, strict=True)]
         held.clear()
-        return merge(*columns)
+        return joined(before, merge(*columns)) if before else merge(*columns)
 
-    waiting = 0
     for part in parts:
         held.append(part)
         waiting += len(part[0])
         del part
         if waiting > STEP_PAIRS:
-            held.append(merged())
+            before = merged()
             waiting = 0
-    return merged()
+    return merged() if held else before
 
 
 def ranges_of(pairs: np.ndarray, ranges: int) -> np.ndarray:
@@ -354,14 +390,14 @@ def _count_contexts(shared, ranges: int):
 
     def call(texts: pa.Table) -> pa.Table:
         codes, cache = shared.value, Powers()
-        bodies, trained = texts["body"].to_pylist(), texts["trained"].to_numpy().astype(np.int32)
+        bodies, trained = texts["body"].to_pylist(), texts["trained"].to_numpy().astype(bool)
 
-        def parts():
-            for a, b in slices([len(t or b"") for t in bodies], STEP_BYTES):
-                units = Units([tokens_of(t) for t in bodies[a:b]], codes, cache)
-                yield summed(pairs_of(units), np.tile(trained[a:b][units.text], len(units.contexts)))
+        def part(a: int, b: int):
+            units = Units([tokens_of(t) for t in bodies[a:b]], codes, cache)
+            return counted_once(pairs_of(units), np.tile(trained[a:b][units.text], len(units.contexts)))
 
-        pairs, n = gathered(parts(), summed)
+        steps = slices([len(t or b"") for t in bodies], STEP_BYTES)
+        pairs, n = gathered((part(a, b) for a, b in steps), summed)
         number = ranges_of(pairs, ranges)
         edges = np.append(np.flatnonzero(np.diff(number, prepend=-1)), len(pairs))
         runs = list(zip(edges, edges[1:], strict=False))
@@ -517,11 +553,12 @@ def likelihood_of(units: Units, n: int, codes: Codes, look) -> np.ndarray:
     inputs = np.empty((CONTEXTS, len(unit)), np.float32)
     for k in range(CONTEXTS):
         inputs[k] = look(k, unit, inside, node)
-    known = np.zeros(len(unit), np.int64)
+    known = np.zeros(len(unit), np.int8)
     for k in range(1, CONTEXTS):
         known += inputs[k] != 0
     inputs *= np.float32(1 / 16)
     cell = owner * GATES + units.is_byte[unit] * CONTEXTS + known
+    del unit, inside, node, known
     sign = bit.astype(np.float32) * 2 - 1
     starts = np.repeat(np.array(START, np.float32), CONTEXTS, axis=0)  # by gate
     weights = np.tile(starts.T, (1, n))
@@ -570,14 +607,17 @@ def odds_of_slice(texts: list[bytes | None], answers: pa.Table, codes: Codes, ca
     steps = slices([len(t or b"") for t in texts], STEP_BYTES)
     parts = ((distinct(pairs_of(Units([tokens_of(t) for t in texts[a:b]], codes, cache))),) for a, b in steps)
     (pairs,) = gathered(parts, lambda x: (distinct(x),))
-    blobs, sizes = answers["odds"].to_pylist(), answers["n"].to_pylist()
-    out, start = [], 0
-    for i in np.argsort(answers["range"].to_numpy()):
-        out.append(from_answer(codes, pairs[start : start + sizes[i]], blobs[i]).tobytes())
-        start += sizes[i]
-    if start != len(pairs):
-        raise ValueError(f"answers to {start} of {len(pairs)} pairs")
-    return PairOdds(pairs, b"".join(out), codes)
+    sizes = answers["n"].to_pylist()
+
+    def odds():
+        start = 0
+        for i in np.argsort(answers["range"].to_numpy()).tolist():
+            yield from_answer(codes, pairs[start : start + sizes[i]], answers["odds"][i].as_py())
+            start += sizes[i]
+        if start != len(pairs):
+            raise ValueError(f"answers to {start} of {len(pairs)} pairs")
+
+    return PairOdds(pairs, odds(), codes)
 
 
 def _score_slice(shared):
@@ -591,7 +631,7 @@ def _score_slice(shared):
         rest_tokens: list[bytes] = []
         rest_times: list[int] = []
         rest_ends = [0]
-        for a, b in slices([len(t or b"") for t in texts], STEP_BYTES):
+        for a, b in slices([len(t or b"") for t in texts], SCORED_BYTES):
             parts = [tokens_of(t) for t in texts[a:b]]
             n = len(parts)
             units = Units(parts, codes, cache)

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import re
 import zlib
 from collections import Counter
@@ -175,3 +176,45 @@ def test_pairs_travel_packed_by_slice_and_range():
         for pair, at in zip(wanted, known.starts(wanted), strict=True):
             begin, size = first[np.searchsorted(pairs, pair)], codes.size[op.symbols_of(pair[None])[0]]
             assert (known.odds[at : at + size] == odds[begin : begin + size]).all()
+
+
+def test_scoring_holds_little_beside_the_odds():
+    codes = op.Codes({bytes([97 + i]): 9 + i for i in range(12)}, 3, 4, {0x2061: 3, 0x6120: 2})
+    texts = [prose(i, 700, 700).encode() for i in range(250)]
+    bodies = pa.array(texts, pa.binary())
+    numbers = pa.array(range(250), pa.int64())
+    asked = pa.table({"slice": [0] * 250, "row": numbers, "key": numbers, "body": bodies, "trained": [True] * 250})
+
+    class Shared:
+        value = codes
+
+    class Model:
+        value = codes, np.zeros(int(codes.node.max()) + 1, np.int8), np.ones(codes.bytes_from)
+
+    found = op._count_contexts(Shared, 1)(asked)
+    answers = op._answer(Shared)(found)
+    scored = op._score_slice(Model)(asked, answers)
+    tracemalloc.start()
+    again = op._score_slice(Model)(asked, answers)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert again.equals(scored) and scored.num_rows == 250
+    assert 900_000 < sum(map(len, texts)) < 1_100_000 and most < 500 * 2**20
+
+
+def test_parts_joined_are_those_summed_at_once(monkeypatch):
+    monkeypatch.setattr(op, "STEP_PAIRS", 50)
+    rng = np.random.default_rng(4)
+    parts = [(np.sort(rng.integers(0, 200, 30)).astype(np.uint64), rng.integers(0, 2**33, 30)) for _ in range(20)]
+    at_once = op.summed(*(np.concatenate(c) for c in zip(*parts, strict=True)))
+    for some in (parts, parts[:1]):
+        pairs, n = op.gathered(iter(some), op.summed)
+        wanted = at_once if some is parts else op.summed(*some[0])
+        assert (pairs == wanted[0]).all() and (n == wanted[1]).all()
+    (alone,) = op.gathered(((p,) for p, _ in parts), lambda x: (op.distinct(x),))
+    assert (alone == at_once[0]).all()
+    trained = rng.random(30) < 0.6
+    for known in (trained, trained & False, trained | True):
+        pairs, n = op.counted_once(parts[0][0], known)
+        wanted = op.summed(parts[0][0], known.astype(np.int64))
+        assert (pairs == wanted[0]).all() and (n == wanted[1]).all()

@@ -16,6 +16,8 @@ from assay.session import shared_folder
 
 # Bytes of text handed to one call of a per-batch function; bounds a task's memory.
 SLICE_BYTES = 2 * 1024 * 1024
+# Bytes of rows handed to a task's Python at once.
+BATCH_BYTES = 4 * 1024 * 1024
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -52,6 +54,14 @@ def slices(sizes: list[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         yield start, len(sizes)
 
 
+def bounded_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
+    """From now on the session hands rows to Python in batches of about ``limit`` bytes.
+
+    For results that run after the caller gets them, when ``arrow_batches`` holds no more.
+    """
+    spark.conf.set(ARROW_BYTES, str(limit))
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, limit: int) -> Iterator[None]:
     """What runs inside hands rows to Python in batches of about ``limit`` bytes, one row at least.
@@ -85,30 +95,36 @@ def map_texts(
     ``make`` runs once per task and returns a function of a list of texts as UTF-8 bytes
     (None for null) and a list for each of ``inputs``; it returns one list or array (of numpy or
     Arrow) per field.
-    Texts reach it in slices of at most ``limit`` bytes, never cut.
+    Texts reach it in slices of at most ``limit`` bytes, never cut. A text that is kept is handed to
+    Python once.
     """
     added = schema_of(fields)
+    once = text in keep and dict(df.dtypes).get(text) in ("string", "binary")
     source = df.select(
         *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)],
         *[F.col(c).alias(f"i{i}") for i, c in enumerate(inputs)],
-        F.col(text).cast("binary").alias("t"),
+        *([] if once else [F.col(text).cast("binary").alias("t")]),
     )
     kept = [source.schema[f"k{i}"] for i in range(len(keep))]
     out = StructType(kept + [f for f in added.fields])
     names = [f.name for f in added.fields]
     n_keep, n_in = len(keep), len(inputs)
+    place = keep.index(text) if once else n_keep + n_in
+
+    def bodies(batch: pa.RecordBatch) -> pa.Array:
+        found = batch.column(place)
+        return found.cast(pa.large_binary() if pa.types.is_large_string(found.type) else pa.binary()) if once else found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         target, call = to_arrow_schema(out), make()
         for batch in batches:
-            texts = batch.column(n_keep + n_in)
-            sizes = pc.binary_length(texts).fill_null(0).to_pylist()
+            sizes = pc.binary_length(bodies(batch)).fill_null(0).to_pylist()
             for a, b in slices(sizes, limit):
                 part = batch.slice(a, b - a)
                 made = call(
-                    part.column(n_keep + n_in).to_pylist(),
+                    bodies(part).to_pylist(),
                     *[part.column(n_keep + j).to_pylist() for j in range(n_in)],
                 )
                 columns = [part.column(j) for j in range(n_keep)]

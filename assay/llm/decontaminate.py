@@ -202,9 +202,11 @@ def find_contamination(
     the presence of repeated or null ids as well. An empty benchmark marks nothing.
     """
     names = tuple(f"c{i}" for i in range(len(keep)))
+    body = dict(zip(keep, names, strict=True)).get(text, "body")
+    apart = () if body in names else (body,)
     carried = documents.select(
         *[F.col(c).alias(name) for c, name in zip(keep, names, strict=True)],
-        F.col(text).alias("body"),
+        *[F.col(text).alias(b) for b in apart],
         F.lit(None).cast("array<int>").alias("hit_runs"),
         F.lit(None).cast("array<string>").alias("hit_items"),
     )
@@ -216,9 +218,9 @@ def find_contamination(
             carried,
             _scan(rows, window),
             FIELDS,
-            text="body",
+            text=body,
             inputs=("hit_runs", "hit_items"),
-            keep=names if last else (*names, "body"),
+            keep=names if last else (*names, *apart),
         )
         if not last:
             carried = staged(carried.drop("n_words", "n_hit"), "contamination")

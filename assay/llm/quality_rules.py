@@ -82,11 +82,13 @@ def _make():
 def with_statistics(documents: DataFrame, *, keep: tuple[str, ...], text: str = "text") -> DataFrame:
     """Columns k0.. for ``keep`` and one long for each of ``STATISTICS``."""
     names = tuple(f"k_{i}" for i in range(len(keep)))
+    body = dict(zip(keep, names, strict=True)).get(text, "t_")
     source = documents.select(
-        *[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], F.col(text).alias("t_")
+        *[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)],
+        *([] if body in names else [F.col(text).alias(body)]),
     )
     fields = ", ".join(f"{s} long" for s in STATISTICS)
-    return map_texts(source, _make, fields, text="t_", keep=names)
+    return map_texts(source, _make, fields, text=body, keep=names)
 
 
 def features() -> dict[str, Column]:

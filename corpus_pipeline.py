@@ -3,7 +3,9 @@
 Stages hand over the columns of ``documents``; the last adds what mixing gives. Each stage's
 result is written to the shared folder and read again, so a lost executor costs that stage's
 tasks only. Every stage takes tables without rows, null, empty and very long texts, repeated rows
-and keys, and further columns of any name, as the operator it calls documents.
+and keys, and further columns of any name, as the operator it calls documents. Whole rows go through
+Python in two stages, whose results run after they are returned: these leave the session with batches
+of about 4 MB.
 """
 
 from __future__ import annotations
@@ -13,12 +15,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from assay.llm import decontaminate, jaccard_join, mixing, pii, quality_rules
-from assay.llm.common import clear_name, staged, table
+from assay.llm.common import bounded_batches, clear_name, staged, table
 from assay.llm.queries import labelled_domains
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the learned ones reject."""
+    bounded_batches(spark)
     return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
@@ -29,6 +32,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
+    bounded_batches(spark)
     found = clear_name(docs, "contamination")
     marked = decontaminate.find_contamination(
         docs, table(spark, sf_dir, "benchmark"), keep=tuple(docs.columns), name=found

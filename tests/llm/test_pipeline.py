@@ -4,6 +4,7 @@ import __spark_entry__
 import corpus_pipeline
 import test_decontaminate
 import test_jaccard_join
+from assay.llm.common import ARROW_BYTES
 from assay.session import shared_folder
 from helpers import documents, prose
 
@@ -92,6 +93,42 @@ def test_each_stage_matches_brute_force(spark):
     assert all(r["mixing"]["rate"] >= 0 for r in docs.collect())
 
 
+def test_rows_go_to_python_in_small_batches_with_one_copy_of_their_text(spark, monkeypatch):
+    texts = [" ".join(f"w{i}x{k}" for k in range(20_000)) for i in range(60)]
+    size = sum(map(len, texts))
+    folder = tables(spark, texts, "pipeline-batches")
+    spark.createDataFrame([], "item_id long, text string").write.mode("overwrite").parquet(f"{folder}/benchmark.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").coalesce(1)
+    kind, seen = type(docs), spark.sparkContext.accumulator(0)
+    real, before = kind.mapInArrow, spark.conf.get(ARROW_BYTES)
+
+    def bounded(self, run, *rest):
+        def checked(batches):
+            def each():
+                for batch in batches:
+                    seen.add(batch.nbytes)
+                    if batch.nbytes > 8_000_000:
+                        raise ValueError(f"{batch.nbytes} bytes at once")
+                    yield batch
+
+            return run(each())
+
+        return real(self, checked, *rest)
+
+    monkeypatch.setattr(kind, "mapInArrow", bounded)
+    stages = dict(corpus_pipeline.STAGES)
+    # The labelled half is read once more, to learn rules from.
+    for name, most in (("quality_rules", 1.6 * size), ("decontamination", 1.1 * size)):
+        spark.conf.set(ARROW_BYTES, "64m")
+        start = seen.value
+        try:
+            rows = stages[name](spark, docs, folder).collect()
+        finally:
+            spark.conf.set(ARROW_BYTES, before)
+        assert {r["doc_id"]: r["text"] for r in rows} == dict(enumerate(texts)), name
+        assert size < seen.value - start < most, name
+
+
 def test_queries_are_registered():
     names = list(__spark_entry__.queries())
     assert "pipeline" in names

@@ -20,7 +20,7 @@ What is gathered from the corpus, in tables that grow with it: the count of ever
 and how often each symbol comes in each context. The second yields the odds of every node in every
 context that training shows, none of them shared: a context is a hash of 47 bits, which tells all
 but a few in a million of a thousand million contexts apart, and its symbols, at most as many as
-the code has, are summed to the nodes of their paths. Texts are dealt into slices. A slice sends
+the code has, are summed to the nodes of their paths. Texts are dealt into slices, and packed. A slice sends
 its distinct (context, symbol) pairs with their training counts to ranges of contexts, each range as
 one row of packed differences; a range sums what all slices send and returns to each the odds along
 its pairs' paths, in the order of the pairs, which the slice works out again to be scored.
@@ -60,6 +60,10 @@ SCORED_BYTES = 512 * 1024
 SLICE_BYTES = 12 * 1024 * 1024
 # Bytes of texts for each range of contexts, about; contexts are never cut.
 RANGE_BYTES = 8 * 1024 * 1024
+# Bytes of training texts for each range of tokens, about.
+TOKEN_RANGE_BYTES = 64 * 1024 * 1024
+# Consecutive rows that go to a slice together, so that their texts compress together.
+RUN_ROWS = 16
 # Pairs that wait to be summed with those of a slice.
 STEP_PAIRS = 1_500_000
 # Bytes of rows handed to a task's Python at once.
@@ -82,22 +86,97 @@ def tokens_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
+def squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(data, asbytes=True)
+
+
+def expanded(blob: bytes) -> bytes:
+    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """64-bit numbers by planes of bytes, which most of the zeros of small ones fill."""
+    return squeezed(values.view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(expanded(blob), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint64).ravel()
+
+
+def runs_of(numbers: np.ndarray) -> list[tuple[int, int]]:
+    """(start, end) of each run of equal numbers."""
+    edges = np.append(np.flatnonzero(np.diff(numbers, prepend=-1)), len(numbers)).tolist()
+    return list(zip(edges, edges[1:], strict=False))
+
+
+COUNTS = "range long, tokens binary, times binary"
+
+
+def _count_tokens(ranges: int):
+    """Counts of distinct tokens, which hold no space, in one row for each range of their hashes."""
+
+    def rows(counts: Counter[bytes]) -> pa.RecordBatch:
+        tokens = sorted(counts)
+        number = np.fromiter((zlib.crc32(t) % ranges for t in tokens), np.int64, len(tokens))
+        order = np.argsort(number, kind="stable")
+        number, runs = number[order], runs_of(number[order])
+        tokens = [tokens[i] for i in order.tolist()]
+        times = np.fromiter((counts[t] for t in tokens), np.int64, len(tokens))
+        columns = [
+            pa.array([number[a] for a, _ in runs], pa.int64()),
+            pa.array([squeezed(b" ".join(tokens[a:b])) for a, b in runs], pa.binary()),
+            pa.array([packed(times[a:b]) for a, b in runs], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["range", "tokens", "times"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[bytes] = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                counts.update(tokens_of(text))
+                if len(counts) > COUNTED:
+                    yield rows(counts)
+                    counts.clear()
+        yield rows(counts)
+
+    return run
 
-    def rows():
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
-            names=["token", "n"],
-        )
 
+def _sum_tokens(counts: pa.Table) -> pa.Table:
+    """The tokens of a range with the sums of their counts."""
+    parts = [
+        pa.table([pa.array(expanded(tokens).split(b" "), pa.binary()), pa.array(unpacked(times).view(np.int64))], names=["token", "n"])
+        for tokens, times in zip(counts["tokens"].to_pylist(), counts["times"].to_pylist(), strict=True)
+    ]
+    found = pa.concat_tables(parts).group_by("token", use_threads=False).aggregate([("n", "sum")])
+    return pa.table([found["token"], found["n_sum"]], names=["token", "n"])
+
+
+PACKED = "slice long, rows binary"
+
+
+def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each slice compressed, one row for a slice and batch."""
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3), use_threads=False)
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            counts.update(tokens_of(text))
-            if len(counts) > COUNTED:
-                yield rows()
-                counts.clear()
-    yield rows()
+        number = batch.column("slice").to_numpy()
+        order = np.argsort(number, kind="stable")
+        number, batch = number[order], batch.take(pa.array(order))
+        runs, blobs = runs_of(number), []
+        for a, b in runs:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
+                writer.write_batch(batch.slice(a, b - a))
+            blobs.append(sink.getvalue().to_pybytes())
+        columns = [pa.array([number[a] for a, _ in runs], pa.int64()), pa.array(blobs, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["slice", "rows"])
+
+
+def texts_of(packed_rows: pa.Table) -> pa.Table:
+    """The rows of a slice as ``_pack_texts`` had them."""
+    parts = [pa.ipc.open_stream(pa.py_buffer(b)).read_all() for b in packed_rows["rows"].to_pylist()]
+    return pa.concat_tables(parts).combine_chunks()
 
 
 def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,16 +381,6 @@ class PairOdds:
         return out
 
 
-def packed(values: np.ndarray) -> bytes:
-    """64-bit numbers by planes of bytes, which most of the zeros of small ones fill."""
-    return zlib.compress(values.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
-
-
-def unpacked(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(blob), np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view(np.uint64).ravel()
-
-
 def pairs_of(units: Units) -> np.ndarray:
     return np.concatenate([pair_keys(c, units.symbol) for c in units.contexts])
 
@@ -399,11 +468,10 @@ def _count_contexts(shared, ranges: int):
         steps = slices([len(t or b"") for t in bodies], STEP_BYTES)
         pairs, n = gathered((part(a, b) for a, b in steps), summed)
         number = ranges_of(pairs, ranges)
-        edges = np.append(np.flatnonzero(np.diff(number, prepend=-1)), len(pairs))
-        runs = list(zip(edges, edges[1:], strict=False))
+        runs = runs_of(number)
         return pa.table(
             [
-                pa.array(number[edges[:-1]]),
+                pa.array(number[[a for a, _ in runs]]),
                 pa.repeat(texts["slice"][0], len(runs)),
                 pa.array([packed(np.diff(pairs[a:b], prepend=np.uint64(0))) for a, b in runs], pa.binary()),
                 pa.array([packed(n[a:b].astype(np.int64)) for a, b in runs], pa.binary()),
@@ -486,11 +554,11 @@ def by_node(codes: Codes, pairs: np.ndarray) -> Iterator[tuple[np.ndarray, np.nd
 def to_answer(codes: Codes, pairs: np.ndarray, odds: np.ndarray) -> bytes:
     """The odds along the pairs' paths, each node of a context once, as those of the bit that comes."""
     own = odds * signs(codes, pairs)[1]
-    return zlib.compress(b"".join(own[place[new]].tobytes() for place, new in by_node(codes, pairs)), 1)
+    return squeezed(b"".join(own[place[new]].tobytes() for place, new in by_node(codes, pairs)))
 
 
 def from_answer(codes: Codes, pairs: np.ndarray, blob: bytes) -> np.ndarray:
-    values, start = np.frombuffer(zlib.decompress(blob), np.int8), 0
+    values, start = np.frombuffer(expanded(blob), np.int8), 0
     sign = signs(codes, pairs)[1]
     odds = np.empty(len(sign), np.int8)
     for place, new in by_node(codes, pairs):
@@ -676,10 +744,14 @@ def score_texts(documents: DataFrame, *, key: str = "doc_id", text: str = "text"
     rows, _ = keyed(documents, key, text)
     rows = rows.select("row", "key", F.col("body").cast("binary").alias("body"))
     training = rows.where(~is_held_out(F.col("key"))).select("body")
-    counts = staged(
-        training.mapInArrow(_count_tokens, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")),
-        "tokens",
-    )
+    size = rows.agg(F.sum(F.length("body")).alias("n")).first()["n"] or 0
+    with arrow_batches(spark, BATCH_BYTES):
+        counts = staged(
+            training.mapInArrow(_count_tokens(-(-size // TOKEN_RANGE_BYTES) or 1), COUNTS)
+            .groupBy("range")
+            .applyInArrow(_sum_tokens, "token binary, n long"),
+            "tokens",
+        )
     ends = training.count()
     whole = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     train_tokens, distinct = (whole["n"] or 0) + ends, whole["v"] + (ends > 0)
@@ -709,19 +781,19 @@ def score_texts(documents: DataFrame, *, key: str = "doc_id", text: str = "text"
     counted = symbols[: codes.bytes_from].copy()
     counted[codes.escape] = 0
     shared_codes = spark.sparkContext.broadcast(codes)
-    size = rows.agg(F.sum(F.length("body")).alias("n")).first()["n"] or 0
-    part = F.pmod(F.xxhash64("row"), F.lit(-(-size // SLICE_BYTES) or 1)).alias("slice")
+    run = F.floor(F.col("row") / RUN_ROWS)
+    part = F.pmod(F.xxhash64(run), F.lit(-(-size // SLICE_BYTES) or 1)).alias("slice")
     texts = rows.select(part, "row", "key", "body", (~is_held_out(F.col("key"))).alias("trained"))
     shared = spark.sparkContext.broadcast((codes, node_odds(codes, symbols), counted))
+    count = _count_contexts(shared_codes, min(-(-size // RANGE_BYTES) or 1, 1 << SYMBOL_BITS))
+    score = _score_slice(shared)
     # Both read the same columns, so texts are shuffled once.
-    asked = texts.groupBy("slice").applyInArrow(
-        _count_contexts(shared_codes, min(-(-size // RANGE_BYTES) or 1, 1 << SYMBOL_BITS)), schema_of(ASKED)
-    )
+    slices_of = texts.mapInArrow(_pack_texts, schema_of(PACKED)).groupBy("slice")
+    asked = slices_of.applyInArrow(lambda rows: count(texts_of(rows)), schema_of(ASKED))
     answers = asked.groupBy("range").applyInArrow(_answer(shared_codes), schema_of(ANSWERED))
     scored = (
-        texts.groupBy("slice")
-        .cogroup(answers.groupBy("slice"))
-        .applyInArrow(_score_slice(shared), StructType(texts.select("row", "key").schema.fields + schema_of(SCORES).fields))
+        slices_of.cogroup(answers.groupBy("slice"))
+        .applyInArrow(lambda rows, found: score(texts_of(rows), found), StructType(texts.select("row", "key").schema.fields + schema_of(SCORES).fields))
     )
     with arrow_batches(spark, BATCH_BYTES):
         scored = staged(scored, "scores")

@@ -218,3 +218,23 @@ def test_parts_joined_are_those_summed_at_once(monkeypatch):
         pairs, n = op.counted_once(parts[0][0], known)
         wanted = op.summed(parts[0][0], known.astype(np.int64))
         assert (pairs == wanted[0]).all() and (n == wanted[1]).all()
+
+
+def test_texts_and_token_counts_travel_compressed():
+    texts = [prose(i, 300, 4000) for i in range(64)] + [None, ""]
+    bodies = pa.array([t and t.encode() for t in texts], pa.binary())
+    numbers = pa.array(range(66), pa.int64())
+    keys = pa.array([None, *map(str, range(65))], pa.string())
+    batch = pa.record_batch([pa.array([i // 16 % 3 for i in range(66)]), numbers, keys, bodies], names=["slice", "row", "key", "body"])
+    sent = pa.Table.from_batches(op._pack_texts(iter([batch.slice(0, 40), batch.slice(40)])))
+    assert sent.num_rows == 6 and sum(map(len, sent["rows"].to_pylist())) < 0.6 * sum(len((t or "").encode()) for t in texts)
+    for k in range(3):
+        rows = op.texts_of(sent.filter(sent["slice"].to_numpy() == k))
+        assert rows.equals(pa.Table.from_batches([batch]).filter(batch["slice"].to_numpy() == k).combine_chunks())
+    counted = pa.Table.from_batches(op._count_tokens(5)(iter([pa.record_batch([bodies], names=["body"])] * 2)))
+    found = pa.concat_tables([op._sum_tokens(counted.filter(counted["range"].to_numpy() == r)) for r in range(5)])
+    wanted = Counter(t for x in texts for t in op.tokens_of((x or "").encode()))
+    assert counted.num_rows == 5 and found.num_rows == len(wanted)
+    assert dict(zip(*found.to_pydict().values(), strict=True)) == {t: 2 * n for t, n in wanted.items()}
+    assert sum(len(b) for c in ("tokens", "times") for b in counted[c].to_pylist()) < 8 * len(wanted)
+    assert list(op._count_tokens(5)(iter([])))[0].num_rows == 0

@@ -75,3 +75,17 @@ def test_empty_tables_and_clashing_names(spark):
 
 def test_query_digest_of_nothing(spark):
     assert hashlib.sha256(b"").hexdigest() == spark.sql("select sha2('', 256) as h").first()["h"]
+
+
+def test_a_kept_text_is_marked_alike_in_one_block_and_in_many(spark):
+    texts = [prose(i % 9, 40 + i, 500) for i in range(30)] + [None, ""]
+    benchmark = spark.createDataFrame([(i, prose(i, 60, 500)) for i in range(9)], "item_id long, text string")
+    docs = documents(spark, texts)
+    found = [
+        {r["doc_id"]: r for r in op.find_contamination(docs, benchmark, keep=keep, block_bytes=size).collect()}
+        for keep, size in ((("doc_id",), op.BLOCK_BYTES), (("doc_id", "text"), op.BLOCK_BYTES), (("text", "doc_id"), 300))
+    ]
+    assert any(r["contamination"]["contaminated"] for r in found[0].values())
+    for rows in found[1:]:
+        assert {i: r["text"] for i, r in rows.items()} == dict(enumerate(texts))
+        assert all(r["contamination"] == found[0][i]["contamination"] for i, r in rows.items())

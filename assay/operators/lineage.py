@@ -107,10 +107,75 @@ def trace_upstream(edges: DataFrame, starts: DataFrame, folder: str) -> DataFram
         seen = seen.unionByName(level)
 
 
+def _meet(rows: DataFrame, key: str, table: DataFrame, node: str, how: str) -> DataFrame:
+    """``rows`` joined to the rows of ``table`` whose ``node`` is their ``key``; null meets null.
+
+    The one join key is a hash: rows are sorted by a number, not by names that begin alike. Names
+    are compared as a range of one, which the optimiser does not turn into a second key.
+    """
+    left, right = F.col(key), F.col(node)
+    return rows.withColumn("_key", F.xxhash64(left.cast("string"))).join(
+        table.withColumn("_node", F.xxhash64(right.cast("string"))),
+        (F.col("_key") == F.col("_node"))
+        & (((left <= right) & (left >= right)) | (left.isNull() & right.isNull())),
+        how,
+    )
+
+
 def trace_to_sources(edges: DataFrame, starts: DataFrame, folder: str) -> DataFrame:
-    """The ancestors that nothing feeds: where each start ultimately comes from."""
-    traced = trace_upstream(edges, starts, folder)
-    fed = edges.sparkSession.read.parquet(f"{folder}/edges").select(F.col("target").alias("ancestor"))
-    return traced.join(fed.distinct(), "ancestor", "left_anti").select(
-        "node", F.col("ancestor").alias("origin"), "distance"
+    """The ancestors that nothing feeds: where each start ultimately comes from, at its shortest distance.
+
+    Only what feeds a start directly and is itself fed is traced level by level, once for
+    all starts that share it; a start takes over its feeders' origins, one step further
+    away. A feeder that nothing feeds is an origin at distance 1, and is compared with
+    others only if a longer way leads to it too. Each table that is read more than once
+    is written under ``folder``, so edges meet the starts once and their feeders once.
+    """
+    every = materialise(
+        edges.select("source", "target").where(F.col("target").isNotNull()).distinct(), f"{folder}/edges"
+    )
+    nodes = starts.select("node", F.lit(True).alias("is_start"), F.lit(False).alias("is_feeder")).unionByName(
+        every.select(F.col("source").alias("node"), F.lit(False).alias("is_start"), F.lit(True).alias("is_feeder"))
+    )
+    nodes = materialise(
+        nodes.groupBy("node").agg(F.max("is_start").alias("is_start"), F.max("is_feeder").alias("is_feeder")),
+        f"{folder}/nodes",
+    )
+    into = materialise(
+        _meet(every, "target", nodes, "node", "inner").select("source", "target", "is_start", "is_feeder"),
+        f"{folder}/into",
+    )
+    direct = into.where("is_start").select(F.col("target").alias("start"), F.col("source").alias("feeder"))
+    inner = materialise(into.where("is_feeder").select("source", "target"), f"{folder}/inner")
+    fed = materialise(inner.select(F.col("target").alias("node")).distinct(), f"{folder}/fed")
+    feeders = materialise(
+        direct.select(F.col("feeder").alias("node")).distinct().join(fed, "node", "left_semi"), f"{folder}/feeders"
+    )
+
+    above = trace_upstream(inner, feeders, f"{folder}/above")
+    origins = materialise(
+        above.join(fed.withColumnRenamed("node", "ancestor"), "ancestor", "left_anti").select(
+            "node", F.col("ancestor").alias("origin"), "distance"
+        ),
+        f"{folder}/origins",
+    )
+    # A feeder that only cycles feed has no origin, and no distance; an origin of others is its own.
+    known = materialise(
+        feeders.join(origins, "node", "left").unionByName(
+            origins.select(F.col("origin").alias("node"), "origin", F.lit(0).alias("distance")).distinct()
+        ),
+        f"{folder}/known",
+    )
+    traced = materialise(
+        _meet(direct, "feeder", known, "node", "left")
+        .where(F.col("_node").isNull() | F.col("distance").isNotNull())
+        .select(
+            F.col("start").alias("node"),
+            F.when(F.col("_node").isNull(), F.col("feeder")).otherwise(F.col("origin")).alias("origin"),
+            F.coalesce(F.col("distance") + 1, F.lit(1)).alias("distance"),
+            F.col("_node").isNotNull().alias("shared"),
+        ),
+        f"{folder}/traced",
     )
+    shortest = traced.where("shared").groupBy("node", "origin").agg(F.min("distance").alias("distance"))
+    return traced.where(~F.col("shared")).select("node", "origin", "distance").unionByName(shortest)

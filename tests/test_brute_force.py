@@ -90,3 +90,28 @@ def test_trace_distances(spark, folder):
     df = spark.createDataFrame(list(edges), "source string, target string")
     starts = spark.createDataFrame([("n1",), ("n2",), ("n3",)], "node string")
     assert rows(lineage.trace_upstream(df, starts, folder)) == sorted(expected, key=repr)
+
+
+def test_origins_of_repeated_null_and_cyclic_edges(spark, folder):
+    rng = random.Random(8)
+    # A feeds B feeds C, each also among themselves; nothing feeds the o's.
+    edges = [(f"a{rng.randrange(12)}", f"b{rng.randrange(12)}") for _ in range(16)]
+    edges += [(f"b{rng.randrange(12)}", f"c{rng.randrange(12)}") for _ in range(16)]
+    edges += [(f"{k}{rng.randrange(12)}", f"{k}{rng.randrange(12)}") for k in "abc" for _ in range(5)]
+    edges += [(f"o{rng.randrange(4)}", f"{rng.choice('abc')}{rng.randrange(12)}") for _ in range(14)]
+    edges += [(None, "a3"), (None, "c1"), ("b1", "c1"), ("a3", "b1"), ("c2", None), ("p", "q"), ("q", "p"), ("q", "c4")]
+    edges += edges[::3]
+    nodes = [f"c{i}" for i in range(12)] + ["b1", "a3", "o1", "p", "c4", "elsewhere", None]
+    fed = {target for _, target in edges} - {None}
+    expected = set()
+    for start in set(nodes) - {None}:
+        seen, level, distance = {start}, {start}, 0
+        while level:
+            distance += 1
+            level = {s for s, t in edges if t is not None and t in level} - seen
+            seen |= level
+            expected |= {(start, node, distance) for node in level - fed}
+    assert any(origin is None for _, origin, _ in expected) and len({d for *_, d in expected}) > 2
+    df = spark.createDataFrame(edges, "source string, target string")
+    starts = spark.createDataFrame([(node,) for node in nodes], "node string")
+    assert rows(lineage.trace_to_sources(df, starts, folder)) == sorted(expected, key=repr)

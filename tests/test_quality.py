@@ -176,6 +176,21 @@ def test_trace_has_no_depth_limit(spark, folder):
     assert rows(lineage.trace_to_sources(chain, starts, folder)) == [("n36", "n0", 36)]
 
 
+def test_what_starts_share_is_traced_once(spark, folder, monkeypatch):
+    orders = [f"order {i}" for i in range(60)]
+    edges = _edges(
+        spark, ("r", "n"), ("n", "s"), *[("s", order) for order in orders], *[(f"p{i}", o) for i, o in enumerate(orders)]
+    )
+    traced, trace = [], lineage.trace_upstream
+    monkeypatch.setattr(lineage, "trace_upstream", lambda e, s, f: traced.append((e.count(), rows(s))) or trace(e, s, f))
+    starts = spark.createDataFrame([(order,) for order in orders], "node string")
+    assert rows(lineage.trace_to_sources(edges, starts, folder)) == sorted(
+        [(o, "r", 3) for o in orders] + [(o, f"p{i}", 1) for i, o in enumerate(orders)], key=repr
+    )
+    # Level by level goes only what feeds the orders and is fed itself, not sixty orders.
+    assert traced == [(2, [("s",)])]
+
+
 def test_profile_counts_rows_nulls_and_distinct_values(spark):
     df = spark.createDataFrame([(1, None, [1.0]), (1, "a", [1.0]), (2, None, None)], "n long, s string, v array<double>")
     assert rows(profile.profile({"t": df})) == [
